@@ -86,6 +86,8 @@ def to_contract(
     * ``failure_rate`` given: used, but recomputed as failed/total*100 when it
       is 0 and something failed; otherwise computed.
     * ``details`` defaults to a count sentence.
+    * ``name`` may be a column name or a Column; ``description`` is literal text
+      unless it is a Column.
     """
     tot = _col(total).cast("bigint")
     fail = _col(failed).cast("bigint")
@@ -95,7 +97,9 @@ def to_contract(
         fr = computed
     else:
         given = _col(failure_rate).cast("double")
-        fr = F.when((F.coalesce(given, F.lit(0.0)) == 0.0) & (tot > 0), computed).otherwise(given)
+        fr = F.when((F.coalesce(given, F.lit(0.0)) == 0.0) & (tot > 0), computed).otherwise(
+            F.coalesce(given, computed)
+        )
     st = normalise_status(_col(status)) if status is not None else graded_status(tot, fail, thr)
     if details is None:
         det = F.when(fail == 0, F.lit("All validations passed")).otherwise(
@@ -105,7 +109,9 @@ def to_contract(
         det = _col(details).cast("string")
     cols = [
         _col(name).cast("string").alias("test_name"),
-        _col(description).cast("string").alias("test_description"),
+        (description if isinstance(description, Column) else F.lit(description))
+        .cast("string")
+        .alias("test_description"),
         tot.alias("total_tested"),
         fail.alias("failed_records"),
         st.alias("pass_fail_status"),

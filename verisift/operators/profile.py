@@ -228,7 +228,7 @@ def empty_tables_sub_results(
 
 
 def column_completeness(
-    tables: Mapping[str, DataFrame], rules: Sequence[CompletenessRule]
+    tables: Mapping[str, DataFrame], rules: Sequence[CompletenessRule], *, with_seq: bool = False
 ) -> DataFrame:
     """Per rule ``completeness_rate = ROUND(non_null / total * 100, 2)``.
 
@@ -239,7 +239,9 @@ def column_completeness(
     spark = _spark(tables)
     by_table: "OrderedDict[str, List[CompletenessRule]]" = OrderedDict()
     errors = []
-    for r in rules:
+    seq_of = {}
+    for i, r in enumerate(rules):
+        seq_of[id(r)] = i
         if r.table not in tables or r.column not in tables[r.table].columns:
             errors.append(r)
         else:
@@ -252,6 +254,7 @@ def column_completeness(
         rows = F.array(
             *[
                 F.struct(
+                    F.lit(seq_of[id(r)]).alias("seq"),
                     F.lit(r.label).alias("table_column"),
                     F.col("__rows").alias("total_rows"),
                     F.col(f"__nn{i}").alias("non_null_count"),
@@ -267,6 +270,7 @@ def column_completeness(
             spark,
             T.StructType(
                 [
+                    T.StructField("seq", T.IntegerType()),
                     T.StructField("table_column", T.StringType()),
                     T.StructField("total_rows", T.LongType()),
                     T.StructField("non_null_count", T.LongType()),
@@ -278,6 +282,7 @@ def column_completeness(
     total, nn = F.col("total_rows"), F.col("non_null_count")
     rate = F.when(total > 0, F.round(nn.cast("double") / total * F.lit(100.0), 2))
     out = base.select(
+        "seq",
         "table_column",
         "total_rows",
         "non_null_count",
@@ -296,23 +301,18 @@ def column_completeness(
     )
     if errors:
         err = spark.createDataFrame(
-            [(r.label, None, None, None, float(r.min_pct), None, False, "ERROR") for r in errors],
-            COMPLETENESS_SCHEMA,
+            [(seq_of[id(r)], r.label, None, None, None, float(r.min_pct), None, False, "ERROR") for r in errors],
+            T.StructType([T.StructField("seq", T.IntegerType())] + COMPLETENESS_SCHEMA.fields),
         )
         out = out.unionByName(err)
-    return out
+    return out if with_seq else out.drop("seq")
 
 
 def column_completeness_sub_results(
     tables: Mapping[str, DataFrame], rules: Sequence[CompletenessRule]
 ) -> DataFrame:
-    spark = _spark(tables)
-    order = spark.createDataFrame(
-        [(r.label, i) for i, r in enumerate(rules)], "table_column string, seq int"
-    )
     return (
-        column_completeness(tables, rules)
-        .join(F.broadcast(order), "table_column")
+        column_completeness(tables, rules, with_seq=True)
         .select(
             F.lit("column_completeness").alias("suite"),
             F.col("seq"),
