@@ -11,6 +11,7 @@ from .columns import (
     key_family,
     not_blank,
     pct,
+    qcol,
     rate,
     sum_long,
     typed,
@@ -28,6 +29,7 @@ __all__ = [
     "key_family",
     "not_blank",
     "pct",
+    "qcol",
     "rate",
     "sum_long",
     "top_k_per_group",

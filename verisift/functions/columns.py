@@ -20,6 +20,11 @@ Predicate = Union[str, Column, None]
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def qcol(name: str) -> Column:
+    """A column by its exact name (back-quoted, so dots or spaces are literal)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def as_predicate(pred: Predicate) -> Optional[Column]:
     """A SQL predicate string or a Column; ``None``/empty means "no filter"."""
     if pred is None:

@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import all_of, any_of, common_key_type, pct, sum_long, top_k_per_group
+from ..functions.frames import literal_frame
+from ..functions import all_of, any_of, qcol, common_key_type, pct, sum_long, top_k_per_group
 from ..rules import (
     ConceptColumn,
     ReferenceCheck,
@@ -75,13 +76,13 @@ def _tagged_child_keys(
     """``(ptag, rule_id, key)`` for every non-NULL FK of the given rules, one scan."""
     if len(items) == 1:
         ptag, rid, r = items[0]
-        fk = df[r.fk]
+        fk = qcol(r.fk)
         return df.where(all_of(fk.isNotNull(), r.filter)).select(
             F.lit(ptag).alias("ptag"), F.lit(rid).alias("rule_id"), fk.cast(key_type).alias("key")
         )
     elems = []
     for ptag, rid, r in items:
-        fk = df[r.fk]
+        fk = qcol(r.fk)
         elems.append(
             F.when(
                 all_of(fk.isNotNull(), r.filter),
@@ -91,7 +92,7 @@ def _tagged_child_keys(
             )
         )
     # The OR of IS NOT NULLs reaches the parquet reader as a pushed filter.
-    pre = df.where(any_of(df[r.fk].isNotNull() for _, _, r in items))
+    pre = df.where(any_of(qcol(r.fk).isNotNull() for _, _, r in items))
     return pre.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e")).select(
         "e.ptag", "e.rule_id", "e.key"
     )
@@ -166,7 +167,7 @@ def referential_keys(tables: Mapping[str, DataFrame], rules: Sequence[Relationsh
     frames += [_single_rule(tables, rid, r) for rid, r in singles]
     out = _union_all(frames)
     if out is None:
-        out = _spark(tables).createDataFrame([], _KEYED_SCHEMA)
+        out = literal_frame(_spark(tables), [], _KEYED_SCHEMA)
     return out
 
 
@@ -175,7 +176,7 @@ def _rule_frame(spark: SparkSession, rules: Sequence[Relationship], skipped: Dic
         (rid, r.label, r.child, r.fk, r.parent, r.key, r.group, skipped.get(rid))
         for rid, r in enumerate(rules)
     ]
-    return spark.createDataFrame(
+    return literal_frame(spark, 
         rows,
         "rule_id int, name string, child string, fk string, parent string, key string, "
         "rule_group string, reason string",
@@ -206,7 +207,7 @@ def _child_totals(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]
         frames.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
     out = _union_all(frames)
     if out is None:
-        out = _spark(tables).createDataFrame([], "rule_id int, total_records bigint")
+        out = literal_frame(_spark(tables), [], "rule_id int, total_records bigint")
     return out
 
 
@@ -276,7 +277,7 @@ def referential_sub_results(tables, rules: Sequence[Relationship]) -> DataFrame:
 def failing_keys(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]) -> DataFrame:
     """Every orphan FK value: ``rule, key, n_records``."""
     spark = _spark(tables)
-    names = spark.createDataFrame(
+    names = literal_frame(spark, 
         [(rid, r.label) for rid, r in enumerate(rules)], "rule_id int, rule string"
     )
     orphans = referential_keys(tables, rules).where(F.col("found").isNull())
@@ -394,13 +395,13 @@ def _tagged_codes(df: DataFrame, items: Sequence[Tuple[int, ConceptColumn]], key
 
     if len(items) == 1:
         rid, cc = items[0]
-        col = df[cc.column]
+        col = qcol(cc.column)
         return df.where(col.isNotNull()).select(F.lit(rid).alias("rule_id"), k(col).alias("code"))
     elems = [
-        F.when(df[cc.column].isNotNull(), F.struct(F.lit(rid).alias("rule_id"), k(df[cc.column]).alias("code")))
+        F.when(qcol(cc.column).isNotNull(), F.struct(F.lit(rid).alias("rule_id"), k(qcol(cc.column)).alias("code")))
         for rid, cc in items
     ]
-    pre = df.where(any_of(df[cc.column].isNotNull() for _, cc in items))
+    pre = df.where(any_of(qcol(cc.column).isNotNull() for _, cc in items))
     return pre.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e")).select(
         "e.rule_id", "e.code"
     )
@@ -462,7 +463,7 @@ def concept_flags(
         frames.append(flagged.withColumn("code", F.col("code").cast("string")))
     out = _union_all(frames)
     if out is None:
-        out = _spark(tables).createDataFrame(
+        out = literal_frame(_spark(tables), 
             [],
             "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
             "null_display boolean, null_code boolean, missing_display_data boolean",
@@ -481,7 +482,7 @@ def _per_code(flags: DataFrame, spec: Dict[str, Column]) -> DataFrame:
 
 
 def _concept_meta(spark: SparkSession, columns: Sequence[ConceptColumn]) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_frame(spark, 
         [(rid, cc.label, cc.table, cc.column) for rid, cc in enumerate(columns)],
         "rule_id int, name string, source_table string, concept_field string",
     )
@@ -533,7 +534,7 @@ def _table_stats(tables: Mapping[str, DataFrame], columns: Sequence[ConceptColum
         frames.append(tables[t].agg(F.count(F.lit(1)).alias("__all")).select(F.inline(rows)))
     out = _union_all(frames)
     if out is None:
-        out = _spark(tables).createDataFrame([], "rule_id int, total_records bigint")
+        out = literal_frame(_spark(tables), [], "rule_id int, total_records bigint")
     return out
 
 

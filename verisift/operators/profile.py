@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import qcol
+from ..functions.frames import literal_frame
 from ..contract import to_contract
 from ..rules import CompletenessRule
 
@@ -64,22 +66,24 @@ def _union(frames: List[DataFrame], empty: DataFrame) -> DataFrame:
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return literal_frame(spark, [], schema)
 
 
 # --------------------------------------------------------------------------- P1
 
 
-def _table_null_counts(name: str, df: DataFrame) -> Optional[DataFrame]:
+def _table_null_counts(name: str, df: DataFrame, seq0: int = 0) -> Optional[DataFrame]:
+    """One scan of ``df``: ``count(*)`` and ``count(c)`` for every column,
+    unpivoted to one row per column (``seq`` numbers columns from ``seq0``)."""
     columns = list(df.columns)
     if not columns:
         return None
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count(df[c]).alias(f"__nn{i}") for i, c in enumerate(columns)]
-    one_row = df.agg(*aggs)
+    aggs += [F.count(qcol(c)).alias(f"__nn{i}") for i, c in enumerate(columns)]
     rows = F.array(
         *[
             F.struct(
+                F.lit(seq0 + i).alias("seq"),
                 F.lit(name).alias("table_name"),
                 F.lit(c).alias("column_name"),
                 F.col("__rows").alias("total_rows"),
@@ -88,13 +92,23 @@ def _table_null_counts(name: str, df: DataFrame) -> Optional[DataFrame]:
             for i, c in enumerate(columns)
         ]
     )
-    return one_row.select(F.inline(rows)).select(
-        "table_name",
-        "column_name",
-        "total_rows",
-        "non_null_count",
-        ((F.col("non_null_count") == 0) & (F.col("total_rows") > 0)).alias("is_all_null"),
+    return df.agg(*aggs).select(F.inline(rows))
+
+
+def _null_counts(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    frames, seq0 = [], 0
+    for n in names:
+        if n not in tables:
+            continue
+        f = _table_null_counts(n, tables[n], seq0)
+        if f is not None:
+            frames.append(f)
+            seq0 += len(tables[n].columns)
+    empty = _empty(
+        _spark(tables),
+        "seq int, table_name string, column_name string, total_rows bigint, non_null_count bigint",
     )
+    return _union(frames, empty)
 
 
 def null_columns(
@@ -106,12 +120,13 @@ def null_columns(
     empty table never flags its columns.
     """
     names = list(names) if names is not None else list(tables)
-    frames = [
-        f
-        for f in (_table_null_counts(n, tables[n]) for n in names if n in tables)
-        if f is not None
-    ]
-    return _union(frames, _empty(_spark(tables), NULL_COLUMNS_SCHEMA))
+    return _null_counts(tables, names).select(
+        "table_name",
+        "column_name",
+        "total_rows",
+        "non_null_count",
+        ((F.col("non_null_count") == 0) & (F.col("total_rows") > 0)).alias("is_all_null"),
+    )
 
 
 def null_columns_sub_results(
@@ -120,25 +135,21 @@ def null_columns_sub_results(
     """P1 rows in the suite shape: one rule per column, missing tables as ERROR."""
     names = list(names) if names is not None else list(tables)
     spark = _spark(tables)
-    res = null_columns(tables, names)
-    ordinals = []
-    for n in names:
-        if n in tables:
-            ordinals += [(n, c, len(ordinals)) for c in tables[n].columns]
-    # One row per checked column: bounded by the schema width, not the data.
-    order = spark.createDataFrame(ordinals, "table_name string, column_name string, seq int")
-    ok = res.join(F.broadcast(order), ["table_name", "column_name"]).select(
+    all_null = (F.col("non_null_count") == 0) & (F.col("total_rows") > 0)
+    ok = _null_counts(tables, names).select(
         F.lit("null_columns").alias("suite"),
         F.col("seq"),
         F.concat_ws(".", "table_name", "column_name").alias("rule"),
         F.col("total_rows").alias("total_tested"),
         (F.col("total_rows") - F.col("non_null_count")).alias("failed_records"),
-        F.when(F.col("is_all_null"), F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+        F.when(all_null, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
     )
+    n_cols = sum(len(tables[n].columns) for n in names if n in tables)
     missing = [(i, n) for i, n in enumerate(names) if n not in tables]
     if missing:
-        err = spark.createDataFrame(
-            [("null_columns", len(ordinals) + i, n, None, None, "ERROR") for i, n in missing],
+        err = literal_frame(
+            spark,
+            [("null_columns", n_cols + i, n, None, None, "ERROR") for i, n in missing],
             "suite string, seq int, rule string, total_tested bigint, "
             "failed_records bigint, status string",
         )
@@ -200,7 +211,7 @@ def empty_tables_sub_results(
     spark = _spark(tables)
     res = empty_tables(tables, names, exclude)
     kept = table_names_excluding(names, exclude)
-    order = spark.createDataFrame(
+    order = literal_frame(spark, 
         [(n, i) for i, n in enumerate(kept)], "table_name string, seq int"
     )
     ok = res.join(F.broadcast(order), "table_name").select(
@@ -215,7 +226,7 @@ def empty_tables_sub_results(
     )
     missing = [(i, n) for i, n in enumerate(kept) if n not in tables]
     if missing:
-        err = spark.createDataFrame(
+        err = literal_frame(spark, 
             [("empty_tables", i, n, None, None, "ERROR") for i, n in missing],
             "suite string, seq int, rule string, total_tested bigint, "
             "failed_records bigint, status string",
@@ -250,7 +261,7 @@ def column_completeness(
     for table, trs in by_table.items():
         df = tables[table]
         aggs = [F.count(F.lit(1)).alias("__rows")]
-        aggs += [F.count(df[r.column]).alias(f"__nn{i}") for i, r in enumerate(trs)]
+        aggs += [F.count(qcol(r.column)).alias(f"__nn{i}") for i, r in enumerate(trs)]
         rows = F.array(
             *[
                 F.struct(
@@ -300,7 +311,7 @@ def column_completeness(
         .alias("status"),
     )
     if errors:
-        err = spark.createDataFrame(
+        err = literal_frame(spark, 
             [(seq_of[id(r)], r.label, None, None, None, float(r.min_pct), None, False, "ERROR") for r in errors],
             T.StructType([T.StructField("seq", T.IntegerType())] + COMPLETENESS_SCHEMA.fields),
         )
@@ -336,7 +347,7 @@ def completeness_threshold(
     threshold is ``100 - min_pct`` and the rate is not rounded before the test.
     """
     stats = df.agg(
-        F.count(F.lit(1)).alias("total_tested"), F.count(df[column]).alias("non_null")
+        F.count(F.lit(1)).alias("total_tested"), F.count(qcol(column)).alias("non_null")
     )
     total, nn = F.col("total_tested"), F.col("non_null")
     completeness = F.when(total == 0, F.lit(100.0)).otherwise(

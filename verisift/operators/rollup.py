@@ -13,6 +13,7 @@ from typing import Dict, Mapping, Optional, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.frames import literal_frame
 from ..functions import pct, rate
 
 SUITE_ORDER = (
@@ -70,7 +71,7 @@ def _unrank(rank: Column) -> Column:
 
 
 def _order_frame(spark: SparkSession, order: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(s, i) for i, s in enumerate(order)], "suite string, suite_seq int")
+    return literal_frame(spark, [(s, i) for i, s in enumerate(order)], "suite string, suite_seq int")
 
 
 # ----------------------------------------------------------------------------- A3
@@ -171,7 +172,7 @@ def run_summary(suite_results: DataFrame) -> DataFrame:
 
 
 def threshold_table(spark: SparkSession, rows=DEFAULT_THRESHOLDS) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_frame(spark, 
         list(rows), "scope string, name string, env string, threshold double"
     )
 
@@ -195,7 +196,7 @@ def apply_thresholds(
     cat_map = dict(SUITE_CATEGORY)
     cat_map.update(category or {})
     if "category" not in results.columns:
-        cats = spark.createDataFrame(list(cat_map.items()), "test_name string, category string")
+        cats = literal_frame(spark, list(cat_map.items()), "test_name string, category string")
         results = results.join(F.broadcast(cats), "test_name", "left")
     th = thresholds
     by_test = th.where((F.col("scope") == "test") & F.col("env").isNull()).select(
@@ -207,7 +208,7 @@ def apply_thresholds(
     by_env = th.where(
         (F.col("scope") == "category") & (F.col("env") == F.lit(env))
     ).select(F.col("name").alias("category"), F.col("threshold").alias("__t_env"))
-    ov = spark.createDataFrame(
+    ov = literal_frame(spark, 
         [(k, float(v)) for k, v in (overrides or {}).items()], "test_name string, __t_override double"
     )
     # Threshold tables are configuration: a handful of rows, broadcast by design.

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import all_of, any_of, is_missing, not_blank, pct, typed
+from ..functions.frames import literal_frame
+from ..functions import qcol, all_of, any_of, is_missing, not_blank, pct, typed
 from ..rules import FieldComparison, GroupCount, RangeCheck, RequiredFields, Uniqueness
 
 ROW_CHECK_SCHEMA = T.StructType(
@@ -56,10 +57,10 @@ def eligibility_and_failure(rule: PredicateRule, df: DataFrame) -> Tuple[Column,
     """(eligible, failing) predicates of one R2-R4 rule; both three-valued."""
     if isinstance(rule, RequiredFields):
         eligible = all_of(rule.filter)
-        failing = any_of(is_missing(df[f], rule.check_empty) for f in rule.fields)
+        failing = any_of(is_missing(qcol(f), rule.check_empty) for f in rule.fields)
         return eligible, failing
     if isinstance(rule, RangeCheck):
-        f = df[rule.field]
+        f = qcol(rule.field)
         eligible = all_of(
             rule.filter,
             f.isNotNull() if rule.exclude_nulls else None,
@@ -73,7 +74,7 @@ def eligibility_and_failure(rule: PredicateRule, df: DataFrame) -> Tuple[Column,
             conds.append(v > _bound(rule.max_value))
         return eligible, any_of(conds)
     if isinstance(rule, FieldComparison):
-        f1, f2 = df[rule.field1], df[rule.field2]
+        f1, f2 = qcol(rule.field1), qcol(rule.field2)
         eligible = all_of(
             rule.filter, (not_blank(f1) & not_blank(f2)) if rule.exclude_empty else None
         )
@@ -116,7 +117,7 @@ def _uniqueness_counts(df: DataFrame, rule: Uniqueness) -> DataFrame:
     NULLs ignored: counted over non-NULL rows. NULLs counted (legacy): over all
     rows, and since COUNT(DISTINCT) skips NULL every NULL row is a duplicate.
     """
-    c = df[rule.column]
+    c = qcol(rule.column)
     base = df.where(all_of(rule.filter))
     total = F.count(F.lit(1)) if rule.count_nulls else F.count(c)
     return base.agg(total.alias("total_tested"), F.count_distinct(c).alias("__d")).select(
@@ -141,7 +142,7 @@ def row_checks(
     for table, trs in by_table.items():
         frames.append(_predicate_counts(tables[table], trs))
     spark = next(iter(tables.values())).sparkSession
-    out = spark.createDataFrame(
+    out = literal_frame(spark, 
         [], "name string, total_tested bigint, failed_records bigint"
     )
     for f in frames:

@@ -17,6 +17,7 @@ from typing import List, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import literal_frame
 from ..operators import joins, profile, rowrules
 from ..operators.rollup import SUITE_ORDER, suite_rollup
 from ..rules import (
@@ -74,10 +75,10 @@ def person_patterns(tables: Mapping[str, DataFrame], patterns: Sequence[PatternR
                     F.col("passed"),
                 )
             )
-    meta = spark.createDataFrame(
+    meta = literal_frame(spark, 
         [(i, p.name, kinds[p.name]) for i, p in enumerate(patterns)], "seq int, name string, rule_type string"
     )
-    out = spark.createDataFrame([], "name string, total_tested bigint, failed_records bigint, failed_pct double, passed boolean")
+    out = literal_frame(spark, [], "name string, total_tested bigint, failed_records bigint, failed_pct double, passed boolean")
     for f in frames:
         out = out.unionByName(f.select("name", "total_tested", "failed_records", "failed_pct", "passed"))
     # The rule frame has one row per pattern: bounded by configuration.
