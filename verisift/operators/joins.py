@@ -350,29 +350,38 @@ def reference_check(tables: Mapping[str, DataFrame], rule: ReferenceCheck) -> Da
 def relationship_exists(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
     """Base entities (default) or rows with no matching ``joined`` row.
 
-    The joined side is reduced to its distinct key tuples (partial aggregation
-    before the shuffle) and flagged, so the left join never fans out.
+    Both sides are reduced before the join: the joined side to its distinct
+    key tuples, the base side to ``(keys, n)`` (rows mode) or to distinct
+    ``(keys, entity)`` pairs (entities mode). A key repeated on a third of the
+    base rows therefore reaches the join as one row, and the left join never
+    fans out. A NULL key never matches, as in SQL.
     """
     base = tables[rule.base].where(all_of(rule.filter))
     joined = tables[rule.joined]
-    bcols = [bc for bc, _ in rule.on]
+    keys = [F.col(bc).alias(f"__b{i}") for i, (bc, _) in enumerate(rule.on)]
     jkeys = (
-        joined.where(all_of(*[joined[jc].isNotNull() for _, jc in rule.on]))
-        .select(*[joined[jc].alias(f"__j{i}") for i, (_, jc) in enumerate(rule.on)])
+        joined.where(all_of(*[F.col(jc).isNotNull() for _, jc in rule.on]))
+        .select(*[F.col(jc).alias(f"__j{i}") for i, (_, jc) in enumerate(rule.on)])
         .distinct()
         .withColumn("__found", F.lit(True))
     )
-    cond = all_of(*[base[bc] == jkeys[f"__j{i}"] for i, bc in enumerate(bcols)])
-    flagged = base.join(jkeys, cond, "left")
+    cond = all_of(*[F.col(f"__b{i}") == F.col(f"__j{i}") for i in range(len(rule.on))])
     missing = F.col("__found").isNull()
     if rule.count == "rows":
-        counts = flagged.agg(
-            F.count(F.lit(1)).alias("total_tested"), F.count_if(missing).alias("failed_records")
+        pre = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        counts = pre.join(jkeys, cond, "left").agg(
+            sum_long(F.col("__n")).alias("total_tested"),
+            sum_long(F.when(missing, F.col("__n"))).alias("failed_records"),
         )
     elif rule.count == "entities":
+        pre = (
+            base.where(F.col(rule.entity).isNotNull())
+            .select(*keys, F.col(rule.entity).alias("__e"))
+            .distinct()
+        )
         counts = (
-            flagged.where(base[rule.entity].isNotNull())
-            .groupBy(base[rule.entity].alias("__e"))
+            pre.join(jkeys, cond, "left")
+            .groupBy("__e")
             .agg(F.bool_or(missing).alias("__miss"))
             .agg(F.count(F.lit(1)).alias("total_tested"), F.count_if(F.col("__miss")).alias("failed_records"))
         )
