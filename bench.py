@@ -1,10 +1,12 @@
 """Benchmark: the six check suites over the driver tables.
 
-Runs every suite of the fixture catalog (the same six the reference times) on
-``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``local[$BENCH_CPUS]``
-and prints one JSON line. Each suite is timed end to end as one Spark action
-that materialises its per-rule results; a warm-up pass runs first so JVM
-start-up and code generation are not billed to the first suite.
+Runs every suite of the fixture catalog (the same six the replaced system
+times) on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
+``local[$BENCH_CPUS]`` and prints one JSON line. The headline value is a full
+run — all six suites as one Spark job with shared table scans, the counterpart
+of the published run-everything total; each suite is also timed on its own.
+Times are end to end (plan construction included), best of
+``$BENCH_REPEATS`` after one warm-up run of the whole thing.
 """
 
 from __future__ import annotations
@@ -66,12 +68,12 @@ def main():
         tests[name] = len(rows)
     full, rows = timed(lambda: suite_rollup(suite_sub_results(t, C.CATALOG)), repeats)
     times["all_suites_one_job"] = round(full, 3)
-    total = sum(v for k, v in times.items() if k != "all_suites_one_job")
+    times["sum_of_separate_suites"] = round(sum(times[k] for k in tests), 3)
     print(
         json.dumps(
             {
-                "metric": "sum_of_suite_seconds",
-                "value": round(total, 3),
+                "metric": "run_all_suites_seconds",
+                "value": round(full, 3),
                 "unit": "sec",
                 "queries": times,
                 "data_tests": tests,

@@ -322,3 +322,21 @@ def test_to_contract_recomputes_zero_rate(spark):
     df = spark.createDataFrame([(10, 2, 0.0)], "t bigint, f bigint, r double")
     c = one(to_contract(df, name=F.lit("x"), total="t", failed="f", failure_rate="r"))
     assert c["actual_failure_rate"] == 20.0
+
+
+@pytest.mark.parametrize("pushdown", ["true", "false"])
+def test_shared_scan_equals_per_suite_plans(spark, pushdown):
+    from verisift.plans import catalog as C
+    from verisift.plans.fixtures import fixture_tables
+    from verisift.plans.suites import suite_sub_results
+
+    before = spark.conf.get("spark.sql.parquet.aggregatePushdown")
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", pushdown)
+    try:
+        t = fixture_tables(spark, "/root/testdata/sf0.01")
+        cols = ["suite", "seq", "rule", "total_tested", "failed_records", "status"]
+        shared = sorted(rows(suite_sub_results(t, C.CATALOG, shared_scan=True), *cols), key=str)
+        separate = sorted(rows(suite_sub_results(t, C.CATALOG, shared_scan=False), *cols), key=str)
+    finally:
+        spark.conf.set("spark.sql.parquet.aggregatePushdown", before)
+    assert shared == separate and len(shared) == 69 + 15 + 6 + 13 + 13 + 6

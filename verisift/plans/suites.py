@@ -12,7 +12,7 @@ executors.
 
 from __future__ import annotations
 
-from typing import List, Mapping, Sequence
+from typing import List, Mapping, Optional, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from ..rules import (
     Uniqueness,
 )
 from ..session import ensure_checkpoint_dir
+from .shared_scan import shared_sub_results
 
 PATTERN_SCHEMA = (
     "seq int, name string, rule_type string, total_tested bigint, failed_records bigint, "
@@ -49,11 +50,19 @@ _TYPE_NAMES = {
 }
 
 
-def person_patterns(tables: Mapping[str, DataFrame], patterns: Sequence[PatternRule]) -> DataFrame:
+def person_patterns(
+    tables: Mapping[str, DataFrame],
+    patterns: Sequence[PatternRule],
+    seq_of: Optional[Mapping[str, int]] = None,
+) -> DataFrame:
     """All pattern rules: ``seq, name, rule_type, total_tested, failed_records,
-    failed_pct, passed``. Row rules of one table share a single scan."""
+    failed_pct, passed``. Row rules of one table share a single scan. Names
+    must be unique; ``seq_of`` overrides the rule numbering."""
     spark = next(iter(tables.values())).sparkSession
-    seq = {p.name: i for i, p in enumerate(patterns)}
+    names = [p.name for p in patterns]
+    if len(set(names)) != len(names):
+        raise ValueError("pattern names must be unique")
+    seq = dict(seq_of) if seq_of is not None else {p.name: i for i, p in enumerate(patterns)}
     kinds = {p.name: _TYPE_NAMES[type(p)] for p in patterns}
     row_rules = [p for p in patterns if isinstance(p, (Uniqueness, RequiredFields, RangeCheck, FieldComparison))]
     frames: List[DataFrame] = []
@@ -76,7 +85,7 @@ def person_patterns(tables: Mapping[str, DataFrame], patterns: Sequence[PatternR
                 )
             )
     meta = literal_frame(spark, 
-        [(i, p.name, kinds[p.name]) for i, p in enumerate(patterns)], "seq int, name string, rule_type string"
+        [(seq[p.name], p.name, kinds[p.name]) for p in patterns], "seq int, name string, rule_type string"
     )
     out = literal_frame(spark, [], "name string, total_tested bigint, failed_records bigint, failed_pct double, passed boolean")
     for f in frames:
@@ -87,8 +96,10 @@ def person_patterns(tables: Mapping[str, DataFrame], patterns: Sequence[PatternR
     )
 
 
-def pattern_sub_results(tables, patterns: Sequence[PatternRule]) -> DataFrame:
-    return person_patterns(tables, patterns).select(
+def pattern_sub_results(
+    tables, patterns: Sequence[PatternRule], seq_of: Optional[Mapping[str, int]] = None
+) -> DataFrame:
+    return person_patterns(tables, patterns, seq_of).select(
         F.lit("person_patterns").alias("suite"),
         "seq",
         F.col("name").alias("rule"),
@@ -98,8 +109,17 @@ def pattern_sub_results(tables, patterns: Sequence[PatternRule]) -> DataFrame:
     )
 
 
-def suite_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """One row per rule of every suite: ``suite, seq, rule, total_tested, failed_records, status``."""
+def suite_sub_results(
+    tables: Mapping[str, DataFrame], catalog: Catalog, *, shared_scan: bool = True
+) -> DataFrame:
+    """One row per rule of every suite: ``suite, seq, rule, total_tested, failed_records, status``.
+
+    With ``shared_scan`` (default) every single-table check of a table comes
+    from one aggregate over it (see ``shared_scan.py``); otherwise each suite
+    plans its own scans.
+    """
+    if shared_scan:
+        return shared_sub_results(tables, catalog)
     parts = [
         profile.null_columns_sub_results(tables, catalog.null_tables),
         profile.empty_tables_sub_results(tables, catalog.empty_tables, catalog.empty_exclude),
@@ -115,10 +135,14 @@ def suite_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Data
 
 
 def run_suites(
-    tables: Mapping[str, DataFrame], catalog: Catalog, order: Sequence[str] = SUITE_ORDER
+    tables: Mapping[str, DataFrame],
+    catalog: Catalog,
+    order: Sequence[str] = SUITE_ORDER,
+    *,
+    shared_scan: bool = True,
 ) -> DataFrame:
     """A3 over a full run: one row per suite."""
-    return suite_rollup(suite_sub_results(tables, catalog), order)
+    return suite_rollup(suite_sub_results(tables, catalog, shared_scan=shared_scan), order)
 
 
 def materialize(df: DataFrame) -> DataFrame:
