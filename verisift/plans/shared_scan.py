@@ -15,12 +15,11 @@ still run as their own operators; their results are stacked with these.
 from __future__ import annotations
 
 from collections import OrderedDict
-from typing import Dict, List, Mapping, Tuple
+from typing import Dict, List, Mapping, Tuple, Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import qcol
 from ..functions.frames import literal_frame
 from ..operators import joins, rowrules
 from ..operators.profile import table_names_excluding
@@ -30,6 +29,15 @@ from ..session import aggregate_pushdown_enabled
 SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
 
 
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal (default escaping: backslash sequences)."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class _TableAggs:
     """Registry of de-duplicated aggregate expressions per table.
 
@@ -38,55 +46,58 @@ class _TableAggs:
     plain-count group is answered from file footers, so it is kept apart from
     predicates that need column data; without push-down both groups are one
     aggregate, i.e. one read of the table.
+
+    Output rows are written as SQL text and turned into one
+    ``inline(array(named_struct(...)))`` expression per group, so building a
+    suite costs a few gateway calls per table rather than several per rule.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame], split_predicates: bool):
         self.tables = tables
         self.split = split_predicates
-        self.exprs: "OrderedDict[Tuple[str, str], OrderedDict[tuple, Tuple[str, Column]]]" = OrderedDict()
-        self.rows_out: "OrderedDict[Tuple[str, str], List[Column]]" = OrderedDict()
+        self.exprs: "OrderedDict[Tuple[str, str], OrderedDict[tuple, Tuple[str, Union[str, Column]]]]" = OrderedDict()
+        self.rows_out: "OrderedDict[Tuple[str, str], List[str]]" = OrderedDict()
 
     def _group(self, table: str, predicate: bool) -> Tuple[str, str]:
         return (table, "pred" if (predicate and self.split) else "count")
 
-    def _add(self, group: Tuple[str, str], key: tuple, expr: Column) -> Column:
+    def _add(self, group: Tuple[str, str], key: tuple, expr: Union[str, Column]) -> str:
         d = self.exprs.setdefault(group, OrderedDict())
         if key not in d:
             d[key] = (f"__a{len(d)}", expr)
-        return F.col(d[key][0])
+        return d[key][0]
 
-    def rows(self, table: str) -> Column:
-        return self._add(self._group(table, False), ("rows",), F.count(F.lit(1)))
+    def rows(self, table: str) -> str:
+        return self._add(self._group(table, False), ("rows",), "count(1)")
 
-    def non_null(self, table: str, col: str) -> Column:
-        return self._add(self._group(table, False), ("nn", col), F.count(qcol(col)))
+    def non_null(self, table: str, col: str) -> str:
+        return self._add(self._group(table, False), ("nn", col), f"count({sql_ident(col)})")
 
-    def count_if(self, table: str, key: tuple, cond: Column) -> Column:
+    def count_if(self, table: str, key: tuple, cond: Column) -> str:
         return self._add(self._group(table, True), ("if",) + key, F.count_if(cond))
 
-    def emit(self, table: str, suite: str, seq: int, rule: str, total: Column, failed: Column,
-             status: Column, predicate: bool = False) -> None:
+    def emit(self, table: str, suite: str, seq: int, rule: str, total: str, failed: str,
+             status: str, predicate: bool = False) -> None:
         self.rows_out.setdefault(self._group(table, predicate), []).append(
-            F.struct(
-                F.lit(suite).alias("suite"),
-                F.lit(seq).cast("int").alias("seq"),
-                F.lit(rule).alias("rule"),
-                total.cast("bigint").alias("total_tested"),
-                failed.cast("bigint").alias("failed_records"),
-                status.alias("status"),
-            )
+            f"named_struct('suite', {sql_str(suite)}, 'seq', {int(seq)}, 'rule', {sql_str(rule)}, "
+            f"'total_tested', cast({total} as bigint), 'failed_records', cast({failed} as bigint), "
+            f"'status', {status})"
         )
 
     def frames(self) -> List[DataFrame]:
         out = []
         for group, structs in self.rows_out.items():
-            aggs = [e.alias(n) for n, e in self.exprs[group].values()]
-            out.append(self.tables[group[0]].agg(*aggs).select(F.inline(F.array(*structs))))
+            aggs = [
+                F.expr(f"{e} as {n}") if isinstance(e, str) else e.alias(n)
+                for n, e in self.exprs[group].values()
+            ]
+            rows = F.expr("inline(array(" + ", ".join(structs) + "))")
+            out.append(self.tables[group[0]].agg(*aggs).select(rows))
         return out
 
 
-def _pass_fail(failing: Column) -> Column:
-    return F.when(failing, F.lit("FAIL")).otherwise(F.lit("PASS"))
+def _pass_fail(failing: str) -> str:
+    return f"case when {failing} then 'FAIL' else 'PASS' end"
 
 
 def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
@@ -104,7 +115,7 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
         rows = reg.rows(n)
         for c in tables[n].columns:
             nn = reg.non_null(n, c)
-            reg.emit(n, "null_columns", seq, f"{n}.{c}", rows, rows - nn, _pass_fail((nn == 0) & (rows > 0)))
+            reg.emit(n, "null_columns", seq, f"{n}.{c}", rows, f"{rows} - {nn}", _pass_fail(f"{nn} = 0 and {rows} > 0"))
             seq += 1
     for i, n in enumerate([n for n in catalog.null_tables if n not in tables]):
         errors.append(("null_columns", seq + i, n, None, None, "ERROR"))
@@ -116,8 +127,7 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
             errors.append(("empty_tables", i, n, None, None, "ERROR"))
             continue
         rows = reg.rows(n)
-        empty = rows == 0
-        reg.emit(n, "empty_tables", i, n, rows, F.when(empty, 1).otherwise(0), _pass_fail(empty))
+        reg.emit(n, "empty_tables", i, n, rows, f"case when {rows} = 0 then 1 else 0 end", _pass_fail(f"{rows} = 0"))
 
     # Completeness (rate rounded before the comparison; empty table = ERROR)
     for i, r in enumerate(catalog.completeness):
@@ -125,13 +135,11 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
             errors.append(("column_completeness", i, r.label, None, None, "ERROR"))
             continue
         rows, nn = reg.rows(r.table), reg.non_null(r.table, r.column)
-        rate = F.when(rows > 0, F.round(nn.cast("double") / rows * F.lit(100.0), 2))
+        rate = f"round(cast({nn} as double) / nullif({rows}, 0) * 100.0, 2)"
         status = (
-            F.when(rows == 0, F.lit("ERROR"))
-            .when(rate >= F.lit(float(r.min_pct)), F.lit("PASS"))
-            .otherwise(F.lit("FAIL"))
+            f"case when {rows} = 0 then 'ERROR' when {rate} >= {float(r.min_pct)!r} then 'PASS' else 'FAIL' end"
         )
-        reg.emit(r.table, "column_completeness", i, r.label, rows, rows - nn, status)
+        reg.emit(r.table, "column_completeness", i, r.label, rows, f"{rows} - {nn}", status)
 
     # R2-R4 patterns; everything else in the pattern suite runs as its own plan
     others = []
@@ -141,7 +149,7 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
             eligible, failing = rowrules.eligibility_and_failure(p, df)
             tot = reg.count_if(p.table, ("t", p.name), eligible)
             bad = reg.count_if(p.table, ("f", p.name), eligible & failing)
-            reg.emit(p.table, "person_patterns", i, p.name, tot, bad, _pass_fail(bad > 0), predicate=True)
+            reg.emit(p.table, "person_patterns", i, p.name, tot, bad, _pass_fail(f"{bad} > 0"), predicate=True)
         else:
             others.append(p)
 
