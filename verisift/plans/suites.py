@@ -12,14 +12,16 @@ executors.
 
 from __future__ import annotations
 
-from typing import List, Mapping, Optional, Sequence
+from typing import Dict, List, Mapping, Optional, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frames import literal_frame
 from ..operators import joins, profile, rowrules
-from ..operators.rollup import SUITE_ORDER, suite_rollup
+from ..contract import to_contract
+from ..operators.rollup import SUITE_ORDER, run_summary, suite_rollup
+from ..sources.sink import export_rows, write_results
 from ..rules import (
     Catalog,
     FieldComparison,
@@ -149,3 +151,34 @@ def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint a (small) result into ``spark.checkpoint.dir`` and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run(
+    tables: Mapping[str, DataFrame],
+    catalog: Catalog,
+    *,
+    order: Sequence[str] = SUITE_ORDER,
+    results_path: Optional[str] = None,
+    fmt: str = "parquet",
+) -> Dict[str, DataFrame]:
+    """A full run with every output derived from one execution of the checks.
+
+    The rule-level results (one row per rule: a few hundred rows, not data)
+    are checkpointed once; the suite roll-up, run summary and export rows are
+    computed from that checkpoint, so the table scans and joins run exactly
+    once however many outputs are read. With ``results_path`` the suite
+    contract rows are written through the sink (S2).
+    """
+    sub = materialize(suite_sub_results(tables, catalog))
+    suites = suite_rollup(sub, order)
+    contract = to_contract(suites, name="suite")
+    out = {
+        "rules": sub,
+        "suites": suites,
+        "summary": run_summary(suites),
+        "contract": contract,
+        "export": export_rows(contract),
+    }
+    if results_path:
+        write_results(contract, results_path, fmt=fmt)
+    return out
