@@ -3,7 +3,8 @@
 The driver tables hold no NULLs and every natural key joins, so the checks are
 exercised on views derived from them by deterministic expressions. The same
 definitions exist as DuckDB SQL (``VIEW_SQL``) for the oracle. Every view keeps
-all rows of its source; the modulo terms only decide which rows carry a defect.
+all rows of its source; the modulo terms only decide which rows carry a defect
+(``region_empty`` is the one deliberately empty table).
 """
 
 from __future__ import annotations
@@ -47,10 +48,13 @@ select o_orderkey as id,
   cast(null as varchar) as fax
 from orders""",
     "cmap": """
-select s_suppkey as source_code_id,
+select case when s_suppkey % 10 = 0 then -1 - s_suppkey else s_suppkey end as source_code_id,
   case when s_suppkey % 7 = 0 then s_nationkey + 100 else s_nationkey end as target_code_id
-from supplier where s_suppkey % 10 <> 0
-union all select s_suppkey, s_nationkey from supplier where s_suppkey % 4 = 1""",
+from supplier
+union all
+select case when s_suppkey % 4 = 1 then s_suppkey else -1 - s_suppkey end as source_code_id,
+  s_nationkey as target_code_id
+from supplier""",
     "con": """
 select n_nationkey as id, case when n_nationkey % 5 = 0 then null else n_name end as display,
   case when n_nationkey % 6 = 0 then null else n_name end as code from nation""",
@@ -97,15 +101,22 @@ def pat(orders: DataFrame) -> DataFrame:
 
 
 def cmap(supplier: DataFrame) -> DataFrame:
+    """Concept map with gaps, dangling targets and duplicate sources.
+
+    Every supplier row is kept in both halves; a row that should carry no
+    mapping gets the source code ``-1 - key``, negative for the non-negative
+    keys of the driver tables, so no source column contains it.
+    """
     s = F.col("s_suppkey")
-    first = supplier.where(s % 10 != 0).select(
-        s.alias("source_code_id"),
+    first = supplier.select(
+        F.when(s % 10 == 0, F.lit(-1) - s).otherwise(s).alias("source_code_id"),
         F.when(s % 7 == 0, F.col("s_nationkey") + 100)
         .otherwise(F.col("s_nationkey"))
         .alias("target_code_id"),
     )
-    dup = supplier.where(s % 4 == 1).select(
-        s.alias("source_code_id"), F.col("s_nationkey").alias("target_code_id")
+    dup = supplier.select(
+        F.when(s % 4 == 1, s).otherwise(F.lit(-1) - s).alias("source_code_id"),
+        F.col("s_nationkey").alias("target_code_id"),
     )
     return first.unionByName(dup)
 
