@@ -234,6 +234,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "concept_mapping_rates": q(lambda t: joins.concept_mapping_rates(t, cat.concepts, cat.terminology)),
         "failing_keys": q(lambda t: joins.failing_keys(t, cat.relationships)),
         "failing_keys_topk": q(lambda t: joins.failing_keys_topk(t, cat.relationships, TOP_K)),
+        "failing_codes": q(lambda t: joins.concept_failing_codes(t, cat.concepts, cat.terminology)),
+        "failing_rows": q(lambda t: rowrules.failing_rows(t, REQUIRED_MULTI[0])),
+        "failing_rows_duplicates": q(lambda t: rowrules.failing_rows(t, UNIQUENESS_NULLS[0])),
         # Q1-Q3
         "zero_failure": q(
             lambda t: sqlcheck.zero_failure("late_lineitems", _late_lines(t), t["lineitem"], "Lines shipped before their order date")
@@ -257,7 +260,6 @@ def oracle_sql() -> dict[str, str]:
     cat = C.CATALOG
     W = O.with_views
     suites = O.suite_rollup(cat)
-    present = {n: O.table_columns(n) for n in ("pat", "customer")}
     late = (
         "select count(*) as c from lineitem l join orders o on l.l_orderkey = o.o_orderkey "
         "where l.l_shipdate < o.o_orderdate"
@@ -328,6 +330,9 @@ def oracle_sql() -> dict[str, str]:
         "concept_mapping_rates": O.concept_rates(cat.concepts, cat.terminology),
         "failing_keys": O.failing_keys(cat.relationships),
         "failing_keys_topk": O.failing_keys_topk(cat.relationships, TOP_K),
+        "failing_codes": O.concept_failing_codes(cat.concepts, cat.terminology),
+        "failing_rows": O.failing_rows(REQUIRED_MULTI[0], O.table_columns("pat")),
+        "failing_rows_duplicates": O.failing_rows(UNIQUENESS_NULLS[0], O.table_columns("pat")),
         "zero_failure": zero,
         "threshold_check": thresh,
         "sql_check": sqlc,

@@ -608,3 +608,30 @@ def concept_sub_results(tables, columns: Sequence[ConceptColumn], term: Terminol
         F.col("total_failures").alias("failed_records"),
         F.when(F.col("passed"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
     )
+
+
+def concept_failing_codes(
+    tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn], term: Terminology = Terminology()
+) -> DataFrame:
+    """J6 for concept columns: every failing code with its reasons.
+
+    ``rule, code, n_records, no_map, no_concept, null_display, null_code``;
+    ``n_records`` counts source rows (not fanned map rows). A code fails when
+    it has no map row, a map row without concept, or a concept with a NULL
+    display or code.
+    """
+    flags = concept_flags(tables, columns, term)
+    per_code = flags.groupBy("rule_id", "code").agg(
+        F.max("n").alias("n_records"),
+        F.bool_or("no_map").alias("no_map"),
+        F.bool_or("no_concept").alias("no_concept"),
+        F.bool_or("null_display").alias("null_display"),
+        F.bool_or("null_code").alias("null_code"),
+        F.bool_or(F.col("no_map") | F.col("no_concept") | F.col("missing_display_data")).alias("__failed"),
+    )
+    names = _concept_meta(_spark(tables), columns).select("rule_id", F.col("name").alias("rule"))
+    # The rule-name frame has one row per concept column: bounded by configuration.
+    return per_code.where("__failed").join(F.broadcast(names), "rule_id").select(
+        "rule", "code", "n_records", "no_map", "no_concept", "null_display", "null_code"
+    )
+

@@ -166,6 +166,34 @@ def field_comparison(tables: Mapping[str, DataFrame], rule: FieldComparison) ->
     return _finish(_predicate_counts(tables[rule.table], [rule]))
 
 
+def failing_rows(tables: Mapping[str, DataFrame], rule: Union[Uniqueness, PredicateRule]) -> DataFrame:
+    """J6 for row rules: the records behind a failure, ``rule`` + the table's columns.
+
+    R2-R4: eligible rows whose failure predicate is TRUE. R1: rows whose value
+    occurs more than once (plus every NULL row when NULLs count as
+    duplicates); the duplicated values are found by aggregation and the rows
+    by a semi join, so a value held by a third of the table is never gathered
+    into one group.
+    """
+    df = tables[rule.table]
+    if isinstance(rule, Uniqueness):
+        base = df.where(all_of(rule.filter))
+        c = qcol(rule.column)
+        dup_values = (
+            base.where(c.isNotNull())
+            .groupBy(c.alias("__v"))
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > 1)
+            .select("__v")
+        )
+        hits = base.join(dup_values, c == F.col("__v"), "left_semi")
+        if rule.count_nulls:
+            hits = hits.unionByName(base.where(c.isNull()))
+        return hits.select(F.lit(rule.name).alias("rule"), *[qcol(x) for x in df.columns])
+    eligible, failing = eligibility_and_failure(rule, df)
+    return df.where(eligible & failing).select(F.lit(rule.name).alias("rule"), *[qcol(x) for x in df.columns])
+
+
 # --------------------------------------------------------------------------- R5
 
 
