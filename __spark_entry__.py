@@ -32,15 +32,8 @@ from verisift.operators.rollup import (  # noqa: E402
 from verisift.plans import catalog as C  # noqa: E402
 from verisift.plans import oracle as O  # noqa: E402
 from verisift.plans.fixtures import fixture_tables  # noqa: E402
-from verisift.plans.suites import (  # noqa: E402
-    pattern_sub_results,
-    person_patterns,
-    run_suites,
-    suite_sub_results,
-)
+from verisift.plans.suites import pattern_sub_results, person_patterns, run_suites  # noqa: E402
 from verisift.rules import (  # noqa: E402
-    Catalog,
-    ConceptColumn,
     FieldComparison,
     RangeCheck,
     ReferenceCheck,

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from typing import Any, Dict, List, Mapping, Optional, Sequence, Tuple
+from typing import Any, List, Mapping, Optional, Tuple
 
 from .rules import (
     ConceptColumn,

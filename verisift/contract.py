@@ -12,7 +12,7 @@ must not leak into results that are compared between engines.
 
 from __future__ import annotations
 
-from typing import Optional, Union
+from typing import Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

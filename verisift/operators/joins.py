@@ -176,7 +176,8 @@ def _rule_frame(spark: SparkSession, rules: Sequence[Relationship], skipped: Dic
         (rid, r.label, r.child, r.fk, r.parent, r.key, r.group, skipped.get(rid))
         for rid, r in enumerate(rules)
     ]
-    return literal_frame(spark, 
+    return literal_frame(
+        spark,
         rows,
         "rule_id int, name string, child string, fk string, parent string, key string, "
         "rule_group string, reason string",
@@ -277,7 +278,8 @@ def referential_sub_results(tables, rules: Sequence[Relationship]) -> DataFrame:
 def failing_keys(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]) -> DataFrame:
     """Every orphan FK value: ``rule, key, n_records``."""
     spark = _spark(tables)
-    names = literal_frame(spark, 
+    names = literal_frame(
+        spark,
         [(rid, r.label) for rid, r in enumerate(rules)], "rule_id int, rule string"
     )
     orphans = referential_keys(tables, rules).where(F.col("found").isNull())
@@ -472,7 +474,8 @@ def concept_flags(
         frames.append(flagged.withColumn("code", F.col("code").cast("string")))
     out = _union_all(frames)
     if out is None:
-        out = literal_frame(_spark(tables), 
+        out = literal_frame(
+            _spark(tables),
             [],
             "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
             "null_display boolean, null_code boolean, missing_display_data boolean",
@@ -491,7 +494,8 @@ def _per_code(flags: DataFrame, spec: Dict[str, Column]) -> DataFrame:
 
 
 def _concept_meta(spark: SparkSession, columns: Sequence[ConceptColumn]) -> DataFrame:
-    return literal_frame(spark, 
+    return literal_frame(
+        spark,
         [(rid, cc.label, cc.table, cc.column) for rid, cc in enumerate(columns)],
         "rule_id int, name string, source_table string, concept_field string",
     )

@@ -211,7 +211,8 @@ def empty_tables_sub_results(
     spark = _spark(tables)
     res = empty_tables(tables, names, exclude)
     kept = table_names_excluding(names, exclude)
-    order = literal_frame(spark, 
+    order = literal_frame(
+        spark,
         [(n, i) for i, n in enumerate(kept)], "table_name string, seq int"
     )
     ok = res.join(F.broadcast(order), "table_name").select(
@@ -226,7 +227,8 @@ def empty_tables_sub_results(
     )
     missing = [(i, n) for i, n in enumerate(kept) if n not in tables]
     if missing:
-        err = literal_frame(spark, 
+        err = literal_frame(
+            spark,
             [("empty_tables", i, n, None, None, "ERROR") for i, n in missing],
             "suite string, seq int, rule string, total_tested bigint, "
             "failed_records bigint, status string",
@@ -311,7 +313,8 @@ def column_completeness(
         .alias("status"),
     )
     if errors:
-        err = literal_frame(spark, 
+        err = literal_frame(
+            spark,
             [(seq_of[id(r)], r.label, None, None, None, float(r.min_pct), None, False, "ERROR") for r in errors],
             T.StructType([T.StructField("seq", T.IntegerType())] + COMPLETENESS_SCHEMA.fields),
         )

@@ -8,7 +8,7 @@ the sink without passing through the driver.
 
 from __future__ import annotations
 
-from typing import Dict, Mapping, Optional, Sequence
+from typing import Mapping, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -172,7 +172,8 @@ def run_summary(suite_results: DataFrame) -> DataFrame:
 
 
 def threshold_table(spark: SparkSession, rows=DEFAULT_THRESHOLDS) -> DataFrame:
-    return literal_frame(spark, 
+    return literal_frame(
+        spark,
         list(rows), "scope string, name string, env string, threshold double"
     )
 
@@ -208,7 +209,8 @@ def apply_thresholds(
     by_env = th.where(
         (F.col("scope") == "category") & (F.col("env") == F.lit(env))
     ).select(F.col("name").alias("category"), F.col("threshold").alias("__t_env"))
-    ov = literal_frame(spark, 
+    ov = literal_frame(
+        spark,
         [(k, float(v)) for k, v in (overrides or {}).items()], "test_name string, __t_override double"
     )
     # Threshold tables are configuration: a handful of rows, broadcast by design.

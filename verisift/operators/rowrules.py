@@ -142,7 +142,8 @@ def row_checks(
     for table, trs in by_table.items():
         frames.append(_predicate_counts(tables[table], trs))
     spark = next(iter(tables.values())).sparkSession
-    out = literal_frame(spark, 
+    out = literal_frame(
+        spark,
         [], "name string, total_tested bigint, failed_records bigint"
     )
     for f in frames:

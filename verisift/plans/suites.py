@@ -86,7 +86,8 @@ def person_patterns(
                     F.col("passed"),
                 )
             )
-    meta = literal_frame(spark, 
+    meta = literal_frame(
+        spark,
         [(seq[p.name], p.name, kinds[p.name]) for p in patterns], "seq int, name string, rule_type string"
     )
     out = literal_frame(spark, [], "name string, total_tested bigint, failed_records bigint, failed_pct double, passed boolean")
