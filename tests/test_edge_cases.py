@@ -340,3 +340,9 @@ def test_shared_scan_equals_per_suite_plans(spark, pushdown):
     finally:
         spark.conf.set("spark.sql.parquet.aggregatePushdown", before)
     assert shared == separate and len(shared) == 69 + 15 + 6 + 13 + 13 + 6
+
+
+def test_empty_tables_existence_probe(spark):
+    t = {"full": spark.range(1000), "none": spark.range(0)}
+    res = {r["table_name"]: (r["row_count"], r["is_empty"]) for r in profile.empty_tables(t, existence_only=True).collect()}
+    assert res == {"full": (1, False), "none": (0, True)}

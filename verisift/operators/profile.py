@@ -183,16 +183,24 @@ def empty_tables(
     tables: Mapping[str, DataFrame],
     names: Optional[Sequence[str]] = None,
     exclude: Sequence[str] = ("%_BACKUP", "%_OLD"),
+    *,
+    existence_only: bool = False,
 ) -> DataFrame:
     """``table_name, row_count, is_empty`` for every non-excluded table.
 
     ``count(1)`` reads no column data from parquet (row counts come from the
-    row-group metadata), so this suite costs one metadata pass per table.
+    row-group metadata). With ``existence_only`` each table is probed with
+    ``limit(1)`` instead — the scan stops at the first row — and
+    ``row_count`` is 0 or 1.
     """
     names = list(names) if names is not None else list(tables)
     names = table_names_excluding([n for n in names if n in tables], exclude)
+
+    def probe(df: DataFrame) -> DataFrame:
+        return df.limit(1) if existence_only else df
+
     frames = [
-        tables[n].agg(F.count(F.lit(1)).alias("row_count")).select(
+        probe(tables[n]).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(n).alias("table_name"),
             F.col("row_count"),
             (F.col("row_count") == 0).alias("is_empty"),
