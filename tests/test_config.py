@@ -68,3 +68,11 @@ def test_concepts_and_unknown_type():
     assert [(c.table, c.column) for c in cols] == [("A", "c")]
     with pytest.raises(ValueError):
         patterns_from_mapping({"x": {"tests": [{"name": "n", "type": "count_check", "table": "T", "count_query": "select 1"}]}})
+
+
+def test_completeness_mapping():
+    from verisift.config import DEFAULT_COMPLETENESS_RULES, completeness_from_mapping
+
+    rules = completeness_from_mapping({"PATIENT.birth_year": 98.0, "PERSON.id": {"min_completeness": 100}})
+    assert [(r.table, r.column, r.min_pct) for r in rules] == [("PATIENT", "birth_year", 98.0), ("PERSON", "id", 100.0)]
+    assert [r.min_pct for r in DEFAULT_COMPLETENESS_RULES] == [95.0, 98.0, 98.0, 100.0, 100.0, 100.0]

@@ -66,3 +66,20 @@ def test_top_k_matches_plain_window(spark, data, k):
     w = Window.partitionBy("g").orderBy(*order)
     want = sorted(map(tuple, df.withColumn("seq", F.row_number().over(w)).where(F.col("seq") <= k).select("g", "seq", "key", "n").collect()))
     assert got == want
+
+
+def test_run_isolates_a_rule_failing_at_run_time(spark):
+    from verisift.rules import Catalog, RequiredFields
+
+    t = fixture_tables(spark, SF)
+    good = RequiredFields("good", "pat", ("birth_year",), filter="is_dummy = false")
+    # 'abc' cannot be cast under ANSI: this filter raises while the job runs
+    bad = RequiredFields("bad", "pat", ("birth_year",), filter="cast(birth_year as int) > 0")
+    cat = Catalog(null_tables=["region"], patterns=[good, bad], relationships=C.RELATIONSHIPS[:2])
+    res = run(t, cat)
+    rules = {(r["suite"], r["rule"]): r["status"] for r in res["rules"].collect()}
+    assert rules[("person_patterns", "bad")] == "ERROR"
+    assert rules[("person_patterns", "good")] in ("PASS", "FAIL")
+    assert rules[("null_columns", "region.r_name")] == "PASS"
+    suites = {r["suite"]: r["status"] for r in res["suites"].collect()}
+    assert suites["person_patterns"] == "ERROR" and suites["referential_integrity"] == "PASS"

@@ -26,6 +26,7 @@ import re
 from typing import Any, List, Mapping, Optional, Tuple
 
 from .rules import (
+    CompletenessRule,
     ConceptColumn,
     FieldComparison,
     GroupCount,
@@ -42,6 +43,17 @@ _QUOTED = re.compile(r'"((?:[^"]|"")+)"')
 _EQ_PAIR = re.compile(r'(\w+)\s*\.\s*"?(\w+)"?\s*=\s*(\w+)\s*\.\s*"?(\w+)"?')
 _CURRENT_YEAR = re.compile(r"^\s*year\s*\(\s*current_date\s*(\(\s*\))?\s*\)\s*$", re.I)
 
+# Built-in completeness rules of the source configuration: table, column,
+# minimum percent non-NULL (fixed values).
+DEFAULT_COMPLETENESS_RULES = (
+    CompletenessRule("PATIENT", "nhs_number_hash", 95.0),
+    CompletenessRule("PATIENT", "birth_year", 98.0),
+    CompletenessRule("PATIENT", "birth_month", 98.0),
+    CompletenessRule("ENCOUNTER", "patient_id", 100.0),
+    CompletenessRule("OBSERVATION", "patient_id", 100.0),
+    CompletenessRule("PERSON", "id", 100.0),
+)
+
 # SQL type names of the rule format -> Spark cast targets (fixed values).
 _CASTS = {"INTEGER": "int", "INT": "int", "BIGINT": "bigint", "FLOAT": "double", "DOUBLE": "double", "STRING": "string"}
 
@@ -99,6 +111,16 @@ def relationships_from_mapping(doc: Mapping[str, Any]) -> List[Relationship]:
     return out
 
 
+def completeness_from_mapping(doc: Mapping[str, Any]) -> List[CompletenessRule]:
+    """``{"TABLE.column": min_pct}`` (or ``{"TABLE.column": {"min_completeness": x}}``)."""
+    out: List[CompletenessRule] = []
+    for key, val in doc.items():
+        table, column = str(key).split(".", 1)
+        pct = val.get("min_completeness") if isinstance(val, Mapping) else val
+        out.append(CompletenessRule(table, column, float(pct)))
+    return out
+
+
 def concepts_from_mapping(doc: Mapping[str, Any]) -> List[ConceptColumn]:
     out: List[ConceptColumn] = []
     for body in doc.values():

@@ -141,9 +141,11 @@ def merge_partials(partials: DataFrame, order: Sequence[str] = SUITE_ORDER) -> D
 
 
 def run_summary(suite_results: DataFrame) -> DataFrame:
-    """A5: ``total, passed, failed, error, skipped, success_rate, data_tests,
-    data_tests_failed`` over suite results (``status``, ``total_tested``,
-    ``failed_records``). ``failed`` counts FAIL only; ``error`` counts ERROR.
+    """A5: ``total, passed, failed, error, skipped, failed_or_error,
+    success_rate, data_tests, data_tests_failed`` over suite results
+    (``status``, ``total_tested``, ``failed_records``). ``failed`` counts FAIL
+    only and ``error`` ERROR (the runner's split); ``failed_or_error`` is the
+    display's count, which folds errors into failures.
     """
     st = F.upper(F.col("status"))
     tot, fail = F.col("total_tested"), F.col("failed_records")
@@ -162,6 +164,7 @@ def run_summary(suite_results: DataFrame) -> DataFrame:
         "failed",
         "error",
         "skipped",
+        (F.col("failed") + F.col("error")).alias("failed_or_error"),
         rate(F.col("passed"), F.col("total")).alias("success_rate"),
         "data_tests",
         "data_tests_failed",

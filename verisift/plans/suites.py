@@ -161,6 +161,7 @@ def run(
     order: Sequence[str] = SUITE_ORDER,
     results_path: Optional[str] = None,
     fmt: str = "parquet",
+    isolate_errors: bool = True,
 ) -> Dict[str, DataFrame]:
     """A full run with every output derived from one execution of the checks.
 
@@ -169,8 +170,17 @@ def run(
     computed from that checkpoint, so the table scans and joins run exactly
     once however many outputs are read. With ``results_path`` the suite
     contract rows are written through the sink (S2).
+
+    If the fused job fails (a rule whose filter or cast raises at run time),
+    the run falls back to ``isolated_sub_results``: the failing rule becomes
+    an ERROR row and every other rule is still reported.
     """
-    sub = materialize(suite_sub_results(tables, catalog))
+    try:
+        sub = materialize(suite_sub_results(tables, catalog))
+    except Exception:  # noqa: BLE001 - any failure of the fused job
+        if not isolate_errors:
+            raise
+        sub = isolated_sub_results(tables, catalog)
     suites = suite_rollup(sub, order)
     contract = to_contract(suites, name="suite")
     out = {
@@ -183,3 +193,49 @@ def run(
     if results_path:
         write_results(contract, results_path, fmt=fmt)
     return out
+
+
+_SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
+
+
+def isolated_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
+    """Rule-by-rule evaluation, used only after the fused job failed.
+
+    Each unit (a table for the profile suites, a rule otherwise) is planned
+    and checkpointed on its own; a unit that raises, at planning or at run
+    time, becomes an ERROR row. This costs one job per unit, so it is the
+    fallback, never the default.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    kept = profile.table_names_excluding(list(catalog.empty_tables), catalog.empty_exclude)
+    units = []
+    seq0 = 0
+    for n in catalog.null_tables:
+        width = len(tables[n].columns) if n in tables else 1
+        units.append(("null_columns", seq0, n, lambda n=n, s0=seq0: profile.null_columns_sub_results(tables, [n]).withColumn("seq", F.col("seq") + s0)))
+        seq0 += width
+    for i, n in enumerate(kept):
+        units.append(("empty_tables", i, n, lambda n=n, i=i: profile.empty_tables_sub_results(tables, [n], ()).withColumn("seq", F.lit(i))))
+    for i, r in enumerate(catalog.completeness):
+        units.append(("column_completeness", i, r.label, lambda r=r, i=i: profile.column_completeness_sub_results(tables, [r]).withColumn("seq", F.lit(i))))
+    for i, r in enumerate(catalog.relationships):
+        units.append(("referential_integrity", i, r.label, lambda r=r, i=i: joins.referential_sub_results(tables, [r]).withColumn("seq", F.lit(i))))
+    seq_of = {p.name: i for i, p in enumerate(catalog.patterns)}
+    for i, p in enumerate(catalog.patterns):
+        units.append(("person_patterns", i, p.name, lambda p=p: pattern_sub_results(tables, [p], seq_of)))
+    for i, c in enumerate(catalog.concepts):
+        units.append(("concept_mapping", i, c.label, lambda c=c, i=i: joins.concept_sub_results(tables, [c], catalog.terminology).withColumn("seq", F.lit(i))))
+    parts: List[DataFrame] = []
+    errors = []
+    for suite, seq, rule, build in units:
+        try:
+            parts.append(materialize(build().select("suite", F.col("seq").cast("int"), "rule", "total_tested", "failed_records", "status")))
+        except Exception:  # noqa: BLE001 - isolate this unit
+            errors.append((suite, seq, rule, None, None, "ERROR"))
+    if errors:
+        parts.append(literal_frame(spark, errors, _SUB_SCHEMA))
+    out = parts[0] if parts else literal_frame(spark, [], _SUB_SCHEMA)
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+

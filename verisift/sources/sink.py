@@ -70,9 +70,13 @@ def write_results(
     mode: str = "append",
     execution_time: Optional[str] = None,
 ) -> None:
-    """Write contract rows; parquet/csv rows gain ``execution_timestamp``."""
+    """Write contract rows; parquet/csv rows gain ``execution_timestamp``.
+
+    ``fmt`` is parquet, csv, json or table (same as json: the document
+    ``{summary, results[]}``, written as one line).
+    """
     rows = export_rows(contract, execution_time)
-    if fmt == "json":
+    if fmt in ("json", "table"):  # a table-mode run exports the JSON document
         summary = F.struct(
             F.count(F.lit(1)).alias("total_tests"),
             F.count_if(F.col("status") == "passed").alias("passed"),
