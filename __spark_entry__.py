@@ -215,7 +215,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "referential_integrity_all": q(lambda t: joins.referential_integrity(t, cat.relationships)),
         "referential_integrity_status": q(
             lambda t: joins.referential_integrity(t, C.RELATIONSHIPS_WITH_MISSING, with_reason=True).select(
-                "name", "total_records", "non_null_fk", "violation_count", "status", "reason"
+                "name", "total_records", "non_null_fk", "violation_count", "status", "relationship_status", "reason"
             )
         ),
         "ri_filtered": q(lambda t: joins.reference_check(t, RI_FILTERED)),
@@ -310,7 +310,9 @@ def oracle_sql() -> dict[str, str]:
         "referential_integrity": O.referential(RI_SINGLE),
         "referential_integrity_all": O.referential(cat.relationships),
         "referential_integrity_status": (
-            "select name, total_records, non_null_fk, violation_count, status, reason from ("
+            "select name, total_records, non_null_fk, violation_count, status, "
+            "case status when 'PASS' then 'VALID' when 'FAIL' then 'VIOLATED' else status end as relationship_status, "
+            "reason from ("
             + O.referential(C.RELATIONSHIPS_WITH_MISSING, tables_present=_present_columns(), with_reason=True)
             + ")"
         ),

@@ -256,8 +256,11 @@ def referential_integrity(
         .alias("status"),
         "reason",
     )
+    # Relationship-level wording of the same outcome.
+    rel = F.when(~ok, F.lit("SKIPPED")).when(bad == 0, F.lit("VALID")).otherwise(F.lit("VIOLATED"))
+    out = out.withColumn("relationship_status", rel)
     if not with_reason:
-        out = out.drop("rule_id", "rule_group", "reason")
+        out = out.drop("rule_id", "rule_group", "reason", "relationship_status")
     return out
 
 
