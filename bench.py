@@ -54,7 +54,7 @@ def timed(fn, repeats: int):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 8))
     t = fixture_tables(spark, sf_dir)
 

@@ -213,7 +213,11 @@ def _child_totals(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]
 
 
 def referential_integrity(
-    tables: Mapping[str, DataFrame], rules: Sequence[Relationship], *, with_reason: bool = False
+    tables: Mapping[str, DataFrame],
+    rules: Sequence[Relationship],
+    *,
+    with_reason: bool = False,
+    totals: Optional[DataFrame] = None,
 ) -> DataFrame:
     """``name, child, fk, parent, key, total_records, non_null_fk, violation_count,
     pct_of_table, pct_of_non_null, status`` (+ ``rule_id, rule_group, reason``).
@@ -231,7 +235,8 @@ def referential_integrity(
         F.sum("n").alias("non_null_fk"),
         F.sum(F.when(F.col("found").isNull(), F.col("n"))).alias("violation_count"),
     )
-    totals = _child_totals(tables, rules, skipped)
+    if totals is None:  # else ``rule_id, total_records`` computed by the caller's shared scan
+        totals = _child_totals(tables, rules, skipped)
     res = meta.join(totals, "rule_id", "left").join(per_rule, "rule_id", "left")
     ok = F.col("reason").isNull()
     total = F.when(ok, F.coalesce(F.col("total_records"), F.lit(0))).cast("bigint")
@@ -264,8 +269,10 @@ def referential_integrity(
     return out
 
 
-def referential_sub_results(tables, rules: Sequence[Relationship]) -> DataFrame:
-    return referential_integrity(tables, rules, with_reason=True).select(
+def referential_sub_results(
+    tables, rules: Sequence[Relationship], totals: Optional[DataFrame] = None
+) -> DataFrame:
+    return referential_integrity(tables, rules, with_reason=True, totals=totals).select(
         F.lit("referential_integrity").alias("suite"),
         F.col("rule_id").alias("seq"),
         F.col("name").alias("rule"),
@@ -555,7 +562,12 @@ def _table_stats(tables: Mapping[str, DataFrame], columns: Sequence[ConceptColum
 
 
 def concept_mapping_rates(
-    tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn], term: Terminology = Terminology(), *, with_meta: bool = False
+    tables: Mapping[str, DataFrame],
+    columns: Sequence[ConceptColumn],
+    term: Terminology = Terminology(),
+    *,
+    with_meta: bool = False,
+    totals: Optional[DataFrame] = None,
 ) -> DataFrame:
     """``name, total_records, non_null_records, mapping_failures,
     distinct_missing_mappings, display_failures, distinct_display_failures,
@@ -579,7 +591,8 @@ def concept_mapping_rates(
         *[F.count_if(F.col(f"any_{n}")).alias(f"{n}_ids") for n in spec],
     )
     meta = _concept_meta(_spark(tables), columns)
-    res = meta.join(_table_stats(tables, columns), "rule_id", "left").join(
+    stats = totals if totals is not None else _table_stats(tables, columns)
+    res = meta.join(stats, "rule_id", "left").join(
         per_rule, "rule_id", "left"
     )
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
@@ -606,8 +619,10 @@ def concept_mapping_rates(
     return out
 
 
-def concept_sub_results(tables, columns: Sequence[ConceptColumn], term: Terminology) -> DataFrame:
-    return concept_mapping_rates(tables, columns, term, with_meta=True).select(
+def concept_sub_results(
+    tables, columns: Sequence[ConceptColumn], term: Terminology, totals: Optional[DataFrame] = None
+) -> DataFrame:
+    return concept_mapping_rates(tables, columns, term, with_meta=True, totals=totals).select(
         F.lit("concept_mapping").alias("suite"),
         F.col("rule_id").alias("seq"),
         F.col("name").alias("rule"),

@@ -15,11 +15,12 @@ still run as their own operators; their results are stacked with these.
 from __future__ import annotations
 
 from collections import OrderedDict
-from typing import Dict, List, Mapping, Tuple, Union
+from typing import Dict, List, Mapping, Optional, Tuple, Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import all_of
 from ..functions.frames import literal_frame
 from ..operators import joins, rowrules
 from ..operators.profile import table_names_excluding
@@ -57,6 +58,9 @@ class _TableAggs:
         self.split = split_predicates
         self.exprs: "OrderedDict[Tuple[str, str], OrderedDict[tuple, Tuple[str, Union[str, Column]]]]" = OrderedDict()
         self.rows_out: "OrderedDict[Tuple[str, str], List[str]]" = OrderedDict()
+        # extra outputs: name -> group -> structs of ``rule_id, total_records``
+        self.totals_out: "OrderedDict[str, OrderedDict[Tuple[str, str], List[str]]]" = OrderedDict()
+        self._aggs: Dict[Tuple[str, str], DataFrame] = {}
 
     def _group(self, table: str, predicate: bool) -> Tuple[str, str]:
         return (table, "pred" if (predicate and self.split) else "count")
@@ -84,15 +88,40 @@ class _TableAggs:
             f"'status', {status})"
         )
 
-    def frames(self) -> List[DataFrame]:
-        out = []
-        for group, structs in self.rows_out.items():
+    def emit_total(self, output: str, table: str, rule_id: int, total: str, predicate: bool = False) -> None:
+        """A ``rule_id, total_records`` row for another operator (table totals)."""
+        group = self._group(table, predicate)
+        self.totals_out.setdefault(output, OrderedDict()).setdefault(group, []).append(
+            f"named_struct('rule_id', {int(rule_id)}, 'total_records', cast({total} as bigint))"
+        )
+
+    def _agg(self, group: Tuple[str, str]) -> DataFrame:
+        # One aggregate DataFrame per group, shared by every output drawn from it
+        # (Spark reuses its exchange, so the table is read once).
+        if group not in self._aggs:
             aggs = [
                 F.expr(f"{e} as {n}") if isinstance(e, str) else e.alias(n)
                 for n, e in self.exprs[group].values()
             ]
-            rows = F.expr("inline(array(" + ", ".join(structs) + "))")
-            out.append(self.tables[group[0]].agg(*aggs).select(rows))
+            self._aggs[group] = self.tables[group[0]].agg(*aggs)
+        return self._aggs[group]
+
+    def frames(self) -> List[DataFrame]:
+        return [
+            self._agg(group).select(F.expr("inline(array(" + ", ".join(structs) + "))"))
+            for group, structs in self.rows_out.items()
+        ]
+
+    def totals(self, output: str) -> Optional[DataFrame]:
+        parts = [
+            self._agg(group).select(F.expr("inline(array(" + ", ".join(structs) + "))"))
+            for group, structs in self.totals_out.get(output, {}).items()
+        ]
+        if not parts:
+            return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
         return out
 
 
@@ -153,13 +182,31 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
         else:
             others.append(p)
 
+    # Row totals of FK children and concept source tables come from the same
+    # aggregates (count(*) is usually registered already by the profile suites).
+    for rid, r in enumerate(catalog.relationships):
+        if r.child not in tables or r.fk not in tables[r.child].columns:
+            continue
+        if r.parent not in tables or r.key not in tables[r.parent].columns:
+            continue
+        if r.filter is None:
+            reg.emit_total("ri", r.child, rid, reg.rows(r.child))
+        else:
+            tot = reg.count_if(r.child, ("ri", rid), all_of(r.filter))
+            reg.emit_total("ri", r.child, rid, tot, predicate=True)
+    for rid, c in enumerate(catalog.concepts):
+        if c.table in tables and c.column in tables[c.table].columns:
+            reg.emit_total("concept", c.table, rid, reg.rows(c.table))
+
+    ri_totals = reg.totals("ri") if catalog.relationships else None
+    concept_totals = reg.totals("concept") if catalog.concepts else None
     frames = reg.frames()
     if others:
         from .suites import pattern_sub_results  # local import: suites imports this module
 
         frames.append(pattern_sub_results(tables, others, seq_of={p.name: i for i, p in enumerate(catalog.patterns)}))
-    frames.append(joins.referential_sub_results(tables, catalog.relationships))
-    frames.append(joins.concept_sub_results(tables, catalog.concepts, catalog.terminology))
+    frames.append(joins.referential_sub_results(tables, catalog.relationships, totals=ri_totals))
+    frames.append(joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, totals=concept_totals))
     if errors:
         frames.append(literal_frame(spark, errors, SUB_SCHEMA))
     out = frames[0]
