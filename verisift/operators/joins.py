@@ -433,6 +433,12 @@ def _concept_flags(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Te
 
     Map rows are kept as they are (duplicates fan out, as in the reference's
     row counts). Output per joined row: ``rule_id, code, n`` and four flags.
+
+    The codes in use are few next to a terminology map, so the map is first
+    semi-joined to the distinct codes (and the concepts to the targets those
+    map rows reach). The semi joins filter the large tables where they are
+    read — the small side is broadcast when its measured size allows — so the
+    outer joins only ever see the relevant map and concept rows.
     """
     src = cmap[term.map_source]
     m = cmap.select(
@@ -440,12 +446,16 @@ def _concept_flags(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Te
         cmap[term.map_target].alias("__tgt"),
         F.lit(True).alias("__has_map"),
     )
+    used = pre.select(F.col("code").alias("__src")).distinct()
+    m = m.join(used, "__src", "left_semi")
     c = concept.select(
         concept[term.concept_id].alias("__cid"),
         concept[term.concept_display].alias("__display"),
         concept[term.concept_code].alias("__ccode"),
         F.lit(True).alias("__has_concept"),
     )
+    reached = m.where(F.col("__tgt").isNotNull()).select(F.col("__tgt").alias("__cid")).distinct()
+    c = c.join(reached, "__cid", "left_semi")
     j = pre.join(m, pre["code"] == m["__src"], "left").join(c, F.col("__tgt") == F.col("__cid"), "left")
     has_map = F.col("__has_map").isNotNull()
     has_concept = F.col("__has_concept").isNotNull()
