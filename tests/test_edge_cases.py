@@ -346,3 +346,23 @@ def test_empty_tables_existence_probe(spark):
     t = {"full": spark.range(1000), "none": spark.range(0)}
     res = {r["table_name"]: (r["row_count"], r["is_empty"]) for r in profile.empty_tables(t, existence_only=True).collect()}
     assert res == {"full": (1, False), "none": (0, True)}
+
+
+def test_empty_catalog_and_missing_terminology(spark):
+    from verisift.plans.fixtures import fixture_tables
+    from verisift.plans.suites import run_suites, suite_sub_results
+    from verisift.rules import Catalog
+
+    t = fixture_tables(spark, "/root/testdata/sf0.001")
+    for shared in (True, False):
+        assert suite_sub_results(t, Catalog(), shared_scan=shared).count() == 0
+        assert run_suites(t, Catalog(), shared_scan=shared).count() == 0
+    cols = [ConceptColumn("lineitem", "l_suppkey"), ConceptColumn("lineitem", "no_such_column")]
+    cat = Catalog(concepts=cols)  # default terminology tables are absent
+    st = {r["rule"]: r["status"] for r in suite_sub_results(t, cat).collect()}
+    assert st == {"lineitem.l_suppkey": "ERROR", "lineitem.no_such_column": "ERROR"}
+    from verisift.plans import catalog as C
+
+    cat = Catalog(concepts=cols, terminology=C.TERMINOLOGY)
+    st = {r["rule"]: r["status"] for r in suite_sub_results(t, cat).collect()}
+    assert st == {"lineitem.l_suppkey": "FAIL", "lineitem.no_such_column": "SKIPPED"}

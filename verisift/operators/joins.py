@@ -474,13 +474,26 @@ def _concept_flags(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Te
 def concept_flags(
     tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn], term: Terminology
 ) -> DataFrame:
-    """Flagged joined rows for every concept column, fused per key-type family."""
+    """Flagged joined rows for every concept column, fused per key-type family.
+
+    Columns whose table or column is missing are left out (reported SKIPPED
+    by the suite); without any column the terminology tables are not read.
+    """
+    present = [(rid, cc) for rid, cc in enumerate(columns) if not _missing_reason(tables, [(cc.table, cc.column)])]
+    if not present:
+        return literal_frame(
+            _spark(tables),
+            [],
+            "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
+            "null_display boolean, null_code boolean, missing_display_data boolean",
+        )
+    reason = _terminology_missing(tables, term)
+    if reason:
+        raise KeyError(reason)
     cmap, concept = tables[term.map_table], tables[term.concept_table]
     src_type = _field_type(cmap, term.map_source)
     fams: "OrderedDict[Optional[str], OrderedDict[str, List[Tuple[int, ConceptColumn]]]]" = OrderedDict()
-    for rid, cc in enumerate(columns):
-        if _missing_reason(tables, [(cc.table, cc.column)]):
-            continue
+    for rid, cc in present:
         ctype = _field_type(tables[cc.table], cc.column)
         fam = common_key_type(ctype, src_type)
         if fam is None and ctype != src_type:
@@ -513,11 +526,28 @@ def _per_code(flags: DataFrame, spec: Dict[str, Column]) -> DataFrame:
     return flags.groupBy("rule_id", "code").agg(*aggs)
 
 
-def _concept_meta(spark: SparkSession, columns: Sequence[ConceptColumn]) -> DataFrame:
+def _terminology_missing(tables: Mapping[str, DataFrame], term: Terminology) -> Optional[str]:
+    return _missing_reason(
+        tables,
+        [
+            (term.map_table, term.map_source),
+            (term.map_table, term.map_target),
+            (term.concept_table, term.concept_id),
+            (term.concept_table, term.concept_display),
+            (term.concept_table, term.concept_code),
+        ],
+    )
+
+
+def _concept_meta(
+    spark: SparkSession, columns: Sequence[ConceptColumn], tables: Optional[Mapping[str, DataFrame]] = None
+) -> DataFrame:
+    rows = []
+    for rid, cc in enumerate(columns):
+        reason = _missing_reason(tables, [(cc.table, cc.column)]) if tables is not None else None
+        rows.append((rid, cc.label, cc.table, cc.column, reason))
     return literal_frame(
-        spark,
-        [(rid, cc.label, cc.table, cc.column) for rid, cc in enumerate(columns)],
-        "rule_id int, name string, source_table string, concept_field string",
+        spark, rows, "rule_id int, name string, source_table string, concept_field string, reason string"
     )
 
 
@@ -632,13 +662,27 @@ def concept_mapping_rates(
 def concept_sub_results(
     tables, columns: Sequence[ConceptColumn], term: Terminology, totals: Optional[DataFrame] = None
 ) -> DataFrame:
-    return concept_mapping_rates(tables, columns, term, with_meta=True, totals=totals).select(
+    """Suite rows; a missing source column is SKIPPED, missing terminology tables make every rule ERROR."""
+    spark = _spark(tables)
+    if columns and _terminology_missing(tables, term):
+        return literal_frame(
+            spark,
+            [("concept_mapping", rid, cc.label, None, None, "ERROR") for rid, cc in enumerate(columns)],
+            "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string",
+        )
+    rates = concept_mapping_rates(tables, columns, term, with_meta=True, totals=totals)
+    reasons = _concept_meta(spark, columns, tables).select("rule_id", "reason")
+    # One row per concept column: bounded by configuration.
+    return rates.join(F.broadcast(reasons), "rule_id").select(
         F.lit("concept_mapping").alias("suite"),
         F.col("rule_id").alias("seq"),
         F.col("name").alias("rule"),
         F.col("non_null_records").alias("total_tested"),
         F.col("total_failures").alias("failed_records"),
-        F.when(F.col("passed"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+        F.when(F.col("reason").isNotNull(), F.lit("SKIPPED"))
+        .when(F.col("passed"), F.lit("PASS"))
+        .otherwise(F.lit("FAIL"))
+        .alias("status"),
     )
 
 
