@@ -366,3 +366,19 @@ def test_empty_catalog_and_missing_terminology(spark):
     cat = Catalog(concepts=cols, terminology=C.TERMINOLOGY)
     st = {r["rule"]: r["status"] for r in suite_sub_results(t, cat).collect()}
     assert st == {"lineitem.l_suppkey": "FAIL", "lineitem.no_such_column": "SKIPPED"}
+
+
+def test_pattern_with_missing_column_is_skipped(spark):
+    from verisift.plans.fixtures import fixture_tables
+    from verisift.plans.suites import suite_sub_results
+    from verisift.rules import Catalog
+
+    t = fixture_tables(spark, "/root/testdata/sf0.001")
+    pats = [
+        RequiredFields("ok", "pat", ("birth_year",)),
+        RequiredFields("gone", "pat", ("no_such",)),
+        Uniqueness("gone_table", "ghost", "id"),
+    ]
+    for shared in (True, False):
+        st = {r["rule"]: r["status"] for r in suite_sub_results(t, Catalog(patterns=pats), shared_scan=shared).collect()}
+        assert st["gone"] == "SKIPPED" and st["gone_table"] == "SKIPPED" and st["ok"] in ("PASS", "FAIL")

@@ -171,9 +171,13 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
         reg.emit(r.table, "column_completeness", i, r.label, rows, f"{rows} - {nn}", status)
 
     # R2-R4 patterns; everything else in the pattern suite runs as its own plan
+    from .suites import pattern_missing, pattern_sub_results  # local import: suites imports this module
+
     others = []
     for i, p in enumerate(catalog.patterns):
-        if isinstance(p, (RequiredFields, RangeCheck, FieldComparison)):
+        if pattern_missing(tables, p) is not None:
+            others.append(p)  # reported SKIPPED by pattern_sub_results
+        elif isinstance(p, (RequiredFields, RangeCheck, FieldComparison)):
             df = tables[p.table]
             eligible, failing = rowrules.eligibility_and_failure(p, df)
             tot = reg.count_if(p.table, ("t", p.name), eligible)
@@ -202,8 +206,6 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
     concept_totals = reg.totals("concept") if catalog.concepts else None
     frames = reg.frames()
     if others:
-        from .suites import pattern_sub_results  # local import: suites imports this module
-
         frames.append(pattern_sub_results(tables, others, seq_of={p.name: i for i, p in enumerate(catalog.patterns)}))
     frames.append(joins.referential_sub_results(tables, catalog.relationships, totals=ri_totals))
     frames.append(joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, totals=concept_totals))

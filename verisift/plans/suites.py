@@ -36,6 +36,8 @@ from ..rules import (
 from ..session import ensure_checkpoint_dir
 from .shared_scan import shared_sub_results
 
+_SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
+
 PATTERN_SCHEMA = (
     "seq int, name string, rule_type string, total_tested bigint, failed_records bigint, "
     "failed_pct double, passed boolean"
@@ -52,6 +54,37 @@ _TYPE_NAMES = {
 }
 
 
+def pattern_missing(tables: Mapping[str, DataFrame], p: PatternRule) -> Optional[str]:
+    """Why a pattern cannot run, from schemas only (no job); None if it can."""
+    need = []
+    if isinstance(p, Uniqueness):
+        need = [(p.table, p.column)]
+    elif isinstance(p, RequiredFields):
+        need = [(p.table, f) for f in p.fields]
+    elif isinstance(p, RangeCheck):
+        need = [(p.table, p.field)]
+    elif isinstance(p, FieldComparison):
+        need = [(p.table, p.field1), (p.table, p.field2)]
+    elif isinstance(p, ReferenceCheck):
+        need = [(p.child, p.fk), (p.parent, p.key)]
+    elif isinstance(p, RelationshipExists):
+        need = [(p.base, b) for b, _ in p.on] + [(p.joined, j) for _, j in p.on]
+        if p.count == "entities":
+            need.append((p.base, p.entity))
+    elif isinstance(p, GroupCount):
+        need = [(p.base, p.group_key)]
+        if p.joined is None:
+            need.append((p.base, p.counted))
+        else:
+            need += [(p.base, b) for b, _ in p.on] + [(p.joined, j) for _, j in p.on] + [(p.joined, p.counted)]
+    for table, col in need:
+        if table not in tables:
+            return f"table {table} not found"
+        if col not in tables[table].columns:
+            return f"column {table}.{col} not found"
+    return None
+
+
 def person_patterns(
     tables: Mapping[str, DataFrame],
     patterns: Sequence[PatternRule],
@@ -102,6 +135,20 @@ def person_patterns(
 def pattern_sub_results(
     tables, patterns: Sequence[PatternRule], seq_of: Optional[Mapping[str, int]] = None
 ) -> DataFrame:
+    """Suite rows; a pattern naming a missing table or column is SKIPPED."""
+    seq = dict(seq_of) if seq_of is not None else {p.name: i for i, p in enumerate(patterns)}
+    ok = [p for p in patterns if pattern_missing(tables, p) is None]
+    skipped = [
+        ("person_patterns", seq[p.name], p.name, None, None, "SKIPPED") for p in patterns if p not in ok
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    out = literal_frame(spark, skipped, _SUB_SCHEMA)
+    if not ok:
+        return out
+    return out.unionByName(_pattern_rows(tables, ok, seq))
+
+
+def _pattern_rows(tables, patterns: Sequence[PatternRule], seq_of: Mapping[str, int]) -> DataFrame:
     return person_patterns(tables, patterns, seq_of).select(
         F.lit("person_patterns").alias("suite"),
         "seq",
@@ -195,8 +242,6 @@ def run(
     return out
 
 
-_SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
-
 
 def isolated_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
     """Rule-by-rule evaluation, used only after the fused job failed.
