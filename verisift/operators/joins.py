@@ -407,9 +407,6 @@ def relationship_exists(tables: Mapping[str, DataFrame], rule: RelationshipExist
 
 # ----------------------------------------------------------------------------- J4 / J5 core
 
-_CONCEPT_LEVEL1 = "rule_id int, code string"
-
-
 def _tagged_codes(df: DataFrame, items: Sequence[Tuple[int, ConceptColumn]], key_type: Optional[str]) -> DataFrame:
     def k(c):
         return c.cast(key_type) if key_type else c

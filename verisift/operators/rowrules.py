@@ -16,22 +16,11 @@ from typing import Dict, List, Mapping, Sequence, Tuple, Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.frames import literal_frame
 from ..functions import qcol, all_of, any_of, is_missing, not_blank, pct, typed
 from ..rules import FieldComparison, GroupCount, RangeCheck, RequiredFields, Uniqueness
 
-ROW_CHECK_SCHEMA = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("total_tested", T.LongType()),
-        T.StructField("failed_records", T.LongType()),
-        T.StructField("failed_pct", T.DoubleType()),
-        T.StructField("passed", T.BooleanType()),
-    ]
-)
-
 _OPS = {
     "gt": lambda a, b: a > b,
     "ge": lambda a, b: a >= b,

@@ -38,11 +38,6 @@ from .shared_scan import shared_sub_results
 
 _SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
 
-PATTERN_SCHEMA = (
-    "seq int, name string, rule_type string, total_tested bigint, failed_records bigint, "
-    "failed_pct double, passed boolean"
-)
-
 _TYPE_NAMES = {
     Uniqueness: "uniqueness",
     RequiredFields: "completeness",
