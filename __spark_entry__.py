@@ -260,14 +260,14 @@ def oracle_sql() -> dict[str, str]:
     zero = (
         f"select 'late_lineitems' as test_name, 'Lines shipped before their order date' as test_description, "
         f"t.c as total_tested, f.c as failed_records, case when f.c = 0 then 'PASS' else 'FAIL' end as pass_fail_status, "
-        f"0.0 as failure_threshold, {O.rate('f.c', 't.c')} as actual_failure_rate, "
+        f"cast(0.0 as double) as failure_threshold, {O.rate('f.c', 't.c')} as actual_failure_rate, "
         f"case when f.c = 0 then 'All validations passed' else cast(f.c as varchar) || ' validation failures found' end as failure_details "
         f"from ({late}) f, (select count(*) as c from lineitem) t"
     )
     fr = "cast(count(case when c_acctbal < 0 then 1 end) as double) / count(*) * 100.0"
     thresh = (
         "select 'negative_balance' as test_name, '' as test_description, total_tested, failed_records, "
-        "case when failure_rate <= 5.0 then 'PASS' else 'FAIL' end as pass_fail_status, 5.0 as failure_threshold, "
+        "case when failure_rate <= 5.0 then 'PASS' else 'FAIL' end as pass_fail_status, cast(5.0 as double) as failure_threshold, "
         f"case when failure_rate = 0.0 and total_tested > 0 then {O.rate('failed_records', 'total_tested')} else failure_rate end as actual_failure_rate, "
         "case when failure_rate <= 5.0 then 'Failure rate within acceptable threshold' else 'Failure rate exceeds threshold' end as failure_details "
         f"from (select count(*) as total_tested, count(case when c_acctbal < 0 then 1 end) as failed_records, "
@@ -275,14 +275,15 @@ def oracle_sql() -> dict[str, str]:
     )
     user = SQL_CHECK.replace(":max_qty", str(SQL_CHECK_ARGS["max_qty"]))
     sqlc = (
-        "select 'lineitem_quantity_cap' as test_name, '' as test_description, total_tested, failed_records, "
+        "select 'lineitem_quantity_cap' as test_name, '' as test_description, cast(total_tested as bigint) as total_tested, "
+        "cast(failed_records as bigint) as failed_records, "
         "case when upper(trim(pass_fail_status)) in ('PASS', 'FAIL') then upper(trim(pass_fail_status)) else 'ERROR' end as pass_fail_status, "
-        f"0.0 as failure_threshold, {O.rate('failed_records', 'total_tested')} as actual_failure_rate, "
+        f"cast(0.0 as double) as failure_threshold, {O.rate('failed_records', 'total_tested')} as actual_failure_rate, "
         f"cast(null as varchar) as failure_details from ({user})"
     )
     contract_patterns = (
         "select name as test_name, '' as test_description, total_tested, failed_records, "
-        f"case when failed_records = 0 then 'PASS' else 'FAIL' end as pass_fail_status, 0.0 as failure_threshold, "
+        f"case when failed_records = 0 then 'PASS' else 'FAIL' end as pass_fail_status, cast(0.0 as double) as failure_threshold, "
         f"{O.rate('failed_records', 'total_tested')} as actual_failure_rate, "
         "case when failed_records = 0 then 'All validations passed' else cast(failed_records as varchar) || ' validation failures found' end as failure_details, "
         f"{O.rate('total_tested - failed_records', 'total_tested')} as success_rate "

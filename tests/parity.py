@@ -50,6 +50,10 @@ def _key(row):
     return tuple((x is None, str(type(x).__name__), str(x)) for x in row)
 
 
+# Spark simple type -> DuckDB type name (coarse: the types the checks produce).
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def spark_rows(df):
     cols = sorted(df.columns)
     rows = [tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()]
@@ -69,9 +73,16 @@ def compare(spark, name, sf_dir, con=None):
     import __spark_entry__ as E
 
     con = con or duck_connection(sf_dir)
-    s_cols, s_rows = spark_rows(E.queries()[name](spark, sf_dir))
+    sdf = E.queries()[name](spark, sf_dir)
+    s_cols, s_rows = spark_rows(sdf)
     d_cols, d_rows = duck_rows(con, E.oracle_sql()[name])
     problems = []
+    rel = con.sql(E.oracle_sql()[name])
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    bad_types = {c: (t, d_types.get(c)) for c, t in s_types.items() if _TYPES.get(t, t) != d_types.get(c)}
+    if bad_types:
+        problems.append(f"types differ: {bad_types}")
     if s_cols != d_cols:
         problems.append(f"columns differ: spark={s_cols} duck={d_cols}")
     if len(s_rows) != len(d_rows):
