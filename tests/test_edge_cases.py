@@ -382,3 +382,16 @@ def test_pattern_with_missing_column_is_skipped(spark):
     for shared in (True, False):
         st = {r["rule"]: r["status"] for r in suite_sub_results(t, Catalog(patterns=pats), shared_scan=shared).collect()}
         assert st["gone"] == "SKIPPED" and st["gone_table"] == "SKIPPED" and st["ok"] in ("PASS", "FAIL")
+
+
+def test_staged_equals_single_plan(spark):
+    from verisift.plans import catalog as C
+    from verisift.plans.fixtures import fixture_tables
+    from verisift.plans.shared_scan import shared_sub_results, staged_sub_results
+    from verisift.plans.suites import materialize
+
+    t = fixture_tables(spark, "/root/testdata/sf0.01")
+    cols = ["suite", "seq", "rule", "total_tested", "failed_records", "status"]
+    lazy = sorted(rows(shared_sub_results(t, C.CATALOG), *cols), key=str)
+    staged = sorted(rows(staged_sub_results(t, C.CATALOG, materialize), *cols), key=str)
+    assert lazy == staged and not any(r[0].startswith("__") for r in staged)

@@ -89,11 +89,9 @@ class _TableAggs:
         )
 
     def emit_total(self, output: str, table: str, rule_id: int, total: str, predicate: bool = False) -> None:
-        """A ``rule_id, total_records`` row for another operator (table totals)."""
-        group = self._group(table, predicate)
-        self.totals_out.setdefault(output, OrderedDict()).setdefault(group, []).append(
-            f"named_struct('rule_id', {int(rule_id)}, 'total_records', cast({total} as bigint))"
-        )
+        """A row total for another operator, carried as an internal row
+        (``suite = '__total_<output>'``, ``seq = rule_id``) of the same output."""
+        self.emit(table, f"__total_{output}", rule_id, "", total, "cast(null as bigint)", "''", predicate)
 
     def _agg(self, group: Tuple[str, str]) -> DataFrame:
         # One aggregate DataFrame per group, shared by every output drawn from it
@@ -112,26 +110,13 @@ class _TableAggs:
             for group, structs in self.rows_out.items()
         ]
 
-    def totals(self, output: str) -> Optional[DataFrame]:
-        parts = [
-            self._agg(group).select(F.expr("inline(array(" + ", ".join(structs) + "))"))
-            for group, structs in self.totals_out.get(output, {}).items()
-        ]
-        if not parts:
-            return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-
 def _pass_fail(failing: str) -> str:
     return f"case when {failing} then 'FAIL' else 'PASS' end"
 
 
-def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """Same rows as ``suites.suite_sub_results`` with one scan per table for
-    null columns, empty tables, completeness and the row-rule patterns."""
+def _single_table_part(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tuple[DataFrame, List]:
+    """Rows of every single-table check plus internal total rows, from one
+    aggregate per table; also the patterns that need plans of their own."""
     spark = next(iter(tables.values())).sparkSession
     reg = _TableAggs(tables, split_predicates=aggregate_pushdown_enabled(spark))
     errors: List[tuple] = []
@@ -202,16 +187,61 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
         if c.table in tables and c.column in tables[c.table].columns:
             reg.emit_total("concept", c.table, rid, reg.rows(c.table))
 
-    ri_totals = reg.totals("ri") if catalog.relationships else None
-    concept_totals = reg.totals("concept") if catalog.concepts else None
     frames = reg.frames()
-    if others:
-        frames.append(pattern_sub_results(tables, others, seq_of={p.name: i for i, p in enumerate(catalog.patterns)}))
-    frames.append(joins.referential_sub_results(tables, catalog.relationships, totals=ri_totals))
-    frames.append(joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, totals=concept_totals))
     if errors:
         frames.append(literal_frame(spark, errors, SUB_SCHEMA))
-    out = frames[0]
+    out = frames[0] if frames else literal_frame(spark, [], SUB_SCHEMA)
     for f in frames[1:]:
         out = out.unionByName(f)
+    return out, others
+
+
+def _totals(single: DataFrame, output: str) -> DataFrame:
+    return single.where(F.col("suite") == f"__total_{output}").select(
+        F.col("seq").alias("rule_id"), F.col("total_tested").alias("total_records")
+    )
+
+
+def _join_parts(tables: Mapping[str, DataFrame], catalog: Catalog, single: DataFrame, others: List) -> List[DataFrame]:
+    """The checks that need their own shuffles, fed with totals from ``single``."""
+    from .suites import pattern_sub_results  # local import: suites imports this module
+
+    parts = []
+    if others:
+        parts.append(pattern_sub_results(tables, others, seq_of={p.name: i for i, p in enumerate(catalog.patterns)}))
+    parts.append(joins.referential_sub_results(tables, catalog.relationships, totals=_totals(single, "ri")))
+    parts.append(
+        joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, totals=_totals(single, "concept"))
+    )
+    return parts
+
+
+def _public(single: DataFrame) -> DataFrame:
+    return single.where(~F.col("suite").startswith("__"))
+
+
+def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
+    """Same rows as ``suites.suite_sub_results`` with one scan per table for
+    null columns, empty tables, completeness and the row-rule patterns — as
+    one lazy plan (the single-table aggregate is referenced three times and
+    its exchange reused)."""
+    single, others = _single_table_part(tables, catalog)
+    out = _public(single)
+    for p in _join_parts(tables, catalog, single, others):
+        out = out.unionByName(p)
+    return out
+
+
+def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog, materialize) -> DataFrame:
+    """The same rows computed in stages, each checkpointed by ``materialize``:
+    the single-table aggregates first, then each join-based suite reading its
+    totals from that checkpoint. Plans stay moderate in size (planning and
+    adaptive re-planning of one plan with every suite grows faster than the
+    work at small and medium scale) while every table is still scanned once
+    for all single-table checks."""
+    single, others = _single_table_part(tables, catalog)
+    single = materialize(single)
+    out = _public(single)
+    for p in _join_parts(tables, catalog, single, others):
+        out = out.unionByName(materialize(p))
     return out

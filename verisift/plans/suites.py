@@ -34,7 +34,7 @@ from ..rules import (
     Uniqueness,
 )
 from ..session import ensure_checkpoint_dir
-from .shared_scan import shared_sub_results
+from .shared_scan import shared_sub_results, staged_sub_results
 
 _SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
 
@@ -207,10 +207,12 @@ def run(
 ) -> Dict[str, DataFrame]:
     """A full run with every output derived from one execution of the checks.
 
-    The rule-level results (one row per rule: a few hundred rows, not data)
-    are checkpointed once; the suite roll-up, run summary and export rows are
-    computed from that checkpoint, so the table scans and joins run exactly
-    once however many outputs are read. With ``results_path`` the suite
+    The checks run in a few checkpointed stages (``staged_sub_results``: the
+    shared single-table aggregates, then each join-based suite); the rule-level
+    results (one row per rule: a few hundred rows, not data) are the union of
+    those checkpoints, and the suite roll-up, run summary and export rows are
+    computed from them, so the table scans and joins run exactly once however
+    many outputs are read. With ``results_path`` the suite
     contract rows are written through the sink (S2).
 
     If the fused job fails (a rule whose filter or cast raises at run time),
@@ -218,8 +220,8 @@ def run(
     an ERROR row and every other rule is still reported.
     """
     try:
-        sub = materialize(suite_sub_results(tables, catalog))
-    except Exception:  # noqa: BLE001 - any failure of the fused job
+        sub = staged_sub_results(tables, catalog, materialize)
+    except Exception:  # noqa: BLE001 - any failure of the staged jobs
         if not isolate_errors:
             raise
         sub = isolated_sub_results(tables, catalog)
