@@ -395,3 +395,20 @@ def test_staged_equals_single_plan(spark):
     lazy = sorted(rows(shared_sub_results(t, C.CATALOG), *cols), key=str)
     staged = sorted(rows(staged_sub_results(t, C.CATALOG, materialize), *cols), key=str)
     assert lazy == staged and not any(r[0].startswith("__") for r in staged)
+
+
+def test_failure_report_caps_and_order(spark):
+    from verisift.operators.rollup import failure_report
+
+    cols = ", ".join(f"c{i:02d} string" for i in range(12))
+    wide = spark.createDataFrame([tuple([None] * 12)], cols)
+    rules = [CompletenessRule("w", f"c{i:02d}", 100.0) for i in range(5)]
+    rep = failure_report(
+        null_columns=profile.null_columns({"w": wide}),
+        completeness=profile.column_completeness({"w": wide}, rules, with_seq=True),
+    )
+    got = {}
+    for r in rep.collect():
+        got.setdefault(r["section"], []).append((r["seq"], r["item"]))
+    assert [i for _, i in sorted(got["all_null"])] == [f"w.c{i:02d}" for i in range(10)]
+    assert [i for _, i in sorted(got["completeness"])] == [f"w.c{i:02d}" for i in range(3)]

@@ -47,3 +47,20 @@ def test_stream_equals_batch(spark):
     tables["events"] = events
     batch = {r["name"]: (r["non_null_fk"], r["violation_count"]) for r in referential_integrity(tables, rels).collect()}
     assert fk == batch
+
+
+def test_replayed_batch_overwrites_its_partial(spark):
+    from verisift.streaming.incremental import batch_writer, stream_totals
+
+    work = tempfile.mkdtemp(prefix="verisift-replay-")
+    t = load_tables(spark, SF, ["events"])
+    check = row_rule_check("events", (RequiredFields("has_type", "events", ("event_type",)),))
+    path = f"{work}/parts"
+    write = batch_writer(check, path)  # the function validate_stream hands to foreachBatch
+
+    write(t["events"], 0)
+    write(t["events"], 1)
+    write(t["events"], 1)  # replay of batch 1 after a failure
+    r = stream_totals(spark, path).collect()[0]
+    n = t["events"].count()
+    assert (r["total_tested"], r["batches"]) == (2 * n, 2)

@@ -94,6 +94,22 @@ def foreign_key_check(
     return run
 
 
+def batch_writer(check: BatchCheck, results_path: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: partial counts of one batch, written to
+    its own ``batch_id`` partition (a replay overwrites it, never duplicates)."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        part = check(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        (
+            part.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(results_path)
+        )
+
+    return write_batch
+
+
 def validate_stream(
     stream: DataFrame,
     check: BatchCheck,
@@ -110,16 +126,7 @@ def validate_stream(
     or executor loss).
     """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        part = check(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        (
-            part.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(results_path)
-        )
-
-    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    writer = stream.writeStream.foreachBatch(batch_writer(check, results_path)).option("checkpointLocation", checkpoint_location)
     if trigger:
         writer = writer.trigger(**trigger)
     if query_name:
