@@ -35,11 +35,18 @@ def aggregate_pushdown_enabled(spark: SparkSession) -> bool:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a fresh local folder only when unset."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, the benchmark) gets a fresh local folder
+    when the setting is absent; on a cluster a machine-local folder would not
+    survive the loss of that machine, so the setting is required.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to shared storage before run()")
         current = tempfile.mkdtemp(prefix="verisift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -126,7 +126,9 @@ def validate_stream(
     or executor loss).
     """
 
-    writer = stream.writeStream.foreachBatch(batch_writer(check, results_path)).option("checkpointLocation", checkpoint_location)
+    writer = stream.writeStream.foreachBatch(batch_writer(check, results_path)).option(
+        "checkpointLocation", checkpoint_location
+    )
     if trigger:
         writer = writer.trigger(**trigger)
     if query_name:
