@@ -233,15 +233,15 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
 
 
 def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog, materialize) -> DataFrame:
-    """The same rows computed in stages, each checkpointed by ``materialize``:
-    the single-table aggregates first, then each join-based suite reading its
-    totals from that checkpoint. Plans stay moderate in size (planning and
+    """The same rows computed in two checkpointed stages (``materialize``):
+    the single-table aggregates first, then the join-based suites together,
+    reading their totals from that checkpoint. Plans stay moderate in size (planning and
     adaptive re-planning of one plan with every suite grows faster than the
     work at small and medium scale) while every table is still scanned once
     for all single-table checks."""
     single, others = _single_table_part(tables, catalog)
     single = materialize(single)
-    out = _public(single)
+    joined = None
     for p in _join_parts(tables, catalog, single, others):
-        out = out.unionByName(materialize(p))
-    return out
+        joined = p if joined is None else joined.unionByName(p)
+    return _public(single).unionByName(materialize(joined))

@@ -207,8 +207,8 @@ def run(
 ) -> Dict[str, DataFrame]:
     """A full run with every output derived from one execution of the checks.
 
-    The checks run in a few checkpointed stages (``staged_sub_results``: the
-    shared single-table aggregates, then each join-based suite); the rule-level
+    The checks run in two checkpointed stages (``staged_sub_results``: the
+    shared single-table aggregates, then the join-based suites); the rule-level
     results (one row per rule: a few hundred rows, not data) are the union of
     those checkpoints, and the suite roll-up, run summary and export rows are
     computed from them, so the table scans and joins run exactly once however
