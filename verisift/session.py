@@ -41,16 +41,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when the setting is absent; on a cluster a machine-local folder would not
     survive the loss of that machine, so the setting is required.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = spark.sparkContext
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to shared storage before run()")
         current = tempfile.mkdtemp(prefix="verisift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    # ``spark.checkpoint.dir`` is a core setting that cannot be changed at run
+    # time; the context's checkpoint folder is set directly instead.
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "verisift") -> SparkSession:
