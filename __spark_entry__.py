@@ -44,6 +44,27 @@ from verisift.rules import (  # noqa: E402
 )
 from verisift.sources import export_rows, register_views  # noqa: E402
 
+# The training-data operators and their pipeline can be taken out as a whole.
+LLM_QUERIES: dict = {}
+LLM_SQL: dict = {}
+try:
+    from verisift.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if e.name != "verisift.llm":
+        raise
+else:
+    LLM_QUERIES |= _llm.QUERIES
+    LLM_SQL |= _llm.ORACLE_SQL
+try:
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "verisift.llm"):
+        raise
+else:
+    LLM_QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 NOT_DUMMY = "is_dummy = false"
@@ -243,6 +264,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_partials": q(_chunked_partials),
         "run_summary": q(lambda t: run_summary(_suites(t))),
         "failure_report": q(_failure_report),
+        **LLM_QUERIES,
     }
 
 
@@ -339,7 +361,7 @@ def oracle_sql() -> dict[str, str]:
         "run_summary": O.run_summary(suites),
         "failure_report": O.failure_report(cat),
     }
-    return {k: W(v) for k, v in out.items()}
+    return {k: W(v) for k, v in out.items()} | LLM_SQL
 
 
 def _present_columns():
