@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from . import token_binary
+from . import bpe, chat, decontam, pii, quality, suffix_tree_lm, token_binary, url_filter
 
 QUERIES = {
+    "op1_byte_bpe": bpe.op1,
+    "op2_url_filter": url_filter.op2,
+    "op5_quality": quality.op5,
+    "op6_chat": chat.op6,
+    "op7_decontamination": decontam.op7,
     "op8_token_binary": token_binary.op8,
+    "op9_suffix_tree_lm": suffix_tree_lm.op9,
+    "op10_pii": pii.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_url_filter": url_filter.SQL,
+    "op6_chat": chat.SQL,
+    "op7_decontamination": decontam.SQL,
+}
