@@ -4,8 +4,7 @@ Tokens are the words of a text between white space, A-Z in lower case, then one
 The tree spells the same tokens symbol by symbol: the bytes of a word and a space, or
 a line feed as the end (words hold neither), so words never seen have a
 probability too. A token's probability is that of its spelling behind the longest
-retained context, smoothed with the token's own share of the training tokens as
-Witten and Bell do: N / (N + V) of the share, V / (N + V) of the spelling.
+retained contexts, smoothed with a tenth of the token's own share of the training tokens.
 
 Training counts which byte follows each context of up to ``DEPTH`` bytes. A context
 is a candidate if it makes up ``P_MIN`` of all training symbols (so at most DEPTH / P_MIN
@@ -38,8 +37,10 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .common import cut, packed, ship, shuffle_width, table
 
-DEPTH = 5
-P_MIN = 1e-5
+DEPTH = 6
+P_MIN = 8e-6
+#: Weight of a token's own share of the training tokens against its spelling.
+SHARE_WEIGHT = 0.1
 STRIPE = 512
 
 
@@ -302,7 +303,7 @@ def score(docs: DataFrame, p_min: float = P_MIN) -> DataFrame:
     sums = counted.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n_train, n_kinds = (sums.n or 0) + n_ends, (sums.v or 0) + (n_ends > 0)
     divisor = float(np.log10(n_train + n_kinds + 1))
-    weight = n_train / max(1, n_train + n_kinds)
+    weight = SHARE_WEIGHT if n_train else 0.0
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = right.to_pylist()
