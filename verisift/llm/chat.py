@@ -60,7 +60,7 @@ def fold(events: DataFrame) -> DataFrame:
     reset = F.expr("array_max(transform(log, (e, i) -> if(e.kind in ('edit', 'regenerate'), i, -1)))")
     return log.withColumn("from", reset).select(
         "conv_id", "turn", "k",
-        F.coalesce(F.expr("element_at(filter(log, e -> e.role is not null), -1).role"), F.lit("")).alias("role"),
+        F.coalesce(F.expr("try_element_at(filter(log, e -> e.role is not null), -1).role"), F.lit("")).alias("role"),
         F.expr("array_join(transform(filter(log, (e, i) -> i >= from and e.kind <> 'regenerate'), e -> e.text), '')").alias("text"),
     )
 
