@@ -57,6 +57,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bucketed(df: DataFrame, kind: str, key: str) -> DataFrame:
+    """``df`` written once to the shared folder, a folder per value of ``kind``, in buckets
+    by ``key``: a later grouping by ``key`` finds it dealt out already, with no shuffle.
+
+    Buckets need a table entry: ``verisift_work_...``, in the session's current database.
+    ``drop_work_tables`` takes the entries away when results have been written.
+    """
+    spark = df.sparkSession
+    name = f"verisift_work_{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
+    (
+        df.write.partitionBy(kind).bucketBy(shuffle_width(spark), key).option("path", path)
+        .option("compression", "none").format("parquet").saveAsTable(name)
+    )
+    return spark.table(name)
+
+
+def drop_work_tables(spark: SparkSession) -> None:
+    for t in spark.catalog.listTables(pattern="verisift_work_*"):
+        spark.sql(f"drop table if exists {t.name}")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -231,7 +231,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with all their columns, whose score reaches ``threshold``."""
-    model = train(cut(featurize(docs.join(labels.select(F.col("doc_id")).distinct(), "doc_id", "left_semi"))), labels)
+    # Features are cheap enough to count again here: joining scores back would shuffle the texts.
+    model = train(featurize(docs), labels)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]):

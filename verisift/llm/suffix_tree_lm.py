@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, packed, ship, shuffle_width, table
+from .common import bucketed, cut, packed, ship, shuffle_width, table
 
 DEPTH = 6
 P_MIN = 8e-6
@@ -127,7 +127,7 @@ def split(docs: DataFrame) -> DataFrame:
             if rows := gram_rows(block, *grams(plain), buckets):
                 yield rows
 
-    return cut(packed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, B.ROWS))
+    return bucketed(packed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, B.ROWS), "kind", "block")
 
 
 # ------------------------------------------------------------------ the model
@@ -318,19 +318,22 @@ def score(docs: DataFrame, p_min: float = P_MIN) -> DataFrame:
         for r in left.to_pylist():
             ids, seq = B.unpack_ids(r["doc_ids"]), B.unpack_ints(r["body"])
             lengths = B.unpack_ints(r["lengths"]).astype(np.int64)
-            stops = np.cumsum(lengths)
-            base = np.concatenate([[0.0], np.cumsum(log_share[seq])])
-            known = np.concatenate([[0], np.cumsum(counts[seq] > 0)])
-            held = [i is not None and not learned(i) for i in ids]
-            out.append(pa.table({
-                "doc_id": pa.array(ids, pa.int64()),
-                "held_out": pa.array(held, pa.bool_()),
-                "n_tokens": pa.array(lengths + 1, pa.int64()),
-                "n_known": pa.array(known[stops] - known[stops - lengths] + (n_ends > 0), pa.int64()),
-                "train_tokens": pa.array(np.full(len(ids), n_train), pa.int64()),
-                "base_score": pa.array(base[stops] - base[stops - lengths] + float(np.log10(n_ends + 1.0)) - divisor, pa.float64()),
-                "score": pa.array(text_scores(model.value, words, seq, lengths, counts / max(1, n_train), n_ends / max(1, n_train), weight), pa.float64()),
-            }))
+            stops = np.concatenate([[0], np.cumsum(lengths)])
+            for a, z in B.runs(stops, 1 << 20):
+                own, n = seq[stops[a] : stops[z]], lengths[a:z]
+                cuts = stops[a : z + 1] - stops[a]
+                base = np.concatenate([[0.0], np.cumsum(log_share[own])])[cuts]
+                known = np.concatenate([[0], np.cumsum(counts[own] > 0)])[cuts]
+                scores = text_scores(model.value, words, own, n, counts / max(1, n_train), n_ends / max(1, n_train), weight)
+                out.append(pa.table({
+                    "doc_id": pa.array(ids[a:z], pa.int64()),
+                    "held_out": pa.array([i is not None and not learned(i) for i in ids[a:z]], pa.bool_()),
+                    "n_tokens": pa.array(n + 1, pa.int64()),
+                    "n_known": pa.array(np.diff(known) + (n_ends > 0), pa.int64()),
+                    "train_tokens": pa.array(np.full(len(n), n_train), pa.int64()),
+                    "base_score": pa.array(np.diff(base) + float(np.log10(n_ends + 1.0)) - divisor, pa.float64()),
+                    "score": pa.array(scores, pa.float64()),
+                }))
         return pa.concat_tables(out) if out else _EMPTY
 
     by_block = counted.where("block is not null").select("block", "words", "numbers", "counts")
