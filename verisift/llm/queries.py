@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, pii, quality, suffix_tree_lm, token_binary, url_filter
+from . import bpe, chat, decontam, embedding_join, ngram_join, pii, quality, suffix_tree_lm, token_binary, url_filter
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
     "op2_url_filter": url_filter.op2,
+    "op3_embedding_join": embedding_join.op3,
+    "op4_ngram_join": ngram_join.op4,
     "op5_quality": quality.op5,
     "op6_chat": chat.op6,
     "op7_decontamination": decontam.op7,
