@@ -21,7 +21,7 @@ import pyarrow as pa
 
 ROWS = "kind string, block long, bucket int, doc_ids binary, lengths binary, body binary, more binary"
 #: Bytes of text of a block; a longer text is a block by itself.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 
 
 def squeeze(raw: bytes) -> bytes:
@@ -73,6 +73,15 @@ def unpack_ids(raw: bytes) -> list[int | None]:
     return [None if z else i for z, i in zip(raw[:n], np.frombuffer(raw, "<i8", n, n).tolist())]
 
 
+def runs(stops: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring documents, from one to another, of about ``limit`` tokens together; at least one."""
+    at, n = 0, len(stops) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(stops, stops[at] + limit, side="right")) - 1)
+        yield at, min(to, n)
+        at = to
+
+
 def cut_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list, list]]:
     """(block, doc_ids, texts); a block's number holds that of its task."""
     from pyspark import TaskContext

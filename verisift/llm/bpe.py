@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, packed, ship, shuffle_width, small_pieces, table
+from .common import bucketed, packed, ship, shuffle_width, small_pieces, table
 
 _LOADED: dict = {}
 
@@ -86,7 +86,7 @@ def expand(seq: np.ndarray, sizes: np.ndarray, values: np.ndarray, counts: np.nd
     n = counts[seq]
     ends = np.cumsum(n)
     at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n - starts[seq], n)
-    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
     return values[at], np.diff(bounds)
 
 
@@ -103,7 +103,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             if rows := B.word_rows(block, words, buckets):
                 yield rows
 
-    parts = cut(packed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), split, B.ROWS))
+    parts = bucketed(packed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), split, B.ROWS), "kind", "block")
 
     def merge(batches: Iterator[pa.RecordBatch]):
         one, known = _encoding(path, pattern)._encode_single_piece, {}
@@ -138,10 +138,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         gathered = np.concatenate([*counts, np.zeros(0, np.uint32)]).astype(np.int64)
         flat, _ = expand(order, np.zeros(0, np.int64), np.concatenate([*values, np.zeros(0, np.uint32)]), gathered)
         for r in left.to_pylist():
-            ids, n = expand(B.unpack_ints(r["body"]), B.unpack_ints(r["lengths"]).astype(np.int64), flat, count)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
-            out.append(pa.Table.from_arrays([pa.array(B.unpack_ids(r["doc_ids"]), pa.int64()), lists], ["doc_id", "ids"]))
+            doc_ids, seq = B.unpack_ids(r["doc_ids"]), B.unpack_ints(r["body"])
+            stops = np.concatenate([[0], np.cumsum(B.unpack_ints(r["lengths"]), dtype=np.int64)])
+            for a, z in B.runs(stops, 1 << 18):
+                ids, n = expand(seq[stops[a] : stops[z]], np.diff(stops[a : z + 1]), flat, count)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                out.append(pa.Table.from_arrays([pa.array(doc_ids[a:z], pa.int64()), lists], ["doc_id", "ids"]))
         return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
 
     ship(spark)
@@ -163,38 +166,41 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         of = tokens.value.__getitem__
-        for b in small_pieces(batches, "ids", 16 << 20):
+        for b in small_pieces(batches, "ids", 4 << 20):
             yield {"doc_id": b.column("doc_id"), "ids": b.column("ids"), "decoded": [b"".join(map(of, x)) for x in b.column("ids").to_pylist()]}
 
     return packed(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256), decoding in the same pass."""
+def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) and, if wanted, the ids, decoding in the same pass."""
     tokens = token_bytes(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]):
         names = [b"%d" % k for k in range(len(tokens.value))]
         name, of = names.__getitem__, tokens.value.__getitem__
         sha = hashlib.sha256
-        for b in small_pieces(batches, "ids", 16 << 20):
+        for b in small_pieces(batches, "ids", 4 << 20):
             got = b.column("ids").to_pylist()
             yield {
                 "doc_id": b.column("doc_id"),
+                "ids": b.column("ids"),
                 "n_tokens": [len(x) for x in got],
                 "ids_sha256": [sha(b",".join(map(name, x))).hexdigest() for x in got],
                 "decoded_sha256": [sha(b"".join(map(of, x))).hexdigest() for x in got],
             }
 
-    return packed(encoded.select("doc_id", "ids"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
+    return packed(encoded.select("doc_id", "ids"), run, schema)
 
 
-def _default():
+def default_vocabulary() -> tuple[str, str]:
+    """Rank file and pattern of the queries."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    path, pattern = _default()
+    path, pattern = default_vocabulary()
     return digests(encode(table(spark, sf_dir, "documents"), path, pattern), path)
