@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -35,6 +36,7 @@ from verisift.plans.fixtures import fixture_tables  # noqa: E402
 from verisift.plans.suites import pattern_sub_results, person_patterns, run_suites  # noqa: E402
 from verisift.rules import (  # noqa: E402
     FieldComparison,
+    QueryCount,
     RangeCheck,
     ReferenceCheck,
     Relationship,
@@ -42,7 +44,7 @@ from verisift.rules import (  # noqa: E402
     RequiredFields,
     Uniqueness,
 )
-from verisift.sources import export_rows, register_views  # noqa: E402
+from verisift.sources import export_rows, load_catalog_tables, register_views  # noqa: E402
 
 # The training-data operators and their pipeline can be taken out as a whole.
 LLM_QUERIES: dict = {}
@@ -106,6 +108,23 @@ EXISTS = RelationshipExists(
 EXISTS_ROWS = RelationshipExists(
     "customer_has_events", "customer", "events", (("c_custkey", "user_id"),), entity="c_custkey", count="rows"
 )
+EXISTS_OTHER = RelationshipExists(
+    "part_shipped_late", "lineitem", "orders", (("l_orderkey", "o_orderkey"), ("l_shipdate", "o_orderdate")), entity="l_partkey"
+)
+RI_INTEGRITY = ReferenceCheck(
+    "pat_practice_integrity", "pat", "practice_id", "customer", "c_custkey", filter=NOT_DUMMY, mode="integrity"
+)
+RANGE_EXPRESSION = (RangeCheck("pat_birth_year_to_date", "pat", "birth_year", 1900, "year(date '1985-06-30')", filter=NOT_DUMMY),)
+UNTESTED = (
+    Relationship("pat", "registered_practice_id", "customer", "c_custkey"),
+    Relationship("orders", "o_custkey", "customer", "c_customer_id"),
+)
+CATALOG_TABLES = ("nation", "region", "region_empty", "supplier")
+COUNT_QUERY = QueryCount(
+    "customer_many_orders", "customer",
+    "select c.c_custkey, count(distinct o.o_orderkey) as n from customer c left join orders o on c.c_custkey = o.o_custkey "
+    "and o.o_totalprice > 1000 group by c.c_custkey having count(distinct o.o_orderkey) > 12",
+)
 GROUP_COUNT = C.PATTERNS[-1]
 THRESHOLD_OVERRIDES = {"empty_tables": 10.0}
 THRESHOLD_ENV = "uat"
@@ -146,7 +165,7 @@ def _suites(t):
 
 
 def _suite_contract(sub: DataFrame) -> DataFrame:
-    return to_contract(suite_rollup(sub), name="suite")
+    return to_contract(suite_rollup(sub), name="suite", status="status")
 
 
 def _chunked_partials(t) -> DataFrame:
@@ -186,15 +205,29 @@ def _failure_report(t) -> DataFrame:
         null_columns=profile.null_columns(t, cat.null_tables),
         empty_tables=profile.empty_tables(t, cat.empty_tables, cat.empty_exclude),
         completeness=profile.column_completeness(t, cat.completeness, with_seq=True),
-        referential=joins.referential_integrity(t, cat.relationships),
+        referential=joins.referential_integrity(t, C.RELATIONSHIPS_WITH_MISSING, with_reason=True),
         patterns=person_patterns(t, cat.patterns),
-        concepts=joins.concept_mapping_rates(t, cat.concepts, cat.terminology, with_meta=True),
+        concepts=joins.concept_mapping_breakdown(t, cat.concepts, cat.terminology, with_sections=True),
     )
 
 
-def _sql_check(spark, t) -> DataFrame:
+def _sql_check(spark, t, graded: bool = True) -> DataFrame:
     register_views(t)
-    return sqlcheck.sql_check(spark, "lineitem_quantity_cap", SQL_CHECK, SQL_CHECK_ARGS)
+    return sqlcheck.sql_check(spark, "lineitem_quantity_cap", SQL_CHECK, SQL_CHECK_ARGS, graded=graded)
+
+
+def _catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 over tables found by name in the catalog (here: temporary views)."""
+    register_views({n: t for n, t in _t(spark, sf_dir).items() if n in CATALOG_TABLES})
+    return profile.empty_tables(load_catalog_tables(spark, CATALOG_TABLES), CATALOG_TABLES)
+
+
+def _error_contract(t) -> DataFrame:
+    """The contract, and the thresholds' verdict, of a suite in which no relationship could be tested."""
+    suites = suite_rollup(joins.referential_sub_results(t, UNTESTED))
+    contract = export_rows(to_contract(suites, name="suite", status="status"))
+    graded = apply_thresholds(suites.withColumnRenamed("suite", "test_name"), threshold_table(t["region"].sparkSession))
+    return contract.join(graded.select("test_name", "pass_fail_status"), "test_name")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -205,9 +238,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     return {
         # S2
-        "result_export": q(lambda t: export_rows(to_contract(_suites(t), name="suite"))),
+        # S1 through the catalog
+        "catalog_tables": _catalog_tables,
+        "result_export": q(lambda t: export_rows(to_contract(_suites(t), name="suite", status="status"))),
         # P1-P4
         "null_columns": q(lambda t: profile.null_columns(t, ["pat"])),
+        "null_columns_all": q(lambda t: profile.null_columns(t, cat.null_tables)),
         "null_columns_suite": q(lambda t: _suite_contract(profile.null_columns_sub_results(t, cat.null_tables))),
         "empty_tables": q(lambda t: profile.empty_tables(t, cat.empty_tables, cat.empty_exclude)),
         "empty_tables_suite": q(
@@ -227,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "required_fields_multi": q(lambda t: rowrules.row_checks(t, REQUIRED_MULTI)),
         "range_check": q(lambda t: rowrules.row_checks(t, RANGE)),
         "range_check_open": q(lambda t: rowrules.row_checks(t, RANGE_OPEN)),
+        "range_check_expression": q(lambda t: rowrules.row_checks(t, RANGE_EXPRESSION)),
         **{f"field_comparison_{op}": q(lambda t, op=op: rowrules.row_checks(t, _cmp(op))) for op in ("gt", "ge", "lt", "le", "eq", "ne")},
         "group_count_check": q(lambda t: rowrules.group_count_check(t, GROUP_COUNT)),
         "group_count_groups": q(lambda t: rowrules.group_counts(t, GROUP_COUNT)),
@@ -242,8 +279,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ri_filtered": q(lambda t: joins.reference_check(t, RI_FILTERED)),
         "ri_filtered_null_keys": q(lambda t: joins.reference_check(t, RI_FILTERED_NULLS)),
         "ri_filtered_fanout": q(lambda t: joins.reference_check(t, RI_FANOUT)),
+        "ri_filtered_integrity": q(lambda t: joins.reference_check(t, RI_INTEGRITY)),
         "relationship_exists": q(lambda t: joins.relationship_exists(t, EXISTS)),
         "relationship_exists_rows": q(lambda t: joins.relationship_exists(t, EXISTS_ROWS)),
+        "relationship_exists_other_entity": q(lambda t: joins.relationship_exists(t, EXISTS_OTHER)),
+        "failing_references": q(lambda t: joins.failing_references(t, RI_FILTERED_NULLS)),
+        "unrelated_entities": q(lambda t: joins.unrelated_entities(t, EXISTS_OTHER)),
         "concept_mapping_breakdown": q(lambda t: joins.concept_mapping_breakdown(t, cat.concepts, cat.terminology)),
         "concept_mapping_rates": q(lambda t: joins.concept_mapping_rates(t, cat.concepts, cat.terminology)),
         "failing_keys": q(lambda t: joins.failing_keys(t, cat.relationships)),
@@ -257,7 +298,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "threshold_check": q(lambda t: sqlcheck.threshold_check("negative_balance", _acctbal_metrics(t), 5.0)),
         "sql_check": lambda spark, sf_dir: _sql_check(spark, _t(spark, sf_dir)),
+        "sql_check_ungraded": lambda spark, sf_dir: _sql_check(spark, _t(spark, sf_dir), graded=False),
+        "count_query": q(lambda t: rowrules.group_count_check(t, COUNT_QUERY)),
         # A1-A6
+        "contract_error_suite": q(_error_contract),
         "check_contract": q(lambda t: check_contract(person_patterns(t, cat.patterns))),
         "threshold_resolution": q(_threshold_resolution),
         "suite_rollup": q(_suites),
@@ -283,7 +327,7 @@ def oracle_sql() -> dict[str, str]:
         f"select 'late_lineitems' as test_name, 'Lines shipped before their order date' as test_description, "
         f"t.c as total_tested, f.c as failed_records, case when f.c = 0 then 'PASS' else 'FAIL' end as pass_fail_status, "
         f"cast(0.0 as double) as failure_threshold, {O.rate('f.c', 't.c')} as actual_failure_rate, "
-        f"case when f.c = 0 then 'All validations passed' else cast(f.c as varchar) || ' validation failures found' end as failure_details "
+        f"case when f.c = 0 then 'no failures' else cast(f.c as varchar) || ' failed' end as failure_details "
         f"from ({late}) f, (select count(*) as c from lineitem) t"
     )
     fr = "cast(count(case when c_acctbal < 0 then 1 end) as double) / count(*) * 100.0"
@@ -291,7 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "select 'negative_balance' as test_name, '' as test_description, total_tested, failed_records, "
         "case when failure_rate <= 5.0 then 'PASS' else 'FAIL' end as pass_fail_status, cast(5.0 as double) as failure_threshold, "
         f"case when failure_rate = 0.0 and total_tested > 0 then {O.rate('failed_records', 'total_tested')} else failure_rate end as actual_failure_rate, "
-        "case when failure_rate <= 5.0 then 'Failure rate within acceptable threshold' else 'Failure rate exceeds threshold' end as failure_details "
+        "case when failure_rate <= 5.0 then 'rate within the threshold' else 'rate above the threshold' end as failure_details "
         f"from (select count(*) as total_tested, count(case when c_acctbal < 0 then 1 end) as failed_records, "
         f"case when count(*) > 0 then {fr} else 0.0 end as failure_rate from customer)"
     )
@@ -304,16 +348,22 @@ def oracle_sql() -> dict[str, str]:
         f"cast(null as varchar) as failure_details from ({user})"
     )
     contract_patterns = (
-        "select name as test_name, '' as test_description, total_tested, failed_records, "
-        f"case when failed_records = 0 then 'PASS' else 'FAIL' end as pass_fail_status, cast(0.0 as double) as failure_threshold, "
-        f"{O.rate('failed_records', 'total_tested')} as actual_failure_rate, "
-        "case when failed_records = 0 then 'All validations passed' else cast(failed_records as varchar) || ' validation failures found' end as failure_details, "
-        f"{O.rate('total_tested - failed_records', 'total_tested')} as success_rate "
-        f"from ({O.person_patterns(cat.patterns)})"
+        f"select *, {O.rate('total_tested - failed_records', 'total_tested')} as success_rate from ("
+        + O.contract_of(
+            f"select *, case when passed then 'PASS' else 'FAIL' end as status, '' as reason from ({O.person_patterns(cat.patterns)})", "name"
+        )
+        + ")"
+    )
+    untested = O.suite_rollup_of(O.referential_sub(UNTESTED, _present_columns()))
+    error_contract = (
+        f"select e.*, g.pass_fail_status from ({O.result_export(untested)}) e "
+        f"join ({O.threshold_resolution(untested, None, {})}) g using (test_name)"
     )
     out = {
         "result_export": O.result_export(suites),
+        "catalog_tables": O.empty_tables(CATALOG_TABLES),
         "null_columns": O.null_columns(["pat"]),
+        "null_columns_all": O.null_columns(cat.null_tables),
         "null_columns_suite": O.suite_contract(O.null_sub(cat.null_tables)),
         "empty_tables": O.empty_tables(cat.empty_tables, cat.empty_exclude),
         "empty_tables_suite": O.suite_contract(O.empty_sub(cat.empty_tables, cat.empty_exclude)),
@@ -326,6 +376,7 @@ def oracle_sql() -> dict[str, str]:
         "required_fields_multi": O.row_check(REQUIRED_MULTI),
         "range_check": O.row_check(RANGE),
         "range_check_open": O.row_check(RANGE_OPEN),
+        "range_check_expression": O.row_check(RANGE_EXPRESSION),
         **{f"field_comparison_{op}": O.row_check(_cmp(op)) for op in ("gt", "ge", "lt", "le", "eq", "ne")},
         "group_count_check": O.group_count_check(GROUP_COUNT),
         "group_count_groups": O.group_counts(GROUP_COUNT),
@@ -342,6 +393,10 @@ def oracle_sql() -> dict[str, str]:
         "ri_filtered": O.reference_check(RI_FILTERED),
         "ri_filtered_null_keys": O.reference_check(RI_FILTERED_NULLS),
         "ri_filtered_fanout": O.reference_check(RI_FANOUT),
+        "ri_filtered_integrity": O.reference_check(RI_INTEGRITY),
+        "relationship_exists_other_entity": O.relationship_exists(EXISTS_OTHER),
+        "failing_references": O.failing_references(RI_FILTERED_NULLS),
+        "unrelated_entities": O.unrelated_entities(EXISTS_OTHER),
         "relationship_exists": O.relationship_exists(EXISTS),
         "relationship_exists_rows": O.relationship_exists(EXISTS_ROWS),
         "concept_mapping_breakdown": O.concept_breakdown(cat.concepts, cat.terminology),
@@ -354,18 +409,25 @@ def oracle_sql() -> dict[str, str]:
         "zero_failure": zero,
         "threshold_check": thresh,
         "sql_check": sqlc,
+        "sql_check_ungraded": f"select * replace ('PASS' as pass_fail_status) from ({sqlc})",
+        "count_query": (
+            f"select {O.q(COUNT_QUERY.name)} as name, (select count(*) from customer) as total_tested, "
+            f"count(*) as failed_records, avg(n) as avg_count, true as passed from ({COUNT_QUERY.query})"
+        ),
+        "contract_error_suite": error_contract,
         "check_contract": contract_patterns,
         "threshold_resolution": O.threshold_resolution(suites, THRESHOLD_ENV, THRESHOLD_OVERRIDES),
         "suite_rollup": suites,
         "merge_partials": O.merge_partials(cat, CHUNKS),
         "run_summary": O.run_summary(suites),
-        "failure_report": O.failure_report(cat),
+        "failure_report": O.failure_report(replace(cat, relationships=C.RELATIONSHIPS_WITH_MISSING), _present_columns()),
     }
     return {k: W(v) for k, v in out.items()} | LLM_SQL
 
 
 def _present_columns():
-    names = {r.child for r in C.RELATIONSHIPS_WITH_MISSING} | {r.parent for r in C.RELATIONSHIPS_WITH_MISSING}
+    rules = (*C.RELATIONSHIPS_WITH_MISSING, *UNTESTED)
+    names = {r.child for r in rules} | {r.parent for r in rules}
     return {n: O.table_columns(n) for n in names}
 
 

@@ -4,10 +4,11 @@ import datetime as dt
 
 import pytest
 
-from verisift.config import concepts_from_mapping, patterns_from_mapping, relationships_from_mapping, spark_filter
+from verisift.config import concepts_from_mapping, pattern_from_item, patterns_from_mapping, relationships_from_mapping, spark_filter
 from verisift.operators.joins import referential_integrity
 from verisift.plans.fixtures import fixture_tables
 from verisift.plans.suites import person_patterns
+from verisift.rules import UnusableRule
 
 SF = "/root/testdata/sf0.01"
 
@@ -66,8 +67,39 @@ def test_loaded_rules_give_known_counts(spark):
 def test_concepts_and_unknown_type():
     cols = concepts_from_mapping({"concept_mapping_tests": {"tests": [{"source_table": "A", "concept_field": "c"}]}})
     assert [(c.table, c.column) for c in cols] == [("A", "c")]
-    with pytest.raises(ValueError):
-        patterns_from_mapping({"x": {"tests": [{"name": "n", "type": "count_check", "table": "T", "count_query": "select 1"}]}})
+    lost, good = patterns_from_mapping({"x": {"tests": [{"name": "n", "type": "no such type"}, {"name": "u", "type": "uniqueness", "table": "T", "unique_column": "id"}]}})
+    assert isinstance(lost, UnusableRule) and "no such type" in lost.reason and good.column == "id"
+    with pytest.raises(ValueError, match="as_of"):
+        pattern_from_item({"name": "r", "type": "range_validation", "table": "T", "field": "y", "max_value": "YEAR(CURRENT_DATE())"})
+
+
+def _on(condition, base="PERSON", joined="PATIENT_PERSON", **more):
+    item = {"name": "r", "type": "relationship", "base_table": base, "join_table": joined, "join_condition": condition, **more}
+    return pattern_from_item(item).on
+
+
+def test_join_conditions_are_read_whole_or_refused():
+    assert _on('per."id" = pp."person_id"') == (("id", "person_id"),)
+    assert _on('pp."person_id" = per."id"') == (("id", "person_id"),)
+    assert _on("p.id = prr.patient_id and prr.x = p.y", "PATIENT", "PATIENT_REGISTERED_PRACTITIONER_IN_ROLE") == (("id", "patient_id"), ("y", "x"))
+    assert _on("a.id = b.ref", base_alias="b") == (("ref", "id"),)
+    for bad in ('per."id" = pp."person_id" AND pp.kind <> 2', "per.id = pp.person_id or per.id = pp.other", "per.id = per.other", "a.id = b.ref", "", "per.id = pp.person_id and (per.a = pp.a)"):
+        with pytest.raises(ValueError):
+            _on(bad)
+
+
+def test_count_query_of_the_source_format(spark):
+    query = (
+        'SELECT c."c_custkey", COUNT(DISTINCT o."o_orderkey") as n FROM "{source_db}"."MASKED"."customer" c '
+        'LEFT JOIN "{source_db}"."MASKED"."orders" o ON c."c_custkey" = o."o_custkey" AND (o."o_totalprice" IS NULL OR o."o_totalprice" > 1000) '
+        'GROUP BY c."c_custkey" HAVING COUNT(DISTINCT o."o_orderkey") > 12'
+    )
+    items = [{"name": "many", "type": "count_check", "table": "customer", "filter": '"c_acctbal" > 0', "count_query": query}]
+    rules = patterns_from_mapping({"x": {"tests": items}})
+    t = fixture_tables(spark, SF)
+    got = person_patterns(t, rules).collect()[0]
+    want = t["orders"].where("o_totalprice > 1000").groupBy("o_custkey").count().where("count > 12").count()
+    assert (got["failed_records"], got["passed"]) == (want, True) and want > 0
 
 
 def test_completeness_mapping():

@@ -345,7 +345,7 @@ def test_shared_scan_equals_per_suite_plans(spark, pushdown):
 def test_empty_tables_existence_probe(spark):
     t = {"full": spark.range(1000), "none": spark.range(0)}
     res = {r["table_name"]: (r["row_count"], r["is_empty"]) for r in profile.empty_tables(t, existence_only=True).collect()}
-    assert res == {"full": (1, False), "none": (0, True)}
+    assert res == {"full": (None, False), "none": (0, True)}
 
 
 def test_empty_catalog_and_missing_terminology(spark):
@@ -387,13 +387,13 @@ def test_pattern_with_missing_column_is_skipped(spark):
 def test_staged_equals_single_plan(spark):
     from verisift.plans import catalog as C
     from verisift.plans.fixtures import fixture_tables
-    from verisift.plans.shared_scan import shared_sub_results, staged_sub_results
-    from verisift.plans.suites import materialize
+    from verisift.plans.shared_scan import shared_sub_results
+    from verisift.plans.suites import staged_sub_results
 
     t = fixture_tables(spark, "/root/testdata/sf0.01")
-    cols = ["suite", "seq", "rule", "total_tested", "failed_records", "status"]
+    cols = ["suite", "seq", "rule", "total_tested", "failed_records", "status", "reason"]
     lazy = sorted(rows(shared_sub_results(t, C.CATALOG), *cols), key=str)
-    staged = sorted(rows(staged_sub_results(t, C.CATALOG, materialize), *cols), key=str)
+    staged = sorted(rows(staged_sub_results(t, C.CATALOG), *cols), key=str)
     assert lazy == staged and not any(r[0].startswith("__") for r in staged)
 
 
@@ -403,12 +403,13 @@ def test_failure_report_caps_and_order(spark):
     cols = ", ".join(f"c{i:02d} string" for i in range(12))
     wide = spark.createDataFrame([tuple([None] * 12)], cols)
     rules = [CompletenessRule("w", f"c{i:02d}", 100.0) for i in range(5)]
-    rep = failure_report(
+    frames = dict(
         null_columns=profile.null_columns({"w": wide}),
         completeness=profile.column_completeness({"w": wide}, rules, with_seq=True),
     )
-    got = {}
-    for r in rep.collect():
-        got.setdefault(r["section"], []).append((r["seq"], r["item"]))
-    assert [i for _, i in sorted(got["all_null"])] == [f"w.c{i:02d}" for i in range(10)]
-    assert [i for _, i in sorted(got["completeness"])] == [f"w.c{i:02d}" for i in range(3)]
+    for caps, n, m in (({}, 12, 5), ({"top_null_columns": 10, "top_completeness": 3}, 10, 3)):
+        got = {}
+        for r in failure_report(**frames, **caps).collect():
+            got.setdefault(r["section"], []).append((r["seq"], r["item"], r["of_lines"]))
+        assert sorted(got["all_null"]) == [(i + 1, f"w.c{i:02d}", 12) for i in range(n)]
+        assert sorted(got["completeness"]) == [(i + 1, f"w.c{i:02d}", 5) for i in range(m)]

@@ -13,10 +13,12 @@ touches Spark. Three layouts are understood:
 
 Filters written with double-quoted identifiers (``"is_dummy" = FALSE``) are
 rewritten to back-quoted ones, which is what they mean in the source
-warehouse. A bound ``YEAR(CURRENT_DATE())`` becomes the year of ``as_of``
-when given, so results are reproducible. ``count_check`` carries free SQL in
-the source format; here it needs explicit ``group_key``, ``counted`` and,
-for a join, ``joined`` and ``on`` keys.
+warehouse. A bound ``YEAR(CURRENT_DATE())`` becomes the year of ``as_of``, which
+it needs, so results are reproducible. ``count_check`` takes ``group_key``, ``counted``
+and, for a join, ``joined`` and ``on`` keys, or the free SQL of the source format
+(``count_query``), which becomes a ``QueryCount``: Spark runs it as it is, over the
+loaded tables. One rule that can't be read does not lose the others:
+``patterns_from_mapping`` gives it as an ``UnusableRule``, which a run reports as ERROR.
 """
 
 from __future__ import annotations
@@ -31,16 +33,19 @@ from .rules import (
     FieldComparison,
     GroupCount,
     PatternRule,
+    QueryCount,
     RangeCheck,
     ReferenceCheck,
     Relationship,
     RelationshipExists,
     RequiredFields,
     Uniqueness,
+    UnusableRule,
 )
 
 _QUOTED = re.compile(r'"((?:[^"]|"")+)"')
-_EQ_PAIR = re.compile(r'(\w+)\s*\.\s*"?(\w+)"?\s*=\s*(\w+)\s*\.\s*"?(\w+)"?')
+_SIDE = r'(?:"((?:[^"]|"")+)"|(\w+))'
+_TERM = re.compile(rf"^\s*(\w+)\s*\.\s*{_SIDE}\s*=\s*(\w+)\s*\.\s*{_SIDE}\s*$")
 _CURRENT_YEAR = re.compile(r"^\s*year\s*\(\s*current_date\s*(\(\s*\))?\s*\)\s*$", re.I)
 
 # Built-in completeness rules of the source configuration: table, column,
@@ -65,6 +70,13 @@ def spark_filter(text: Optional[str]) -> Optional[str]:
     return _QUOTED.sub(lambda m: "`" + m.group(1).replace('""', '"').replace("`", "``") + "`", str(text))
 
 
+def spark_sql(text: str) -> str:
+    """A query of the source format for Spark: identifiers back-quoted, and tables by
+    their last name part (``"{source_db}"."SCHEMA"."T"`` is the loaded table ``T``)."""
+    text = re.sub(r'"\{?\w+\}?"\s*\.\s*"\w+"\s*\.\s*("\w+")', r"\1", text)
+    return spark_filter(text) or ""
+
+
 def _cast(value: Optional[str], default: Optional[str]) -> Optional[str]:
     if value is None:
         return default
@@ -76,19 +88,73 @@ def _cast(value: Optional[str], default: Optional[str]) -> Optional[str]:
 
 def _bound(value: Any, as_of: Optional[_dt.date]):
     if isinstance(value, str) and _CURRENT_YEAR.match(value):
-        return as_of.year if as_of is not None else "year(current_date())"
+        if as_of is None:
+            raise ValueError("a bound of the current year needs as_of, the date that the run is for")
+        return as_of.year
     return value
 
 
+def _terms(condition: str) -> List[str]:
+    """The parts of a condition between ANDs outside quotes and parentheses."""
+    out, depth, quote, at = [], 0, "", 0
+    for m in re.finditer(r"""["'()]|\band\b""", condition, re.I):
+        c = m[0]
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "\"'":
+            quote = c
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif depth == 0:
+            out.append(condition[at : m.start()])
+            at = m.end()
+    return [*out, condition[at:]]
+
+
+def _base_side(base: str, joined: str, aliases: Tuple[str, str], item: Mapping[str, Any]) -> Optional[int]:
+    """Which of two aliases is the base's: by the aliases given, the tables' names or
+    their initials, else by the letters a name begins with. None if that doesn't tell."""
+    low = [a.lower() for a in aliases]
+
+    def exact(table: str, given: Any) -> Optional[int]:
+        initials = "".join(w[0] for w in table.lower().split("_") if w)
+        return next((low.index(n) for n in (str(given or "").lower(), table.lower(), initials) if n in low), None)
+
+    def begins(table: str) -> Optional[int]:
+        starts = [table.lower().startswith(a) for a in low]
+        return starts.index(True) if sum(starts) == 1 else None
+
+    for find in (exact, lambda table, _: begins(table)):
+        at, other = find(base, item.get("base_alias")), find(joined, item.get("join_alias"))
+        if at != other:
+            return at if at is not None else 1 - other
+    return None
+
+
 def _on_pairs(item: Mapping[str, Any]) -> Tuple[Tuple[str, str], ...]:
-    """Equality pairs ``(base_col, joined_col)`` from ``on`` or a simple join condition."""
+    """Equality pairs ``(base_col, joined_col)`` from ``on`` or a join condition.
+
+    A condition must be ``alias.column = alias.column`` throughout, joined by AND;
+    anything else is refused, never cut down. The base side is found by alias,
+    whichever side of the equality it is written on.
+    """
     if item.get("on"):
         return tuple((str(a), str(b)) for a, b in item["on"])
     cond = item.get("join_condition", "")
-    pairs = _EQ_PAIR.findall(cond)
-    if not pairs:
-        raise ValueError(f"cannot read join condition {cond!r}; give 'on' pairs")
-    return tuple((bc, jc) for _, bc, _, jc in pairs)
+    pairs = []
+    for term in _terms(cond):
+        m = _TERM.match(term)
+        if not m or m[1].lower() == m[4].lower():
+            raise ValueError(f"cannot read join condition {cond!r}; give 'on' pairs")
+        left, right = (m[1], m[2] or m[3]), (m[4], m[5] or m[6])
+        aliases = (left[0], right[0])
+        base, joined = item.get("base_table", item.get("table", "")), item.get("join_table", item.get("joined", ""))
+        at = _base_side(base, joined, aliases, item)
+        if at is None:
+            raise ValueError(f"cannot tell the sides of {cond!r} apart; give 'on' pairs or 'base_alias'")
+        sides = (left, right) if at == 0 else (right, left)
+        pairs.append((sides[0][1].replace('""', '"'), sides[1][1].replace('""', '"')))
+    return tuple(pairs)
 
 
 def relationships_from_mapping(doc: Mapping[str, Any]) -> List[Relationship]:
@@ -156,7 +222,7 @@ def pattern_from_item(item: Mapping[str, Any], as_of: Optional[_dt.date] = None)
     if kind == "referential_integrity":
         return ReferenceCheck(
             name, item["source_table"], item["source_key"], item["reference_table"], item.get("reference_key", "id"),
-            filter=flt, exclude_null_keys=True, mode=item.get("mode", "integrity"), description=desc,
+            filter=flt, exclude_null_keys=bool(item.get("exclude_null_keys", True)), mode=item.get("mode", "integrity"), description=desc,
         )
     if kind == "field_comparison":
         return FieldComparison(
@@ -164,8 +230,10 @@ def pattern_from_item(item: Mapping[str, Any], as_of: Optional[_dt.date] = None)
             filter=flt, exclude_empty=bool(item.get("exclude_empty", True)), description=desc,
         )
     if kind == "count_check":
+        if item.get("count_query"):
+            return QueryCount(name, item["table"], spark_sql(item["count_query"]), filter=flt, description=desc)
         if "group_key" not in item or "counted" not in item:
-            raise ValueError(f"count_check {name!r} needs 'group_key' and 'counted' (free SQL is not accepted)")
+            raise ValueError(f"count_check {name!r} needs 'count_query', or 'group_key' and 'counted'")
         return GroupCount(
             name, item["table"], item["group_key"], item["counted"], joined=item.get("joined"),
             on=_on_pairs(item) if item.get("joined") else (), join_filter=spark_filter(item.get("join_filter")),
@@ -179,6 +247,9 @@ def patterns_from_mapping(doc: Mapping[str, Any], as_of: Optional[_dt.date] = No
     for body in doc.values():
         if not isinstance(body, Mapping):
             continue
-        for item in body.get("tests", []) or []:
-            out.append(pattern_from_item(item, as_of))
+        for k, item in enumerate(body.get("tests", []) or []):
+            try:
+                out.append(pattern_from_item(item, as_of))
+            except (KeyError, ValueError) as e:
+                out.append(UnusableRule(str(item.get("name") or f"rule {k}"), f"{type(e).__name__}: {e.args[0] if e.args else e}"))
     return out

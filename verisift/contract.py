@@ -31,7 +31,10 @@ CONTRACT_COLUMNS = (
 )
 
 # Per-rule result rows that roll up into suites.
-SUB_RESULT_COLUMNS = ("suite", "seq", "rule", "total_tested", "failed_records", "status")
+SUB_RESULT_COLUMNS = ("suite", "seq", "rule", "total_tested", "failed_records", "status", "reason")
+SUB_RESULT_SCHEMA = (
+    "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string, reason string"
+)
 
 STATUSES = ("PASS", "FAIL", "ERROR", "SKIPPED")
 
@@ -47,9 +50,9 @@ def _col(value: ColumnLike) -> Column:
 
 
 def normalise_status(status: Column) -> Column:
-    """PASS / FAIL kept (case-insensitive); anything else, NULL included, is ERROR."""
+    """A known status kept (case-insensitive); anything else, NULL included, is ERROR."""
     up = F.upper(F.trim(status))
-    return F.when(up.isin("PASS", "FAIL"), up).otherwise(F.lit("ERROR"))
+    return F.when(up.isin(*STATUSES), up).otherwise(F.lit("ERROR"))
 
 
 def success_rate(total: Column, failed: Column) -> Column:
@@ -81,11 +84,12 @@ def to_contract(
 ) -> DataFrame:
     """Project any per-check frame onto the contract.
 
-    * ``status`` given: normalised (PASS/FAIL, else ERROR); otherwise graded
-      against ``threshold`` (percent).
+    * ``status`` given: the check's own verdict, kept (ERROR and SKIPPED too);
+      otherwise graded against ``threshold`` (percent).
     * ``failure_rate`` given: used, but recomputed as failed/total*100 when it
       is 0 and something failed; otherwise computed.
-    * ``details`` defaults to a count sentence.
+    * ``details`` defaults to the failure count; a ``reason`` column, where the
+      frame has one, replaces it on ERROR and SKIPPED rows.
     * ``name`` may be a column name or a Column; ``description`` is literal text
       unless it is a Column.
     """
@@ -102,9 +106,9 @@ def to_contract(
         )
     st = normalise_status(_col(status)) if status is not None else graded_status(tot, fail, thr)
     if details is None:
-        det = F.when(fail == 0, F.lit("All validations passed")).otherwise(
-            F.concat(fail.cast("string"), F.lit(" validation failures found"))
-        )
+        det = F.when(fail == 0, F.lit("no failures")).otherwise(F.concat(fail.cast("string"), F.lit(" failed")))
+        if "reason" in df.columns:
+            det = F.when(st.isin("ERROR", "SKIPPED"), F.col("reason")).otherwise(det)
     else:
         det = _col(details).cast("string")
     cols = [
@@ -125,12 +129,23 @@ def to_contract(
 
 
 def check_contract(df: DataFrame, *, name_col: str = "name", description: str = "") -> DataFrame:
-    """A1 over a per-rule check frame (``name, total_tested, failed_records``)."""
+    """A1 over a per-rule check frame (``name, total_tested, failed_records``).
+
+    The check's verdict stands: ``status`` if the frame has it, else ``passed``
+    (an informational check passes whatever it counted); only a frame with
+    neither is graded from its counts.
+    """
+    status = None
+    if "status" in df.columns:
+        status = F.col("status")
+    elif "passed" in df.columns:
+        status = F.when(F.col("passed"), F.lit("PASS")).when(~F.col("passed"), F.lit("FAIL"))
     return to_contract(
         df,
         name=name_col,
         description=description,
         total="total_tested",
         failed="failed_records",
+        status=status,
         with_success_rate=True,
     )

@@ -25,6 +25,15 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal (default escaping: backslash sequences)."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def as_predicate(pred: Predicate) -> Optional[Column]:
     """A SQL predicate string or a Column; ``None``/empty means "no filter"."""
     if pred is None:
@@ -114,8 +123,18 @@ def key_family(dtype: T.DataType) -> Optional[str]:
 
 
 def common_key_type(left: T.DataType, right: T.DataType) -> Optional[str]:
-    """Cast target under which two key columns can share a fused join."""
+    """Cast target under which two key columns can share a fused join.
+
+    Keys of different types (a number against a text) are compared as text, as
+    concept codes are: native equality would raise on a text that is no number.
+    """
     lf, rf = key_family(left), key_family(right)
     if lf is not None and lf == rf:
         return lf
+    if left != right and not (_is_number(left) and _is_number(right)):
+        return "string"
     return None
+
+
+def _is_number(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.NumericType)

@@ -6,13 +6,12 @@ Design points that matter at scale:
   ``(rule, key, n)`` with map-side partial aggregation before any shuffle, so a
   key that holds a third of the table arrives at the join as one row per map
   partition, never as a hot partition. The same holds for concept codes.
-* **One join for many rules.** All relationships whose keys share a type family
-  (integral -> BIGINT, string -> string) go through a single left join of the
-  union of every child's pre-aggregated keys against the union of every
-  parent's distinct keys, joined on ``(parent tag, key)``. A child table is
-  scanned once whatever number of foreign keys it carries (``explode`` of an
-  array of tagged keys), a parent once whatever number of rules point at it.
-  Keys of other types keep a per-rule join with their native equality.
+* **One grouping for many rules.** All relationships whose keys share a type
+  family (integral -> BIGINT, string or mixed -> string) go through a single
+  ``groupBy(parent tag, key)`` over the stacked keys of all children and parents.
+  A child table is scanned once whatever number of foreign keys it carries
+  (``explode`` of an array of tagged keys). Keys of other types keep a per-rule
+  join with their native equality.
 * **Broadcast is left to AQE**, which decides from measured shuffle sizes; the
   only frames hinted are built from the rule list itself (size bounded by the
   number of rules, not by data).
@@ -27,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..contract import SUB_RESULT_SCHEMA
 from ..functions.frames import literal_frame
 from ..functions import all_of, any_of, qcol, common_key_type, pct, sum_long, top_k_per_group
 from ..rules import (
@@ -98,30 +98,55 @@ def _tagged_child_keys(
     )
 
 
+# Rules that share one aggregate row per key; more rules of one parent take a
+# second pass over its keys rather than wider rows.
+RULES_PER_KEY = 16
+
+
 def _fused_family(
     tables: Mapping[str, DataFrame], items: Sequence[Tuple[int, Relationship]], key_type: str
 ) -> DataFrame:
-    """Keyed result ``rule_id, key, n, found`` for rules sharing one key type."""
-    parents: "OrderedDict[Tuple[str, str], int]" = OrderedDict()
+    """Keyed result ``rule_id, key, n, found`` for rules sharing one key type.
+
+    Child and parent keys are stacked and grouped once by ``(parent tag, key)``:
+    a flag tells whether the parent has the key, and each rule counts its child
+    rows in a slot of its own. Partial aggregation before that one shuffle makes
+    a hot key one row per map partition, and no join follows.
+    """
+    parents: "OrderedDict[Tuple[str, str, int], int]" = OrderedDict()
     by_child: "OrderedDict[str, List[Tuple[int, int, Relationship]]]" = OrderedDict()
+    used: Dict[Tuple[str, str], int] = {}
+    rule_at: Dict[Tuple[int, int], int] = {}
     for rid, r in items:
-        ptag = parents.setdefault((r.parent, r.key), len(parents))
-        by_child.setdefault(r.child, []).append((ptag, rid, r))
-    child_keys = _union_all(
+        k = used.get((r.parent, r.key), 0)
+        used[(r.parent, r.key)] = k + 1
+        ptag = parents.setdefault((r.parent, r.key, k // RULES_PER_KEY), len(parents))
+        slot = k % RULES_PER_KEY
+        rule_at[(ptag, slot)] = rid
+        by_child.setdefault(r.child, []).append((ptag, slot, r))
+    rows = _union_all(
         [_tagged_child_keys(tables[c], its, key_type) for c, its in by_child.items()]
-    )
-    pre = child_keys.groupBy("ptag", "rule_id", "key").agg(F.count(F.lit(1)).alias("n"))
-    parent_keys = _union_all(
-        [
+        + [
             tables[p].where(tables[p][k].isNotNull()).select(
-                F.lit(tag).alias("ptag"), tables[p][k].cast(key_type).alias("key")
+                F.lit(tag).alias("ptag"), F.lit(None).cast("int").alias("rule_id"), tables[p][k].cast(key_type).alias("key")
             )
-            for (p, k), tag in parents.items()
+            for (p, k, _), tag in parents.items()
         ]
-    ).distinct().withColumn("found", F.lit(True))
-    return pre.join(parent_keys, ["ptag", "key"], "left").select(
-        "rule_id", F.col("key").cast("string").alias("key"), "n", "found"
     )
+    slots = sorted({slot for _, slot in rule_at})
+    grouped = rows.groupBy("ptag", "key").agg(
+        F.bool_or(F.col("rule_id").isNull()).alias("found"),
+        *[F.count_if(F.col("rule_id") == s).alias(f"__n{s}") for s in slots],
+    )
+    each = F.expr("array(" + ", ".join(f"named_struct('slot', {s}, 'n', __n{s})" for s in slots) + ")")
+    numbered = literal_frame(
+        _spark(tables), [(t, s, rid) for (t, s), rid in rule_at.items()], "ptag int, slot int, rule_id int"
+    )
+    counted = grouped.select("ptag", "key", "found", F.explode(F.filter(each, lambda e: e["n"] > 0)).alias("e"))
+    # The frame of rule numbers has one row per rule: bounded by configuration.
+    return counted.select("ptag", "key", F.when(F.col("found"), F.lit(True)).alias("found"), F.col("e.slot").alias("slot"), F.col("e.n").alias("n")).join(
+        F.broadcast(numbered), ["ptag", "slot"]
+    ).select("rule_id", F.col("key").cast("string").alias("key"), "n", "found")
 
 
 def _single_rule(tables: Mapping[str, DataFrame], rid: int, r: Relationship) -> DataFrame:
@@ -279,6 +304,7 @@ def referential_sub_results(
         F.col("non_null_fk").alias("total_tested"),
         F.col("violation_count").alias("failed_records"),
         "status",
+        "reason",
     )
 
 
@@ -345,7 +371,9 @@ def reference_check(tables: Mapping[str, DataFrame], rule: ReferenceCheck) -> Da
         .groupBy(parent[rule.key].alias("__pk"))
         .agg(F.count(F.lit(1)).alias("m"))
     )
-    joined = kids.join(par, kids["__k"] == par["__pk"], "left")
+    kind = common_key_type(_field_type(child, rule.fk), _field_type(parent, rule.key))
+    own, theirs = kids["__k"], par["__pk"]
+    joined = kids.join(par, own.cast(kind) == theirs.cast(kind) if kind else own == theirs, "left")
     counts = joined.agg(
         sum_long(F.col("n") * F.coalesce(F.col("m"), F.lit(1))).alias("total_tested"),
         sum_long(F.when(F.col("m").isNull(), F.col("n"))).alias("failed_records"),
@@ -359,44 +387,97 @@ def reference_check(tables: Mapping[str, DataFrame], rule: ReferenceCheck) -> Da
 # ----------------------------------------------------------------------------- J3
 
 
+# Parts that the entities of one unmatched key are dealt into.
+SALTS = 32
+
+
+def _base_keys(rule: RelationshipExists) -> List[Column]:
+    return [F.col(bc).alias(f"__b{i}") for i, (bc, _) in enumerate(rule.on)]
+
+
+def _all_keys(rule: RelationshipExists) -> Column:
+    return all_of(*[F.col(f"__b{i}").isNotNull() for i in range(len(rule.on))])
+
+
+def _joined_keys(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
+    return (
+        tables[rule.joined].where(all_of(*[F.col(jc).isNotNull() for _, jc in rule.on]))
+        .select(*[F.col(jc).alias(f"__j{i}") for i, (_, jc) in enumerate(rule.on)])
+        .distinct()
+        .withColumn("__found", F.lit(True))
+    )
+
+
+def _on(rule: RelationshipExists) -> Column:
+    return all_of(*[F.col(f"__b{i}") == F.col(f"__j{i}") for i in range(len(rule.on))])
+
+
+def _unrelated(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
+    """``__e``: the distinct entities of which some row has no match."""
+    base = tables[rule.base].where(all_of(rule.filter)).where(F.col(rule.entity).isNotNull())
+    rows = base.select(*_base_keys(rule), F.col(rule.entity).alias("__e"))
+    joined = _joined_keys(tables, rule)
+    if len(rule.on) == 1 and rule.on[0][0] == rule.entity:
+        keys = rows.select("__b0", "__e").distinct()
+        return keys.join(joined, _on(rule), "left_anti").select("__e")
+    n = len(rule.on)
+    lone = rows.where(_all_keys(rule)).select(*[f"__b{i}" for i in range(n)]).distinct().join(joined, _on(rule), "left_anti")
+    salted = lone.select(*[F.col(f"__b{i}").alias(f"__k{i}") for i in range(n)], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    pairs = rows.where(_all_keys(rule)).distinct().withColumn("__part", F.pmod(F.xxhash64("__e"), F.lit(SALTS)).cast("int"))
+    hit = all_of(F.col("__part") == F.col("__salt"), *[F.col(f"__b{i}") == F.col(f"__k{i}") for i in range(n)])
+    return pairs.join(salted, hit, "left_semi").select("__e").union(rows.where(~_all_keys(rule)).select("__e")).distinct()
+
+
+def unrelated_entities(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
+    """J6 for J3: ``rule, entity``, every base entity with no related row, as text."""
+    return _unrelated(tables, rule).select(F.lit(rule.name).alias("rule"), F.col("__e").cast("string").alias("entity"))
+
+
+def failing_references(tables: Mapping[str, DataFrame], rule: ReferenceCheck) -> DataFrame:
+    """J6 for J2: ``rule, key, n_records``, the keys (NULL too, unless excluded) of rows without a parent."""
+    child, parent = tables[rule.child], tables[rule.parent]
+    keys_only = rule.exclude_null_keys or rule.mode == "integrity"
+    kids = child.where(all_of(rule.filter)).groupBy(child[rule.fk].alias("__k")).agg(F.count(F.lit(1)).alias("n_records"))
+    kind = common_key_type(_field_type(child, rule.fk), _field_type(parent, rule.key))
+    own, theirs = F.col("__k"), parent[rule.key]
+    if kind:
+        own, theirs = own.cast(kind), theirs.cast(kind)
+    par = parent.where(parent[rule.key].isNotNull()).select(theirs.alias("__pk")).distinct()
+    lone = kids.join(par, own == F.col("__pk"), "left_anti")
+    if keys_only:
+        lone = lone.where(F.col("__k").isNotNull())
+    return lone.select(F.lit(rule.name).alias("rule"), F.col("__k").cast("string").alias("key"), "n_records")
+
+
 def relationship_exists(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
     """Base entities (default) or rows with no matching ``joined`` row.
 
     Both sides are reduced before the join: the joined side to its distinct
-    key tuples, the base side to ``(keys, n)`` (rows mode) or to distinct
-    ``(keys, entity)`` pairs (entities mode). A key repeated on a third of the
-    base rows therefore reaches the join as one row, and the left join never
-    fans out. A NULL key never matches, as in SQL.
+    key tuples, the base side to ``(keys, n)`` (rows mode) or, where the entity
+    is the key, to its distinct values. Otherwise distinct base keys are joined
+    first, and the keys without a match are handed to their ``(keys, entity)``
+    pairs in ``SALTS`` parts each, so a key on a third of the base rows is spread
+    over as many tasks. Rows with a NULL key never match, as in SQL; they skip
+    the join.
     """
     base = tables[rule.base].where(all_of(rule.filter))
-    joined = tables[rule.joined]
-    keys = [F.col(bc).alias(f"__b{i}") for i, (bc, _) in enumerate(rule.on)]
-    jkeys = (
-        joined.where(all_of(*[F.col(jc).isNotNull() for _, jc in rule.on]))
-        .select(*[F.col(jc).alias(f"__j{i}") for i, (_, jc) in enumerate(rule.on)])
-        .distinct()
-        .withColumn("__found", F.lit(True))
-    )
-    cond = all_of(*[F.col(f"__b{i}") == F.col(f"__j{i}") for i in range(len(rule.on))])
-    missing = F.col("__found").isNull()
     if rule.count == "rows":
-        pre = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        counts = pre.join(jkeys, cond, "left").agg(
+        pre = base.groupBy(*_base_keys(rule)).agg(F.count(F.lit(1)).alias("__n"))
+        missing = F.col("__found").isNull()
+        whole = pre.where(_all_keys(rule)).join(_joined_keys(tables, rule), _on(rule), "left")
+        counts = whole.select("__n", missing.alias("__miss")).unionByName(
+            pre.where(~_all_keys(rule)).select("__n", F.lit(True).alias("__miss"))
+        ).agg(
             sum_long(F.col("__n")).alias("total_tested"),
-            sum_long(F.when(missing, F.col("__n"))).alias("failed_records"),
+            sum_long(F.when(F.col("__miss"), F.col("__n"))).alias("failed_records"),
         )
     elif rule.count == "entities":
-        pre = (
-            base.where(F.col(rule.entity).isNotNull())
-            .select(*keys, F.col(rule.entity).alias("__e"))
-            .distinct()
-        )
-        counts = (
-            pre.join(jkeys, cond, "left")
-            .groupBy("__e")
-            .agg(F.bool_or(missing).alias("__miss"))
-            .agg(F.count(F.lit(1)).alias("total_tested"), F.count_if(F.col("__miss")).alias("failed_records"))
+        total = base.agg(F.count_distinct(F.col(rule.entity)).alias("total_tested")).select(
+            "total_tested", F.lit(None).cast("bigint").alias("failed_records")
         )
+        failed = _unrelated(tables, rule).agg(F.lit(None).cast("bigint").alias("total_tested"), F.count(F.lit(1)).alias("failed_records"))
+        # Two single-row aggregates stacked and folded.
+        counts = total.unionByName(failed).agg(F.max("total_tested").alias("total_tested"), F.max("failed_records").alias("failed_records"))
     else:
         raise ValueError(f"count must be 'entities' or 'rows', not {rule.count!r}")
     tot, fail = F.col("total_tested"), F.col("failed_records")
@@ -411,18 +492,8 @@ def _tagged_codes(df: DataFrame, items: Sequence[Tuple[int, ConceptColumn]], key
     def k(c):
         return c.cast(key_type) if key_type else c
 
-    if len(items) == 1:
-        rid, cc = items[0]
-        col = qcol(cc.column)
-        return df.where(col.isNotNull()).select(F.lit(rid).alias("rule_id"), k(col).alias("code"))
-    elems = [
-        F.when(qcol(cc.column).isNotNull(), F.struct(F.lit(rid).alias("rule_id"), k(qcol(cc.column)).alias("code")))
-        for rid, cc in items
-    ]
-    pre = df.where(any_of(qcol(cc.column).isNotNull() for _, cc in items))
-    return pre.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e")).select(
-        "e.rule_id", "e.code"
-    )
+    elems = [F.struct(F.lit(rid).alias("rule_id"), k(qcol(cc.column)).alias("code")) for rid, cc in items]
+    return df.select(F.explode(F.array(*elems)).alias("e")).select("e.rule_id", "e.code")
 
 
 def _concept_flags(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Terminology, key_type: Optional[str]) -> DataFrame:
@@ -431,40 +502,34 @@ def _concept_flags(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Te
     Map rows are kept as they are (duplicates fan out, as in the reference's
     row counts). Output per joined row: ``rule_id, code, n`` and four flags.
 
-    The codes in use are few next to a terminology map, so the map is first
-    semi-joined to the distinct codes (and the concepts to the targets those
-    map rows reach). The semi joins filter the large tables where they are
-    read — the small side is broadcast when its measured size allows — so the
-    outer joins only ever see the relevant map and concept rows.
+    A source is read once: its aggregate keeps the NULL code too, whose count
+    makes up the row total. The NULL code meets no map row and has no flag.
     """
     src = cmap[term.map_source]
-    m = cmap.select(
+    m = cmap.where(src.isNotNull()).select(
         (src.cast(key_type) if key_type else src).alias("__src"),
         cmap[term.map_target].alias("__tgt"),
         F.lit(True).alias("__has_map"),
     )
-    used = pre.select(F.col("code").alias("__src")).distinct()
-    m = m.join(used, "__src", "left_semi")
-    c = concept.select(
+    c = concept.where(concept[term.concept_id].isNotNull()).select(
         concept[term.concept_id].alias("__cid"),
         concept[term.concept_display].alias("__display"),
         concept[term.concept_code].alias("__ccode"),
         F.lit(True).alias("__has_concept"),
     )
-    reached = m.where(F.col("__tgt").isNotNull()).select(F.col("__tgt").alias("__cid")).distinct()
-    c = c.join(reached, "__cid", "left_semi")
     j = pre.join(m, pre["code"] == m["__src"], "left").join(c, F.col("__tgt") == F.col("__cid"), "left")
+    coded = F.col("code").isNotNull()
     has_map = F.col("__has_map").isNotNull()
     has_concept = F.col("__has_concept").isNotNull()
     return j.select(
         "rule_id",
         "code",
         "n",
-        (~has_map).alias("no_map"),
-        (has_map & ~has_concept).alias("no_concept"),
+        (coded & ~has_map).alias("no_map"),
+        (coded & has_map & ~has_concept).alias("no_concept"),
         (has_concept & F.col("__display").isNull()).alias("null_display"),
         (has_concept & F.col("__ccode").isNull()).alias("null_code"),
-        (F.col("__display").isNull() | F.col("__ccode").isNull()).alias("missing_display_data"),
+        (coded & (F.col("__display").isNull() | F.col("__ccode").isNull())).alias("no_label"),
     )
 
 
@@ -482,7 +547,7 @@ def concept_flags(
             _spark(tables),
             [],
             "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
-            "null_display boolean, null_code boolean, missing_display_data boolean",
+            "null_display boolean, null_code boolean, no_label boolean",
         )
     reason = _terminology_missing(tables, term)
     if reason:
@@ -508,7 +573,7 @@ def concept_flags(
             _spark(tables),
             [],
             "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
-            "null_display boolean, null_code boolean, missing_display_data boolean",
+            "null_display boolean, null_code boolean, no_label boolean",
         )
     return out
 
@@ -549,23 +614,30 @@ def _concept_meta(
 
 
 def concept_mapping_breakdown(
-    tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn], term: Terminology = Terminology()
+    tables: Mapping[str, DataFrame],
+    columns: Sequence[ConceptColumn],
+    term: Terminology = Terminology(),
+    *,
+    with_sections: bool = False,
 ) -> DataFrame:
     """Per column the 12 metrics over joined (fanned) rows with non-NULL code.
 
     ``total_records, distinct_ids, failed_records, failed_ids, no_map_records,
     no_map_ids, no_concept_records, no_concept_ids, null_display_records,
     null_display_ids, null_code_records, null_code_ids``. A NULL-display and a
-    NULL-code row counts in both buckets.
+    NULL-code row counts in both buckets. ``with_sections`` adds
+    ``mapping_records, mapping_ids`` (no map, no concept or NULL code).
     """
-    flags = concept_flags(tables, columns, term)
+    flags = concept_flags(tables, columns, term).where(F.col("code").isNotNull())
     spec = {
-        "failed": F.col("no_map") | F.col("no_concept") | F.col("missing_display_data"),
+        "failed": F.col("no_map") | F.col("no_concept") | F.col("no_label"),
         "no_map": F.col("no_map"),
         "no_concept": F.col("no_concept"),
         "null_display": F.col("null_display"),
         "null_code": F.col("null_code"),
     }
+    if with_sections:
+        spec["mapping"] = F.col("no_map") | F.col("no_concept") | F.col("null_code")
     lvl1 = _per_code(flags, spec)
     aggs = [sum_long(F.col("rows")).alias("total_records"), F.count(F.lit(1)).alias("distinct_ids")]
     for name in spec:
@@ -582,29 +654,12 @@ def concept_mapping_breakdown(
     ).withColumn("passed", F.col("failed_records") == 0)
 
 
-def _table_stats(tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn]) -> DataFrame:
-    """``rule_id, total_records`` from one ``count(1)`` per source table."""
-    by_table: "OrderedDict[str, List[int]]" = OrderedDict()
-    for rid, cc in enumerate(columns):
-        if cc.table in tables and cc.column in tables[cc.table].columns:
-            by_table.setdefault(cc.table, []).append(rid)
-    frames = []
-    for t, rids in by_table.items():
-        rows = F.array(*[F.struct(F.lit(r).alias("rule_id"), F.col("__all").alias("total_records")) for r in rids])
-        frames.append(tables[t].agg(F.count(F.lit(1)).alias("__all")).select(F.inline(rows)))
-    out = _union_all(frames)
-    if out is None:
-        out = literal_frame(_spark(tables), [], "rule_id int, total_records bigint")
-    return out
-
-
 def concept_mapping_rates(
     tables: Mapping[str, DataFrame],
     columns: Sequence[ConceptColumn],
     term: Terminology = Terminology(),
     *,
     with_meta: bool = False,
-    totals: Optional[DataFrame] = None,
 ) -> DataFrame:
     """``name, total_records, non_null_records, mapping_failures,
     distinct_missing_mappings, display_failures, distinct_display_failures,
@@ -617,21 +672,18 @@ def concept_mapping_rates(
     flags = concept_flags(tables, columns, term)
     spec = {
         "mapping": F.col("no_map"),
-        "display": ~F.col("no_map") & F.col("__has_c") & F.col("missing_display_data"),
-        "total": F.col("no_map") | ~F.col("__has_c") | F.col("missing_display_data"),
+        "display": F.col("null_display") | F.col("null_code"),
+        "total": F.col("no_map") | F.col("no_concept") | F.col("no_label"),
     }
-    flags = flags.withColumn("__has_c", ~F.col("no_map") & ~F.col("no_concept"))
     lvl1 = _per_code(flags, spec)
     per_rule = lvl1.groupBy("rule_id").agg(
-        sum_long(F.col("n0")).alias("non_null_records"),
+        sum_long(F.col("n0")).alias("total_records"),
+        sum_long(F.when(F.col("code").isNotNull(), F.col("n0"))).alias("non_null_records"),
         *[sum_long(F.col(f"rows_{n}")).alias(f"{n}_rows") for n in spec],
         *[F.count_if(F.col(f"any_{n}")).alias(f"{n}_ids") for n in spec],
     )
     meta = _concept_meta(_spark(tables), columns)
-    stats = totals if totals is not None else _table_stats(tables, columns)
-    res = meta.join(stats, "rule_id", "left").join(
-        per_rule, "rule_id", "left"
-    )
+    res = meta.join(per_rule, "rule_id", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     tot, nn, fails = z("total_records"), z("non_null_records"), z("total_rows")
     out = res.select(
@@ -656,18 +708,17 @@ def concept_mapping_rates(
     return out
 
 
-def concept_sub_results(
-    tables, columns: Sequence[ConceptColumn], term: Terminology, totals: Optional[DataFrame] = None
-) -> DataFrame:
+def concept_sub_results(tables, columns: Sequence[ConceptColumn], term: Terminology) -> DataFrame:
     """Suite rows; a missing source column is SKIPPED, missing terminology tables make every rule ERROR."""
     spark = _spark(tables)
-    if columns and _terminology_missing(tables, term):
+    why = _terminology_missing(tables, term)
+    if columns and why:
         return literal_frame(
             spark,
-            [("concept_mapping", rid, cc.label, None, None, "ERROR") for rid, cc in enumerate(columns)],
-            "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string",
+            [("concept_mapping", rid, cc.label, None, None, "ERROR", why) for rid, cc in enumerate(columns)],
+            SUB_RESULT_SCHEMA,
         )
-    rates = concept_mapping_rates(tables, columns, term, with_meta=True, totals=totals)
+    rates = concept_mapping_rates(tables, columns, term, with_meta=True)
     reasons = _concept_meta(spark, columns, tables).select("rule_id", "reason")
     # One row per concept column: bounded by configuration.
     return rates.join(F.broadcast(reasons), "rule_id").select(
@@ -680,6 +731,7 @@ def concept_sub_results(
         .when(F.col("passed"), F.lit("PASS"))
         .otherwise(F.lit("FAIL"))
         .alias("status"),
+        "reason",
     )
 
 
@@ -693,14 +745,14 @@ def concept_failing_codes(
     it has no map row, a map row without concept, or a concept with a NULL
     display or code.
     """
-    flags = concept_flags(tables, columns, term)
+    flags = concept_flags(tables, columns, term).where(F.col("code").isNotNull())
     per_code = flags.groupBy("rule_id", "code").agg(
         F.max("n").alias("n_records"),
         F.bool_or("no_map").alias("no_map"),
         F.bool_or("no_concept").alias("no_concept"),
         F.bool_or("null_display").alias("null_display"),
         F.bool_or("null_code").alias("null_code"),
-        F.bool_or(F.col("no_map") | F.col("no_concept") | F.col("missing_display_data")).alias("__failed"),
+        F.bool_or(F.col("no_map") | F.col("no_concept") | F.col("no_label")).alias("__failed"),
     )
     names = _concept_meta(_spark(tables), columns).select("rule_id", F.col("name").alias("rule"))
     # The rule-name frame has one row per concept column: bounded by configuration.

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import qcol
+from ..functions.columns import sql_ident, sql_str
 from ..functions.frames import literal_frame
-from ..contract import to_contract
+from ..contract import SUB_RESULT_SCHEMA, to_contract
 from ..rules import CompletenessRule
 
 NULL_COLUMNS_SCHEMA = T.StructType(
@@ -78,21 +79,18 @@ def _table_null_counts(name: str, df: DataFrame, seq0: int = 0) -> Optional[Data
     columns = list(df.columns)
     if not columns:
         return None
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count(qcol(c)).alias(f"__nn{i}") for i, c in enumerate(columns)]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(seq0 + i).alias("seq"),
-                F.lit(name).alias("table_name"),
-                F.lit(c).alias("column_name"),
-                F.col("__rows").alias("total_rows"),
-                F.col(f"__nn{i}").alias("non_null_count"),
-            )
-            for i, c in enumerate(columns)
-        ]
+    counts = ", ".join(f"count({sql_ident(c)})" for c in columns)
+    names = ", ".join(sql_str(c) for c in columns)
+    # One array of counts, unpivoted by position: a wide table costs a few calls
+    # to build, and a projection of a handful of columns, not of one per column.
+    one = df.agg(F.expr("count(1) as __rows"), F.expr(f"array({counts}) as __nn"))
+    return one.select("__rows", F.expr("posexplode(__nn) as (__at, non_null_count)"), F.expr(f"array({names}) as __names")).select(
+        (F.col("__at") + F.lit(seq0)).alias("seq"),
+        F.lit(name).alias("table_name"),
+        F.get("__names", F.col("__at")).alias("column_name"),
+        F.col("__rows").alias("total_rows"),
+        "non_null_count",
     )
-    return df.agg(*aggs).select(F.inline(rows))
 
 
 def _null_counts(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
@@ -143,15 +141,15 @@ def null_columns_sub_results(
         F.col("total_rows").alias("total_tested"),
         (F.col("total_rows") - F.col("non_null_count")).alias("failed_records"),
         F.when(all_null, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+        F.lit(None).cast("string").alias("reason"),
     )
     n_cols = sum(len(tables[n].columns) for n in names if n in tables)
     missing = [(i, n) for i, n in enumerate(names) if n not in tables]
     if missing:
         err = literal_frame(
             spark,
-            [("null_columns", n_cols + i, n, None, None, "ERROR") for i, n in missing],
-            "suite string, seq int, rule string, total_tested bigint, "
-            "failed_records bigint, status string",
+            [("null_columns", n_cols + i, n, None, None, "ERROR", f"table {n} not found") for i, n in missing],
+            SUB_RESULT_SCHEMA,
         )
         ok = ok.unionByName(err)
     return ok
@@ -190,8 +188,8 @@ def empty_tables(
 
     ``count(1)`` reads no column data from parquet (row counts come from the
     row-group metadata). With ``existence_only`` each table is probed with
-    ``limit(1)`` instead — the scan stops at the first row — and
-    ``row_count`` is 0 or 1.
+    ``limit(1)`` instead: the scan stops at the first row, and ``row_count``
+    is NULL (not known) unless the table is empty.
     """
     names = list(names) if names is not None else list(tables)
     names = table_names_excluding([n for n in names if n in tables], exclude)
@@ -202,7 +200,7 @@ def empty_tables(
     frames = [
         probe(tables[n]).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(n).alias("table_name"),
-            F.col("row_count"),
+            (F.when(F.col("row_count") == 0, F.lit(0)).cast("bigint") if existence_only else F.col("row_count")).alias("row_count"),
             (F.col("row_count") == 0).alias("is_empty"),
         )
         for n in names
@@ -232,14 +230,14 @@ def empty_tables_sub_results(
             "failed_records"
         ),
         F.when(F.col("is_empty"), F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+        F.lit(None).cast("string").alias("reason"),
     )
     missing = [(i, n) for i, n in enumerate(kept) if n not in tables]
     if missing:
         err = literal_frame(
             spark,
-            [("empty_tables", i, n, None, None, "ERROR") for i, n in missing],
-            "suite string, seq int, rule string, total_tested bigint, "
-            "failed_records bigint, status string",
+            [("empty_tables", i, n, None, None, "ERROR", f"table {n} not found") for i, n in missing],
+            SUB_RESULT_SCHEMA,
         )
         ok = ok.unionByName(err)
     return ok
@@ -342,10 +340,27 @@ def column_completeness_sub_results(
             F.col("total_rows").alias("total_tested"),
             F.col("missing_rows").alias("failed_records"),
             F.col("status"),
+            _completeness_reason(tables, rules).alias("reason"),
         )
     )
 
 
+def completeness_reason(tables: Mapping[str, DataFrame], rule: CompletenessRule) -> str:
+    """Why a rule that is an ERROR has no rate."""
+    if rule.table not in tables:
+        return f"table {rule.table} not found"
+    if rule.column not in tables[rule.table].columns:
+        return f"column {rule.table}.{rule.column} not found"
+    return f"table {rule.table} is empty"
+
+
+def _completeness_reason(tables: Mapping[str, DataFrame], rules: Sequence[CompletenessRule]):
+    whys = F.lit(None).cast("string")
+    for i, r in enumerate(rules):
+        whys = F.when(F.col("seq") == i, F.lit(completeness_reason(tables, r))).otherwise(whys)
+    return F.when(F.col("status") == "ERROR", whys)
+
+
 # --------------------------------------------------------------------------- P4
 
 
@@ -378,12 +393,6 @@ def completeness_threshold(
         threshold=F.lit(100.0 - float(min_pct)),
         failure_rate=F.lit(100.0) - F.col("completeness_rate"),
         details=F.when(
-            ok, F.lit("Completeness rate acceptable")
-        ).otherwise(
-            F.concat(
-                F.lit("Completeness rate too low ("),
-                F.col("failed_records").cast("string"),
-                F.lit(" missing values)"),
-            )
-        ),
+            ok, F.lit("complete enough")
+        ).otherwise(F.concat(F.col("failed_records").cast("string"), F.lit(" values missing"))),
     )

@@ -56,20 +56,6 @@ DEFAULT_THRESHOLDS = (
     ("category", "person_patterns", "prod", 1.0),
 )
 
-_RANK = {"PASS": 0, "SKIPPED": 0, "FAIL": 1, "ERROR": 2}
-
-
-def _rank(status: Column) -> Column:
-    expr = F.lit(2)  # unknown statuses are errors
-    for k, v in _RANK.items():
-        expr = F.when(F.upper(status) == k, F.lit(v)).otherwise(expr)
-    return expr
-
-
-def _unrank(rank: Column) -> Column:
-    return F.when(rank >= 2, F.lit("ERROR")).when(rank == 1, F.lit("FAIL")).otherwise(F.lit("PASS"))
-
-
 def _order_frame(spark: SparkSession, order: Sequence[str]) -> DataFrame:
     return literal_frame(spark, [(s, i) for i, s in enumerate(order)], "suite string, suite_seq int")
 
@@ -78,34 +64,48 @@ def _order_frame(spark: SparkSession, order: Sequence[str]) -> DataFrame:
 
 
 def suite_rollup(sub_results: DataFrame, order: Sequence[str] = SUITE_ORDER) -> DataFrame:
-    """A3: ``suite, suite_seq, total_tested, failed_records, failure_rate, status``.
+    """A3: ``suite, suite_seq, total_tested, failed_records, errors, skipped,
+    failure_rate, status, reason``.
 
     total = number of rules, failed = rules that FAILed or ERRORed, rate =
     failed / total * 100 (0 with no rules). Any ERROR rule, or every rule
-    SKIPPED, makes the suite ERROR; else any failure makes it FAIL.
+    SKIPPED, makes the suite ERROR; else any failure makes it FAIL. ``reason``
+    is that of the first rule that could not be tested, ERROR before SKIPPED.
     """
     spark = sub_results.sparkSession
+    if "reason" not in sub_results.columns:
+        sub_results = sub_results.withColumn("reason", F.lit(None).cast("string"))
     st = F.upper(F.col("status"))
     agg = sub_results.groupBy("suite").agg(
         F.count(F.lit(1)).alias("total_tested"),
         F.count_if(st.isin("FAIL", "ERROR")).alias("failed_records"),
-        F.count_if(st == "ERROR").alias("__errors"),
-        F.count_if(st == "SKIPPED").alias("__skipped"),
+        F.count_if(st == "ERROR").alias("errors"),
+        F.count_if(st == "SKIPPED").alias("skipped"),
+        F.min_by(
+            F.concat_ws(": ", "rule", "reason"),
+            F.when(st.isin("ERROR", "SKIPPED"), F.struct(st, F.col("seq"), F.col("rule"))),
+        ).alias("reason"),
     )
     tot, fail = F.col("total_tested"), F.col("failed_records")
-    status = (
-        F.when((F.col("__errors") > 0) | (F.col("__skipped") == tot), F.lit("ERROR"))
-        .when(fail > 0, F.lit("FAIL"))
-        .otherwise(F.lit("PASS"))
-    )
     # The order frame has one row per suite name: bounded by configuration.
     return agg.join(F.broadcast(_order_frame(spark, order)), "suite", "left").select(
         "suite",
         F.coalesce(F.col("suite_seq"), F.lit(len(order))).alias("suite_seq"),
         tot,
         fail,
+        "errors",
+        "skipped",
         rate(fail, tot).alias("failure_rate"),
-        status.alias("status"),
+        _suite_status(tot, fail).alias("status"),
+        "reason",
+    )
+
+
+def _suite_status(total: Column, failed: Column) -> Column:
+    return (
+        F.when((F.col("errors") > 0) | (F.col("skipped") == total), F.lit("ERROR"))
+        .when(failed > 0, F.lit("FAIL"))
+        .otherwise(F.lit("PASS"))
     )
 
 
@@ -115,14 +115,19 @@ def suite_rollup(sub_results: DataFrame, order: Sequence[str] = SUITE_ORDER) ->
 def merge_partials(partials: DataFrame, order: Sequence[str] = SUITE_ORDER) -> DataFrame:
     """A4: combine partial results of a suite (chunks, or incremental runs).
 
-    Sums of ``total_tested`` / ``failed_records``; status precedence
-    ERROR > FAIL > PASS; rate recomputed from the sums.
+    Counts of rules, failures, errors and skipped rules are summed, and status
+    and rate are decided from the sums, so the answer is that of the suite in
+    one piece however it was cut.
     """
     spark = partials.sparkSession
+    if "errors" not in partials.columns:  # a partial known by its status alone
+        own = F.upper(F.col("status")) == "ERROR"
+        partials = partials.withColumn("errors", own.cast("int")).withColumn("skipped", F.lit(0))
     agg = partials.groupBy("suite").agg(
         F.coalesce(F.sum("total_tested"), F.lit(0)).cast("bigint").alias("total_tested"),
         F.coalesce(F.sum("failed_records"), F.lit(0)).cast("bigint").alias("failed_records"),
-        F.max(_rank(F.col("status"))).alias("__rank"),
+        F.coalesce(F.sum("errors"), F.lit(0)).cast("bigint").alias("errors"),
+        F.coalesce(F.sum("skipped"), F.lit(0)).cast("bigint").alias("skipped"),
         F.count(F.lit(1)).alias("partials"),
     )
     tot, fail = F.col("total_tested"), F.col("failed_records")
@@ -131,8 +136,10 @@ def merge_partials(partials: DataFrame, order: Sequence[str] = SUITE_ORDER) -> D
         F.coalesce(F.col("suite_seq"), F.lit(len(order))).alias("suite_seq"),
         tot,
         fail,
+        "errors",
+        "skipped",
         rate(fail, tot).alias("failure_rate"),
-        _unrank(F.col("__rank")).alias("status"),
+        _suite_status(tot, fail).alias("status"),
         "partials",
     )
 
@@ -189,39 +196,42 @@ def apply_thresholds(
     overrides: Optional[Mapping[str, float]] = None,
     category: Optional[Mapping[str, str]] = None,
 ) -> DataFrame:
-    """A2: resolve each result's threshold and re-grade it.
+    """A2: resolve each result's threshold and grade it by that.
 
     ``results`` carries ``test_name, total_tested, failed_records`` and
-    optionally ``category``. Precedence: explicit override > test name >
-    environment category > category > 0.0. PASS iff nothing failed or the
-    failure rate is within the threshold.
+    optionally ``category`` and ``status``. Precedence: explicit override >
+    test name > environment category > category > 0.0. PASS iff nothing failed
+    or the failure rate is within the threshold; a result whose status is ERROR
+    or SKIPPED has not been tested and keeps it. Of several thresholds for one
+    name the lowest holds.
     """
     spark = results.sparkSession
+    if "status" not in results.columns:
+        results = results.withColumn("status", F.lit(None).cast("string"))
     cat_map = dict(SUITE_CATEGORY)
     cat_map.update(category or {})
     if "category" not in results.columns:
         cats = literal_frame(spark, list(cat_map.items()), "test_name string, category string")
         results = results.join(F.broadcast(cats), "test_name", "left")
     th = thresholds
-    by_test = th.where((F.col("scope") == "test") & F.col("env").isNull()).select(
-        F.col("name").alias("test_name"), F.col("threshold").alias("__t_test")
-    )
-    by_cat = th.where((F.col("scope") == "category") & F.col("env").isNull()).select(
-        F.col("name").alias("category"), F.col("threshold").alias("__t_cat")
-    )
-    by_env = th.where(
-        (F.col("scope") == "category") & (F.col("env") == F.lit(env))
-    ).select(F.col("name").alias("category"), F.col("threshold").alias("__t_env"))
+
+    def one_each(rows: DataFrame, key: str, value: str) -> DataFrame:
+        return rows.groupBy(F.col("name").alias(key)).agg(F.min("threshold").alias(value))
+
+    by_test = one_each(th.where((F.col("scope") == "test") & F.col("env").isNull()), "test_name", "__t_test")
+    by_cat = one_each(th.where((F.col("scope") == "category") & F.col("env").isNull()), "category", "__t_cat")
+    by_env = one_each(th.where((F.col("scope") == "category") & (F.col("env") == F.lit(env))), "category", "__t_env")
     ov = literal_frame(
         spark,
         [(k, float(v)) for k, v in (overrides or {}).items()], "test_name string, __t_override double"
     )
-    # Threshold tables are configuration: a handful of rows, broadcast by design.
+    # Overrides come from the caller's mapping; the threshold frame may be any
+    # size, so how to join it is left to its measured size.
     joined = (
         results.join(F.broadcast(ov), "test_name", "left")
-        .join(F.broadcast(by_test), "test_name", "left")
-        .join(F.broadcast(by_env), "category", "left")
-        .join(F.broadcast(by_cat), "category", "left")
+        .join(by_test, "test_name", "left")
+        .join(by_env, "category", "left")
+        .join(by_cat, "category", "left")
     )
     threshold = F.coalesce("__t_override", "__t_test", "__t_env", "__t_cat", F.lit(0.0))
     source = (
@@ -241,15 +251,16 @@ def apply_thresholds(
         fr.alias("actual_failure_rate"),
         threshold.alias("failure_threshold"),
         source.alias("threshold_source"),
-        F.when((fail == 0) | (fr <= threshold), F.lit("PASS")).otherwise(F.lit("FAIL")).alias(
-            "pass_fail_status"
-        ),
+        F.when(F.upper("status").isin("ERROR", "SKIPPED"), F.upper("status"))
+        .when((fail == 0) | (fr <= threshold), F.lit("PASS"))
+        .otherwise(F.lit("FAIL"))
+        .alias("pass_fail_status"),
     )
 
 
 # ----------------------------------------------------------------------------- A6
 
-REPORT_COLUMNS = ("suite", "section", "seq", "item", "failed", "total", "distinct_ids", "pct")
+REPORT_COLUMNS = ("suite", "section", "seq", "of_lines", "item", "failed", "total", "distinct_ids", "pct", "reason")
 
 
 def failure_report(
@@ -260,22 +271,27 @@ def failure_report(
     referential: Optional[DataFrame] = None,
     patterns: Optional[DataFrame] = None,
     concepts: Optional[DataFrame] = None,
-    top_null_columns: int = 10,
-    top_completeness: int = 3,
+    top_null_columns: Optional[int] = None,
+    top_completeness: Optional[int] = None,
 ) -> DataFrame:
     """The failure lines of a run as typed rows.
 
-    Sections: all-NULL columns (first ``top_null_columns``), empty tables,
-    completeness failures (first ``top_completeness``), referential violations
-    sorted by child table and FK, failed patterns in rule order, and concept
-    failures split into ``mapping`` (no map entry) and ``data_quality``
-    (NULL display/code) — a column can be in both.
+    Sections: all-NULL columns, empty tables, completeness failures,
+    referential violations sorted by child table and FK and the relationships
+    that could not be tested (``untested``, with the reason), failed patterns
+    in rule order, and concept failures (J4 ``with_sections``), split into
+    ``mapping`` (no map entry, no concept, NULL code) and ``data_quality``
+    (NULL display): a column can be in both. Every line is given unless the
+    caller asks for the first ``top_...`` of a section; ``of_lines`` says how
+    many a section has.
     """
     parts = []
 
     def add(frame, cap, order_cols):
         w = Window.partitionBy("suite", "section").orderBy(*order_cols)
+        frame = frame if "reason" in frame.columns else frame.withColumn("reason", F.lit(None).cast("string"))
         ranked = frame.withColumn("seq", F.row_number().over(w))
+        ranked = ranked.withColumn("of_lines", F.count(F.lit(1)).over(Window.partitionBy("suite", "section")))
         if cap is not None:
             ranked = ranked.where(F.col("seq") <= cap)
         parts.append(ranked.select(*REPORT_COLUMNS))
@@ -308,12 +324,14 @@ def failure_report(
         )
         add(f, top_completeness, [F.col("__rule_seq"), F.col("item")])
     if referential is not None:
-        f = referential.where(F.col("status") == "FAIL").select(
-            F.lit("referential_integrity").alias("suite"), F.lit("violations").alias("section"),
+        why = F.col("reason") if "reason" in referential.columns else F.lit(None).cast("string")
+        f = referential.where(F.col("status") != "PASS").select(
+            F.lit("referential_integrity").alias("suite"),
+            F.when(F.col("status") == "FAIL", F.lit("violations")).otherwise(F.lit("untested")).alias("section"),
             F.col("name").alias("item"), F.col("violation_count").cast("bigint").alias("failed"),
             F.col("non_null_fk").cast("bigint").alias("total"),
             F.lit(None).cast("bigint").alias("distinct_ids"),
-            F.col("pct_of_non_null").alias("pct"), "child", "fk",
+            F.col("pct_of_non_null").alias("pct"), why.alias("reason"), "child", "fk",
         )
         add(f, None, [F.col("child"), F.col("fk"), F.col("item")])
     if patterns is not None:
@@ -328,18 +346,17 @@ def failure_report(
     if concepts is not None:
         base = concepts.where(~F.col("passed"))
         seq = F.col("rule_id") if "rule_id" in concepts.columns else F.lit(0)
-        m = base.where(F.col("mapping_failures") > 0).select(
-            F.lit("concept_mapping").alias("suite"), F.lit("mapping").alias("section"),
-            F.col("name").alias("item"), F.col("mapping_failures").alias("failed"),
-            F.col("total_records").alias("total"), F.col("distinct_missing_mappings").alias("distinct_ids"),
-            pct(F.col("mapping_failures"), F.col("total_records")).alias("pct"), seq.alias("__rule_seq"),
-        )
-        d = base.where(F.col("display_failures") > 0).select(
-            F.lit("concept_mapping").alias("suite"), F.lit("data_quality").alias("section"),
-            F.col("name").alias("item"), F.col("display_failures").alias("failed"),
-            F.col("total_records").alias("total"), F.col("distinct_display_failures").alias("distinct_ids"),
-            pct(F.col("display_failures"), F.col("total_records")).alias("pct"), seq.alias("__rule_seq"),
-        )
+
+        def bucket(section, name):
+            failed, ids = F.col(f"{name}_records"), F.col(f"{name}_ids")
+            return base.where(ids > 0).select(
+                F.lit("concept_mapping").alias("suite"), F.lit(section).alias("section"),
+                F.col("name").alias("item"), failed.alias("failed"), F.col("total_records").alias("total"),
+                ids.alias("distinct_ids"), pct(failed, F.col("total_records")).alias("pct"), seq.alias("__rule_seq"),
+            )
+
+        m = bucket("mapping", "mapping")
+        d = bucket("data_quality", "null_display")
         add(m.unionByName(d), None, [F.col("__rule_seq")])
     if not parts:
         raise ValueError("failure_report needs at least one result frame")

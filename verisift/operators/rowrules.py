@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 from ..functions.frames import literal_frame
 from ..functions import qcol, all_of, any_of, is_missing, not_blank, pct, typed
-from ..rules import FieldComparison, GroupCount, RangeCheck, RequiredFields, Uniqueness
+from ..rules import FieldComparison, GroupCount, QueryCount, RangeCheck, RequiredFields, Uniqueness
+
+# Parts that the rows of one duplicated value are dealt into.
+SALTS = 32
 
 _OPS = {
     "gt": lambda a, b: a > b,
@@ -162,8 +165,7 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Union[Uniqueness, Predic
     R2-R4: eligible rows whose failure predicate is TRUE. R1: rows whose value
     occurs more than once (plus every NULL row when NULLs count as
     duplicates); the duplicated values are found by aggregation and the rows
-    by a semi join, so a value held by a third of the table is never gathered
-    into one group.
+    by a semi join in salted parts of each value.
     """
     df = tables[rule.table]
     if isinstance(rule, Uniqueness):
@@ -176,7 +178,12 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Union[Uniqueness, Predic
             .where(F.col("__n") > 1)
             .select("__v")
         )
-        hits = base.join(dup_values, c == F.col("__v"), "left_semi")
+        # A duplicated value meets its rows in SALTS parts, so one held by a third
+        # of the table is spread over as many tasks.
+        salted = dup_values.select("__v", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+        part = F.pmod(F.xxhash64(*[qcol(x) for x in df.columns], F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
+        rows = base.where(c.isNotNull()).withColumn("__part", part)
+        hits = rows.join(salted, (c == F.col("__v")) & (F.col("__part") == F.col("__salt")), "left_semi").drop("__part")
         if rule.count_nulls:
             hits = hits.unionByName(base.where(c.isNull()))
         return hits.select(F.lit(rule.name).alias("rule"), *[qcol(x) for x in df.columns])
@@ -194,7 +201,7 @@ def group_counts(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame
     exceed ``min_count >= 0`` through matched rows, so the joined side is
     aggregated first (partial de-duplication of ``(key, counted)`` before any
     shuffle) and the base only semi-joins the qualifying keys: the base rows are
-    never multiplied by the join. Other shapes use the plain left join.
+    never multiplied by the join. Other shapes join distinct rows of either side.
     """
     base = tables[rule.base].where(all_of(rule.filter))
     n = F.count_distinct(F.col("__counted")).alias("n")
@@ -218,8 +225,9 @@ def group_counts(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame
         )
         keys = base.select(base[rule.group_key].alias("group_key"))
         return per_key.join(keys, "group_key", "left_semi")
-    b = base.alias("b")
-    j = joined.alias("j")
+    # Only distinct values count, so both sides are reduced to them first.
+    b = base.select(*dict.fromkeys([rule.group_key, *(bc for bc, _ in rule.on)])).distinct().alias("b")
+    j = joined.select(*dict.fromkeys([rule.counted, *(jc for _, jc in rule.on)])).distinct().alias("j")
     cond = all_of(*[F.col(f"b.{bc}") == F.col(f"j.{jc}") for bc, jc in rule.on])
     grouped = (
         b.join(j, cond, "left")
@@ -230,6 +238,16 @@ def group_counts(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame
     return grouped.where(F.col("n") > rule.min_count)
 
 
+def query_groups(tables: Mapping[str, DataFrame], rule: QueryCount) -> DataFrame:
+    """``group_key, n`` of a rule that brings its own query."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    got = tables[rule.table].sparkSession.sql(rule.query)
+    if len(got.columns) < 2:
+        raise ValueError(f"the query of {rule.name!r} needs a group and a count")
+    return got.toDF("group_key", "n", *got.columns[2:]).select("group_key", F.col("n").cast("bigint").alias("n"))
+
+
 def group_count_check(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame:
     """R5 summary: ``name, total_tested, failed_records, avg_count, passed``.
 
@@ -237,13 +255,14 @@ def group_count_check(tables: Mapping[str, DataFrame], rule: GroupCount) -> Data
     ``failed_records`` the number of qualifying groups; informational, so it
     always passes.
     """
-    base = tables[rule.base].where(all_of(rule.filter))
+    by_query = isinstance(rule, QueryCount)
+    base = tables[rule.table if by_query else rule.base].where(all_of(rule.filter))
     total = base.agg(F.count(F.lit(1)).alias("total_tested")).select(
         "total_tested",
         F.lit(None).cast("bigint").alias("failed_records"),
         F.lit(None).cast("double").alias("avg_count"),
     )
-    groups = group_counts(tables, rule).agg(
+    groups = (query_groups if by_query else group_counts)(tables, rule).agg(
         F.lit(None).cast("bigint").alias("total_tested"),
         F.count(F.lit(1)).alias("failed_records"),
         F.avg("n").alias("avg_count"),

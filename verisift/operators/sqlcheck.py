@@ -62,9 +62,7 @@ def threshold_check(
         status=F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")),
         threshold=F.lit(float(threshold)),
         failure_rate=m,
-        details=F.when(ok, F.lit("Failure rate within acceptable threshold")).otherwise(
-            F.lit("Failure rate exceeds threshold")
-        ),
+        details=F.when(ok, F.lit("rate within the threshold")).otherwise(F.lit("rate above the threshold")),
     )
 
 
@@ -80,9 +78,9 @@ def sql_check(
     """Q3: user SQL returning contract columns -> one normalised contract row.
 
     Parameters travel as named parameter markers (``:name``), never as text
-    substitution. The first row is used; no row at all is an ERROR (or PASS
-    for an ungraded check). ``pass_fail_status`` other than PASS/FAIL is ERROR;
-    an ungraded check is PASS whatever it counted.
+    substitution. The query must return one row: none, or more than one, is an
+    ERROR (an ungraded check passes without a row). ``pass_fail_status`` other
+    than PASS/FAIL is ERROR; an ungraded check is PASS whatever it counted.
     """
     user = spark.sql(sql, args=dict(args) if args else None)
     cols = set(user.columns)
@@ -90,26 +88,29 @@ def sql_check(
     def pick(c, cast, default=None):
         return F.col(c).cast(cast) if c in cols else F.lit(default).cast(cast)
 
-    first = user.select(
-        pick("total_tested", "bigint", 0).alias("total_tested"),
-        pick("failed_records", "bigint", 0).alias("failed_records"),
-        pick("pass_fail_status", "string").alias("status_in"),
-        pick("failure_threshold", "double", 0.0).alias("failure_threshold"),
-        pick("actual_failure_rate", "double").alias("actual_failure_rate"),
-        pick("failure_details", "string").alias("failure_details"),
-        F.lit(True).alias("__has_row"),
-    ).limit(1)
-    # A one-row anchor keeps the "no row" case visible as a row; both sides have
-    # at most one row.
-    anchor = spark.range(1).select(F.lit(1).alias("__k"))
-    row = anchor.join(first.withColumn("__k", F.lit(1)), "__k", "left")
-    has_row = F.col("__has_row").isNotNull()
+    one = user.select(
+        F.struct(
+            pick("total_tested", "bigint", 0).alias("total_tested"),
+            pick("failed_records", "bigint", 0).alias("failed_records"),
+            pick("pass_fail_status", "string").alias("status_in"),
+            pick("failure_threshold", "double", 0.0).alias("failure_threshold"),
+            pick("actual_failure_rate", "double").alias("actual_failure_rate"),
+            pick("failure_details", "string").alias("failure_details"),
+        ).alias("r")
+    ).limit(2)  # two rows tell one from many; an aggregate always has a row
+    row = one.agg(F.count(F.lit(1)).alias("n"), F.first("r").alias("r")).select("n", "r.*")
+    own, many = F.col("n") == 1, F.col("n") > 1
+    for c in ("total_tested", "failed_records", "failure_threshold", "actual_failure_rate"):
+        row = row.withColumn(c, F.when(own, F.col(c)))
+    given = F.upper(F.trim("status_in"))
     if graded:
-        status = F.when(has_row, F.col("status_in")).otherwise(F.lit("ERROR"))
+        status = F.when(own & given.isin("PASS", "FAIL"), given).otherwise(F.lit("ERROR"))
     else:
-        status = F.lit("PASS")
-    details = F.when(has_row, F.col("failure_details")).otherwise(
-        F.lit("No data returned from SQL test")
+        status = F.when(many, F.lit("ERROR")).otherwise(F.lit("PASS"))
+    details = (
+        F.when(own, F.col("failure_details"))
+        .when(many, F.lit("query returned more than one row"))
+        .otherwise(F.lit("query returned no row"))
     )
     return to_contract(
         row,

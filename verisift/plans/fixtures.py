@@ -140,3 +140,22 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Dict[str, DataFrame]:
     # Same data under a backup-style name: the empty-table check must skip it.
     t["orders_BACKUP"] = t["orders"]
     return t
+
+
+# Columns of the driver tables (fixed values; a test holds them against the files).
+DRIVER_COLUMNS = {
+    "region": "r_regionkey r_name".split(),
+    "nation": "n_nationkey n_name n_regionkey".split(),
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment".split(),
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal".split(),
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice".split(),
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split(),
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split(),
+    "events": "event_id ts user_id event_type value props".split(),
+    "documents": "doc_id text lang source n_chars".split(),
+    "embeddings": "vec_id embedding label".split(),
+    "pages": "page_id url html".split(),
+    "benchmark": "item_id text".split(),
+    "labels": "doc_id quality toxic".split(),
+    "conversations": "conv_id turn role text".split(),
+}

@@ -20,25 +20,15 @@ from typing import Dict, List, Mapping, Optional, Tuple, Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..contract import SUB_RESULT_SCHEMA
 from ..functions import all_of
+from ..functions.columns import sql_ident, sql_str
 from ..functions.frames import literal_frame
 from ..operators import joins, rowrules
-from ..operators.profile import table_names_excluding
-from ..rules import Catalog, FieldComparison, RangeCheck, RequiredFields
+from ..operators.profile import completeness_reason, table_names_excluding
+from ..rules import Catalog, FieldComparison, RangeCheck, RequiredFields, UnusableRule
 from ..session import aggregate_pushdown_enabled
 
-SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
-
-
-def sql_str(text: str) -> str:
-    """A Spark SQL string literal (default escaping: backslash sequences)."""
-    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def sql_ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 class _TableAggs:
     """Registry of de-duplicated aggregate expressions per table.
 
@@ -81,11 +71,11 @@ class _TableAggs:
         return self._add(self._group(table, True), ("if",) + key, F.count_if(cond))
 
     def emit(self, table: str, suite: str, seq: int, rule: str, total: str, failed: str,
-             status: str, predicate: bool = False) -> None:
+             status: str, predicate: bool = False, reason: str = "cast(null as string)") -> None:
         self.rows_out.setdefault(self._group(table, predicate), []).append(
             f"named_struct('suite', {sql_str(suite)}, 'seq', {int(seq)}, 'rule', {sql_str(rule)}, "
             f"'total_tested', cast({total} as bigint), 'failed_records', cast({failed} as bigint), "
-            f"'status', {status})"
+            f"'status', {status}, 'reason', {reason})"
         )
 
     def emit_total(self, output: str, table: str, rule_id: int, total: str, predicate: bool = False) -> None:
@@ -114,7 +104,7 @@ def _pass_fail(failing: str) -> str:
     return f"case when {failing} then 'FAIL' else 'PASS' end"
 
 
-def _single_table_part(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tuple[DataFrame, List]:
+def single_table_rows(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tuple[DataFrame, List]:
     """Rows of every single-table check plus internal total rows, from one
     aggregate per table; also the patterns that need plans of their own."""
     spark = next(iter(tables.values())).sparkSession
@@ -132,13 +122,13 @@ def _single_table_part(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tup
             reg.emit(n, "null_columns", seq, f"{n}.{c}", rows, f"{rows} - {nn}", _pass_fail(f"{nn} = 0 and {rows} > 0"))
             seq += 1
     for i, n in enumerate([n for n in catalog.null_tables if n not in tables]):
-        errors.append(("null_columns", seq + i, n, None, None, "ERROR"))
+        errors.append(("null_columns", seq + i, n, None, None, "ERROR", f"table {n} not found"))
 
     # Empty tables
     kept = table_names_excluding(list(catalog.empty_tables), catalog.empty_exclude)
     for i, n in enumerate(kept):
         if n not in tables:
-            errors.append(("empty_tables", i, n, None, None, "ERROR"))
+            errors.append(("empty_tables", i, n, None, None, "ERROR", f"table {n} not found"))
             continue
         rows = reg.rows(n)
         reg.emit(n, "empty_tables", i, n, rows, f"case when {rows} = 0 then 1 else 0 end", _pass_fail(f"{rows} = 0"))
@@ -146,22 +136,23 @@ def _single_table_part(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tup
     # Completeness (rate rounded before the comparison; empty table = ERROR)
     for i, r in enumerate(catalog.completeness):
         if r.table not in tables or r.column not in tables[r.table].columns:
-            errors.append(("column_completeness", i, r.label, None, None, "ERROR"))
+            errors.append(("column_completeness", i, r.label, None, None, "ERROR", completeness_reason(tables, r)))
             continue
         rows, nn = reg.rows(r.table), reg.non_null(r.table, r.column)
         rate = f"round(cast({nn} as double) / nullif({rows}, 0) * 100.0, 2)"
         status = (
             f"case when {rows} = 0 then 'ERROR' when {rate} >= {float(r.min_pct)!r} then 'PASS' else 'FAIL' end"
         )
-        reg.emit(r.table, "column_completeness", i, r.label, rows, f"{rows} - {nn}", status)
+        why = f"case when {rows} = 0 then {sql_str(completeness_reason(tables, r))} end"
+        reg.emit(r.table, "column_completeness", i, r.label, rows, f"{rows} - {nn}", status, reason=why)
 
     # R2-R4 patterns; everything else in the pattern suite runs as its own plan
     from .suites import pattern_missing, pattern_sub_results  # local import: suites imports this module
 
     others = []
     for i, p in enumerate(catalog.patterns):
-        if pattern_missing(tables, p) is not None:
-            others.append(p)  # reported SKIPPED by pattern_sub_results
+        if isinstance(p, UnusableRule) or pattern_missing(tables, p) is not None:
+            others.append(p)  # reported SKIPPED or ERROR by pattern_sub_results
         elif isinstance(p, (RequiredFields, RangeCheck, FieldComparison)):
             df = tables[p.table]
             eligible, failing = rowrules.eligibility_and_failure(p, df)
@@ -171,7 +162,7 @@ def _single_table_part(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tup
         else:
             others.append(p)
 
-    # Row totals of FK children and concept source tables come from the same
+    # Row totals of FK children come from the same
     # aggregates (count(*) is usually registered already by the profile suites).
     for rid, r in enumerate(catalog.relationships):
         if r.child not in tables or r.fk not in tables[r.child].columns:
@@ -183,14 +174,10 @@ def _single_table_part(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tup
         else:
             tot = reg.count_if(r.child, ("ri", rid), all_of(r.filter))
             reg.emit_total("ri", r.child, rid, tot, predicate=True)
-    for rid, c in enumerate(catalog.concepts):
-        if c.table in tables and c.column in tables[c.table].columns:
-            reg.emit_total("concept", c.table, rid, reg.rows(c.table))
-
     frames = reg.frames()
     if errors:
-        frames.append(literal_frame(spark, errors, SUB_SCHEMA))
-    out = frames[0] if frames else literal_frame(spark, [], SUB_SCHEMA)
+        frames.append(literal_frame(spark, errors, SUB_RESULT_SCHEMA))
+    out = frames[0] if frames else literal_frame(spark, [], SUB_RESULT_SCHEMA)
     for f in frames[1:]:
         out = out.unionByName(f)
     return out, others
@@ -202,46 +189,30 @@ def _totals(single: DataFrame, output: str) -> DataFrame:
     )
 
 
-def _join_parts(tables: Mapping[str, DataFrame], catalog: Catalog, single: DataFrame, others: List) -> List[DataFrame]:
-    """The checks that need their own shuffles, fed with totals from ``single``."""
+def join_suites(tables: Mapping[str, DataFrame], catalog: Catalog, single: DataFrame, others: List) -> Dict[str, DataFrame]:
+    """By suite, the checks that need their own shuffles, fed with totals from ``single``."""
     from .suites import pattern_sub_results  # local import: suites imports this module
 
-    parts = []
+    out = {}
     if others:
-        parts.append(pattern_sub_results(tables, others, seq_of={p.name: i for i, p in enumerate(catalog.patterns)}))
-    parts.append(joins.referential_sub_results(tables, catalog.relationships, totals=_totals(single, "ri")))
-    parts.append(
-        joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, totals=_totals(single, "concept"))
-    )
-    return parts
+        seq_of = {p.name: i for i, p in enumerate(catalog.patterns)}
+        out["person_patterns"] = pattern_sub_results(tables, others, seq_of=seq_of)
+    out["referential_integrity"] = joins.referential_sub_results(tables, catalog.relationships, totals=_totals(single, "ri"))
+    out["concept_mapping"] = joins.concept_sub_results(tables, catalog.concepts, catalog.terminology)
+    return out
 
 
-def _public(single: DataFrame) -> DataFrame:
+def public_rows(single: DataFrame) -> DataFrame:
     return single.where(~F.col("suite").startswith("__"))
 
 
 def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
     """Same rows as ``suites.suite_sub_results`` with one scan per table for
     null columns, empty tables, completeness and the row-rule patterns — as
-    one lazy plan (the single-table aggregate is referenced three times and
-    its exchange reused)."""
-    single, others = _single_table_part(tables, catalog)
-    out = _public(single)
-    for p in _join_parts(tables, catalog, single, others):
+    one lazy plan (the single-table aggregate is referenced twice and its
+    exchange reused)."""
+    single, others = single_table_rows(tables, catalog)
+    out = public_rows(single)
+    for p in join_suites(tables, catalog, single, others).values():
         out = out.unionByName(p)
     return out
-
-
-def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog, materialize) -> DataFrame:
-    """The same rows computed in two checkpointed stages (``materialize``):
-    the single-table aggregates first, then the join-based suites together,
-    reading their totals from that checkpoint. Plans stay moderate in size (planning and
-    adaptive re-planning of one plan with every suite grows faster than the
-    work at small and medium scale) while every table is still scanned once
-    for all single-table checks."""
-    single, others = _single_table_part(tables, catalog)
-    single = materialize(single)
-    joined = None
-    for p in _join_parts(tables, catalog, single, others):
-        joined = p if joined is None else joined.unionByName(p)
-    return _public(single).unionByName(materialize(joined))

@@ -12,14 +12,16 @@ executors.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Dict, List, Mapping, Optional, Sequence
 
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frames import literal_frame
 from ..operators import joins, profile, rowrules
-from ..contract import to_contract
+from ..contract import SUB_RESULT_COLUMNS, SUB_RESULT_SCHEMA, to_contract
 from ..operators.rollup import SUITE_ORDER, run_summary, suite_rollup
 from ..sources.sink import export_rows, write_results
 from ..rules import (
@@ -27,16 +29,16 @@ from ..rules import (
     FieldComparison,
     GroupCount,
     PatternRule,
+    QueryCount,
     RangeCheck,
     ReferenceCheck,
     RelationshipExists,
     RequiredFields,
     Uniqueness,
+    UnusableRule,
 )
 from ..session import ensure_checkpoint_dir
-from .shared_scan import shared_sub_results, staged_sub_results
-
-_SUB_SCHEMA = "suite string, seq int, rule string, total_tested bigint, failed_records bigint, status string"
+from .shared_scan import join_suites, public_rows, shared_sub_results, single_table_rows
 
 _TYPE_NAMES = {
     Uniqueness: "uniqueness",
@@ -46,6 +48,7 @@ _TYPE_NAMES = {
     ReferenceCheck: "referential_integrity",
     RelationshipExists: "relationship",
     GroupCount: "count_check",
+    QueryCount: "count_check",
 }
 
 
@@ -66,6 +69,8 @@ def pattern_missing(tables: Mapping[str, DataFrame], p: PatternRule) -> Optional
         need = [(p.base, b) for b, _ in p.on] + [(p.joined, j) for _, j in p.on]
         if p.count == "entities":
             need.append((p.base, p.entity))
+    elif isinstance(p, QueryCount):
+        return None if p.table in tables else f"table {p.table} not found"
     elif isinstance(p, GroupCount):
         need = [(p.base, p.group_key)]
         if p.joined is None:
@@ -103,7 +108,7 @@ def person_patterns(
             frames.append(joins.reference_check(tables, p))
         elif isinstance(p, RelationshipExists):
             frames.append(joins.relationship_exists(tables, p))
-        elif isinstance(p, GroupCount):
+        elif isinstance(p, (GroupCount, QueryCount)):
             g = rowrules.group_count_check(tables, p)
             frames.append(
                 g.select(
@@ -132,12 +137,12 @@ def pattern_sub_results(
 ) -> DataFrame:
     """Suite rows; a pattern naming a missing table or column is SKIPPED."""
     seq = dict(seq_of) if seq_of is not None else {p.name: i for i, p in enumerate(patterns)}
-    ok = [p for p in patterns if pattern_missing(tables, p) is None]
-    skipped = [
-        ("person_patterns", seq[p.name], p.name, None, None, "SKIPPED") for p in patterns if p not in ok
-    ]
+    lost = [("person_patterns", seq[p.name], p.name, None, None, "ERROR", p.reason) for p in patterns if isinstance(p, UnusableRule)]
+    whys = [(p, pattern_missing(tables, p)) for p in patterns if not isinstance(p, UnusableRule)]
+    ok = [p for p, why in whys if why is None]
+    skipped = lost + [("person_patterns", seq[p.name], p.name, None, None, "SKIPPED", why) for p, why in whys if why]
     spark = next(iter(tables.values())).sparkSession
-    out = literal_frame(spark, skipped, _SUB_SCHEMA)
+    out = literal_frame(spark, skipped, SUB_RESULT_SCHEMA)
     if not ok:
         return out
     return out.unionByName(_pattern_rows(tables, ok, seq))
@@ -151,13 +156,14 @@ def _pattern_rows(tables, patterns: Sequence[PatternRule], seq_of: Mapping[str,
         "total_tested",
         "failed_records",
         F.when(F.col("passed"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+        F.lit(None).cast("string").alias("reason"),
     )
 
 
 def suite_sub_results(
     tables: Mapping[str, DataFrame], catalog: Catalog, *, shared_scan: bool = True
 ) -> DataFrame:
-    """One row per rule of every suite: ``suite, seq, rule, total_tested, failed_records, status``.
+    """One row per rule of every suite: ``suite, seq, rule, total_tested, failed_records, status, reason``.
 
     With ``shared_scan`` (default) every single-table check of a table comes
     from one aggregate over it (see ``shared_scan.py``); otherwise each suite
@@ -207,26 +213,23 @@ def run(
 ) -> Dict[str, DataFrame]:
     """A full run with every output derived from one execution of the checks.
 
-    The checks run in two checkpointed stages (``staged_sub_results``: the
-    shared single-table aggregates, then the join-based suites); the rule-level
-    results (one row per rule: a few hundred rows, not data) are the union of
-    those checkpoints, and the suite roll-up, run summary and export rows are
-    computed from them, so the table scans and joins run exactly once however
-    many outputs are read. With ``results_path`` the suite
-    contract rows are written through the sink (S2).
-
-    If the fused job fails (a rule whose filter or cast raises at run time),
-    the run falls back to ``isolated_sub_results``: the failing rule becomes
-    an ERROR row and every other rule is still reported.
+    The checks run in two checkpointed stages (the shared single-table
+    aggregates, then the join-based suites); the rule-level results (one row per
+    rule: a few hundred rows, not data) are the union of those checkpoints, and
+    the suite roll-up, run summary and export rows are computed from them, so
+    the table scans and joins run exactly once however many outputs are read.
+    With ``results_path`` the suite contract rows are written through the sink (S2).
+
+    If a stage fails because an expression of a rule raises (a filter, a cast),
+    what has finished is kept, and only that stage's rules are halved until the
+    failing ones stand alone as ERROR rows with their reason. Any other failure,
+    as of executors or memory, is the caller's.
     """
-    try:
-        sub = staged_sub_results(tables, catalog, materialize)
-    except Exception:  # noqa: BLE001 - any failure of the staged jobs
-        if not isolate_errors:
-            raise
-        sub = isolated_sub_results(tables, catalog)
+    sub = staged_sub_results(tables, catalog) if isolate_errors else suite_sub_results(tables, catalog)
+    if not isolate_errors:
+        sub = materialize(sub)
     suites = suite_rollup(sub, order)
-    contract = to_contract(suites, name="suite")
+    contract = to_contract(suites, name="suite", status="status")
     out = {
         "rules": sub,
         "suites": suites,
@@ -239,45 +242,93 @@ def run(
     return out
 
 
+def rule_error(e: Exception) -> Optional[str]:
+    """The first line of an error that a rule's own expression raised; None for any other."""
+    if isinstance(e, KeyError):
+        return str(e.args[0])
+    if not isinstance(e, PySparkException):
+        return None
+    # Classes of the SQL standard: 22 data exceptions, 42 syntax or access rules.
+    state = e.getSqlState() or ""
+    if state[:2] in ("22", "42") or isinstance(e, (AnalysisException, ParseException)):
+        return str(e).strip().splitlines()[0][:500]
+    return None
+
+
+def _isolated(spark, suite: str, rules: Sequence[tuple], build) -> List[DataFrame]:
+    """Checkpointed rows of ``rules`` (``(seq, name, rule)``); ``build(rules)`` plans any of
+    them together. A plan that a rule's expression fails is halved: one bad rule
+    of n costs about 2 log n more jobs."""
+    if not rules:
+        return []
+    try:
+        return [materialize(build(rules).select(*SUB_RESULT_COLUMNS))]
+    except Exception as e:
+        why = rule_error(e)
+        if why is None:
+            raise
+        if len(rules) == 1:
+            seq, name, _ = rules[0]
+            return [literal_frame(spark, [(suite, seq, name, None, None, "ERROR", why)], SUB_RESULT_SCHEMA)]
+        half = len(rules) // 2
+        return _isolated(spark, suite, rules[:half], build) + _isolated(spark, suite, rules[half:], build)
 
-def isolated_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """Rule-by-rule evaluation, used only after the fused job failed.
 
-    Each unit (a table for the profile suites, a rule otherwise) is planned
-    and checkpointed on its own; a unit that raises, at planning or at run
-    time, becomes an ERROR row. This costs one job per unit, so it is the
-    fallback, never the default.
-    """
+def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
+    """Every rule's row, in two checkpointed stages: the single-table aggregates
+    first, then the join-based suites together, reading their totals from that
+    checkpoint. See ``run`` for what happens when a rule fails."""
     spark = next(iter(tables.values())).sparkSession
-    kept = profile.table_names_excluding(list(catalog.empty_tables), catalog.empty_exclude)
-    units = []
-    seq0 = 0
-    for n in catalog.null_tables:
-        width = len(tables[n].columns) if n in tables else 1
-        units.append(("null_columns", seq0, n, lambda n=n, s0=seq0: profile.null_columns_sub_results(tables, [n]).withColumn("seq", F.col("seq") + s0)))
-        seq0 += width
-    for i, n in enumerate(kept):
-        units.append(("empty_tables", i, n, lambda n=n, i=i: profile.empty_tables_sub_results(tables, [n], ()).withColumn("seq", F.lit(i))))
-    for i, r in enumerate(catalog.completeness):
-        units.append(("column_completeness", i, r.label, lambda r=r, i=i: profile.column_completeness_sub_results(tables, [r]).withColumn("seq", F.lit(i))))
-    for i, r in enumerate(catalog.relationships):
-        units.append(("referential_integrity", i, r.label, lambda r=r, i=i: joins.referential_sub_results(tables, [r]).withColumn("seq", F.lit(i))))
     seq_of = {p.name: i for i, p in enumerate(catalog.patterns)}
-    for i, p in enumerate(catalog.patterns):
-        units.append(("person_patterns", i, p.name, lambda p=p: pattern_sub_results(tables, [p], seq_of)))
-    for i, c in enumerate(catalog.concepts):
-        units.append(("concept_mapping", i, c.label, lambda c=c, i=i: joins.concept_sub_results(tables, [c], catalog.terminology).withColumn("seq", F.lit(i))))
-    parts: List[DataFrame] = []
-    errors = []
-    for suite, seq, rule, build in units:
+
+    def patterns(rules):
+        return pattern_sub_results(tables, [p for _, _, p in rules], seq_of)
+
+    def numbered(rules, frame):
+        """Rows numbered from 0 in the order of ``rules``, with the numbers that these have."""
+        numbers = literal_frame(spark, [(k, seq) for k, (seq, _, _) in enumerate(rules)], "__k int, __seq int")
+        return frame.join(F.broadcast(numbers), F.col("seq") == F.col("__k")).withColumn("seq", F.col("__seq"))
+
+    def relationships(rules):
+        return numbered(rules, joins.referential_sub_results(tables, [r for _, _, r in rules]))
+
+    def concepts(rules):
+        return numbered(rules, joins.concept_sub_results(tables, [c for _, _, c in rules], catalog.terminology))
+
+    named = {
+        "person_patterns": [(i, p.name, p) for i, p in enumerate(catalog.patterns)],
+        "referential_integrity": [(i, r.label, r) for i, r in enumerate(catalog.relationships)],
+        "concept_mapping": [(i, c.label, c) for i, c in enumerate(catalog.concepts)],
+    }
+    build = {"person_patterns": patterns, "referential_integrity": relationships, "concept_mapping": concepts}
+    try:
+        single, others = single_table_rows(tables, catalog)
+        single = materialize(single)
+    except Exception as e:
+        if rule_error(e) is None:
+            raise
+        # Plain counts hold no expression of a rule; all that does is done in the next stage.
+        plain = replace(catalog, patterns=(), relationships=tuple(r for r in catalog.relationships if r.filter is None))
+        single, _ = single_table_rows(tables, plain)
+        single, others = materialize(single), None
+    parts = [public_rows(single)]
+    suites = None
+    if others is not None:
+        suites = join_suites(tables, catalog, single, others)
         try:
-            parts.append(materialize(build().select("suite", F.col("seq").cast("int"), "rule", "total_tested", "failed_records", "status")))
-        except Exception:  # noqa: BLE001 - isolate this unit
-            errors.append((suite, seq, rule, None, None, "ERROR"))
-    if errors:
-        parts.append(literal_frame(spark, errors, _SUB_SCHEMA))
-    out = parts[0] if parts else literal_frame(spark, [], _SUB_SCHEMA)
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            whole = None
+            for frame in suites.values():
+                frame = frame.select(*SUB_RESULT_COLUMNS)
+                whole = frame if whole is None else whole.unionByName(frame)
+            return parts[0].unionByName(materialize(whole))
+        except Exception as e:
+            if rule_error(e) is None:
+                raise
+    for suite, rules in named.items():
+        if suite == "person_patterns" and others is not None:
+            rules = [r for r in rules if r[2] in others]
+        parts += _isolated(spark, suite, rules, build[suite])
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
-

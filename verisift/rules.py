@@ -204,6 +204,29 @@ class GroupCount:
     description: str = ""
 
 
+@dataclass(frozen=True)
+class QueryCount:
+    """R5 by a query: each of its rows is a group that stands out, over ``table``.
+
+    ``query`` is Spark SQL over the loaded tables' names; its first column is the
+    group, its second the count. Informational: always passes.
+    """
+
+    name: str
+    table: str
+    query: str
+    filter: Filter = None
+    description: str = ""
+
+
+@dataclass(frozen=True)
+class UnusableRule:
+    """A rule that could not be read, with why; a run reports it as ERROR."""
+
+    name: str
+    reason: str
+
+
 RowRule = Union[Uniqueness, RequiredFields, RangeCheck, FieldComparison]
 PatternRule = Union[
     Uniqueness,
@@ -213,6 +236,8 @@ PatternRule = Union[
     ReferenceCheck,
     RelationshipExists,
     GroupCount,
+    QueryCount,
+    UnusableRule,
 ]
 
 

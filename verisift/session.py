@@ -37,14 +37,15 @@ def aggregate_pushdown_enabled(spark: SparkSession) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``.
 
-    Only a local-mode session (tests, the benchmark) gets a fresh local folder
-    when the setting is absent; on a cluster a machine-local folder would not
-    survive the loss of that machine, so the setting is required.
+    Where the setting is absent, a session whose executor is its own process
+    (tests, the benchmark) gets a fresh folder; with executors of their own, also
+    ``local-cluster``, the setting is required: a folder of one machine is not
+    seen by the others and does not survive it.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to shared storage before run()")
         current = tempfile.mkdtemp(prefix="verisift-ckpt-")
     # ``spark.checkpoint.dir`` is a core setting that cannot be changed at run

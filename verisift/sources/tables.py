@@ -41,6 +41,22 @@ def load_catalog_tables(
     return out
 
 
+def discover_tables(spark: SparkSession, databases: Iterable[str]) -> Dict[str, DataFrame]:
+    """Every base table of the given databases, by its name; views are left out.
+
+    A name that two databases share is refused: rules name tables only.
+    """
+    out: Dict[str, DataFrame] = {}
+    for database in databases:
+        for t in spark.catalog.listTables(database):
+            if t.isTemporary or t.tableType in ("VIEW", "TEMPORARY"):
+                continue
+            if t.name in out:
+                raise ValueError(f"table {t.name} is in more than one of the databases")
+            out[t.name] = spark.table(f"`{database}`.`{t.name}`")
+    return out
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Expose the mapping as temp views so SQL checks (Q3) can name the tables."""
     for name, df in tables.items():
