@@ -42,6 +42,8 @@ P_MIN = 8e-6
 #: Weight of a token's own share of the training tokens against its spelling.
 SHARE_WEIGHT = 0.1
 STRIPE = 512
+#: Bytes of text whose contexts are counted at a time.
+GRAM_BYTES = 3 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -69,9 +71,17 @@ def stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct contexts with the symbol that follows, as DEPTH + 1 bytes in a number, and their counts."""
-    if not texts:
+    """Distinct contexts with the symbol that follows, as DEPTH + 1 bytes in a number, and
+    their counts; counted in runs of texts of some GRAM_BYTES, then summed."""
+    runs = list(B.runs(np.concatenate([[0], np.cumsum([len(t) + DEPTH for t in texts], dtype=np.int64)]), GRAM_BYTES))
+    got = [_grams(texts[a:z]) for a, z in runs]
+    if not got:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    g, back = np.unique(np.concatenate([g for g, _ in got]), return_inverse=True)
+    return g, np.bincount(back, np.concatenate([n for _, n in got])).astype(np.int64)
+
+
+def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw, starts, ends = stream(texts)
     predicted = np.zeros(len(raw) + 1, np.int8)
     predicted[starts] += 1
@@ -319,7 +329,7 @@ def score(docs: DataFrame, p_min: float = P_MIN) -> DataFrame:
             ids, seq = B.unpack_ids(r["doc_ids"]), B.unpack_ints(r["body"])
             lengths = B.unpack_ints(r["lengths"]).astype(np.int64)
             stops = np.concatenate([[0], np.cumsum(lengths)])
-            for a, z in B.runs(stops, 1 << 20):
+            for a, z in B.runs(stops, 1 << 19):
                 own, n = seq[stops[a] : stops[z]], lengths[a:z]
                 cuts = stops[a : z + 1] - stops[a]
                 base = np.concatenate([[0.0], np.cumsum(log_share[own])])[cuts]
