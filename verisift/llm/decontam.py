@@ -85,7 +85,7 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     # A row per size partition.
     bounds = sketch.groupBy("partition").agg(F.max("h").alias("upto"), F.min("least").alias("least")).collect()
     if not bounds:
-        return b.join(d, F.lit(False)).selectExpr("doc_id", "item_id", "1L as n_shingles", "1L as n_shared", "1.0D as containment")
+        return d.where(F.lit(False)).selectExpr("doc_id", "doc_id as item_id", "doc_id as n_shingles", "doc_id as n_shared", "1.0D as containment")
     upto, least = max(r.upto for r in bounds), min(r.least for r in bounds)
     hashed = d.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", shingle_hashes("words").alias("hashes"))
     probes = hashed.where(F.size("hashes") >= least).select("doc_id", F.size("hashes").alias("n"), F.explode("hashes").alias("h")).where(F.col("h") <= upto)
