@@ -13,10 +13,10 @@ as much of it is computed as the sizes leave open:
 3. Each document is first compared with the smallest id among those it shares
    most of its head with. These few pairs join most of each group of near copies.
 4. The product: per n-gram, the documents outside its first document's component
-   meet all others of its block from other components. The overlap counts of
-   these pairs are summed, and a pair is dropped when the count and what the
-   sizes leave beyond the heads can't reach the threshold. The rest are
-   verified on their whole sets.
+   meet all others of its block from other components, unless all that each
+   shares with anyone, and what the sizes leave beyond the heads, can't reach the
+   threshold. The overlap counts of these pairs are summed, a pair whose count
+   can't reach it either is dropped, and the rest are verified on their whole sets.
 5. Components of the links found are those of all links: what was not compared
    was in one component already, or could not reach the threshold.
 
@@ -41,7 +41,7 @@ from .blocks import squeeze, unsqueeze
 from .common import cut, packed, small_pieces, table
 from .components import components
 
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 #: Entries of the table of counts that orders n-grams, four bytes each when it is broadcast.
 COUNTERS = 1 << 22
 SLICES = 64
@@ -205,21 +205,25 @@ def join(docs: DataFrame, n: int = 3, per_cent: int = 90) -> DataFrame:
     of_doc, of_hub = at.toDF("doc_id", "own"), at.toDF("hub", "hubs")
     placed = cut(
         shared.join(of_doc, "doc_id", "left").join(of_hub, "hub", "left")
-        .select("g", "doc_id", "size", "k", "last_c", "last_g", F.coalesce("own", "doc_id").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
+        .join(shared.groupBy("doc_id").agg(F.count("*").alias("most")), "doc_id")
+        .select("g", "doc_id", "size", "k", "last_c", "last_g", "most", F.coalesce("own", "doc_id").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
     )
     stray = placed.where("own <> hubs")
     x, y = stray.alias("x"), placed.alias("y")
+    ends_first = F.when(F.struct("x.last_c", "x.last_g") <= F.struct("y.last_c", "y.last_g"), F.col("x.size") - F.col("x.k")).otherwise(F.col("y.size") - F.col("y.k"))
+    sizes = F.col("x.size") + F.col("y.size")
     met = x.join(y, F.col("x.g") == F.col("y.g")).where(
         (F.col("x.own") != F.col("y.own"))
         # Two strays meet once.
         & ((F.col("y.own") == F.col("y.hubs")) | (F.col("x.doc_id") < F.col("y.doc_id")))
         & (100 * F.least("x.size", "y.size") >= per_cent * F.greatest("x.size", "y.size"))
+        # Heads share no more than what each shares with any other document.
+        & (sizes * per_cent <= (F.least("x.most", "y.most") + ends_first) * (100 + per_cent))
     )
-    ends_first = F.when(F.struct("x.last_c", "x.last_g") <= F.struct("y.last_c", "y.last_g"), F.col("x.size") - F.col("x.k")).otherwise(F.col("y.size") - F.col("y.k"))
     overlap = (
         met.select(
             F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"),
-            ends_first.alias("beyond"), (F.col("x.size") + F.col("y.size")).alias("sizes"),
+            ends_first.alias("beyond"), sizes.alias("sizes"),
         )
         .groupBy("a", "b").agg(F.count("*").alias("n"), F.first("beyond").alias("beyond"), F.first("sizes").alias("sizes"))
     )
