@@ -13,10 +13,10 @@ as much of it is computed as the sizes leave open:
 3. Each document is first compared with the smallest id among those it shares
    most of its head with. These few pairs join most of each group of near copies.
 4. The product: per n-gram, the documents outside its first document's component
-   meet all others of its block from other components, unless all that each
-   shares with anyone, and what the sizes leave beyond the heads, can't reach the
-   threshold. The overlap counts of these pairs are summed, a pair whose count
-   can't reach it either is dropped, and the rest are verified on their whole sets.
+   meet all others of its block from other components, where what may follow in
+   both heads, and what the sizes leave beyond these, can still reach the
+   threshold. Pairs whose heads' whole overlap can't reach it are dropped, and
+   the rest are verified on their whole sets.
 5. Components of the links found are those of all links: what was not compared
    was in one component already, or could not reach the threshold.
 
@@ -191,7 +191,7 @@ def join(docs: DataFrame, n: int = 3, per_cent: int = 90) -> DataFrame:
     head = heads(docs, n, per_cent, _counters(summary)).where("size > 0").join(firsts, "doc_id", "left_semi")
     head = cut(head.groupBy("doc_id").agg(F.max(F.struct("size", "last_c", "last_g", "head")).alias("h")).select("doc_id", "h.*"))
     sizes = head.select("doc_id", "size", F.size("head").cast("long").alias("k"), "last_c", "last_g")
-    entries = head.select("doc_id", F.explode("head").alias("g"))
+    entries = head.select("doc_id", F.posexplode("head").alias("at", "g"))
     columns = entries.groupBy("g").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
     shared = cut(entries.join(columns.select("g", "hub"), "g").join(sizes, "doc_id"))
 
@@ -205,30 +205,32 @@ def join(docs: DataFrame, n: int = 3, per_cent: int = 90) -> DataFrame:
     of_doc, of_hub = at.toDF("doc_id", "own"), at.toDF("hub", "hubs")
     placed = cut(
         shared.join(of_doc, "doc_id", "left").join(of_hub, "hub", "left")
-        .join(shared.groupBy("doc_id").agg(F.count("*").alias("most")), "doc_id")
-        .select("g", "doc_id", "size", "k", "last_c", "last_g", "most", F.coalesce("own", "doc_id").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
+        .withColumn("left", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("at"))))
+        .select("g", "doc_id", "size", "k", "last_c", "last_g", "left", F.coalesce("own", "doc_id").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
     )
     stray = placed.where("own <> hubs")
     x, y = stray.alias("x"), placed.alias("y")
     ends_first = F.when(F.struct("x.last_c", "x.last_g") <= F.struct("y.last_c", "y.last_g"), F.col("x.size") - F.col("x.k")).otherwise(F.col("y.size") - F.col("y.k"))
-    sizes = F.col("x.size") + F.col("y.size")
+    # Of sizes s, a pair that reaches t per cent shares at least t s / (100 + t); this
+    # many times 100 + t must be shared in the heads.
+    due = per_cent * (F.col("x.size") + F.col("y.size")) - (100 + per_cent) * ends_first
     met = x.join(y, F.col("x.g") == F.col("y.g")).where(
         (F.col("x.own") != F.col("y.own"))
         # Two strays meet once.
         & ((F.col("y.own") == F.col("y.hubs")) | (F.col("x.doc_id") < F.col("y.doc_id")))
         & (100 * F.least("x.size", "y.size") >= per_cent * F.greatest("x.size", "y.size"))
-        # Heads share no more than what each shares with any other document.
-        & (sizes * per_cent <= (F.least("x.most", "y.most") + ends_first) * (100 + per_cent))
+        # The first n-gram that two heads share is followed, in both, by the others
+        # that they must share: so far back, a pair has met before, or is none.
+        & ((100 + per_cent) * F.least("x.left", "y.left") >= due)
     )
-    overlap = (
-        met.select(
-            F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"),
-            ends_first.alias("beyond"), sizes.alias("sizes"),
-        )
-        .groupBy("a", "b").agg(F.count("*").alias("n"), F.first("beyond").alias("beyond"), F.first("sizes").alias("sizes"))
+    pairs = cut(
+        met.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"), due.alias("due")).distinct()
+    )
+    whole_heads = head.select("doc_id", "head")
+    open_ = (
+        pairs.join(whole_heads.toDF("a", "x"), "a").join(whole_heads.toDF("b", "y"), "b")
+        .where((100 + per_cent) * F.size(F.array_intersect("x", "y")) >= F.col("due")).select("a", "b").distinct()
     )
-    # Of sizes s, a pair that reaches t per cent shares at least t s / (100 + t).
-    open_ = overlap.where(F.col("sizes") * per_cent <= (F.col("n") + F.col("beyond")) * (100 + per_cent)).select("a", "b")
     more = _verified(open_, docs, n, per_cent)
     same = at.select(F.col("component").alias("a"), F.col("id").alias("b"))
     whole = components(same.unionByName(more))
