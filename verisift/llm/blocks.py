@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import small_pieces
+
 ROWS = "kind string, block long, bucket int, doc_ids binary, lengths binary, body binary, more binary"
 #: Bytes of text of a block; a longer text is a block by itself.
 BLOCK_BYTES = 16 << 20
@@ -88,7 +90,7 @@ def cut_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> I
 
     numbers = itertools.count(TaskContext.get().partitionId() << 32)
     ids, texts, size = [], [], 0
-    for b in batches:
+    for b in small_pieces(batches, "text", 2 << 20):
         for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
             ids.append(i)
             texts.append(t or "")

@@ -38,12 +38,12 @@ from . import blocks as B
 from .common import bucketed, cut, packed, ship, shuffle_width, table
 
 DEPTH = 6
-P_MIN = 8e-6
+P_MIN = 1.2e-5
 #: Weight of a token's own share of the training tokens against its spelling.
 SHARE_WEIGHT = 0.1
 STRIPE = 512
 #: Bytes of text whose contexts are counted at a time.
-GRAM_BYTES = 3 << 20
+GRAM_BYTES = 2 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -194,13 +194,14 @@ def build(counts: list) -> dict:
         gram, n = counts[d]
         ctx, first = np.unique(gram >> 8, return_index=True)
         row = np.repeat(np.arange(len(ctx)), np.diff(np.append(first, len(gram))))
-        follow = np.zeros((len(ctx), width))
+        follow = np.zeros((len(ctx), width), np.float32)
         follow[row, classes[gram & 255]] = n
-        m, kinds = follow.sum(1), np.maximum(1, (follow > 0).sum(1))
+        m, kinds = follow.sum(1, dtype=np.float64), np.maximum(1, (follow > 0).sum(1))
         shorter = np.searchsorted(contexts[d - 1], ctx & ((1 << 8 * (d - 1)) - 1))
-        share.append(follow / np.maximum(m, 1)[:, None])
+        share.append(follow / np.maximum(m, 1).astype(np.float32)[:, None])
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = np.where(follow > 0, share[d] * np.log(share[d] / share[d - 1][shorter]), 0).sum(1) * m
+        share[d - 1] = None
         keep.append(gain >= 0.5 * kinds * np.log(np.maximum(m, 2)))
         levels.append((follow, m, kinds, shorter))
         # A symbol leads to the context that it completes; where there is none, to where it leads from the suffix.
@@ -215,6 +216,7 @@ def build(counts: list) -> dict:
         follow, m, kinds, shorter = levels[d]
         smooth = (follow + kinds[:, None] * probs[d - 1][shorter]) / (m + kinds)[:, None]
         probs.append(np.where(keep[d][:, None], smooth, probs[d - 1][shorter]))
+        levels[d] = None
     return {
         "classes": classes,
         "moves": np.concatenate(moves).astype(np.int32),
@@ -329,7 +331,7 @@ def score(docs: DataFrame, p_min: float = P_MIN) -> DataFrame:
             ids, seq = B.unpack_ids(r["doc_ids"]), B.unpack_ints(r["body"])
             lengths = B.unpack_ints(r["lengths"]).astype(np.int64)
             stops = np.concatenate([[0], np.cumsum(lengths)])
-            for a, z in B.runs(stops, 1 << 19):
+            for a, z in B.runs(stops, 1 << 18):
                 own, n = seq[stops[a] : stops[z]], lengths[a:z]
                 cuts = stops[a : z + 1] - stops[a]
                 base = np.concatenate([[0.0], np.cumsum(log_share[own])])[cuts]
