@@ -41,7 +41,7 @@ from .blocks import squeeze, unsqueeze
 from .common import cut, packed, small_pieces, table
 from .components import components
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 #: Entries of the table of counts that orders n-grams, four bytes each when it is broadcast.
 COUNTERS = 1 << 22
 SLICES = 64
@@ -95,7 +95,7 @@ def summaries(docs: DataFrame, n: int) -> DataFrame:
         counts = np.zeros(COUNTERS, np.uint32)
         for ids, sets in _pieces(batches, n):
             h = np.concatenate(sets) & np.uint64(COUNTERS - 1)
-            counts += np.bincount(h.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+            np.add.at(counts, h.astype(np.int64), np.uint32(1))
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             m = len(sets)
             yield {"doc_id": ids, "n_grams": [len(s) for s in sets], "digest": digests, "slice": [None] * m, "counts": [None] * m}
