@@ -251,3 +251,14 @@ def test_suffix_tree_of_nothing(texts):
     model = model_of(texts) if texts else suffix_tree_lm.build([(np.zeros(0, np.int64), np.zeros(0, np.int64))] * (suffix_tree_lm.DEPTH + 1))
     raw, _, _ = suffix_tree_lm.stream([b"ab "])
     assert np.isfinite(suffix_tree_lm.symbol_scores(model, raw)).all()
+
+
+def test_suffix_tree_long_unseen_words(spark):
+    rng = random.Random(5)
+    texts = ["one two three four five"] * 60 + ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n)) for n in (5_000, 10_000)]
+    held = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 == 2]
+    taught = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 != 2]
+    docs = spark.createDataFrame(list(zip(taught[:60] + held[:2], texts)), "doc_id long, text string")
+    short, long = (next(r.score for r in suffix_tree_lm.score(docs.where(f"doc_id in ({k}) or doc_id in ({','.join(map(str, taught[:60]))})")).collect() if r.doc_id == k) for k in held[:2])
+    assert short < -5_000 and long < -10_000
+    assert abs(long / short - 2) < 0.1

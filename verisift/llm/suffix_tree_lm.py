@@ -261,8 +261,10 @@ def text_scores(model: dict, words: list[bytes], seq: np.ndarray, lengths: np.nd
     sizes = np.insert(np.fromiter(map(len, words), np.int64, len(words))[seq] + 1, stops, 1)
     own = np.insert(share[seq], stops, end_share)
     ends = np.cumsum(sizes) + DEPTH + np.repeat(np.arange(len(lengths)), lengths + 1) * (DEPTH - 1)
-    spelling = 10.0 ** (total[ends] - total[ends - sizes])
-    logs = np.concatenate([[0.0], np.cumsum(np.log10(np.maximum(weight * own + (1 - weight) * spelling, 1e-300)))])
+    spelling = np.log(10.0) * (total[ends] - total[ends - sizes])
+    with np.errstate(divide="ignore"):
+        either = np.logaddexp(np.log(weight) + np.log(own), np.log1p(-weight) + spelling)  # in logarithms: long words are below any double
+    logs = np.concatenate([[0.0], np.cumsum(either / np.log(10.0))])
     last = np.cumsum(lengths + 1)
     return logs[last] - logs[last - lengths - 1]
 
