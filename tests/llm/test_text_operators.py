@@ -140,6 +140,16 @@ def test_spans_that_anchors_add():
     assert added("on account of 12 accountants; the token was taken; https://host.example/a?b=c") == []
 
 
+@pytest.mark.parametrize("cue", ["API key", "Api key", "apiKey", "ApiKey", "API_key", "api_Key", "passWord", "PassWD", "sSN", "Access_Key", "pASSport"])
+def test_cues_in_any_case(cue):
+    for before in ("", "İ日 ", "K "):  # offsets hold where lower case is longer, and the Kelvin sign is no k
+        text = f"{before}{cue}: 9F8e7d6c5b."
+        at = text.index("9F8e")
+        assert pii.find(text) == ([], [(at, 5, at + 10)])
+        assert pii.masked(text) == f"{before}{cue}: [ACCOUNT]."
+    assert pii.find("to\u212aen: 9f8e7d6c5b") == ([], [])
+
+
 def test_pii_rows_and_masking(spark):
     docs = frame(spark, [*TEXTS[:-1], "ann@a.example and 10.0.0.1, +1 (377) 555-0271 x 4111 1111 1111 1111"])
     got = {r.doc_id: [(s.kind, s.start, s.end, s.base) for s in r.spans] for r in pii.detect(docs).collect()}

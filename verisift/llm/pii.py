@@ -35,7 +35,7 @@ from .common import packed, small_pieces, table
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 PIECE_BYTES = 8 << 20
 
-# Words that announce an identifier; matched whole, in any case of A-Z.
+# Words that announce an identifier; matched whole, in any case of A-Z (the automaton reads the text in lower case).
 CUES = ("account", "acct", "iban", "ssn", "passport", "token", "secret", "password", "passwd", "api_key", "apikey", "api key", "access_key")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -50,6 +50,8 @@ _VALUE = re.compile(r"[ \t]{0,3}(?:number|no\.|nr\.|no|nr|id)?[ \t]{0,3}(?:[:=#]
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _ID = re.compile(r"[A-Za-z0-9_-]{6,}+")
 
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
 _AUTOMATON = None
 
 
@@ -65,8 +67,7 @@ def _automaton():
         a.add_word("+", "plus")
         a.add_word("://", "scheme")
         for cue in CUES:
-            for form in {cue, cue.upper(), cue.title(), cue.capitalize()}:
-                a.add_word(form, f"cue{len(form)}")
+            a.add_word(cue, f"cue{len(cue)}")
         a.make_automaton()
         _AUTOMATON = a
     return _AUTOMATON
@@ -120,7 +121,7 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
         return [], []
     base, more = [], []
     mail_from = wide_from = dotted_to = card_to = phone_to = url_to = 0
-    for end, what in _automaton().iter(text):
+    for end, what in _automaton().iter(text.lower() if text.isascii() else text.translate(_LOWER)):
         if what == "digit":
             if end >= dotted_to:
                 m = _DOTTED.match(text, end)
