@@ -272,3 +272,27 @@ def test_suffix_tree_long_unseen_words(spark):
     short, long = (next(r.score for r in suffix_tree_lm.score(docs.where(f"doc_id in ({k}) or doc_id in ({','.join(map(str, taught[:60]))})")).collect() if r.doc_id == k) for k in held[:2])
     assert short < -5_000 and long < -10_000
     assert abs(long / short - 2) < 0.1
+
+
+def test_suffix_tree_learns_rare_contexts_of_a_larger_text(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(4_000)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 400))) for _ in range(400)]
+    rows = [(k if k % 50 else None, t) for k, t in enumerate(texts)]
+    seqs = [suffix_tree_lm.tokens(t) for _, t in rows]
+    taught = [suffix_tree_lm.learned(i) for i, _ in rows]
+    model = model_of([suffix_tree_lm.spelled(s) for s, own in zip(seqs, taught) if own], 0)
+    counts, n_ends = Counter(w for s, own in zip(seqs, taught) if own for w in s), sum(taught)
+    total = sum(counts.values()) + n_ends
+    number = {w: k for k, w in enumerate(sorted({w for s in seqs for w in s}))}
+    want = suffix_tree_lm.text_scores(
+        lambda raw, starts, ends: suffix_tree_lm.symbol_scores(model, raw),
+        list(number),
+        np.array([number[w] for s in seqs for w in s]),
+        np.array([len(s) for s in seqs]),
+        np.array([counts[w] / total for w in number]),
+        n_ends / total,
+        suffix_tree_lm.SHARE_WEIGHT,
+    )
+    got = suffix_tree_lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert np.allclose(sorted(r.score for r in got), np.sort(want), rtol=1e-5, atol=1e-3)
