@@ -243,3 +243,14 @@ def test_hash_of_a_long_text_is_of_all_of_it():
     b = ngram_join.gram_sets(["x " * 50_000 + "z"], 3)[0]
     assert len(a) == 2 == len(b) and len(np.intersect1d(a, b)) == 1
     assert hashlib.sha256(a.tobytes()).digest() != hashlib.sha256(b.tobytes()).digest()
+
+
+def test_url_list_keys_in_other_forms(spark):
+    entries = ["host:WWW.Spam.example.", "domain:zip", "domain:Www.both.example", "prefix:www.Part.example/En"]
+    urls = [
+        "http://www.spam.example/", "http://a.spam.example/", "http://x.y.zip/", "http://zip/", "http://www.both.example/a",
+        "http://in.www.both.example/", "http://other.both.example/", "http://part.example/En/x", "http://part.example/en/x",
+    ]
+    e = spark.createDataFrame([("block", k, 0, "add") for k in entries], "list string, key string, day long, action string")
+    c = spark.createDataFrame([(k, u, 3) for k, u in enumerate(urls)], "capture_id long, url string, day long")
+    assert {r.capture_id for r in url_filter.evaluate(c, e).collect() if r.dropped} == {0, 2, 3, 4, 5, 7}

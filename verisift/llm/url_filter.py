@@ -4,7 +4,9 @@ A list is a log of dated entries ``list, key, day, action``: ``list`` is ``block
 ``allow``, ``action`` is ``add`` or ``remove``. Each entry is in force from its day until
 the day before the next entry of the same list and key (several on one day: a
 ``remove`` wins). Keys are ``host:a.b.c`` (that host), ``domain:b.c`` (it and all below) and
-``prefix:a.b.c/en`` (paths whose first segment is ``en``).
+``prefix:a.b.c/en`` (paths whose first segment is ``en``). Their hosts are read as those of
+captures: in lower case, without final dot and ``www.``; ``domain:www.b.c`` is thus the host
+``b.c`` and what is below ``www.b.c``.
 
 A capture is dropped if a block entry was in force on the day it was fetched and no
 allow entry was. Captures of one host, segment and day get one evaluation, which is
@@ -33,6 +35,20 @@ def url_parts(url):
     return host, F.regexp_extract(url, SEGMENT, 1)
 
 
+def normalised(entries: DataFrame) -> DataFrame:
+    """Entries whose keys have hosts in the form of ``url_parts``."""
+    kind, name, rest = (F.regexp_extract("key", r"^(host|domain|prefix):([^/]*)(.*)$", k) for k in (1, 2, 3))
+    low = F.regexp_replace(F.lower(name), r"\.$", "")
+    bare = F.regexp_replace(low, r"^www\.", "")
+    keys = (
+        F.when(kind == "", F.array("key"))
+        .when((kind == "domain") & low.startswith("www."), F.array(F.concat(F.lit("domain:"), low), F.concat(F.lit("host:"), bare)))
+        .when(kind == "domain", F.array(F.concat(F.lit("domain:"), low)))
+        .otherwise(F.array(F.concat(kind, F.lit(":"), bare, rest)))
+    )
+    return entries.select("list", "key", "day", "action").dropna().select("list", F.explode(keys).alias("key"), "day", "action")
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, key, since, until) during which a key is on a list; ``until`` is exclusive, null: still on it."""
     days = entries.select("list", "key", "day", "action").dropna().groupBy("list", "key", "day").agg(F.max("action").alias("action"))
@@ -42,11 +58,15 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """(capture_id, host, day, n_block, n_allow, entry, dropped) of captures (capture_id, url, day)."""
+    return _evaluate(captures, normalised(entries))
+
+
+def _evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     host, segment = url_parts(F.col("url"))
     c = captures.select("capture_id", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(segment, F.lit("")).alias("segment"), "day")
     kinds = c.where("host <> '' and length(host) <= 253 and day is not null").select("host", "segment", "day").distinct()
     labels = F.split("host", r"\.")
-    parents = F.expr("transform(sequence(1, greatest(size(labels) - 1, 1)), i -> concat('domain:', array_join(slice(labels, i, size(labels)), '.')))")
+    parents = F.expr("transform(sequence(1, size(labels)), i -> concat('domain:', array_join(slice(labels, i, size(labels)), '.')))")
     keyed = kinds.withColumn("labels", labels).select(
         "host", "segment", "day",
         F.explode(F.concat(F.array(F.concat(F.lit("host:"), "host"), F.concat(F.lit("prefix:"), "host", F.lit("/"), "segment")), parents)).alias("key"),
@@ -105,7 +125,7 @@ def op2(spark, sf_dir: str) -> DataFrame:
     """``pages`` has no fetch time: a page counts as fetched on day ``page_id % 366``."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.select(F.col("page_id").alias("capture_id"), "url", (F.col("page_id") % 366).alias("day"))
-    return evaluate(captures, lists_of(pages)).withColumnRenamed("capture_id", "page_id")
+    return _evaluate(captures, lists_of(pages)).withColumnRenamed("capture_id", "page_id")
 
 
 SQL = rf"""
