@@ -7,9 +7,9 @@ holds at least 80 % of the item's distinct shingles.
 Search: the hashes of an item's shingles are taken in ascending order. As at most
 ``q - ceil(0.8 q)`` of its ``q`` shingles may be missing, the ``q - ceil(0.8 q) + 1``
 smallest (its MinHash sketch) hold one that a containing document must have. Items
-are partitioned by size, each partition with its own bound: the largest hash in
-any of its sketches, and the fewest shingles that a document needs. A document is
-sketched against each partition by its own hashes below that bound; a shared hash
+are partitioned by size, each partition with a bound: the largest hash in
+any of its sketches, and the fewest shingles that a document needs. Documents are probed
+once, by their hashes up to the largest of these bounds; a shared hash
 makes a candidate. No candidate is missed. Candidates are verified by counting
 the shingles themselves.
 
