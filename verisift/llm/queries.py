@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, embedding_join, ngram_join, pii, quality, suffix_tree_lm, token_binary, url_filter
+from . import bpe, chat, decontam, embedding_join, license_scan, ngram_join, pii, quality, suffix_tree_lm, token_binary, url_filter
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_binary": token_binary.op8,
     "op9_suffix_tree_lm": suffix_tree_lm.op9,
     "op10_pii": pii.op10,
+    "op11_license_scan": license_scan.op11,
 }
 
 ORACLE_SQL = {
