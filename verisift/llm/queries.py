@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, embedding_join, license_scan, ngram_join, pii, quality, suffix_tree_lm, token_binary, url_filter
+from . import bpe, chat, decontam, embedding_join, license_scan, ngram_join, phrases, pii, quality, suffix_tree_lm, token_binary, url_filter
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_suffix_tree_lm": suffix_tree_lm.op9,
     "op10_pii": pii.op10,
     "op11_license_scan": license_scan.op11,
+    "op12_phrases": phrases.op12,
 }
 
 ORACLE_SQL = {
     "op2_url_filter": url_filter.SQL,
     "op6_chat": chat.SQL,
     "op7_decontamination": decontam.SQL,
+    "op12_phrases": phrases.SQL,
 }
