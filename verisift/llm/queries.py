@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, embedding_join, license_scan, ngram_join, phrases, pii, quality, suffix_tree_lm, token_binary, url_filter
+from . import bpe, chat, decontam, embedding_join, license_scan, ngram_join, phrases, pii, quality, spelling, suffix_tree_lm, token_binary, url_filter
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_pii": pii.op10,
     "op11_license_scan": license_scan.op11,
     "op12_phrases": phrases.op12,
+    "op13_spelling_variants": spelling.op13,
 }
 
 ORACLE_SQL = {
