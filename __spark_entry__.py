@@ -20,6 +20,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from verisift.config import pattern_from_item  # noqa: E402
 from verisift.contract import check_contract, to_contract  # noqa: E402
 from verisift.operators import joins, profile, rowrules, sqlcheck  # noqa: E402
 from verisift.operators.rollup import (  # noqa: E402
@@ -43,6 +44,7 @@ from verisift.rules import (  # noqa: E402
     RelationshipExists,
     RequiredFields,
     Uniqueness,
+    Within,
 )
 from verisift.sources import export_rows, load_catalog_tables, register_views  # noqa: E402
 
@@ -111,6 +113,22 @@ EXISTS_ROWS = RelationshipExists(
 EXISTS_OTHER = RelationshipExists(
     "part_shipped_late", "lineitem", "orders", (("l_orderkey", "o_orderkey"), ("l_shipdate", "o_orderdate")), entity="l_partkey"
 )
+# Lines of an order, and customers, near in time and in balance.
+EXISTS_RANGE = RelationshipExists(
+    "order_ships_within_400_days", "orders", "lineitem", (("o_orderkey", "l_orderkey"),), entity="o_orderkey",
+    within=Within("o_orderdate", "l_shipdate", 0, "400 days"),
+)
+EXISTS_NEAR = RelationshipExists(
+    "supplier_has_customer_of_like_balance", "supplier", "customer", entity="s_suppkey", count="rows",
+    within=Within("s_acctbal", "c_acctbal", -0.5, 0.5, high_open=True),
+)
+EXISTS_CONDITION = pattern_from_item(
+    {
+        "name": "customer_has_a_large_early_line", "type": "relationship", "base_table": "orders", "join_table": "lineitem", "entity": "o_custkey",
+        "join_condition": """o."o_orderkey" = l."l_orderkey" AND l."l_shipdate" < DATEADD(day, 700, o."o_orderdate") -- "early"
+            AND l."l_quantity" > 10 AND o."o_orderpriority" <> 'not "URGENT"' AND l."l_suppkey" <> o."o_custkey" - l."l_linenumber" """,
+    }
+)
 RI_INTEGRITY = ReferenceCheck(
     "pat_practice_integrity", "pat", "practice_id", "customer", "c_custkey", filter=NOT_DUMMY, mode="integrity"
 )
@@ -283,6 +301,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "relationship_exists": q(lambda t: joins.relationship_exists(t, EXISTS)),
         "relationship_exists_rows": q(lambda t: joins.relationship_exists(t, EXISTS_ROWS)),
         "relationship_exists_other_entity": q(lambda t: joins.relationship_exists(t, EXISTS_OTHER)),
+        "relationship_exists_range": q(lambda t: joins.relationship_exists(t, EXISTS_RANGE)),
+        "relationship_exists_near": q(lambda t: joins.relationship_exists(t, EXISTS_NEAR)),
+        "relationship_exists_condition": q(lambda t: joins.relationship_exists(t, EXISTS_CONDITION)),
+        "unrelated_entities_range": q(lambda t: joins.unrelated_entities(t, EXISTS_RANGE)),
         "failing_references": q(lambda t: joins.failing_references(t, RI_FILTERED_NULLS)),
         "unrelated_entities": q(lambda t: joins.unrelated_entities(t, EXISTS_OTHER)),
         "concept_mapping_breakdown": q(lambda t: joins.concept_mapping_breakdown(t, cat.concepts, cat.terminology)),
@@ -395,6 +417,10 @@ def oracle_sql() -> dict[str, str]:
         "ri_filtered_fanout": O.reference_check(RI_FANOUT),
         "ri_filtered_integrity": O.reference_check(RI_INTEGRITY),
         "relationship_exists_other_entity": O.relationship_exists(EXISTS_OTHER),
+        "relationship_exists_range": O.relationship_exists(EXISTS_RANGE),
+        "relationship_exists_near": O.relationship_exists(EXISTS_NEAR),
+        "relationship_exists_condition": O.relationship_exists(EXISTS_CONDITION),
+        "unrelated_entities_range": O.unrelated_entities(EXISTS_RANGE),
         "failing_references": O.failing_references(RI_FILTERED_NULLS),
         "unrelated_entities": O.unrelated_entities(EXISTS_OTHER),
         "relationship_exists": O.relationship_exists(EXISTS),

@@ -4,11 +4,11 @@ import datetime as dt
 
 import pytest
 
-from verisift.config import concepts_from_mapping, pattern_from_item, patterns_from_mapping, relationships_from_mapping, spark_filter
+from verisift.config import concepts_from_mapping, pattern_from_item, patterns_from_mapping, relationships_from_mapping, spark_filter, spark_sql
 from verisift.operators.joins import referential_integrity
 from verisift.plans.fixtures import fixture_tables
 from verisift.plans.suites import person_patterns
-from verisift.rules import UnusableRule
+from verisift.rules import UnusableRule, Within
 
 SF = "/root/testdata/sf0.01"
 
@@ -83,11 +83,48 @@ def test_join_conditions_are_read_whole_or_refused():
     assert _on('pp."person_id" = per."id"') == (("id", "person_id"),)
     assert _on("p.id = prr.patient_id and prr.x = p.y", "PATIENT", "PATIENT_REGISTERED_PRACTITIONER_IN_ROLE") == (("id", "patient_id"), ("y", "x"))
     assert _on("a.id = b.ref", base_alias="b") == (("ref", "id"),)
-    for bad in ('per."id" = pp."person_id" AND pp.kind <> 2', "per.id = pp.person_id or per.id = pp.other", "per.id = per.other", "a.id = b.ref", "", "per.id = pp.person_id and (per.a = pp.a)"):
+    for bad in ("per.id = pp.person_id or per.id = pp.other", "per.id = per.other", "a.id = b.ref", "", "per.id <> pp.person_id", "per.id = pp.person_id and kind = 2", "per.id = pp.person_id and pp.x = 'open"):
         with pytest.raises(ValueError):
             _on(bad)
 
 
+def test_join_conditions_beyond_equality():
+    def read(condition):
+        return pattern_from_item({"name": "r", "type": "relationship", "base_table": "PERSON", "join_table": "VISIT", "join_condition": condition})
+
+    r = read("""per."id" = v."person ""id" AND v.at >= per.born /* and per.x = v.x */ AND v.at < DATEADD(day, 30, per.born)
+        AND v.kind <> 'a "b" -- and per.c = 1' AND per.ok AND (v.x > per.y OR v.x IS NULL)""")
+    assert r.on == (("id", 'person "id'),)
+    assert r.within == Within("born", "at", 0, "30 day", high_open=True)
+    assert r.joined_on == """(kind <> 'a "b" -- and per.c = 1')""".replace("kind", "`kind`")
+    assert r.base_on == "(`ok`)" and r.condition == "(( j.`x` > b.`y` OR j.`x` IS NULL ))"
+    with pytest.raises(ValueError):  # two upper bounds are a condition, which needs an equality
+        read("per.a + 5 > v.b AND v.b BETWEEN per.a - 2 AND per.a + 9")
+    r = read("per.id = v.id AND per.a + 5 > v.b AND v.b BETWEEN per.a - 2 AND per.a + 9")
+    assert r.within is None and r.condition == "(b.`a` + 5 > j.`b`) AND (j.`b` BETWEEN b.`a` - 2 AND b.`a` + 9)"
+    assert read("v.at BETWEEN per.born - INTERVAL '2 days' AND per.born + INTERVAL 3 HOURS").within == Within("born", "at", "-2 days", "3 HOURS")
+    assert read("per.id = v.person + 1").within == Within("id", "person", -1, -1)
+
+
+def test_literals_and_comments_stay_as_they_are(spark):
+    assert spark_filter("name = 'say \"x\" now'") == "name = 'say \"x\" now'"
+    assert spark_filter('"a""b" = \'it\'\'s "so"\' -- "c"\n and "d" = 1') == '`a"b` = \'it\'\'s "so"\' -- "c"\n and `d` = 1'
+    assert spark_filter("/* \"x\" ' */ \"y\" > 1") == "/* \"x\" ' */ `y` > 1"
+    with pytest.raises(ValueError, match="not closed"):
+        spark_filter("name = 'open")
+    df = spark.createDataFrame([('say "x" now',), ("it's",), ("say `x` now",)], "name string")
+    assert df.where(spark_filter("\"name\" = 'say \"x\" now'")).count() == 1
+    assert df.where(spark_filter("\"name\" = 'it''s'")).count() == 1
+
+
+def test_current_time_of_a_query_is_the_run_s(spark):
+    text = 'SELECT "a", CURRENT_DATE() d, CURRENT_TIMESTAMP FROM "{db}"."S"."T" t WHERE t."current_date" > CURRENT_TIMESTAMP ( ) AND x = \'CURRENT_DATE\''
+    want = "SELECT `a`, DATE '2020-02-03' d, TIMESTAMP '2020-02-03' FROM `T` t WHERE t.`current_date` > TIMESTAMP '2020-02-03' AND x = 'CURRENT_DATE'"
+    assert spark_sql(text, dt.date(2020, 2, 3)) == want
+    with pytest.raises(ValueError, match="as_of"):
+        spark_sql(text)
+
+
 def test_count_query_of_the_source_format(spark):
     query = (
         'SELECT c."c_custkey", COUNT(DISTINCT o."o_orderkey") as n FROM "{source_db}"."MASKED"."customer" c '

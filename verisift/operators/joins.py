@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from ..contract import SUB_RESULT_SCHEMA
 from ..functions.frames import literal_frame
+from ..functions.sqltext import meaningful, tokens
 from ..functions import all_of, any_of, qcol, common_key_type, pct, sum_long, top_k_per_group
 from ..rules import (
     ConceptColumn,
@@ -387,45 +388,209 @@ def reference_check(tables: Mapping[str, DataFrame], rule: ReferenceCheck) -> Da
 # ----------------------------------------------------------------------------- J3
 
 
-# Parts that the entities of one unmatched key are dealt into.
+# Parts that the rows of one key are dealt into.
 SALTS = 32
 
+# Least and greatest seconds of a calendar unit, clock changes included (fixed values).
+_UNITS = {
+    "second": (1, 1), "minute": (60, 60), "hour": (3600, 3600), "day": (82_800, 90_000), "week": (601_200, 608_400),
+    "month": (2_415_600, 2_682_000), "year": (31_532_400, 31_626_000),
+}
 
-def _base_keys(rule: RelationshipExists) -> List[Column]:
-    return [F.col(bc).alias(f"__b{i}") for i, (bc, _) in enumerate(rule.on)]
 
+def _seconds(offset, least: bool) -> float:
+    """The least or greatest seconds of an interval text; 0 is none."""
+    if not offset:
+        return 0
+    n, unit = str(offset).split()
+    low, high = _UNITS[unit.lower().rstrip("s")]
+    return min(int(n) * low, int(n) * high) if least else max(int(n) * low, int(n) * high)
 
-def _all_keys(rule: RelationshipExists) -> Column:
-    return all_of(*[F.col(f"__b{i}").isNotNull() for i in range(len(rule.on))])
 
+def _is_time(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
-def _joined_keys(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
-    return (
-        tables[rule.joined].where(all_of(*[F.col(jc).isNotNull() for _, jc in rule.on]))
-        .select(*[F.col(jc).alias(f"__j{i}") for i, (_, jc) in enumerate(rule.on)])
-        .distinct()
-        .withColumn("__found", F.lit(True))
-    )
 
+def _bucket_width(rule: RelationshipExists, time: bool) -> Optional[float]:
+    """Half of the least that a range of the rule can span, in the unit of its axis
+    (microseconds or the numbers themselves); 0 for a single value, None without an end."""
+    low, high = rule.within.low, rule.within.high
+    if low is None or high is None:
+        return None
+    if time:
+        span = 1_000_000 * (_seconds(high, True) - _seconds(low, False))
+    elif isinstance(low, str) or isinstance(high, str):
+        raise ValueError(f"{rule.name!r}: an interval needs dates or timestamps")
+    else:
+        span = high - low
+    if str(low) == str(high):
+        return 0
+    if span <= 0:
+        raise ValueError(f"{rule.name!r}: the range from {low!r} to {high!r} is empty, or its units leave its length open")
+    return span / 2
+
+
+class _Match:
+    """How one rule's base keys find their joined rows.
+
+    Base key columns are ``__b0 ..`` (the equalities), ``__x`` (the range) and ``__c0 ..``
+    (base columns of the condition), so two base rows with one key have one answer.
+
+    *Equalities*: an equi-join of distinct keys.
 
-def _on(rule: RelationshipExists) -> Column:
-    return all_of(*[F.col(f"__b{i}") == F.col(f"__j{i}") for i in range(len(rule.on))])
+    *Range*: the joined side is reduced to least and greatest value per (keys, bucket), with
+    buckets of half the span of a range. A base value meets the buckets that its range
+    touches, four at most, by equality. As the range reaches beyond its first bucket, a
+    joined value is in the range exactly if that bucket's greatest is not below the range
+    or that of a later one's least not above it, so two numbers per bucket decide. Ranges with
+    one end need one bucket. No joined rows are multiplied, no inequality is joined on.
+
+    *Condition*: an equi-join of the distinct columns that the condition names, with the
+    condition on top. Base keys of one equality are dealt into ``SALTS`` parts in either case.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], rule: RelationshipExists):
+        self.rule, self.base, self.joined = rule, tables[rule.base], tables[rule.joined]
+        self.range, self.used = rule.within, ([], [])
+        if rule.condition:
+            parts = tokens(rule.condition)
+            self.used = tuple(
+                sorted({c for c in frame.columns for alias in [side] if _names(parts, alias, c)})
+                for side, frame in (("b", self.base), ("j", self.joined))
+            )
+        if self.range:
+            kinds = [_field_type(self.base, self.range.base), _field_type(self.joined, self.range.joined)]
+            self.time = all(map(_is_time, kinds))
+            if not self.time and not all(isinstance(k, T.NumericType) for k in kinds):
+                raise ValueError(f"{rule.name!r}: a range needs two numbers or two dates or timestamps")
+            self.width = _bucket_width(rule, self.time)
+
+    # -- base side
+
+    def key_columns(self) -> List[Column]:
+        keys = [qcol(bc).alias(f"__b{i}") for i, (bc, _) in enumerate(self.rule.on)]
+        if self.range:
+            keys.append(qcol(self.range.base).alias("__x"))
+        keys += [qcol(c).alias(f"__c{i}") for i, c in enumerate(self.used[0])]
+        return [*keys, F.coalesce(all_of(self.rule.base_on), F.lit(False)).alias("__on")]
+
+    def key_names(self) -> List[str]:
+        return [f"__b{i}" for i in range(len(self.rule.on))] + ["__x"] * bool(self.range) + [f"__c{i}" for i in range(len(self.used[0]))]
+
+    def can_match(self) -> Column:
+        """Rows with a NULL key, or out by ``base_on``, have no match and skip the join."""
+        return all_of(F.col("__on"), *[F.col(n).isNotNull() for n in self.key_names() if not n.startswith("__c")])
+
+    # -- joined side
+
+    def _axis(self, value: Column) -> Column:
+        return F.unix_micros(value.cast("timestamp")) if self.time else value
+
+    def _moved(self, offset) -> Column:
+        x = F.col("__x")
+        if isinstance(offset, str):
+            n, unit = offset.split()
+            # A date moved by less than a day is a timestamp.
+            x = x.cast("timestamp") if unit.lower().rstrip("s") in ("second", "minute", "hour") else x
+            return self._axis(x + F.expr(f"INTERVAL '{n}' {unit.rstrip('sS')}"))
+        if self.time and offset:
+            raise ValueError(f"{self.rule.name!r}: dates are moved by intervals, not by {offset!r}")
+        return self._axis(x) if not offset else x + F.lit(offset)
+
+    def _bucket(self, axis: Column) -> Column:
+        if self.width is None:
+            return F.lit(0).cast("bigint")
+        return axis.cast("bigint") if self.width == 0 and self.time else axis.cast("double") if self.width == 0 else F.floor(axis.cast("double") / F.lit(float(self.width)))
+
+    def matched(self, keys: DataFrame) -> DataFrame:
+        """Of distinct base ``keys`` that can match, those that do."""
+        rule, names = self.rule, self.key_names()
+        n = len(rule.on)
+        joined = self.joined.where(all_of(rule.joined_on, *[qcol(jc).isNotNull() for _, jc in rule.on]))
+        theirs = [qcol(jc).alias(f"__j{i}") for i, (_, jc) in enumerate(rule.on)]
+        same = [F.col(f"__b{i}") == F.col(f"__j{i}") for i in range(n)]
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+        part = F.pmod(F.xxhash64(*names), F.lit(SALTS)).cast("int").alias("__part")
+        salted = F.col("__part") == F.col("__salt")
+        if self.range and not rule.condition:
+            w = self.range
+            value = self._axis(qcol(w.joined))
+            ends = (
+                joined.where(qcol(w.joined).isNotNull()).select(*theirs, value.alias("__v"))
+                .groupBy(*[f"__j{i}" for i in range(n)], self._bucket(F.col("__v")).alias("__jk"))
+                .agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+                .select("*", salts)
+            )
+            low = None if w.low is None else self._moved(w.low)
+            high = None if w.high is None else self._moved(w.high)
+            first, last = (self._bucket(x) if x is not None else F.lit(0).cast("bigint") for x in (low, high))
+            own = keys.select(
+                *names, part,
+                (low if low is not None else F.lit(None).cast("bigint")).alias("__low"),
+                (high if high is not None else F.lit(None).cast("bigint")).alias("__high"),
+                (F.explode(F.sequence(first, last)) if self.width else first).alias("__k"),
+            )
+            inside = []
+            if low is not None:
+                inside.append(F.col("__max") > F.col("__low") if w.low_open else F.col("__max") >= F.col("__low"))
+            if high is not None:
+                inside.append(F.col("__min") < F.col("__high") if w.high_open else F.col("__min") <= F.col("__high"))
+            hit = own.join(ends, all_of(salted, F.col("__k") == F.col("__jk"), *same, *inside), "left_semi")
+            return hit.select(*names).distinct()
+        if rule.condition:
+            more = [qcol(c).alias(f"__d{i}") for i, c in enumerate(self.used[1])]
+            if self.range:
+                more.append(self._axis(qcol(self.range.joined)).alias("__v"))
+            others = joined.select(*theirs, *more).distinct().select("*", salts)
+            # Columns under the condition's own aliases, whatever else is called like them.
+            own = keys.select(*names, part, F.struct(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(self.used[0])], F.lit(0).alias("__none")).alias("b"))
+            others = others.select("*", F.struct(*[F.col(f"__d{i}").alias(c) for i, c in enumerate(self.used[1])], F.lit(0).alias("__none")).alias("j"))
+            terms = [rule.condition]
+            if self.range:
+                w, v = self.range, F.col("__v")
+                if w.low is not None:
+                    terms.append(v > self._moved(w.low) if w.low_open else v >= self._moved(w.low))
+                if w.high is not None:
+                    terms.append(v < self._moved(w.high) if w.high_open else v <= self._moved(w.high))
+            return own.join(others, all_of(salted, *same, *terms), "left_semi").select(*names)
+        return keys.join(joined.select(*theirs).distinct(), all_of(*same), "left_semi").select(*names)
+
+    def lone(self, keys: DataFrame) -> DataFrame:
+        """Of distinct base ``keys`` that can match, those that don't."""
+        names = self.key_names()
+        if not self.range and not self.rule.condition:
+            theirs = self.joined.where(all_of(self.rule.joined_on, *[qcol(jc).isNotNull() for _, jc in self.rule.on]))
+            theirs = theirs.select(*[qcol(jc).alias(f"__j{i}") for i, (_, jc) in enumerate(self.rule.on)]).distinct()
+            return keys.join(theirs, all_of(*[F.col(f"__b{i}") == F.col(f"__j{i}") for i in range(len(self.rule.on))]), "left_anti").select(*names)
+        hit = self.matched(keys).select(*[F.col(n).alias(f"__m{n}") for n in names])
+        return keys.join(hit, all_of(*[F.col(n).eqNullSafe(F.col(f"__m{n}")) for n in names]), "left_anti").select(*names)
+
+
+def _names(parts, alias: str, column: str) -> bool:
+    some = meaningful(parts)
+    return any(
+        a.name is not None and a.name.lower() == alias and dot.says(".") and c.name is not None and c.name.lower() == column.lower()
+        for a, dot, c in zip(some, some[1:], some[2:])
+    )
 
 
 def _unrelated(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
     """``__e``: the distinct entities of which some row has no match."""
+    match = _Match(tables, rule)
     base = tables[rule.base].where(all_of(rule.filter)).where(F.col(rule.entity).isNotNull())
-    rows = base.select(*_base_keys(rule), F.col(rule.entity).alias("__e"))
-    joined = _joined_keys(tables, rule)
-    if len(rule.on) == 1 and rule.on[0][0] == rule.entity:
-        keys = rows.select("__b0", "__e").distinct()
-        return keys.join(joined, _on(rule), "left_anti").select("__e")
-    n = len(rule.on)
-    lone = rows.where(_all_keys(rule)).select(*[f"__b{i}" for i in range(n)]).distinct().join(joined, _on(rule), "left_anti")
-    salted = lone.select(*[F.col(f"__b{i}").alias(f"__k{i}") for i in range(n)], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
-    pairs = rows.where(_all_keys(rule)).distinct().withColumn("__part", F.pmod(F.xxhash64("__e"), F.lit(SALTS)).cast("int"))
-    hit = all_of(F.col("__part") == F.col("__salt"), *[F.col(f"__b{i}") == F.col(f"__k{i}") for i in range(n)])
-    return pairs.join(salted, hit, "left_semi").select("__e").union(rows.where(~_all_keys(rule)).select("__e")).distinct()
+    rows = base.select(*match.key_columns(), F.col(rule.entity).alias("__e"))
+    names = match.key_names()
+    out = rows.where(~match.can_match()).select("__e")
+    able = rows.where(match.can_match()).drop("__on")
+    if len(rule.on) == 1 and rule.on[0][0] == rule.entity and names == ["__b0"]:
+        lone = match.lone(able.select("__b0").distinct()).select(F.col("__b0").alias("__e"))
+        return lone.union(out).distinct()
+    lone = match.lone(able.select(*names).distinct())
+    salted = lone.select(*[F.col(n).alias(f"__k{n}") for n in names], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    pairs = able.distinct().withColumn("__part", F.pmod(F.xxhash64("__e"), F.lit(SALTS)).cast("int"))
+    # Only columns of a condition may be NULL here.
+    equal = [F.col(n).eqNullSafe(F.col(f"__k{n}")) if n.startswith("__c") else F.col(n) == F.col(f"__k{n}") for n in names]
+    return pairs.join(salted, all_of(F.col("__part") == F.col("__salt"), *equal), "left_semi").select("__e").union(out).distinct()
 
 
 def unrelated_entities(tables: Mapping[str, DataFrame], rule: RelationshipExists) -> DataFrame:
@@ -453,23 +618,26 @@ def relationship_exists(tables: Mapping[str, DataFrame], rule: RelationshipExist
     """Base entities (default) or rows with no matching ``joined`` row.
 
     Both sides are reduced before the join: the joined side to its distinct
-    key tuples, the base side to ``(keys, n)`` (rows mode) or, where the entity
-    is the key, to its distinct values. Otherwise distinct base keys are joined
-    first, and the keys without a match are handed to their ``(keys, entity)``
-    pairs in ``SALTS`` parts each, so a key on a third of the base rows is spread
-    over as many tasks. Rows with a NULL key never match, as in SQL; they skip
-    the join.
+    keys (a range: two values per bucket, see ``_Match``), the base side to ``(keys, n)``
+    (rows mode) or to distinct keys. Keys without a match are handed to their ``(keys,
+    entity)`` pairs in ``SALTS`` parts each, so a key on a third of the base rows is spread
+    over as many tasks. Rows with a NULL key never match, as in SQL; they skip the join.
     """
     base = tables[rule.base].where(all_of(rule.filter))
     if rule.count == "rows":
-        pre = base.groupBy(*_base_keys(rule)).agg(F.count(F.lit(1)).alias("__n"))
-        missing = F.col("__found").isNull()
-        whole = pre.where(_all_keys(rule)).join(_joined_keys(tables, rule), _on(rule), "left")
-        counts = whole.select("__n", missing.alias("__miss")).unionByName(
-            pre.where(~_all_keys(rule)).select("__n", F.lit(True).alias("__miss"))
-        ).agg(
-            sum_long(F.col("__n")).alias("total_tested"),
-            sum_long(F.when(F.col("__miss"), F.col("__n"))).alias("failed_records"),
+        match = _Match(tables, rule)
+        names = match.key_names()
+        pre = base.select(*match.key_columns()).groupBy(*names, "__on").agg(F.count(F.lit(1)).alias("__n"))
+        able = pre.where(match.can_match())
+        lone = match.lone(able.select(*names)).select(*[F.col(n).alias(f"__k{n}") for n in names])
+        failed = able.join(lone, all_of(*[F.col(n).eqNullSafe(F.col(f"__k{n}")) for n in names]), "left_semi")
+        counts = (
+            pre.select("__n", (~match.can_match()).alias("__miss"))
+            .unionByName(failed.select((-F.col("__n")).alias("__n"), F.lit(True).alias("__miss")))
+            .agg(
+                sum_long(F.when(F.col("__n") > 0, F.col("__n"))).alias("total_tested"),
+                sum_long(F.when(F.col("__miss"), F.abs("__n"))).alias("failed_records"),
+            )
         )
     elif rule.count == "entities":
         total = base.agg(F.count_distinct(F.col(rule.entity)).alias("total_tested")).select(

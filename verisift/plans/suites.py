@@ -66,7 +66,9 @@ def pattern_missing(tables: Mapping[str, DataFrame], p: PatternRule) -> Optional
     elif isinstance(p, ReferenceCheck):
         need = [(p.child, p.fk), (p.parent, p.key)]
     elif isinstance(p, RelationshipExists):
-        need = [(p.base, b) for b, _ in p.on] + [(p.joined, j) for _, j in p.on]
+        need = [(p.base, b) for b, _ in p.on] + [(p.joined, j) for _, j in p.on] or [(p.base, p.entity)]
+        if p.within:
+            need += [(p.base, p.within.base), (p.joined, p.within.joined)]
         if p.count == "entities":
             need.append((p.base, p.entity))
     elif isinstance(p, QueryCount):

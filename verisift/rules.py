@@ -166,21 +166,54 @@ class ReferenceCheck:
     description: str = ""
 
 
+@dataclass(frozen=True)
+class Within:
+    """The ``joined`` column lies from ``base + low`` to ``base + high``, both included
+    unless open; None leaves that side unbounded.
+
+    Bounds are numbers, or for dates and timestamps interval texts such as ``"30 days"``
+    (``0`` is the base value itself).
+    """
+
+    base: str
+    joined: str
+    low: Union[int, float, str, None] = None
+    high: Union[int, float, str, None] = None
+    low_open: bool = False
+    high_open: bool = False
+
+    def __post_init__(self):
+        if self.low is None and self.high is None:
+            raise ValueError(f"no bound between {self.base!r} and {self.joined!r}")
+
+
 @dataclass(frozen=True)
 class RelationshipExists:
     """Base entities (or rows) with no matching row in ``joined``.
 
-    ``on`` is a sequence of ``(base_column, joined_column)`` equality pairs.
+    A joined row matches a base row if all of these hold: the equalities of ``on``,
+    ``(base_column, joined_column)`` pairs; the range ``within``; ``base_on`` of the
+    base row and ``joined_on`` of the joined row; and ``condition``, any other SQL
+    condition over columns written ``b.x`` (base) and ``j.y`` (joined), which needs
+    an equality beside it. ``filter`` decides which base rows are tested at all.
     """
 
     name: str
     base: str
     joined: str
-    on: Tuple[Tuple[str, str], ...]
+    on: Tuple[Tuple[str, str], ...] = ()
     filter: Filter = None
     count: str = "entities"
     entity: str = "id"
     description: str = ""
+    within: Optional[Within] = None
+    base_on: Filter = None
+    joined_on: Filter = None
+    condition: Optional[str] = None
+
+    def __post_init__(self):
+        if not self.on and (self.within is None or self.condition):
+            raise ValueError(f"{self.name!r} needs an equality, or a range and nothing else between the two tables")
 
 
 @dataclass(frozen=True)
