@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -37,6 +38,7 @@ from verisift.plans.fixtures import fixture_tables  # noqa: E402
 from verisift.plans.suites import pattern_sub_results, person_patterns, run_suites  # noqa: E402
 from verisift.rules import (  # noqa: E402
     FieldComparison,
+    GroupCount,
     QueryCount,
     RangeCheck,
     ReferenceCheck,
@@ -46,7 +48,9 @@ from verisift.rules import (  # noqa: E402
     Uniqueness,
     Within,
 )
+from verisift.session import ensure_checkpoint_dir  # noqa: E402
 from verisift.sources import export_rows, load_catalog_tables, register_views  # noqa: E402
+from verisift.streaming import KeyedState  # noqa: E402
 
 # The training-data operators and their pipeline can be taken out as a whole.
 LLM_QUERIES: dict = {}
@@ -137,6 +141,17 @@ UNTESTED = (
     Relationship("pat", "registered_practice_id", "customer", "c_custkey"),
     Relationship("orders", "o_custkey", "customer", "c_customer_id"),
 )
+# Rules whose counts need keyed state, merged from batches; parents come in other batches than their children.
+KEYED = (
+    Uniqueness("lineitem_orderkey_unique", "lineitem", "l_orderkey"),
+    Uniqueness("pat_birth_year_unique_nulls", "pat", "birth_year", count_nulls=True, filter="id > 10"),
+    Relationship("pat", "practice_id", "customer", "c_custkey", name="pat_practice", filter=NOT_DUMMY),
+    Relationship("orders", "o_orderkey", "lineitem", "l_orderkey", name="order_lines"),
+    Relationship("events", "user_id", "supplier", "s_suppkey", name="event_supplier"),
+    C.PATTERNS[-1],
+    GroupCount("order_many_parts", "lineitem", "l_orderkey", "l_partkey", min_count=4),
+)
+KEYED_BATCHES = {"pat": ("id", 0), "orders": ("o_orderkey", 1), "lineitem": ("l_partkey", 2), "events": ("event_id", 0), "customer": ("c_custkey", 1), "supplier": ("s_suppkey", 0)}
 CATALOG_TABLES = ("nation", "region", "region_empty", "supplier")
 COUNT_QUERY = QueryCount(
     "customer_many_orders", "customer",
@@ -240,6 +255,21 @@ def _catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.empty_tables(load_catalog_tables(spark, CATALOG_TABLES), CATALOG_TABLES)
 
 
+def _merged_keyed_state(spark: SparkSession, t) -> DataFrame:
+    """Three batches of new rows, the second first with other rows and then replayed; old ones compacted."""
+    state = KeyedState(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/keyed-state-{uuid.uuid4().hex}", KEYED)
+
+    def batch(k: int):
+        return {n: t[n].where(F.pmod(F.xxhash64(c) + at, F.lit(3)) == k) for n, (c, at) in KEYED_BATCHES.items()}
+
+    state.merge(batch(0), 0, t)
+    state.merge({n: df.unionByName(df) for n, df in batch(2).items() if n != "customer"}, 1, t)
+    state.merge(batch(1), 1, t)
+    state.compact()
+    state.merge(batch(2), 2, t)
+    return state.totals()
+
+
 def _error_contract(t) -> DataFrame:
     """The contract, and the thresholds' verdict, of a suite in which no relationship could be tested."""
     suites = suite_rollup(joins.referential_sub_results(t, UNTESTED))
@@ -328,6 +358,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "threshold_resolution": q(_threshold_resolution),
         "suite_rollup": q(_suites),
         "merge_partials": q(_chunked_partials),
+        "merge_keyed_state": lambda spark, sf_dir: _merged_keyed_state(spark, _t(spark, sf_dir)),
         "run_summary": q(lambda t: run_summary(_suites(t))),
         "failure_report": q(_failure_report),
         **LLM_QUERIES,
@@ -445,6 +476,7 @@ def oracle_sql() -> dict[str, str]:
         "threshold_resolution": O.threshold_resolution(suites, THRESHOLD_ENV, THRESHOLD_OVERRIDES),
         "suite_rollup": suites,
         "merge_partials": O.merge_partials(cat, CHUNKS),
+        "merge_keyed_state": O.keyed_totals(KEYED),
         "run_summary": O.run_summary(suites),
         "failure_report": O.failure_report(replace(cat, relationships=C.RELATIONSHIPS_WITH_MISSING), _present_columns()),
     }
