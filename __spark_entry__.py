@@ -35,7 +35,7 @@ from verisift.operators.rollup import (  # noqa: E402
 from verisift.plans import catalog as C  # noqa: E402
 from verisift.plans import oracle as O  # noqa: E402
 from verisift.plans.fixtures import fixture_tables  # noqa: E402
-from verisift.plans.suites import pattern_sub_results, person_patterns, run_suites  # noqa: E402
+from verisift.plans.suites import pattern_sub_results, person_patterns, run, run_suites  # noqa: E402
 from verisift.rules import (  # noqa: E402
     FieldComparison,
     GroupCount,
@@ -152,6 +152,14 @@ KEYED = (
     GroupCount("order_many_parts", "lineitem", "l_orderkey", "l_partkey", min_count=4),
 )
 KEYED_BATCHES = {"pat": ("id", 0), "orders": ("o_orderkey", 1), "lineitem": ("l_partkey", 2), "events": ("event_id", 0), "customer": ("c_custkey", 1), "supplier": ("s_suppkey", 0)}
+# What a run of the catalog with faults can't test besides relationships and concept columns.
+UNTESTED_RULES = (
+    ("null_columns", 0, "referrals", "table referrals not found"),
+    ("empty_tables", 0, "referrals", "table referrals not found"),
+    ("column_completeness", len(C.COMPLETENESS), "pat.postcode", "column pat.postcode not found"),
+    ("person_patterns", len(C.PATTERNS), C.UNUSABLE.name, C.UNUSABLE.reason),
+    ("person_patterns", len(C.PATTERNS) + 1, "pat_has_postcode", "column pat.postcode not found"),
+)
 CATALOG_TABLES = ("nation", "region", "region_empty", "supplier")
 COUNT_QUERY = QueryCount(
     "customer_many_orders", "customer",
@@ -240,7 +248,7 @@ def _failure_report(t) -> DataFrame:
         completeness=profile.column_completeness(t, cat.completeness, with_seq=True),
         referential=joins.referential_integrity(t, C.RELATIONSHIPS_WITH_MISSING, with_reason=True),
         patterns=person_patterns(t, cat.patterns),
-        concepts=joins.concept_mapping_breakdown(t, cat.concepts, cat.terminology, with_sections=True),
+        concepts=joins.concept_mapping_breakdown(t, C.CONCEPTS_WITH_MISSING, cat.terminology, with_sections=True),
     )
 
 
@@ -338,6 +346,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failing_references": q(lambda t: joins.failing_references(t, RI_FILTERED_NULLS)),
         "unrelated_entities": q(lambda t: joins.unrelated_entities(t, EXISTS_OTHER)),
         "concept_mapping_breakdown": q(lambda t: joins.concept_mapping_breakdown(t, cat.concepts, cat.terminology)),
+        "concept_mapping_skipped": q(lambda t: joins.concept_mapping_breakdown(t, C.CONCEPTS_WITH_MISSING, cat.terminology, with_sections=True)),
         "concept_mapping_rates": q(lambda t: joins.concept_mapping_rates(t, cat.concepts, cat.terminology)),
         "failing_keys": q(lambda t: joins.failing_keys(t, cat.relationships)),
         "failing_keys_topk": q(lambda t: joins.failing_keys_topk(t, cat.relationships, TOP_K)),
@@ -361,6 +370,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_keyed_state": lambda spark, sf_dir: _merged_keyed_state(spark, _t(spark, sf_dir)),
         "run_summary": q(lambda t: run_summary(_suites(t))),
         "failure_report": q(_failure_report),
+        "run_failure_report": q(lambda t: run(t, C.CATALOG_WITH_FAULTS)["report"]),
         **LLM_QUERIES,
     }
 
@@ -407,6 +417,7 @@ def oracle_sql() -> dict[str, str]:
         )
         + ")"
     )
+    faulty = replace(cat, relationships=C.RELATIONSHIPS_WITH_MISSING, concepts=C.CONCEPTS_WITH_MISSING)
     untested = O.suite_rollup_of(O.referential_sub(UNTESTED, _present_columns()))
     error_contract = (
         f"select e.*, g.pass_fail_status from ({O.result_export(untested)}) e "
@@ -457,6 +468,7 @@ def oracle_sql() -> dict[str, str]:
         "relationship_exists": O.relationship_exists(EXISTS),
         "relationship_exists_rows": O.relationship_exists(EXISTS_ROWS),
         "concept_mapping_breakdown": O.concept_breakdown(cat.concepts, cat.terminology),
+        "concept_mapping_skipped": O.concept_breakdown(C.CONCEPTS_WITH_MISSING, cat.terminology, with_sections=True, present=_present_columns()),
         "concept_mapping_rates": O.concept_rates(cat.concepts, cat.terminology),
         "failing_keys": O.failing_keys(cat.relationships),
         "failing_keys_topk": O.failing_keys_topk(cat.relationships, TOP_K),
@@ -478,14 +490,15 @@ def oracle_sql() -> dict[str, str]:
         "merge_partials": O.merge_partials(cat, CHUNKS),
         "merge_keyed_state": O.keyed_totals(KEYED),
         "run_summary": O.run_summary(suites),
-        "failure_report": O.failure_report(replace(cat, relationships=C.RELATIONSHIPS_WITH_MISSING), _present_columns()),
+        "failure_report": O.failure_report(faulty, _present_columns()),
+        "run_failure_report": O.failure_report(faulty, _present_columns(), UNTESTED_RULES),
     }
     return {k: W(v) for k, v in out.items()} | LLM_SQL
 
 
 def _present_columns():
     rules = (*C.RELATIONSHIPS_WITH_MISSING, *UNTESTED)
-    names = {r.child for r in rules} | {r.parent for r in rules}
+    names = {r.child for r in rules} | {r.parent for r in rules} | {c.table for c in C.CONCEPTS_WITH_MISSING}
     return {n: O.table_columns(n) for n in names}
 
 

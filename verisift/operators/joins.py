@@ -664,59 +664,78 @@ def _tagged_codes(df: DataFrame, items: Sequence[Tuple[int, ConceptColumn]], key
     return df.select(F.explode(F.array(*elems)).alias("e")).select("e.rule_id", "e.code")
 
 
-def _concept_flags(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Terminology, key_type: Optional[str]) -> DataFrame:
-    """Join pre-aggregated ``(rule_id, code, n)`` through map and concept.
+# Parts that the map rows of one concept are dealt into.
+MAP_SALTS = 16
 
-    Map rows are kept as they are (duplicates fan out, as in the reference's
-    row counts). Output per joined row: ``rule_id, code, n`` and four flags.
+_CODES_SCHEMA = (
+    "rule_id int, code string, n bigint, fan bigint, no_map bigint, no_concept bigint, null_display bigint, null_code bigint, no_label bigint"
+)
+
+
+def _resolved(cmap: DataFrame, concept: DataFrame, term: Terminology, key_type: Optional[str]) -> DataFrame:
+    """One row per source code of the map, ``__src``: what the rows joined to it come to.
 
-    A source is read once: its aggregate keeps the NULL code too, whose count
-    makes up the row total. The NULL code meets no map row and has no flag.
+    ``fan`` joined rows in all; of these ``lost`` have no concept, ``dull`` a NULL display,
+    ``bare`` a NULL code, ``poor`` either or no concept. Map rows are counted per (source,
+    target) and concepts per id before they meet, so equal rows are multiplied as numbers;
+    a concept that a third of the map points to meets its sources in ``MAP_SALTS`` parts.
     """
     src = cmap[term.map_source]
-    m = cmap.where(src.isNotNull()).select(
-        (src.cast(key_type) if key_type else src).alias("__src"),
-        cmap[term.map_target].alias("__tgt"),
-        F.lit(True).alias("__has_map"),
+    pairs = (
+        cmap.where(src.isNotNull())
+        .groupBy((src.cast(key_type) if key_type else src).alias("__src"), cmap[term.map_target].alias("__tgt"))
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("__part", F.pmod(F.xxhash64("__src"), F.lit(MAP_SALTS)).cast("int"))
     )
-    c = concept.where(concept[term.concept_id].isNotNull()).select(
-        concept[term.concept_id].alias("__cid"),
-        concept[term.concept_display].alias("__display"),
-        concept[term.concept_code].alias("__ccode"),
-        F.lit(True).alias("__has_concept"),
+    no_display, no_code = concept[term.concept_display].isNull(), concept[term.concept_code].isNull()
+    labels = (
+        concept.where(concept[term.concept_id].isNotNull())
+        .groupBy(concept[term.concept_id].alias("__cid"))
+        .agg(F.count(F.lit(1)).alias("k"), F.count_if(no_display).alias("d"), F.count_if(no_code).alias("e"), F.count_if(no_display | no_code).alias("f"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(MAP_SALTS - 1))).alias("__salt"))
     )
-    j = pre.join(m, pre["code"] == m["__src"], "left").join(c, F.col("__tgt") == F.col("__cid"), "left")
-    coded = F.col("code").isNotNull()
-    has_map = F.col("__has_map").isNotNull()
-    has_concept = F.col("__has_concept").isNotNull()
-    return j.select(
-        "rule_id",
-        "code",
-        "n",
-        (coded & ~has_map).alias("no_map"),
-        (coded & has_map & ~has_concept).alias("no_concept"),
-        (has_concept & F.col("__display").isNull()).alias("null_display"),
-        (has_concept & F.col("__ccode").isNull()).alias("null_code"),
-        (coded & (F.col("__display").isNull() | F.col("__ccode").isNull())).alias("no_label"),
+    met = pairs.join(labels, (F.col("__tgt") == F.col("__cid")) & (F.col("__part") == F.col("__salt")), "left")
+    c, lost = F.col("c"), F.col("k").isNull()
+    return met.groupBy("__src").agg(
+        F.sum(c * F.coalesce("k", F.lit(1))).alias("fan"),
+        F.sum(F.when(lost, c).otherwise(0)).alias("lost"),
+        *[F.sum(c * F.coalesce(x, F.lit(0))).alias(name) for name, x in (("dull", "d"), ("bare", "e"))],
+        F.sum(c * F.coalesce("f", F.lit(1))).alias("poor"),
     )
 
 
-def concept_flags(
+def _resolve_codes(pre: DataFrame, cmap: DataFrame, concept: DataFrame, term: Terminology, key_type: Optional[str]) -> DataFrame:
+    """``(rule_id, code, n)`` with the joined rows that each source row makes, and how many of
+    them have no map row, no concept, a NULL display, a NULL code, or no label at all.
+
+    A source is read once: its aggregate keeps the NULL code too, whose count makes up
+    the row total. The NULL code meets no map row and has no fault.
+    """
+    j = pre.join(_resolved(cmap, concept, term, key_type), F.col("code") == F.col("__src"), "left")
+    unmapped = F.col("code").isNotNull() & F.col("__src").isNull()
+
+    def zero(c):
+        return F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+
+    return j.select(
+        "rule_id", "code", "n", F.coalesce("fan", F.lit(1)).cast("bigint").alias("fan"), unmapped.cast("bigint").alias("no_map"),
+        zero("lost").alias("no_concept"), zero("dull").alias("null_display"), zero("bare").alias("null_code"),
+        (zero("poor") + unmapped.cast("bigint")).alias("no_label"),
+    )
+
+
+def concept_codes(
     tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn], term: Terminology
 ) -> DataFrame:
-    """Flagged joined rows for every concept column, fused per key-type family.
+    """A row per distinct code of every concept column, fused per key-type family; see
+    ``_resolve_codes``. No row is multiplied: joined rows are numbers.
 
     Columns whose table or column is missing are left out (reported SKIPPED
-    by the suite); without any column the terminology tables are not read.
+    by the callers); without any column the terminology tables are not read.
     """
     present = [(rid, cc) for rid, cc in enumerate(columns) if not _missing_reason(tables, [(cc.table, cc.column)])]
     if not present:
-        return literal_frame(
-            _spark(tables),
-            [],
-            "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
-            "null_display boolean, null_code boolean, no_label boolean",
-        )
+        return literal_frame(_spark(tables), [], _CODES_SCHEMA)
     reason = _terminology_missing(tables, term)
     if reason:
         raise KeyError(reason)
@@ -733,27 +752,46 @@ def concept_flags(
     for fam, by_table in fams.items():
         codes = _union_all([_tagged_codes(tables[t], its, fam) for t, its in by_table.items()])
         pre = codes.groupBy("rule_id", "code").agg(F.count(F.lit(1)).alias("n"))
-        flagged = _concept_flags(pre, cmap, concept, term, fam)
-        frames.append(flagged.withColumn("code", F.col("code").cast("string")))
-    out = _union_all(frames)
-    if out is None:
-        out = literal_frame(
-            _spark(tables),
-            [],
-            "rule_id int, code string, n bigint, no_map boolean, no_concept boolean, "
-            "null_display boolean, null_code boolean, no_label boolean",
-        )
-    return out
+        frames.append(_resolve_codes(pre, cmap, concept, term, fam).withColumn("code", F.col("code").cast("string")))
+    return _union_all(frames)
+
+
+# Joined rows of one source row that have each fault.
+_FAULTS = {
+    "failed": "no_label", "no_map": "no_map", "no_concept": "no_concept", "null_display": "null_display", "null_code": "null_code",
+    "mapping": "no_map + no_concept + null_code", "display": "no_label - no_map - no_concept",
+}
+
+
+def concept_metrics(
+    tables: Mapping[str, DataFrame], columns: Sequence[ConceptColumn], term: Terminology
+) -> DataFrame:
+    """Every count of J4 and J5, a row per concept column (those that can't be tested: with
+    their ``reason`` and no counts): ``rows`` and ``non_null`` of the source, ``joined_rows`` and
+    ``ids`` of its codes, and ``<fault>_records`` and ``<fault>_ids`` of ``_FAULTS``."""
+    codes = concept_codes(tables, columns, term)
+    coded = F.col("code").isNotNull()
+    aggs = [
+        sum_long(F.col("n")).alias("rows"),
+        sum_long(F.when(coded, F.col("n"))).alias("non_null"),
+        sum_long(F.when(coded, F.expr("n * fan"))).alias("joined_rows"),
+        F.count_if(coded).alias("ids"),
+    ]
+    for name, times in _FAULTS.items():
+        aggs += [sum_long(F.expr(f"n * ({times})")).alias(f"{name}_records"), F.count_if(F.expr(times) > 0).alias(f"{name}_ids")]
+    per_rule = codes.groupBy("rule_id").agg(*aggs)
+    meta = _concept_meta(_spark(tables), columns, tables)
+    counts = ["rows", "non_null", "joined_rows", "ids", *[f"{n}_{s}" for n in _FAULTS for s in ("records", "ids")]]
+    # One row per concept column: bounded by configuration.
+    return F.broadcast(meta).join(per_rule, "rule_id", "left").select(
+        *meta.columns,
+        *[F.when(F.col("reason").isNull(), F.coalesce(F.col(c), F.lit(0)).cast("bigint")).alias(c) for c in counts],
+    )
 
 
-def _per_code(flags: DataFrame, spec: Dict[str, Column]) -> DataFrame:
-    """Level 1: one row per (rule, code) with summed fanned rows and any-flags."""
-    # ``n`` repeats on every fanned row of a code, so max(n) is its un-fanned count.
-    aggs = [F.sum("n").alias("rows"), F.max("n").alias("n0")]
-    for name, cond in spec.items():
-        aggs.append(sum_long(F.when(cond, F.col("n"))).alias(f"rows_{name}"))
-        aggs.append(F.bool_or(cond).alias(f"any_{name}"))
-    return flags.groupBy("rule_id", "code").agg(*aggs)
+def _tested(failed: Column) -> List[Column]:
+    status = F.when(F.col("reason").isNotNull(), F.lit("SKIPPED")).when(failed == 0, F.lit("PASS")).otherwise(F.lit("FAIL"))
+    return [F.when(F.col("reason").isNull(), failed == 0).alias("passed"), status.alias("status"), "reason"]
 
 
 def _terminology_missing(tables: Mapping[str, DataFrame], term: Terminology) -> Optional[str]:
@@ -792,34 +830,20 @@ def concept_mapping_breakdown(
 
     ``total_records, distinct_ids, failed_records, failed_ids, no_map_records,
     no_map_ids, no_concept_records, no_concept_ids, null_display_records,
-    null_display_ids, null_code_records, null_code_ids``. A NULL-display and a
-    NULL-code row counts in both buckets. ``with_sections`` adds
-    ``mapping_records, mapping_ids`` (no map, no concept or NULL code).
+    null_display_ids, null_code_records, null_code_ids, passed, status, reason``. A
+    NULL-display and a NULL-code row counts in both buckets. A column that can't be
+    tested is SKIPPED with its reason: no counts, neither passed nor failed.
+    ``with_sections`` adds ``mapping_records, mapping_ids`` (no map, no concept or NULL code).
     """
-    flags = concept_flags(tables, columns, term).where(F.col("code").isNotNull())
-    spec = {
-        "failed": F.col("no_map") | F.col("no_concept") | F.col("no_label"),
-        "no_map": F.col("no_map"),
-        "no_concept": F.col("no_concept"),
-        "null_display": F.col("null_display"),
-        "null_code": F.col("null_code"),
-    }
-    if with_sections:
-        spec["mapping"] = F.col("no_map") | F.col("no_concept") | F.col("null_code")
-    lvl1 = _per_code(flags, spec)
-    aggs = [sum_long(F.col("rows")).alias("total_records"), F.count(F.lit(1)).alias("distinct_ids")]
-    for name in spec:
-        aggs.append(sum_long(F.col(f"rows_{name}")).alias(f"{name}_records"))
-        aggs.append(F.count_if(F.col(f"any_{name}")).alias(f"{name}_ids"))
-    per_rule = lvl1.groupBy("rule_id").agg(*aggs)
-    meta = _concept_meta(_spark(tables), columns)
-    res = meta.join(per_rule, "rule_id", "left")
-    metric_cols = ["total_records", "distinct_ids"] + [f"{n}_{s}" for n in spec for s in ("records", "ids")]
-    return res.select(
+    names = ["failed", "no_map", "no_concept", "null_display", "null_code"] + ["mapping"] * with_sections
+    return concept_metrics(tables, columns, term).select(
         "rule_id",
         "name",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in metric_cols],
-    ).withColumn("passed", F.col("failed_records") == 0)
+        F.col("joined_rows").alias("total_records"),
+        F.col("ids").alias("distinct_ids"),
+        *[f"{n}_{s}" for n in names for s in ("records", "ids")],
+        *_tested(F.col("failed_records")),
+    )
 
 
 def concept_mapping_rates(
@@ -831,53 +855,45 @@ def concept_mapping_rates(
 ) -> DataFrame:
     """``name, total_records, non_null_records, mapping_failures,
     distinct_missing_mappings, display_failures, distinct_display_failures,
-    total_failures, distinct_total_failures, pct_of_table, pct_of_non_null, passed``.
+    total_failures, distinct_total_failures, pct_of_table, pct_of_non_null, passed,
+    status, reason``.
 
     Row counts are fanned joined rows; denominators are un-fanned table counts,
     so a rate can exceed 100 %. A column with no non-NULL code passes (all sums
-    are 0, not NULL).
+    are 0, not NULL); one that can't be tested is SKIPPED.
     """
-    flags = concept_flags(tables, columns, term)
-    spec = {
-        "mapping": F.col("no_map"),
-        "display": F.col("null_display") | F.col("null_code"),
-        "total": F.col("no_map") | F.col("no_concept") | F.col("no_label"),
-    }
-    lvl1 = _per_code(flags, spec)
-    per_rule = lvl1.groupBy("rule_id").agg(
-        sum_long(F.col("n0")).alias("total_records"),
-        sum_long(F.when(F.col("code").isNotNull(), F.col("n0"))).alias("non_null_records"),
-        *[sum_long(F.col(f"rows_{n}")).alias(f"{n}_rows") for n in spec],
-        *[F.count_if(F.col(f"any_{n}")).alias(f"{n}_ids") for n in spec],
-    )
-    meta = _concept_meta(_spark(tables), columns)
-    res = meta.join(per_rule, "rule_id", "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    tot, nn, fails = z("total_records"), z("non_null_records"), z("total_rows")
-    out = res.select(
+    fails, tot, nn = F.col("failed_records"), F.col("rows"), F.col("non_null")
+    ok = F.col("reason").isNull()
+    out = concept_metrics(tables, columns, term).select(
         "rule_id",
         "name",
         "source_table",
         "concept_field",
         tot.alias("total_records"),
         nn.alias("non_null_records"),
-        z("mapping_rows").alias("mapping_failures"),
-        z("mapping_ids").alias("distinct_missing_mappings"),
-        z("display_rows").alias("display_failures"),
-        z("display_ids").alias("distinct_display_failures"),
+        F.col("no_map_records").alias("mapping_failures"),
+        F.col("no_map_ids").alias("distinct_missing_mappings"),
+        F.col("display_records").alias("display_failures"),
+        F.col("display_ids").alias("distinct_display_failures"),
         fails.alias("total_failures"),
-        z("total_ids").alias("distinct_total_failures"),
-        pct(fails, tot).alias("pct_of_table"),
-        pct(fails, nn).alias("pct_of_non_null"),
-        (fails == 0).alias("passed"),
+        F.col("failed_ids").alias("distinct_total_failures"),
+        F.when(ok, pct(fails, tot)).alias("pct_of_table"),
+        F.when(ok, pct(fails, nn)).alias("pct_of_non_null"),
+        *_tested(fails),
     )
     if not with_meta:
         out = out.drop("rule_id", "source_table", "concept_field")
     return out
 
 
-def concept_sub_results(tables, columns: Sequence[ConceptColumn], term: Terminology) -> DataFrame:
-    """Suite rows; a missing source column is SKIPPED, missing terminology tables make every rule ERROR."""
+# Suites of internal rows that carry the report's sections of a concept column.
+BUCKET_SUITES = {"__concept_mapping": "mapping", "__concept_display": "null_display"}
+
+
+def concept_sub_results(tables, columns: Sequence[ConceptColumn], term: Terminology, *, buckets: bool = False) -> DataFrame:
+    """Suite rows; a missing source column is SKIPPED, missing terminology tables make every
+    rule ERROR. ``buckets`` adds internal rows for the failure report (``BUCKET_SUITES``):
+    joined rows, those of the section, and as ``reason`` the number of codes."""
     spark = _spark(tables)
     why = _terminology_missing(tables, term)
     if columns and why:
@@ -886,21 +902,18 @@ def concept_sub_results(tables, columns: Sequence[ConceptColumn], term: Terminol
             [("concept_mapping", rid, cc.label, None, None, "ERROR", why) for rid, cc in enumerate(columns)],
             SUB_RESULT_SCHEMA,
         )
-    rates = concept_mapping_rates(tables, columns, term, with_meta=True)
-    reasons = _concept_meta(spark, columns, tables).select("rule_id", "reason")
-    # One row per concept column: bounded by configuration.
-    return rates.join(F.broadcast(reasons), "rule_id").select(
-        F.lit("concept_mapping").alias("suite"),
-        F.col("rule_id").alias("seq"),
-        F.col("name").alias("rule"),
-        F.col("non_null_records").alias("total_tested"),
-        F.col("total_failures").alias("failed_records"),
-        F.when(F.col("reason").isNotNull(), F.lit("SKIPPED"))
-        .when(F.col("passed"), F.lit("PASS"))
-        .otherwise(F.lit("FAIL"))
-        .alias("status"),
-        "reason",
-    )
+
+    def row(suite, total, failed, status, reason):
+        return (
+            f"named_struct('suite', '{suite}', 'seq', rule_id, 'rule', name, 'total_tested', {total}, "
+            f"'failed_records', {failed}, 'status', {status}, 'reason', {reason})"
+        )
+
+    status = "case when reason is not null then 'SKIPPED' when failed_records = 0 then 'PASS' else 'FAIL' end"
+    rows = [row("concept_mapping", "non_null", "failed_records", status, "reason")]
+    if buckets:
+        rows += [row(suite, "joined_rows", f"{b}_records", "''", f"cast({b}_ids as string)") for suite, b in BUCKET_SUITES.items()]
+    return concept_metrics(tables, columns, term).select(F.expr("inline(array(" + ", ".join(rows) + "))"))
 
 
 def concept_failing_codes(
@@ -913,18 +926,9 @@ def concept_failing_codes(
     it has no map row, a map row without concept, or a concept with a NULL
     display or code.
     """
-    flags = concept_flags(tables, columns, term).where(F.col("code").isNotNull())
-    per_code = flags.groupBy("rule_id", "code").agg(
-        F.max("n").alias("n_records"),
-        F.bool_or("no_map").alias("no_map"),
-        F.bool_or("no_concept").alias("no_concept"),
-        F.bool_or("null_display").alias("null_display"),
-        F.bool_or("null_code").alias("null_code"),
-        F.bool_or(F.col("no_map") | F.col("no_concept") | F.col("no_label")).alias("__failed"),
-    )
+    codes = concept_codes(tables, columns, term).where("code is not null and no_label > 0")
     names = _concept_meta(_spark(tables), columns).select("rule_id", F.col("name").alias("rule"))
     # The rule-name frame has one row per concept column: bounded by configuration.
-    return per_code.where("__failed").join(F.broadcast(names), "rule_id").select(
-        "rule", "code", "n_records", "no_map", "no_concept", "null_display", "null_code"
+    return codes.join(F.broadcast(names), "rule_id").select(
+        "rule", "code", F.col("n").alias("n_records"), *[(F.col(c) > 0).alias(c) for c in ("no_map", "no_concept", "null_display", "null_code")]
     )
-

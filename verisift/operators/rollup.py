@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.frames import literal_frame
 from ..functions import pct, rate
+from ..rules import Catalog
 
 SUITE_ORDER = (
     "null_columns",
@@ -281,7 +282,7 @@ def failure_report(
     that could not be tested (``untested``, with the reason), failed patterns
     in rule order, and concept failures (J4 ``with_sections``), split into
     ``mapping`` (no map entry, no concept, NULL code) and ``data_quality``
-    (NULL display): a column can be in both. Every line is given unless the
+    (NULL display): a column can be in both; those not tested are ``untested``. Every line is given unless the
     caller asks for the first ``top_...`` of a section; ``of_lines`` says how
     many a section has.
     """
@@ -355,12 +356,79 @@ def failure_report(
                 ids.alias("distinct_ids"), pct(failed, F.col("total_records")).alias("pct"), seq.alias("__rule_seq"),
             )
 
-        m = bucket("mapping", "mapping")
-        d = bucket("data_quality", "null_display")
-        add(m.unionByName(d), None, [F.col("__rule_seq")])
+        lines = bucket("mapping", "mapping").unionByName(bucket("data_quality", "null_display"))
+        if "status" in concepts.columns:
+            none = F.lit(None).cast("bigint")
+            untested = concepts.where(~F.col("status").isin("PASS", "FAIL")).select(
+                F.lit("concept_mapping").alias("suite"), F.lit("untested").alias("section"), F.col("name").alias("item"),
+                none.alias("failed"), none.alias("total"), none.alias("distinct_ids"), F.lit(None).cast("double").alias("pct"),
+                seq.alias("__rule_seq"), "reason",
+            )
+            lines = lines.withColumn("reason", F.lit(None).cast("string")).unionByName(untested)
+        add(lines, None, [F.col("__rule_seq")])
     if not parts:
         raise ValueError("failure_report needs at least one result frame")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# Sections of the report by suite, for rules that were tested and failed.
+_SECTIONS = {
+    "null_columns": "all_null",
+    "empty_tables": "empty",
+    "column_completeness": "completeness",
+    "referential_integrity": "violations",
+    "person_patterns": "patterns",
+    "__concept_mapping": "mapping",
+    "__concept_display": "data_quality",
+}
+
+
+def run_report(rows: DataFrame, catalog: Catalog) -> DataFrame:
+    """A6 of a whole run: its failure lines, folded from the run's rule rows alone.
+
+    ``rows`` are a run's rule rows with its internal rows, a few per rule, so no table is
+    read again. Every rule that failed has a line in its suite's section (a concept column
+    one per section it fails in), every rule that is SKIPPED or ERROR one in ``untested`` with
+    its reason. An empty table's completeness rule is a line of its section. Columns and
+    order of lines are those of ``failure_report``.
+    """
+    spark = rows.sparkSession
+    # Violations are listed by child table and key; everything else by item or rule order.
+    places = literal_frame(
+        spark,
+        [("referential_integrity", i, r.child, r.fk) for i, r in enumerate(catalog.relationships)],
+        "suite string, seq int, __child string, __fk string",
+    )
+    tot, bad, status = F.col("total_tested"), F.col("failed_records"), F.col("status")
+    bucket = F.col("suite").startswith("__")
+    empty = (F.col("suite") == "column_completeness") & (tot == 0)
+    section = F.when(bucket | (status == "FAIL") | empty, F.create_map(*[F.lit(x) for kv in _SECTIONS.items() for x in kv])[F.col("suite")])
+    lines = rows.where((bucket & (F.col("reason") != "0")) | (~bucket & (status != "PASS"))).withColumn("section", F.coalesce(section, F.lit("untested")))
+    lines = lines.where(~((F.col("suite") == "concept_mapping") & (status == "FAIL"))).join(F.broadcast(places), ["suite", "seq"], "left")
+    pct_of = (
+        F.when(F.col("section") == "untested", F.lit(None).cast("double"))
+        .when(F.col("suite") == "null_columns", F.lit(100.0))
+        .when(F.col("suite") == "empty_tables", F.lit(0.0))
+        .when(F.col("suite") == "column_completeness", F.when(tot > 0, pct(tot - bad, tot)))
+        .otherwise(pct(bad, tot))
+    )
+    suite = F.when(bucket, F.lit("concept_mapping")).otherwise(F.col("suite"))
+    by_item = F.col("suite").isin("null_columns", "empty_tables")
+    out = lines.select(
+        suite.alias("suite"),
+        "section",
+        F.col("rule").alias("item"),
+        # An empty table has no rows that could fail.
+        F.when(F.col("suite") == "empty_tables", F.when(status == "FAIL", F.lit(0))).otherwise(bad).cast("bigint").alias("failed"),
+        tot.cast("bigint").alias("total"),
+        F.when(bucket, F.col("reason").cast("bigint")).alias("distinct_ids"),
+        pct_of.alias("pct"),
+        F.when(~bucket, F.col("reason")).alias("reason"),
+        F.struct(F.coalesce("__child", F.lit("")), F.coalesce("__fk", F.lit("")), F.when(by_item | F.col("__child").isNotNull(), F.lit(0)).otherwise(F.col("seq"))).alias("__place"),
+    )
+    w = Window.partitionBy("suite", "section")
+    out = out.withColumn("seq", F.row_number().over(w.orderBy("__place", "item"))).withColumn("of_lines", F.count(F.lit(1)).over(w))
+    return out.select(*REPORT_COLUMNS)

@@ -20,6 +20,7 @@ from ..rules import (
     RequiredFields,
     Terminology,
     Uniqueness,
+    UnusableRule,
 )
 from .fixtures import DRIVER_TABLES
 
@@ -119,3 +120,17 @@ CATALOG = Catalog(
     concepts=CONCEPTS,
     terminology=TERMINOLOGY,
 )
+
+# The same catalog with a rule of each kind that can't be tested: missing tables and columns,
+# and a pattern that can't be read.
+CONCEPTS_WITH_MISSING = CONCEPTS + (ConceptColumn("pat", "ethnicity_concept_id"),)
+UNUSABLE = UnusableRule("pattern_without_type", "KeyError: type")
+CATALOG_WITH_FAULTS = Catalog(
+    null_tables=NULL_TABLES + ("referrals",),
+    empty_tables=EMPTY_TABLES + ("referrals",),
+    completeness=COMPLETENESS + (CompletenessRule("pat", "postcode", 90.0),),
+    relationships=RELATIONSHIPS_WITH_MISSING,
+    patterns=PATTERNS + (UNUSABLE, RequiredFields("pat_has_postcode", "pat", ("postcode",))),
+    concepts=CONCEPTS_WITH_MISSING,
+    terminology=TERMINOLOGY,
+)

@@ -198,7 +198,7 @@ def join_suites(tables: Mapping[str, DataFrame], catalog: Catalog, single: DataF
         seq_of = {p.name: i for i, p in enumerate(catalog.patterns)}
         out["person_patterns"] = pattern_sub_results(tables, others, seq_of=seq_of)
     out["referential_integrity"] = joins.referential_sub_results(tables, catalog.relationships, totals=_totals(single, "ri"))
-    out["concept_mapping"] = joins.concept_sub_results(tables, catalog.concepts, catalog.terminology)
+    out["concept_mapping"] = joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, buckets=True)
     return out
 
 
@@ -214,5 +214,5 @@ def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
     single, others = single_table_rows(tables, catalog)
     out = public_rows(single)
     for p in join_suites(tables, catalog, single, others).values():
-        out = out.unionByName(p)
+        out = out.unionByName(public_rows(p))
     return out

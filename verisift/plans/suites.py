@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.frames import literal_frame
 from ..operators import joins, profile, rowrules
 from ..contract import SUB_RESULT_COLUMNS, SUB_RESULT_SCHEMA, to_contract
-from ..operators.rollup import SUITE_ORDER, run_summary, suite_rollup
+from ..operators.rollup import SUITE_ORDER, run_report, run_summary, suite_rollup
 from ..sources.sink import export_rows, write_results
 from ..rules import (
     Catalog,
@@ -218,7 +218,7 @@ def run(
     The checks run in two checkpointed stages (the shared single-table
     aggregates, then the join-based suites); the rule-level results (one row per
     rule: a few hundred rows, not data) are the union of those checkpoints, and
-    the suite roll-up, run summary and export rows are computed from them, so
+    the suite roll-up, run summary, failure report and export rows are computed from them, so
     the table scans and joins run exactly once however many outputs are read.
     With ``results_path`` the suite contract rows are written through the sink (S2).
 
@@ -227,13 +227,13 @@ def run(
     failing ones stand alone as ERROR rows with their reason. Any other failure,
     as of executors or memory, is the caller's.
     """
-    sub = staged_sub_results(tables, catalog) if isolate_errors else suite_sub_results(tables, catalog)
-    if not isolate_errors:
-        sub = materialize(sub)
+    rows = staged_sub_results(tables, catalog, isolate_errors=isolate_errors)
+    sub = public_rows(rows)
     suites = suite_rollup(sub, order)
     contract = to_contract(suites, name="suite", status="status")
     out = {
         "rules": sub,
+        "report": run_report(rows, catalog),
         "suites": suites,
         "summary": run_summary(suites),
         "contract": contract,
@@ -253,7 +253,7 @@ def rule_error(e: Exception) -> Optional[str]:
     # Classes of the SQL standard: 22 data exceptions, 42 syntax or access rules.
     state = e.getSqlState() or ""
     if state[:2] in ("22", "42") or isinstance(e, (AnalysisException, ParseException)):
-        return str(e).strip().splitlines()[0][:500]
+        return str(e).strip().splitlines()[0]
     return None
 
 
@@ -276,8 +276,8 @@ def _isolated(spark, suite: str, rules: Sequence[tuple], build) -> List[DataFram
         return _isolated(spark, suite, rules[:half], build) + _isolated(spark, suite, rules[half:], build)
 
 
-def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """Every rule's row, in two checkpointed stages: the single-table aggregates
+def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog, *, isolate_errors: bool = True) -> DataFrame:
+    """Every rule's row (and internal rows, see ``public_rows``), in two checkpointed stages: the single-table aggregates
     first, then the join-based suites together, reading their totals from that
     checkpoint. See ``run`` for what happens when a rule fails."""
     spark = next(iter(tables.values())).sparkSession
@@ -295,7 +295,7 @@ def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
         return numbered(rules, joins.referential_sub_results(tables, [r for _, _, r in rules]))
 
     def concepts(rules):
-        return numbered(rules, joins.concept_sub_results(tables, [c for _, _, c in rules], catalog.terminology))
+        return numbered(rules, joins.concept_sub_results(tables, [c for _, _, c in rules], catalog.terminology, buckets=True))
 
     named = {
         "person_patterns": [(i, p.name, p) for i, p in enumerate(catalog.patterns)],
@@ -307,7 +307,7 @@ def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
         single, others = single_table_rows(tables, catalog)
         single = materialize(single)
     except Exception as e:
-        if rule_error(e) is None:
+        if not isolate_errors or rule_error(e) is None:
             raise
         # Plain counts hold no expression of a rule; all that does is done in the next stage.
         plain = replace(catalog, patterns=(), relationships=tuple(r for r in catalog.relationships if r.filter is None))
@@ -324,7 +324,7 @@ def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> Dat
                 whole = frame if whole is None else whole.unionByName(frame)
             return parts[0].unionByName(materialize(whole))
         except Exception as e:
-            if rule_error(e) is None:
+            if not isolate_errors or rule_error(e) is None:
                 raise
     for suite, rules in named.items():
         if suite == "person_patterns" and others is not None:
