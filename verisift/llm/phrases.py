@@ -9,18 +9,22 @@ then so is every phrase inside it.
    them, at a lowered bound, is proposed.
 2. Full pass over all documents. It counts the proposed phrases and their negative
    border: phrases that are not proposed, but all of whose parts are. Words are always
-   counted: their parts are empty.
-3. Border failures, frequent phrases that were not proposed, join the proposed ones.
-   What this adds to the border is counted by another full pass, and so on until a
-   pass finds no failure. Then every frequent phrase has been counted exactly: one that
-   was not would hold a shortest one that was not, which is on the border.
+   counted: their parts are empty. Proposed phrases are counted by their text. Of the
+   border only its frequent part matters, so it is counted by 64-bit hashes: two phrases
+   that share one can only add to each other.
+3. Border failures, frequent on the border, join the proposed phrases. Another full pass
+   counts them by their text, and what they add to the border, and so on until a pass
+   finds no failure. Then every frequent phrase has been counted exactly: one that was
+   not would hold a shortest one that was not, which is on the border.
 
 Proposals travel as a bitmap of fixed size (``BITS``), with ``PROBES`` bits a phrase: a
 phrase that is taken for proposed is only counted without need. A task counts blocks of
-text with numpy, so the network gets a phrase at most once per block, and a hot word is
-one row of each. Counts are sums by (language, phrase); scores and the parts inside
-longer phrases are joins on them, the parts of many phrases salted; ranks are top-k in
-two steps. Numbers are exact: decimals where products pass 64 bits.
+text with numpy and packs what it has counted into a row per block and bucket, by hash; a
+bucket is merged from these. So a phrase crosses the network once per block at most, a hot
+word is one entry of each, and what one merge holds is bounded by the number of buckets,
+which follows the width of the shuffle. Scores and the parts inside longer phrases are
+joins on the frequent phrases, the parts of many phrases salted; ranks are top-k in two
+steps. Numbers are exact: decimals where products pass 64 bits.
 
 Null texts are empty; a null language is ``und``. Null and repeated ids are documents
 like any other (a null id is in no sample). Empty and wordless tables give no rows. Other
@@ -39,18 +43,21 @@ from pyspark.sql import functions as F
 
 from verisift.functions import top_k_per_group
 
-from .blocks import squeeze, unsqueeze
-from .common import cut, fold, packed, small_pieces, table
+from .blocks import pack_ints, pack_words, squeeze, unpack_ints, unpack_words, unsqueeze
+from .common import cut, fold, packed, shuffle_width, small_pieces, table
 
-#: One document in so many is sampled.
-SAMPLE = 8
-#: The bitmap of proposals, 16 MB; and the bits of a phrase in it.
+#: One document in so many is sampled, and this share of the expected count proposes.
+SAMPLE = 4
+LOWERED = 0.8
+#: The bitmap of proposals, 16 MB, a power of two; and the bits of a phrase in it.
 BITS = 1 << 27
 PROBES = 2
 SLICES = 64
-#: Text of a block; rows of a batch that leaves it.
+#: Text of a block, and places in the bitmap of a row.
 BLOCK_BYTES = 8 << 20
-BATCH_ROWS = 50_000
+PLACES = 1 << 20
+#: Buckets for each partition of a shuffle.
+BUCKETS = 4
 #: Parts that the candidates sharing one part of theirs are dealt into.
 SALTS = 8
 
@@ -83,78 +90,113 @@ def _longer(h: np.ndarray, last: np.ndarray) -> np.ndarray:
 class Proposals:
     """A set of hashes that may hold more than was put in, never less."""
 
-    def __init__(self, bits: np.ndarray | None = None, size: int = BITS):
-        self.bits = np.zeros(size // 8, np.uint8) if bits is None else bits
-        self.size = len(self.bits) * 8
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
 
     @staticmethod
     def places(h: np.ndarray, size: int) -> list[np.ndarray]:
-        return [(_mix(h + np.uint64(j)) % np.uint64(size)).astype(np.int64) for j in range(PROBES)]
+        """Of a bitmap whose size is a power of two."""
+        return [(_mix(h + np.uint64(j)) & np.uint64(size - 1)).astype(np.int64) for j in range(PROBES)]
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for at in self.places(h, self.size):
-            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        return out
+        out = None
+        for at in self.places(h, len(self.bits) * 8):
+            hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1)
+            out = hit if out is None else out & hit
+        return out.astype(bool)
 
 
 class _Tokens:
     """The words of one language in a block: numbers in order, 0 for a break, and their hashes."""
 
     def __init__(self, lang: str, texts: list[str]):
-        raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_READ)
-        tokens = raw.replace(b"\n", b" . ").split()
-        number = {_BREAK: 0}
-        for w in dict.fromkeys(tokens):
-            number.setdefault(w, len(number))
-        self.words = list(number)
-        self.seq = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+        raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_READ).replace(b"\n", b" . ")
+        whole = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(raw)]).tobytes()), pa.py_buffer(raw))
+        # Splits at white space of ASCII; there is none left but spaces.
+        found = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
+        _, ends, octets = found.dictionary.buffers()
+        ends, octets = np.frombuffer(ends, np.int64, len(found.dictionary) + 1).tolist(), octets.to_pybytes()
+        words = [octets[a:z] for a, z in zip(ends, ends[1:])]
+        # Breaks are 0, words from 1 on; the ends of the text may have given an empty one.
+        kept = [k for k, w in enumerate(words) if w and w != _BREAK]
+        number = np.full(len(words), -1)
+        number[kept] = np.arange(1, len(kept) + 1)
+        if _BREAK in words:
+            number[words.index(_BREAK)] = 0
+        self.words = [_BREAK, *(words[k] for k in kept)]
+        seq = number[found.indices.to_numpy()]
+        self.seq = seq[seq >= 0]
         self.hashes = _word_hashes(lang, self.words)
-
-    def levels(self, longest: int, allowed) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(words, start of one occurrence, hash, count) of the distinct phrases of each length
-        for which ``allowed(length, hash of its start, hash of its end)`` holds."""
-        at = np.flatnonzero(self.seq)
-        # Phrases of a length are numbered; so are, one word longer, their pairs with the next word.
-        name = self.seq
-        h = self.hashes[name]
-        first, n = _distinct(name[at], at)
-        yield 1, first, h[first], n
+        # Ends the keys of phrases: no phrase holds a line break.
+        self.lang = lang.encode("utf-8", "surrogatepass") + b"\n"
+
+    def counted(self, longest: int, now: Proposals | None, before: Proposals | None):
+        """For each length: the hashes and counts of distinct phrases on the border, and the
+        hashes, counts and keys of the proposed ones, leaving out what a pass with the
+        proposals ``before`` has counted. Without proposals, all are on the border.
+
+        What a phrase is follows from its place: its hash from those of the phrase without
+        its last word and of that word, whether it is proposed from the phrases without
+        its last and without its first word. Only what is counted is sorted.
+        """
+        seq, nothing = self.seq, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        inside = seq > 0
+        # Of the phrase that starts at a place: its hash, whether it is (was) proposed.
+        h = self.hashes[seq]
+        if now is None:
+            new, old = inside, np.zeros(len(seq), bool)
+            yield *_totals(h[inside]), *nothing, []
+        else:
+            own = now.has(self.hashes)
+            was = own & before.has(self.hashes) if before is not None else np.zeros(len(own), bool)
+            own[0] = was[0] = False
+            n = np.bincount(seq, minlength=len(own))
+            # Words are all counted in the first pass, by their text or as border.
+            border = ~own if before is None else np.zeros(len(own), bool)
+            border[0] = False
+            text = np.flatnonzero(own & ~was)
+            yield self.hashes[border], n[border], self.hashes[text], n[text], [self.lang + self.words[k] for k in text.tolist()]
+            new, old = own[seq], was[seq]
         for length in range(2, longest + 1):
-            at = at[at + length - 1 < len(self.seq)]
-            at = at[self.seq[at + length - 1] > 0]
-            left, right = h[at], h[at + 1]
-            ok = allowed(length, left, right)
-            h_new = np.zeros(len(self.seq), np.uint64)
-            last = self.hashes[self.seq[at + length - 1]]
-            h_new[at] = _longer(left, last)
-            wide = np.int64(len(self.words))
-            # Numbers of phrases of one length less, times words: below 2**63.
-            key = np.zeros(len(self.seq), np.int64)
-            key[at] = name[at] * wide + self.seq[at + length - 1]
-            chosen = at[ok]
-            first, n = _distinct(key[chosen], chosen)
-            yield length, first, h_new[first], n
-            if length < longest:
-                _, again = np.unique(key[at], return_inverse=True)
-                name = np.zeros(len(self.seq), np.int64)
-                name[at] = again
-                h = h_new
-
-    def phrases(self, length: int, first: np.ndarray) -> pa.Array:
-        words = pa.array(self.words, pa.binary()).cast(pa.string())
-        parts = [pc.take(words, pa.array(self.seq[first + j])) for j in range(length)]
-        return parts[0] if length == 1 else pc.binary_join_element_wise(*parts, " ")
-
-
-def _distinct(keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each distinct key occurs once, and how often."""
-    _, first, n = np.unique(keys, return_index=True, return_counts=True)
-    return at[first], n
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Tokens]]:
-    """The tokens of about ``BLOCK_BYTES`` of text, language by language."""
+            at = np.flatnonzero(new[:-1] & new[1:])
+            if now is None and length > 2:
+                at = at[inside[at + length - 1]]
+            last = seq[at + length - 1]
+            longer = _longer(h[at], self.hashes[last])
+            if now is None:
+                yield *_totals(longer), *nothing, []
+                own, was = np.ones(len(at), bool), np.zeros(len(at), bool)
+            else:
+                done = old[at] & old[at + 1]
+                own = now.has(longer)
+                was = done & own
+                if before is not None:
+                    was[was] = before.has(longer[was])
+                text = own & ~was
+                yield *_totals(longer[~own & ~done]), *self._by_text(at[text], longer[text], length)
+            h, new, old = np.zeros(len(seq), np.uint64), np.zeros(len(seq), bool), np.zeros(len(seq), bool)
+            h[at], new[at], old[at] = longer, own, was
+
+    def _by_text(self, at: np.ndarray, h: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Hashes, counts and keys of the distinct phrases at some places."""
+        rows = self.seq[at[:, None] + np.arange(length)]
+        wide = len(self.words)
+        if wide**length < 1 << 63:
+            key = rows[:, 0]
+            for j in range(1, length):
+                key = key * np.int64(wide) + rows[:, j]
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+        else:
+            _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
+        return h[first], n, [self.lang + b" ".join(map(self.words.__getitem__, k)) for k in rows[first].tolist()]
+
+
+def _totals(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(h, return_counts=True)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Tokens]]:
+    """The tokens of about ``BLOCK_BYTES`` of text, by language."""
     held: dict[str, list[str]] = {}
     size = 0
     for b in small_pieces(batches, "text", BLOCK_BYTES):
@@ -162,131 +204,158 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Tokens]]:
             held.setdefault(lang, []).append(text)
             size += len(text)
         if size >= BLOCK_BYTES:
-            yield from ((lang, _Tokens(lang, held.pop(lang))) for lang in list(held))
+            yield [_Tokens(lang, held.pop(lang)) for lang in list(held)]
             size = 0
-    yield from ((lang, _Tokens(lang, held.pop(lang))) for lang in list(held))
+    if held:
+        yield [_Tokens(lang, held.pop(lang)) for lang in list(held)]
 
 
-def _texts(docs: DataFrame, *more) -> DataFrame:
+def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text, *more)
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text)
+
+
+PACKED = "bucket int, hashes binary, counts binary, phrases binary, n binary"
 
 
-def _propose(hashes: DataFrame, size: int) -> Proposals:
-    """The bitmap of a frame of hashes (``h``), built slice by slice and gathered: ``size`` bits."""
+def _counts(docs: DataFrame, longest: int, now=None, before=None) -> DataFrame:
+    """A row per block and bucket: counts of its border by hash, and of its proposed phrases by key."""
+    buckets = BUCKETS * shuffle_width(docs.sparkSession)
+
+    def run(batches):
+        for block in _blocks(batches):
+            found = [x for tokens in block for x in tokens.counted(longest, now and now.value, before and before.value)]
+            if before is None and now is not None:
+                # How many words there are of each language, as a phrase of none.
+                for tokens in block:
+                    n = np.array([np.count_nonzero(tokens.seq)])
+                    found.append((np.zeros(0, np.uint64), n[:0], _word_hashes("", [tokens.lang]), n, [tokens.lang]))
+            border, border_n, text, text_n = (np.concatenate(x) for x in list(zip(*found))[:4])
+            keys = [k for x in found for k in x[4]]
+            b_order, b_ends = _dealt(border, buckets)
+            t_order, t_ends = _dealt(text, buckets)
+            for k in range(buckets):
+                b, t = b_order[b_ends[k] : b_ends[k + 1]], t_order[t_ends[k] : t_ends[k + 1]]
+                if len(b) or len(t):
+                    yield {
+                        "bucket": [k], "hashes": [border[b].tobytes()], "counts": [squeeze(border_n[b].astype("<u4").tobytes())],
+                        "phrases": [pack_words([keys[j] for j in t.tolist()])], "n": [pack_ints(text_n[t])],
+                    }
+
+    return packed(_texts(docs), run, PACKED)
+
+
+def _dealt(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of hashes, bucket by bucket, and where each bucket starts."""
+    at = (h % np.uint64(buckets)).astype(np.int64)
+    return np.argsort(at, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(at, minlength=buckets))])
+
+
+MERGED = "lang string, length int, phrase string, n long, hashes binary"
+
+
+def _merged(rows: DataFrame, least: int) -> DataFrame:
+    """The phrases counted ``least`` times or more over all blocks (and the numbers of words,
+    as length 0), and, as ``hashes``, those of the border."""
+
+    def totals(hashes: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+        h = np.concatenate(hashes)
+        order = np.argsort(h, kind="stable")
+        h, n = h[order], np.concatenate(counts)[order].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        return h[starts][np.add.reduceat(n, starts) >= least] if len(h) else h
+
+    def finish(hashes, counts, text) -> Iterator[dict]:
+        keys = [k for k, n in text.items() if n >= least or k.endswith(b"\n")]
+        split = [k.rpartition(b"\n") for k in keys]
+        yield {
+            "lang": [lang.decode("utf-8", "surrogatepass") for lang, _, _ in split],
+            "length": [p.count(b" ") + 1 if p else 0 for _, _, p in split],
+            "phrase": [p.decode("utf-8", "surrogatepass") for _, _, p in split],
+            "n": [text[k] for k in keys], "hashes": [None] * len(keys),
+        }
+        some = totals(hashes, counts) if hashes else ()
+        if len(some):
+            yield {"lang": [None], "length": [None], "phrase": [None], "n": [None], "hashes": [some.tobytes()]}
+
+    def run(batches):
+        bucket, hashes, counts, text = None, [], [], {}
+        for b in batches:
+            for r in b.to_pylist():
+                if r["bucket"] != bucket:
+                    if bucket is not None:
+                        yield from finish(hashes, counts, text)
+                    bucket, hashes, counts, text = r["bucket"], [], [], {}
+                hashes.append(np.frombuffer(r["hashes"], "<u8"))
+                counts.append(np.frombuffer(unsqueeze(r["counts"]), "<u4"))
+                for k, n in zip(unpack_words(r["phrases"]), unpack_ints(r["n"]).tolist()):
+                    text[k] = text.get(k, 0) + n
+        if bucket is not None:
+            yield from finish(hashes, counts, text)
+
+    dealt = rows.repartition(shuffle_width(rows.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return cut(packed(dealt, run, MERGED))
+
+
+def _propose(merged: DataFrame, size: int) -> Proposals:
+    """The bitmap of the hashes in ``merged``, built slice by slice and gathered: ``size`` bits."""
     per = size // SLICES
 
     def place(batches):
+        def rows(held):
+            at = np.sort(np.concatenate([x for h in held for x in Proposals.places(h, size)]))
+            ends = np.searchsorted(at, np.arange(SLICES + 1) * per)
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                yield {"slice": [k], "at": [squeeze((at[ends[k] : ends[k + 1]] - k * per).astype("<u4").tobytes())]}
+
+        held, n = [], 0
         for b in batches:
-            at = np.concatenate(Proposals.places(b.column("h").to_numpy().view(np.uint64), size))
-            yield {"slice": (at // per).astype(np.int32), "at": at % per}
+            for raw in b.column("hashes"):
+                held.append(np.frombuffer(raw.as_py(), "<u8"))
+                n += len(held[-1])
+                if n >= PLACES:
+                    yield from rows(held)
+                    held, n = [], 0
+        if held:
+            yield from rows(held)
 
     def fill(batches):
         slices: dict[int, np.ndarray] = {}
         for b in batches:
-            s, at = b.column("slice").to_numpy(), b.column("at").to_numpy()
-            for k in np.unique(s).tolist():
-                bits = slices.setdefault(k, np.zeros(per // 8, np.uint8))
-                mine = at[s == k]
-                np.bitwise_or.at(bits, mine >> 3, np.uint8(1) << (mine & 7).astype(np.uint8))
+            for k, raw in zip(b.column("slice").to_pylist(), b.column("at").to_pylist()):
+                bits, at = slices.setdefault(k, np.zeros(per // 8, np.uint8)), np.frombuffer(unsqueeze(raw), "<u4")
+                np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
         yield {"slice": list(slices), "bits": [squeeze(v.tobytes()) for v in slices.values()]}
 
-    dealt = packed(hashes, place, "slice int, at long").distinct().repartition(SLICES, "slice")
+    dealt = packed(merged.where("hashes is not null").select("hashes"), place, "slice int, at binary").repartition(SLICES, "slice")
     out = np.zeros((SLICES, per // 8), np.uint8)
     for r in packed(dealt, fill, "slice int, bits binary").collect():
         out[r.slice] = np.frombuffer(unsqueeze(r.bits), np.uint8)
     return Proposals(out.reshape(-1))
 
 
-def _sampled(docs: DataFrame, longest: int, least: int, sample: int) -> DataFrame:
-    """``h``: hashes of the phrases, shorter than ``longest``, that are frequent in the sample
-    at half of their expected share of the bound."""
-    low = max(1, least // (2 * sample))
-
-    def run(batches):
-        for _, tokens in _blocks(batches):
-            for _, _, h, n in tokens.levels(longest - 1, lambda _, left, right: np.ones(len(left), bool)):
-                yield {"h": h.view(np.int64), "n": n}
-
-    rows = _texts(docs.where(fold(F.col("doc_id"), sample) == 0))
-    return packed(rows, run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= low).select("h")
-
-
-COUNTS = "lang string, length int, phrase string, n long"
-
-
-def _count(docs: DataFrame, longest: int, now, before=None) -> DataFrame:
-    """(lang, length, phrase, n) of all occurrences of each phrase whose parts are in ``now`` but
-    not all in ``before``. Length 0 has all words of a language."""
-
-    def run(batches):
-        new = now.value
-        old = before.value if before is not None else None
-
-        def allowed(_, left, right):
-            ok = new.has(left)
-            ok[ok] = new.has(right[ok])
-            if old is not None:
-                counted = ok.copy()
-                counted[ok] = old.has(left[ok]) & old.has(right[ok])
-                ok &= ~counted
-            return ok
-
-        for lang, tokens in _blocks(batches):
-            if old is None:
-                yield {"lang": [lang], "length": [0], "phrase": [""], "n": [int(np.count_nonzero(tokens.seq))]}
-            for length, first, _, n in tokens.levels(longest, allowed):
-                if length == 1 and old is not None:
-                    continue
-                for a in range(0, len(first), BATCH_ROWS):
-                    some = first[a : a + BATCH_ROWS]
-                    yield {"lang": [lang] * len(some), "length": [length] * len(some), "phrase": tokens.phrases(length, some), "n": n[a : a + BATCH_ROWS]}
-
-    return packed(_texts(docs), run, COUNTS).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))
-
-
-def _hashes(counts: DataFrame, outside=None) -> DataFrame:
-    """``h`` of each phrase of ``counts``; only of those that are not in ``outside``."""
-
-    def run(batches):
-        known = None if outside is None else outside.value
-        for b in batches:
-            h = np.zeros(b.num_rows, np.uint64)
-            langs, phrases = b.column("lang").to_pylist(), b.column("phrase").to_pylist()
-            for i, (lang, phrase) in enumerate(zip(langs, phrases)):
-                one = _word_hashes(lang, [w.encode("utf-8", "surrogatepass") for w in phrase.split(" ")])
-                x = one[:1]
-                for j in range(1, len(one)):
-                    x = _longer(x, one[j : j + 1])
-                h[i] = x[0]
-            yield {"h": (h if known is None else h[~known.has(h)]).view(np.int64)}
-
-    return packed(counts.select("lang", "phrase"), run, "h long")
-
-
 def frequent(docs: DataFrame, longest: int = 3, least: int = 10, sample: int = SAMPLE, bits: int = BITS) -> tuple[DataFrame, int]:
     """(lang, length, phrase, n) of every phrase of up to ``longest`` words with ``least``
     occurrences, exactly; and of all words, as length 0. Also the number of full passes."""
     if longest < 2 or least < 1:
         raise ValueError("longest is 2 at least, least is 1 at least")
     sc = docs.sparkSession.sparkContext
-    proposed = _propose(_sampled(docs, longest, least, sample), bits)
+    sampled = docs.where(fold(F.col("doc_id"), sample) == 0)
+    proposed = _propose(_merged(_counts(sampled, longest), max(1, int(LOWERED * least / sample))), bits)
     now, before = sc.broadcast(proposed), None
-    found, passes = [], 0
+    found = []
     while True:
-        counted = cut(_count(docs, longest, now, before).where((F.col("length") == 0) | (F.col("n") >= least)))
-        found.append(counted)
-        passes += 1
-        # Phrases of the full length are no part of others.
-        failed = cut(_hashes(counted.where((F.col("length") > 0) & (F.col("length") < longest)), now).distinct())
-        if failed.isEmpty():
+        merged = _merged(_counts(docs, longest, now, before), least)
+        found.append(merged.where("hashes is null").drop("hashes"))
+        failed = _propose(merged, bits)
+        if not failed.bits.any():
             break
-        proposed = Proposals(proposed.bits | _propose(failed, bits).bits)
+        proposed = Proposals(proposed.bits | failed.bits)
         before, now = now, sc.broadcast(proposed)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out, passes
+    return out, len(found)
 
 
 def _numbers(x):
@@ -333,7 +402,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside_pct:
     scored = scored.withColumn("score", F.expr("square div product"))
     best = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("b")).select("lang", "phrase", "a", "b.score", "b.l", "b.r")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    ranked = top_k_per_group(best, ["lang"], order, top, salt_cols=["phrase"], rank_col="rank")
+    ranked = top_k_per_group(best, ["lang"], order, top, salt_cols=["phrase"], salt_buckets=16, rank_col="rank")
     # A row per language.
     all_words = counts.where("length = 0").select("lang", "n")
     return ranked.join(all_words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
