@@ -152,6 +152,19 @@ KEYED = (
     GroupCount("order_many_parts", "lineitem", "l_orderkey", "l_partkey", min_count=4),
 )
 KEYED_BATCHES = {"pat": ("id", 0), "orders": ("o_orderkey", 1), "lineitem": ("l_partkey", 2), "events": ("event_id", 0), "customer": ("c_custkey", 1), "supplier": ("s_suppkey", 0)}
+UNTESTED_SUITE = "moved_relationships"
+# Rules of several tables and types whose values are stacked.
+UNIQUE_MANY = (
+    *UNIQUENESS,
+    *UNIQUENESS_NULLS,
+    *(Uniqueness(f"{t}_{c}_unique", t, c) for t, c in (
+        ("orders", "o_orderkey"), ("orders", "o_orderdate"), ("customer", "c_name"), ("customer", "c_acctbal"),
+        ("part", "p_size"), ("events", "event_type"), ("lineitem", "l_linenumber"),
+    )),
+    Uniqueness("order_customer_of_open_orders", "orders", "o_custkey", filter="o_orderstatus = 'O'"),
+)
+SAMPLED = tuple(p for p in C.PATTERNS if isinstance(p, (RequiredFields, RangeCheck, FieldComparison))) + REQUIRED_MULTI + RANGE_OPEN
+SAMPLE_KEYS = {"pat": ("id",), "orders": ("o_orderkey",)}
 # What a run of the catalog with faults can't test besides relationships and concept columns.
 UNTESTED_RULES = (
     ("null_columns", 0, "referrals", "table referrals not found"),
@@ -279,8 +292,9 @@ def _merged_keyed_state(spark: SparkSession, t) -> DataFrame:
 
 
 def _error_contract(t) -> DataFrame:
-    """The contract, and the thresholds' verdict, of a suite in which no relationship could be tested."""
-    suites = suite_rollup(joins.referential_sub_results(t, UNTESTED))
+    """The contract, and the thresholds' verdict, of all relationships beside a suite of which none could be tested."""
+    lost = joins.referential_sub_results(t, UNTESTED).withColumn("suite", F.lit(UNTESTED_SUITE))
+    suites = suite_rollup(joins.referential_sub_results(t, C.RELATIONSHIPS).unionByName(lost))
     contract = export_rows(to_contract(suites, name="suite", status="status"))
     graded = apply_thresholds(suites.withColumnRenamed("suite", "test_name"), threshold_table(t["region"].sparkSession))
     return contract.join(graded.select("test_name", "pass_fail_status"), "test_name")
@@ -315,6 +329,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # R1-R5
         "uniqueness": q(lambda t: rowrules.row_checks(t, UNIQUENESS)),
         "uniqueness_count_nulls": q(lambda t: rowrules.row_checks(t, UNIQUENESS_NULLS)),
+        "uniqueness_many": q(lambda t: rowrules.row_checks(t, UNIQUE_MANY)),
         "required_fields": q(lambda t: rowrules.row_checks(t, REQUIRED)),
         "required_fields_multi": q(lambda t: rowrules.row_checks(t, REQUIRED_MULTI)),
         "range_check": q(lambda t: rowrules.row_checks(t, RANGE)),
@@ -352,6 +367,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failing_keys_topk": q(lambda t: joins.failing_keys_topk(t, cat.relationships, TOP_K)),
         "failing_codes": q(lambda t: joins.concept_failing_codes(t, cat.concepts, cat.terminology)),
         "failing_rows": q(lambda t: rowrules.failing_rows(t, REQUIRED_MULTI[0])),
+        "failing_samples": q(lambda t: rowrules.failing_samples(t, SAMPLED, TOP_K, SAMPLE_KEYS)),
         "failing_rows_duplicates": q(lambda t: rowrules.failing_rows(t, UNIQUENESS_NULLS[0])),
         # Q1-Q3
         "zero_failure": q(
@@ -418,7 +434,8 @@ def oracle_sql() -> dict[str, str]:
         + ")"
     )
     faulty = replace(cat, relationships=C.RELATIONSHIPS_WITH_MISSING, concepts=C.CONCEPTS_WITH_MISSING)
-    untested = O.suite_rollup_of(O.referential_sub(UNTESTED, _present_columns()))
+    lost = f"select * replace ('{UNTESTED_SUITE}' as suite) from ({O.referential_sub(UNTESTED, _present_columns())})"
+    untested = O.suite_rollup_of(O.union([O.referential_sub(C.RELATIONSHIPS), lost]))
     error_contract = (
         f"select e.*, g.pass_fail_status from ({O.result_export(untested)}) e "
         f"join ({O.threshold_resolution(untested, None, {})}) g using (test_name)"
@@ -436,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
         "completeness_threshold": O.completeness_threshold("pat", "birth_year", "pat_birth_year_complete", 95.0),
         "uniqueness": O.row_check(UNIQUENESS),
         "uniqueness_count_nulls": O.row_check(UNIQUENESS_NULLS),
+        "uniqueness_many": O.row_check(UNIQUE_MANY),
         "required_fields": O.row_check(REQUIRED),
         "required_fields_multi": O.row_check(REQUIRED_MULTI),
         "range_check": O.row_check(RANGE),
@@ -474,6 +492,7 @@ def oracle_sql() -> dict[str, str]:
         "failing_keys_topk": O.failing_keys_topk(cat.relationships, TOP_K),
         "failing_codes": O.concept_failing_codes(cat.concepts, cat.terminology),
         "failing_rows": O.failing_rows(REQUIRED_MULTI[0], O.table_columns("pat")),
+        "failing_samples": O.failing_samples(SAMPLED, TOP_K, SAMPLE_KEYS),
         "failing_rows_duplicates": O.failing_rows(UNIQUENESS_NULLS[0], O.table_columns("pat")),
         "zero_failure": zero,
         "threshold_check": thresh,

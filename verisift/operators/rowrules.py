@@ -2,23 +2,27 @@
 
 R2-R4 are pure per-row predicates: every such rule of a table is answered by
 one ``agg`` of ``count_if`` pairs (eligible, eligible-and-failing), so a table
-is scanned once however many rules it carries. R1 needs a distinct count (one
-shuffle of the distinct values, after map-side de-duplication). R5 aggregates
-the joined side before it meets the base table.
+is scanned once however many rules it carries. R1 needs a distinct count: the
+values of all unique columns of one type are stacked and grouped by ``(rule, value)``
+in one shuffle, after map-side counting. R5 aggregates the joined side before it
+meets the base table.
 
 Output of R1-R4: ``name, total_tested, failed_records, failed_pct, passed``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import OrderedDict
-from typing import Dict, List, Mapping, Sequence, Tuple, Union
+from typing import List, Mapping, Sequence, Tuple, Union
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import sql_ident
 from ..functions.frames import literal_frame
-from ..functions import qcol, all_of, any_of, is_missing, not_blank, pct, typed
+from ..functions.sqltext import tokens
+from ..functions import qcol, all_of, any_of, is_missing, key_family, not_blank, pct, typed
 from ..rules import FieldComparison, GroupCount, QueryCount, RangeCheck, RequiredFields, Uniqueness
 
 # Parts that the rows of one duplicated value are dealt into.
@@ -103,20 +107,45 @@ def _predicate_counts(df: DataFrame, rules: Sequence[PredicateRule]) -> DataFram
     return df.agg(*aggs).select(F.inline(rows))
 
 
-def _uniqueness_counts(df: DataFrame, rule: Uniqueness) -> DataFrame:
-    """Surplus rows = rows - distinct values.
+def _uniqueness_counts(tables: Mapping[str, DataFrame], rules: Sequence[Uniqueness]) -> List[DataFrame]:
+    """Surplus rows = rows - distinct values, for any number of rules.
 
     NULLs ignored: counted over non-NULL rows. NULLs counted (legacy): over all
     rows, and since COUNT(DISTINCT) skips NULL every NULL row is a duplicate.
+
+    A table is read once for all its unique columns of one type (integers are one
+    type); the stacked ``(rule, value)`` rows of all tables share one grouping per type.
     """
-    c = qcol(rule.column)
-    base = df.where(all_of(rule.filter))
-    total = F.count(F.lit(1)) if rule.count_nulls else F.count(c)
-    return base.agg(total.alias("total_tested"), F.count_distinct(c).alias("__d")).select(
-        F.lit(rule.name).alias("name"),
-        F.col("total_tested"),
-        (F.col("total_tested") - F.col("__d")).alias("failed_records"),
-    )
+    families: "OrderedDict[str, OrderedDict[str, List[Tuple[int, Uniqueness]]]]" = OrderedDict()
+    for i, r in enumerate(rules):
+        kind = tables[r.table].schema[r.column].dataType
+        families.setdefault(key_family(kind) or kind.simpleString(), OrderedDict()).setdefault(r.table, []).append((i, r))
+    out = []
+    for kind, by_table in families.items():
+        stacked = None
+        for table, items in by_table.items():
+            each = [
+                F.when(
+                    all_of(r.filter, None if r.count_nulls else qcol(r.column).isNotNull()),
+                    F.struct(F.lit(i).alias("rule"), qcol(r.column).cast(kind).alias("value")),
+                )
+                for i, r in items
+            ]
+            rows = tables[table].select(F.explode(F.filter(F.array(*each), lambda e: e.isNotNull())).alias("e")).select("e.*")
+            stacked = rows if stacked is None else stacked.unionByName(rows)
+        by_value = stacked.groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
+        per_rule = by_value.groupBy("rule").agg(F.sum("n").alias("tested"), F.count("value").alias("distinct"))
+        own = [(i, r.name) for items in by_table.values() for i, r in items]
+        names = literal_frame(next(iter(tables.values())).sparkSession, own, "rule int, name string")
+        # One row per rule: bounded by configuration.
+        out.append(
+            F.broadcast(names).join(per_rule, "rule", "left").select(
+                "name",
+                F.coalesce("tested", F.lit(0)).cast("bigint").alias("total_tested"),
+                F.coalesce(F.col("tested") - F.col("distinct"), F.lit(0)).cast("bigint").alias("failed_records"),
+            )
+        )
+    return out
 
 
 def row_checks(
@@ -125,11 +154,9 @@ def row_checks(
 ) -> DataFrame:
     """R1-R4 for any mix of rules and tables; one scan per table for R2-R4."""
     by_table: "OrderedDict[str, List[PredicateRule]]" = OrderedDict()
-    frames: List[DataFrame] = []
+    frames: List[DataFrame] = _uniqueness_counts(tables, [r for r in rules if isinstance(r, Uniqueness)])
     for r in rules:
-        if isinstance(r, Uniqueness):
-            frames.append(_uniqueness_counts(tables[r.table], r))
-        else:
+        if not isinstance(r, Uniqueness):
             by_table.setdefault(r.table, []).append(r)
     for table, trs in by_table.items():
         frames.append(_predicate_counts(tables[table], trs))
@@ -144,7 +171,7 @@ def row_checks(
 
 
 def uniqueness(tables: Mapping[str, DataFrame], rule: Uniqueness) -> DataFrame:
-    return _finish(_uniqueness_counts(tables[rule.table], rule))
+    return row_checks(tables, [rule])
 
 
 def required_fields(tables: Mapping[str, DataFrame], rule: RequiredFields) -> DataFrame:
@@ -191,6 +218,48 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Union[Uniqueness, Predic
     return df.where(eligible & failing).select(F.lit(rule.name).alias("rule"), *[qcol(x) for x in df.columns])
 
 
+def failing_samples(
+    tables: Mapping[str, DataFrame],
+    rules: Sequence[PredicateRule],
+    k: int = 10,
+    keys: Mapping[str, Sequence[str]] = {},
+) -> DataFrame:
+    """J6 with a limit, for all R2-R4 rules at once: ``rule, seq, record, place``.
+
+    Per rule the ``k`` failing records with the smallest hashes, a sample that no order
+    of the files decides. ``record`` is the JSON of the table's ``keys`` (all its columns
+    where none are named), ``place`` its MD5, by which records are ordered; equal records
+    are listed as often as they fail, up to ``k``. A table is read once for all its rules:
+    a row gives one entry per rule it fails, and each task keeps its ``k`` smallest per
+    rule before anything is shuffled.
+    """
+    if k < 1:
+        raise ValueError("k must be positive")
+    by_table: "OrderedDict[str, List[Tuple[int, PredicateRule]]]" = OrderedDict()
+    for i, r in enumerate(rules):
+        by_table.setdefault(r.table, []).append((i, r))
+    spark = next(iter(tables.values())).sparkSession
+    out = literal_frame(spark, [], "rule_id int, place string, record string")
+    for table, items in by_table.items():
+        df = tables[table]
+        failed = []
+        for i, r in items:
+            eligible, failing = eligibility_and_failure(r, df)
+            failed.append(F.when(eligible & failing, F.lit(i)))
+        columns = list(keys.get(table) or df.columns)
+        record = F.to_json(F.struct(*[qcol(c) for c in columns]), {"ignoreNullFields": "false"})
+        hits = df.select(F.filter(F.array(*failed), lambda e: e.isNotNull()).alias("rules"), *[qcol(c) for c in dict.fromkeys(columns)])
+        hits = hits.where(F.size("rules") > 0).select("rules", record.alias("record"))
+        rows = hits.select(F.explode("rules").alias("rule_id"), F.md5(F.col("record").cast("binary")).alias("place"), "record")
+        out = out.unionByName(rows)
+    w = Window.partitionBy("rule_id").orderBy("place", "record")
+    # Filtered by row number, Spark limits each rule's rows to k in every task before the shuffle.
+    top = out.withColumn("seq", F.row_number().over(w)).where(F.col("seq") <= k)
+    names = literal_frame(spark, [(i, r.name) for i, r in enumerate(rules)], "rule_id int, rule string")
+    # One row per rule: bounded by configuration.
+    return top.join(F.broadcast(names), "rule_id").select("rule", "seq", "record", "place")
+
+
 # --------------------------------------------------------------------------- R5
 
 
@@ -238,11 +307,25 @@ def group_counts(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame
     return grouped.where(F.col("n") > rule.min_count)
 
 
+def over_tables(tables: Mapping[str, DataFrame], query: str) -> DataFrame:
+    """``query`` over the loaded tables by their names. The caller's views stay as they are: the
+    names are those of the query's own WITH, over views that are dropped once it is planned."""
+    named = {t.name.lower() for t in tokens(query) if t.name is not None}
+    spark, run = next(iter(tables.values())).sparkSession, uuid.uuid4().hex
+    views = {name: f"verisift_{run}_{k}" for k, name in enumerate(tables) if name.lower() in named}
+    try:
+        for name, view in views.items():
+            tables[name].createTempView(view)
+        heads = ", ".join(f"{sql_ident(name)} AS (SELECT * FROM {view})" for name, view in views.items())
+        return spark.sql(f"WITH {heads} SELECT * FROM (\n{query.strip().rstrip(';')}\n)" if views else query)
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
+
+
 def query_groups(tables: Mapping[str, DataFrame], rule: QueryCount) -> DataFrame:
     """``group_key, n`` of a rule that brings its own query."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    got = tables[rule.table].sparkSession.sql(rule.query)
+    got = over_tables(tables, rule.query)
     if len(got.columns) < 2:
         raise ValueError(f"the query of {rule.name!r} needs a group and a count")
     return got.toDF("group_key", "n", *got.columns[2:]).select("group_key", F.col("n").cast("bigint").alias("n"))

@@ -212,6 +212,7 @@ def run(
     results_path: Optional[str] = None,
     fmt: str = "parquet",
     isolate_errors: bool = True,
+    run_id: Optional[str] = None,
 ) -> Dict[str, DataFrame]:
     """A full run with every output derived from one execution of the checks.
 
@@ -220,7 +221,8 @@ def run(
     rule: a few hundred rows, not data) are the union of those checkpoints, and
     the suite roll-up, run summary, failure report and export rows are computed from them, so
     the table scans and joins run exactly once however many outputs are read.
-    With ``results_path`` the suite contract rows are written through the sink (S2).
+    With ``results_path`` the suite contract rows are written through the sink (S2), with
+    ``run_id`` to a partition that a second writing of the same run replaces.
 
     If a stage fails because an expression of a rule raises (a filter, a cast),
     what has finished is kept, and only that stage's rules are halved until the
@@ -240,7 +242,7 @@ def run(
         "export": export_rows(contract),
     }
     if results_path:
-        write_results(contract, results_path, fmt=fmt)
+        write_results(contract, results_path, fmt=fmt, run_id=run_id)
     return out
 
 

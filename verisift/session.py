@@ -8,6 +8,7 @@ operator's business. ``local_session`` is for tests and the benchmark only, and
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,17 +38,13 @@ def aggregate_pushdown_enabled(spark: SparkSession) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a session whose executor is its own process
-    (tests, the benchmark) gets a fresh folder; with executors of their own, also
-    ``local-cluster``, the setting is required: a folder of one machine is not
-    seen by the others and does not survive it.
+    Where the setting is absent, a folder of its own below the session's warehouse,
+    which all executors see, whatever the master is.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if sc.master != "local" and not sc.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to shared storage before run()")
-        current = tempfile.mkdtemp(prefix="verisift-ckpt-")
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/verisift-checkpoints-{uuid.uuid4().hex}"
     # ``spark.checkpoint.dir`` is a core setting that cannot be changed at run
     # time; the context's checkpoint folder is set directly instead.
     if sc.getCheckpointDir() is None:
@@ -69,5 +66,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "veris
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir() and not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        # This session's executor is this process: any folder of this machine is shared.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verisift-ckpt-"))
     return spark

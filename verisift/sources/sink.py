@@ -9,6 +9,7 @@ not by the data.
 
 from __future__ import annotations
 
+import re
 from typing import Optional
 
 from pyspark.sql import DataFrame
@@ -69,12 +70,22 @@ def write_results(
     fmt: str = "parquet",
     mode: str = "append",
     execution_time: Optional[str] = None,
+    run_id: Optional[str] = None,
 ) -> None:
     """Write contract rows; parquet/csv rows gain ``execution_timestamp``.
 
-    ``fmt`` is parquet, csv, json or table (same as json: the document
+    With ``run_id`` a run has a partition of its own, ``run_id=...`` below ``path``, in every
+    format: a run that is written again, after a failure or a retry, replaces what it
+    had written and no other run's rows. Without, ``mode`` says what happens to
+    what is there. ``fmt`` is parquet, csv, json or table (same as json: the document
     ``{summary, results[]}``, written as one line).
     """
+    if fmt not in ("parquet", "csv", "json", "table"):
+        raise ValueError(f"unsupported result format {fmt!r}")
+    if run_id is not None:
+        if not re.fullmatch(r"[A-Za-z0-9_.:+-]+", run_id):
+            raise ValueError(f"a run id has letters, digits and _.:+- only, not {run_id!r}")
+        path, mode = f"{path.rstrip('/')}/run_id={run_id.replace(':', '%3A')}", "overwrite"
     rows = export_rows(contract, execution_time)
     if fmt in ("json", "table"):  # a table-mode run exports the JSON document
         summary = F.struct(
@@ -98,7 +109,5 @@ def write_results(
     writer = stamped.write.mode(mode)
     if fmt == "csv":
         writer.option("header", True).csv(path)
-    elif fmt == "parquet":
-        writer.parquet(path)
     else:
-        raise ValueError(f"unsupported result format {fmt!r}")
+        writer.parquet(path)
