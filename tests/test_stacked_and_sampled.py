@@ -68,3 +68,21 @@ def test_a_run_written_twice_is_there_once(spark, tmp_path):
         assert sorted(os.listdir(path)) == ["run_id=2024-05-01T10%3A00", "run_id=next"]
         back = spark.read.option("header", True).format(fmt).load(path)
         assert back.count() == (2 if fmt == "json" else 4) and {r.run_id for r in back.collect()} == {"2024-05-01T10:00", "next"}
+
+
+def test_groups_joined_on_other_columns_than_their_key(spark):
+    import random
+
+    from verisift.rules import GroupCount
+
+    rng = random.Random(6)
+    base = [(rng.choice([None, rng.randrange(25)]), rng.choice([None, 1, 1, 1, rng.randrange(6)]), rng.randrange(2)) for _ in range(60)] + [(100, 1, 0), (101, 1, 0), (102, 99, 0)]
+    joined = [(rng.choice([None, 1, 1, rng.randrange(6)]), rng.randrange(2), rng.choice([None, rng.randrange(9)])) for _ in range(80)]
+    t = {"b": spark.createDataFrame(base, "g int, k int, m int"), "j": spark.createDataFrame(joined, "k int, m int, v int")}
+    for least in (-1, 0, 2, 4):
+        rule = GroupCount("r", "b", "g", "v", joined="j", on=(("k", "k"), ("m", "m")), min_count=least)
+        want = {}
+        for g, k, m in base:
+            want.setdefault(g, set()).update(v for a, b, v in joined if v is not None and k is not None and (a, b) == (k, m))
+        got = {r.group_key: r.n for r in rowrules.group_counts(t, rule).collect()}
+        assert got == {g: len(v) for g, v in want.items() if len(v) > least}

@@ -270,7 +270,7 @@ def group_counts(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame
     exceed ``min_count >= 0`` through matched rows, so the joined side is
     aggregated first (partial de-duplication of ``(key, counted)`` before any
     shuffle) and the base only semi-joins the qualifying keys: the base rows are
-    never multiplied by the join. Other shapes join distinct rows of either side.
+    never multiplied by the join. Other shapes: ``_groups_by_keys``.
     """
     base = tables[rule.base].where(all_of(rule.filter))
     n = F.count_distinct(F.col("__counted")).alias("n")
@@ -294,17 +294,36 @@ def group_counts(tables: Mapping[str, DataFrame], rule: GroupCount) -> DataFrame
         )
         keys = base.select(base[rule.group_key].alias("group_key"))
         return per_key.join(keys, "group_key", "left_semi")
-    # Only distinct values count, so both sides are reduced to them first.
-    b = base.select(*dict.fromkeys([rule.group_key, *(bc for bc, _ in rule.on)])).distinct().alias("b")
-    j = joined.select(*dict.fromkeys([rule.counted, *(jc for _, jc in rule.on)])).distinct().alias("j")
-    cond = all_of(*[F.col(f"b.{bc}") == F.col(f"j.{jc}") for bc, jc in rule.on])
-    grouped = (
-        b.join(j, cond, "left")
-        .select(F.col(f"b.{rule.group_key}").alias("group_key"), F.col(f"j.{rule.counted}").alias("__counted"))
-        .groupBy("group_key")
-        .agg(n)
-    )
-    return grouped.where(F.col("n") > rule.min_count)
+    return _groups_by_keys(base, joined, rule).where(F.col("n") > rule.min_count)
+
+
+def _groups_by_keys(base: DataFrame, joined: DataFrame, rule: GroupCount) -> DataFrame:
+    """``group_key, n`` where base and joined side meet on other columns than the group key.
+
+    Only distinct values count, so both sides are reduced to them first. A group with one key
+    has the count of that key, which is made once and handed to its groups as a number; only
+    groups of several keys, whose values may overlap, are joined row by row. Either way a key
+    is dealt into ``SALTS`` parts, so one that a third of the rows have is spread.
+    """
+    names = [f"__k{i}" for i in range(len(rule.on))]
+    own = base.select(qcol(rule.group_key).alias("group_key"), *[qcol(bc).alias(n) for n, (bc, _) in zip(names, rule.on)]).distinct()
+    theirs = joined.where(all_of(*[qcol(jc).isNotNull() for _, jc in rule.on])).select(
+        qcol(rule.counted).alias("__counted"), *[qcol(jc).alias(f"{n}j") for n, (_, jc) in zip(names, rule.on)]
+    ).distinct()
+    able = all_of(*[F.col(n).isNotNull() for n in names])
+    per_group = own.groupBy("group_key").agg(F.count_if(able).alias("keys"), F.max(F.when(able, F.struct(*names))).alias("key"))
+    part = F.pmod(F.xxhash64("group_key"), F.lit(SALTS)).cast("int").alias("__part")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    same = [F.col(n) == F.col(f"{n}j") for n in names] + [F.col("__part") == F.col("__salt")]
+    per_key = theirs.groupBy(*[f"{n}j" for n in names]).agg(F.count("__counted").alias("n")).select("*", salts)
+    single = per_group.where("keys <= 1").select("group_key", *[F.col(f"key.{n}").alias(n) for n in names], part)
+    one = single.join(per_key, all_of(*same), "left").select("group_key", F.coalesce("n", F.lit(0)).alias("n"))
+    several = per_group.where("keys > 1").select(F.col("group_key").alias("__g"))
+    rows = own.where(able).join(several, F.col("group_key").eqNullSafe(F.col("__g")), "left_semi").select("*", part)
+    met = rows.join(theirs.select("*", salts), all_of(*same)).groupBy("group_key").agg(F.count_distinct("__counted").alias("n"))
+    # Groups of several keys that met nothing count too, where the bound asks for them.
+    more = several.join(met, F.col("group_key").eqNullSafe(F.col("__g")), "left").select(F.col("__g").alias("group_key"), F.coalesce("n", F.lit(0)).alias("n"))
+    return one.unionByName(more)
 
 
 def over_tables(tables: Mapping[str, DataFrame], query: str) -> DataFrame:
