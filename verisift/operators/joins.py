@@ -238,12 +238,18 @@ def _child_totals(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]
     return out
 
 
+def _per_rule(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]) -> DataFrame:
+    return referential_keys(tables, rules).groupBy("rule_id").agg(
+        F.sum("n").alias("non_null_fk"),
+        F.sum(F.when(F.col("found").isNull(), F.col("n"))).alias("violation_count"),
+    )
+
+
 def referential_integrity(
     tables: Mapping[str, DataFrame],
     rules: Sequence[Relationship],
     *,
     with_reason: bool = False,
-    totals: Optional[DataFrame] = None,
 ) -> DataFrame:
     """``name, child, fk, parent, key, total_records, non_null_fk, violation_count,
     pct_of_table, pct_of_non_null, status`` (+ ``rule_id, rule_group, reason``).
@@ -256,14 +262,8 @@ def referential_integrity(
     spark = _spark(tables)
     _, _, skipped = _plan_relationships(tables, rules)
     meta = _rule_frame(spark, rules, skipped)
-    keyed = referential_keys(tables, rules)
-    per_rule = keyed.groupBy("rule_id").agg(
-        F.sum("n").alias("non_null_fk"),
-        F.sum(F.when(F.col("found").isNull(), F.col("n"))).alias("violation_count"),
-    )
-    if totals is None:  # else ``rule_id, total_records`` computed by the caller's shared scan
-        totals = _child_totals(tables, rules, skipped)
-    res = meta.join(totals, "rule_id", "left").join(per_rule, "rule_id", "left")
+    totals = _child_totals(tables, rules, skipped)
+    res = meta.join(totals, "rule_id", "left").join(_per_rule(tables, rules), "rule_id", "left")
     ok = F.col("reason").isNull()
     total = F.when(ok, F.coalesce(F.col("total_records"), F.lit(0))).cast("bigint")
     nn = F.when(ok, F.coalesce(F.col("non_null_fk"), F.lit(0))).cast("bigint")
@@ -295,16 +295,20 @@ def referential_integrity(
     return out
 
 
-def referential_sub_results(
-    tables, rules: Sequence[Relationship], totals: Optional[DataFrame] = None
-) -> DataFrame:
-    return referential_integrity(tables, rules, with_reason=True, totals=totals).select(
+def referential_sub_results(tables, rules: Sequence[Relationship]) -> DataFrame:
+    """Suite rows: the tested (non-NULL) and the failed keys of each rule. Row totals are no part of them."""
+    _, _, skipped = _plan_relationships(tables, rules)
+    meta = _rule_frame(_spark(tables), rules, skipped)
+    res = F.broadcast(meta).join(_per_rule(tables, rules), "rule_id", "left")  # a row per rule: bounded by configuration
+    ok = F.col("reason").isNull()
+    tested, bad = (F.when(ok, F.coalesce(F.col(c), F.lit(0))).cast("bigint") for c in ("non_null_fk", "violation_count"))
+    return res.select(
         F.lit("referential_integrity").alias("suite"),
         F.col("rule_id").alias("seq"),
         F.col("name").alias("rule"),
-        F.col("non_null_fk").alias("total_tested"),
-        F.col("violation_count").alias("failed_records"),
-        "status",
+        tested.alias("total_tested"),
+        bad.alias("failed_records"),
+        F.when(~ok, F.lit("SKIPPED")).when(bad == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
         "reason",
     )
 

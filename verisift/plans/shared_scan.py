@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import SUB_RESULT_SCHEMA
-from ..functions import all_of
 from ..functions.columns import sql_ident, sql_str
 from ..functions.frames import literal_frame
 from ..operators import joins, rowrules
@@ -48,8 +47,6 @@ class _TableAggs:
         self.split = split_predicates
         self.exprs: "OrderedDict[Tuple[str, str], OrderedDict[tuple, Tuple[str, Union[str, Column]]]]" = OrderedDict()
         self.rows_out: "OrderedDict[Tuple[str, str], List[str]]" = OrderedDict()
-        # extra outputs: name -> group -> structs of ``rule_id, total_records``
-        self.totals_out: "OrderedDict[str, OrderedDict[Tuple[str, str], List[str]]]" = OrderedDict()
         self._aggs: Dict[Tuple[str, str], DataFrame] = {}
 
     def _group(self, table: str, predicate: bool) -> Tuple[str, str]:
@@ -78,11 +75,6 @@ class _TableAggs:
             f"'status', {status}, 'reason', {reason})"
         )
 
-    def emit_total(self, output: str, table: str, rule_id: int, total: str, predicate: bool = False) -> None:
-        """A row total for another operator, carried as an internal row
-        (``suite = '__total_<output>'``, ``seq = rule_id``) of the same output."""
-        self.emit(table, f"__total_{output}", rule_id, "", total, "cast(null as bigint)", "''", predicate)
-
     def _agg(self, group: Tuple[str, str]) -> DataFrame:
         # One aggregate DataFrame per group, shared by every output drawn from it
         # (Spark reuses its exchange, so the table is read once).
@@ -105,8 +97,8 @@ def _pass_fail(failing: str) -> str:
 
 
 def single_table_rows(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tuple[DataFrame, List]:
-    """Rows of every single-table check plus internal total rows, from one
-    aggregate per table; also the patterns that need plans of their own."""
+    """Rows of every single-table check, from one aggregate per table; also the
+    patterns that need plans of their own."""
     spark = next(iter(tables.values())).sparkSession
     reg = _TableAggs(tables, split_predicates=aggregate_pushdown_enabled(spark))
     errors: List[tuple] = []
@@ -162,18 +154,6 @@ def single_table_rows(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tupl
         else:
             others.append(p)
 
-    # Row totals of FK children come from the same
-    # aggregates (count(*) is usually registered already by the profile suites).
-    for rid, r in enumerate(catalog.relationships):
-        if r.child not in tables or r.fk not in tables[r.child].columns:
-            continue
-        if r.parent not in tables or r.key not in tables[r.parent].columns:
-            continue
-        if r.filter is None:
-            reg.emit_total("ri", r.child, rid, reg.rows(r.child))
-        else:
-            tot = reg.count_if(r.child, ("ri", rid), all_of(r.filter))
-            reg.emit_total("ri", r.child, rid, tot, predicate=True)
     frames = reg.frames()
     if errors:
         frames.append(literal_frame(spark, errors, SUB_RESULT_SCHEMA))
@@ -183,21 +163,15 @@ def single_table_rows(tables: Mapping[str, DataFrame], catalog: Catalog) -> Tupl
     return out, others
 
 
-def _totals(single: DataFrame, output: str) -> DataFrame:
-    return single.where(F.col("suite") == f"__total_{output}").select(
-        F.col("seq").alias("rule_id"), F.col("total_tested").alias("total_records")
-    )
-
-
-def join_suites(tables: Mapping[str, DataFrame], catalog: Catalog, single: DataFrame, others: List) -> Dict[str, DataFrame]:
-    """By suite, the checks that need their own shuffles, fed with totals from ``single``."""
+def join_suites(tables: Mapping[str, DataFrame], catalog: Catalog, others: List) -> Dict[str, DataFrame]:
+    """By suite, the checks that need their own shuffles."""
     from .suites import pattern_sub_results  # local import: suites imports this module
 
     out = {}
     if others:
         seq_of = {p.name: i for i, p in enumerate(catalog.patterns)}
         out["person_patterns"] = pattern_sub_results(tables, others, seq_of=seq_of)
-    out["referential_integrity"] = joins.referential_sub_results(tables, catalog.relationships, totals=_totals(single, "ri"))
+    out["referential_integrity"] = joins.referential_sub_results(tables, catalog.relationships)
     out["concept_mapping"] = joins.concept_sub_results(tables, catalog.concepts, catalog.terminology, buckets=True)
     return out
 
@@ -209,10 +183,8 @@ def public_rows(single: DataFrame) -> DataFrame:
 def shared_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
     """Same rows as ``suites.suite_sub_results`` with one scan per table for
     null columns, empty tables, completeness and the row-rule patterns — as
-    one lazy plan (the single-table aggregate is referenced twice and its
-    exchange reused)."""
-    single, others = single_table_rows(tables, catalog)
-    out = public_rows(single)
-    for p in join_suites(tables, catalog, single, others).values():
+    one lazy plan."""
+    out, others = single_table_rows(tables, catalog)
+    for p in join_suites(tables, catalog, others).values():
         out = out.unionByName(public_rows(p))
     return out

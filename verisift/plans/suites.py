@@ -12,9 +12,11 @@ executors.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from typing import Dict, List, Mapping, Optional, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -216,8 +218,8 @@ def run(
 ) -> Dict[str, DataFrame]:
     """A full run with every output derived from one execution of the checks.
 
-    The checks run in two checkpointed stages (the shared single-table
-    aggregates, then the join-based suites); the rule-level results (one row per
+    The checks run as four checkpointed jobs side by side (the shared single-table
+    aggregates and the three join-based suites); the rule-level results (one row per
     rule: a few hundred rows, not data) are the union of those checkpoints, and
     the suite roll-up, run summary, failure report and export rows are computed from them, so
     the table scans and joins run exactly once however many outputs are read.
@@ -279,9 +281,9 @@ def _isolated(spark, suite: str, rules: Sequence[tuple], build) -> List[DataFram
 
 
 def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog, *, isolate_errors: bool = True) -> DataFrame:
-    """Every rule's row (and internal rows, see ``public_rows``), in two checkpointed stages: the single-table aggregates
-    first, then the join-based suites together, reading their totals from that
-    checkpoint. See ``run`` for what happens when a rule fails."""
+    """Every rule's row (and internal rows, see ``public_rows``): the single-table aggregates
+    and each join-based suite as a job of its own, side by side, each checkpointed. See
+    ``run`` for what happens when a rule fails."""
     spark = next(iter(tables.values())).sparkSession
     seq_of = {p.name: i for i, p in enumerate(catalog.patterns)}
 
@@ -305,32 +307,37 @@ def staged_sub_results(tables: Mapping[str, DataFrame], catalog: Catalog, *, iso
         "concept_mapping": [(i, c.label, c) for i, c in enumerate(catalog.concepts)],
     }
     build = {"person_patterns": patterns, "referential_integrity": relationships, "concept_mapping": concepts}
+
+    def tried(frame):
+        """The checkpointed rows of ``frame``; None if an expression of a rule raised."""
+        try:
+            return materialize(frame.select(*SUB_RESULT_COLUMNS))
+        except Exception as e:
+            if not isolate_errors or rule_error(e) is None:
+                raise
+            return None
+
     try:
         single, others = single_table_rows(tables, catalog)
-        single = materialize(single)
-    except Exception as e:
+        frames = {"single": single, **join_suites(tables, catalog, others)}
+    except Exception as e:  # a rule that can't even be planned
         if not isolate_errors or rule_error(e) is None:
             raise
-        # Plain counts hold no expression of a rule; all that does is done in the next stage.
-        plain = replace(catalog, patterns=(), relationships=tuple(r for r in catalog.relationships if r.filter is None))
-        single, _ = single_table_rows(tables, plain)
-        single, others = materialize(single), None
-    parts = [public_rows(single)]
-    suites = None
+        frames, others = {}, None
+    # The suites depend on nothing but the tables: their jobs are planned and run beside each other.
+    with ThreadPoolExecutor(max(1, len(frames))) as pool:
+        jobs = {suite: pool.submit(inheritable_thread_target(spark)(tried), frame) for suite, frame in frames.items()}
+        done = {suite: job.result() for suite, job in jobs.items()}
+    parts = [part for part in done.values() if part is not None]
+    left = dict(named)
+    if done.get("single") is None:
+        # Plain counts hold no expression of a rule; all that does is done rule by rule.
+        parts.append(materialize(single_table_rows(tables, replace(catalog, patterns=()))[0].select(*SUB_RESULT_COLUMNS)))
     if others is not None:
-        suites = join_suites(tables, catalog, single, others)
-        try:
-            whole = None
-            for frame in suites.values():
-                frame = frame.select(*SUB_RESULT_COLUMNS)
-                whole = frame if whole is None else whole.unionByName(frame)
-            return parts[0].unionByName(materialize(whole))
-        except Exception as e:
-            if not isolate_errors or rule_error(e) is None:
-                raise
-    for suite, rules in named.items():
-        if suite == "person_patterns" and others is not None:
-            rules = [r for r in rules if r[2] in others]
+        by_scan, by_plan = done["single"] is None, bool(others) and done["person_patterns"] is None
+        left["person_patterns"] = [r for r in named["person_patterns"] if (by_plan if r[2] in others else by_scan)]
+        left = {suite: rules for suite, rules in left.items() if suite == "person_patterns" or done[suite] is None}
+    for suite, rules in left.items():
         parts += _isolated(spark, suite, rules, build[suite])
     out = parts[0]
     for part in parts[1:]:
