@@ -79,6 +79,14 @@ def drop_work_tables(spark: SparkSession) -> None:
         spark.sql(f"drop table if exists {t.name}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -123,6 +131,20 @@ def small_pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) ->
             yield b.slice(at, step)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system. Python workers are kept for later
+    tasks; what one held for its largest batch would stay with it beside the JVM's heap."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def pickled(obj) -> bytes:
     import pickle
 

@@ -12,7 +12,8 @@ as much of it is computed as the sizes leave open:
    table of counts over all documents; any order gives the same result.
 3. Each document is first compared with the smallest id among those it shares
    most of its head with. These few pairs join most of each group of near copies.
-4. The product: per n-gram, the documents outside its first document's component
+4. Rows of a column whose document can't reach the threshold with any size met there are
+   dropped. The product of the others: per n-gram, the documents outside its first document's component
    meet all others of its block from other components, where what may follow in
    both heads, and what the sizes leave beyond these, can still reach the
    threshold. Pairs whose heads' whole overlap can't reach it are dropped, and
@@ -38,13 +39,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .blocks import squeeze, unsqueeze
-from .common import cut, packed, small_pieces, table
+from .common import cut, free_name, give_back, packed, small_pieces, table
 from .components import components
 
 PIECE_BYTES = 1 << 20
 #: Entries of the table of counts that orders n-grams, four bytes each when it is broadcast.
 COUNTERS = 1 << 22
 SLICES = 64
+#: Parts that the pairs of one document are dealt into.
+SALTS = 16
 #: Ids up to which a set of candidates is sent to every executor; beyond it, both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -79,6 +82,7 @@ def gram_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
 def _pieces(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     for b in small_pieces(batches, "text", PIECE_BYTES):
         yield b.column("doc_id"), gram_sets(b.column("text").to_pylist(), n)
+    give_back()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -167,7 +171,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, per_cent: int) -> DataF
 
     sets = packed(_texts(docs).join(ids, "doc_id", "left_semi"), run, "doc_id long, grams binary")
     sets = cut(sets.groupBy("doc_id").agg(F.max(F.struct(F.length("grams").alias("n"), "grams")).alias("s")).select("doc_id", "s.grams"))
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    # A hub is in many pairs: its set is there once per part of these.
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    parts = dealt.select("a", "part").distinct().join(sets.toDF("a", "x"), "a")
+    both = dealt.join(sets.toDF("b", "y"), "b").join(parts, ["a", "part"]).select("a", "b", "x", "y")
 
     def compare(batches):
         for b in small_pieces(batches, "x", PIECE_BYTES):
@@ -178,10 +185,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, per_cent: int) -> DataF
                 good.append(100 * shared >= per_cent * (len(x) + len(y) - shared))
             b = b.filter(pa.array(good))
             yield {"a": b.column("a"), "b": b.column("b")}
+        give_back()
 
     return packed(both, compare, "a long, b long")
 
 
+def _able(placed: DataFrame, per_cent: int) -> DataFrame:
+    """The rows whose document can reach the threshold with any of the sizes met in their column.
+
+    What a pair must share in its heads from here on, ``due`` of ``join``, is least either
+    with the smallest partner, if this document's head ends first, or with the largest,
+    if the partner's does; ``left`` is the most that this document can share.
+    """
+    t = F.lit(per_cent)
+    ends = placed.groupBy("g").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    low = F.greatest("least", F.ceil(t * F.col("size") / 100).cast("long"))
+    high = F.least("most", F.floor(F.lit(100) * F.col("size") / t).cast("long"))
+    own_first = t * (F.col("size") + F.col("low")) - (100 + t) * (F.col("size") - F.col("k"))
+    # The partner's head leaves ceil(t s / 100) - 1 n-grams of s behind it, less than t s / 100.
+    other_first = 100 * t * F.col("size") - t * t * F.col("high")
+    rows = placed.join(ends, "g").withColumn("low", low).withColumn("high", high)
+    reach = (100 + t) * F.col("left")
+    return rows.where((reach >= own_first) | (100 * reach >= other_first)).select(*placed.columns)
+
+
 def join(docs: DataFrame, n: int = 3, per_cent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     summary = cut(summaries(docs, n))
@@ -203,11 +230,12 @@ def join(docs: DataFrame, n: int = 3, per_cent: int = 90) -> DataFrame:
     at = cut(components(links))
 
     of_doc, of_hub = at.toDF("doc_id", "own"), at.toDF("hub", "hubs")
-    placed = cut(
+    placed = (
         shared.join(of_doc, "doc_id", "left").join(of_hub, "hub", "left")
         .withColumn("left", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("at"))))
         .select("g", "doc_id", "size", "k", "last_c", "last_g", "left", F.coalesce("own", "doc_id").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
     )
+    placed = cut(_able(placed, per_cent))
     stray = placed.where("own <> hubs")
     x, y = stray.alias("x"), placed.alias("y")
     ends_first = F.when(F.struct("x.last_c", "x.last_g") <= F.struct("y.last_c", "y.last_g"), F.col("x.size") - F.col("x.k")).otherwise(F.col("y.size") - F.col("y.k"))
@@ -236,7 +264,12 @@ def join(docs: DataFrame, n: int = 3, per_cent: int = 90) -> DataFrame:
     whole = components(same.unionByName(more))
     # Copies follow their class; one id with several sets ties these together.
     in_class = classes.join(whole, classes["first"] == whole["id"], "left").select("digest", F.coalesce("component", "first").alias("component"))
-    return rows.join(in_class, "digest", "left").select(
+    # A class is there once per part of its copies; documents without n-grams are in none.
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("part")
+    parts = in_class.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
+    found = rows.where("digest is not null").select("*", part).join(parts, ["digest", "part"], "left").select("doc_id", "n_grams", "component")
+    alone = rows.where("digest is null").select("doc_id", "n_grams", F.lit(None).cast("long").alias("component"))
+    return found.unionByName(alone).select(
         "doc_id",
         F.col("n_grams").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
@@ -247,14 +280,15 @@ def first_of_group(docs: DataFrame, n: int = 5, per_cent: int = 80) -> DataFrame
     """The rows, with all their columns, that are the first of their component. Of rows
     with one id, the one with the smallest text stays; rows with a null id all stay."""
     at = cut(join(docs, n, per_cent))
-    gone = _limited(at.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
-    kept = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
-    again = cut(at.groupBy("doc_id").count().where("doc_id is not null and count > 1").select(F.col("doc_id").alias("__id")))
+    id_, nth = free_name(docs, "__id"), free_name(docs, "__nth")
+    gone = _limited(at.where("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct())
+    on = F.col("doc_id") == F.col(id_)
+    kept = docs.join(gone, on, "left_anti")
+    again = cut(at.groupBy("doc_id").count().where("doc_id is not null and count > 1").select(F.col("doc_id").alias(id_)))
     if again.isEmpty():
         return kept
-    on = F.col("doc_id") == F.col("__id")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns)))
-    one = kept.join(_limited(again), on, "left_semi").withColumn("__nth", nth).where("__nth = 1").drop("__nth")
+    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns)))
+    one = kept.join(_limited(again), on, "left_semi").withColumn(nth, order).where(F.col(nth) == 1).drop(nth)
     return kept.join(_limited(again), on, "left_anti").unionByName(one)
 
 
