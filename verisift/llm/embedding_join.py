@@ -15,8 +15,9 @@ spanning forest of its links, so a dense group of ``k`` vectors gives some ``k``
 
 Vectors link only within a label and a length. Vectors that are null or empty, have norm
 zero or a null or non-finite component, or whose label or id is null, link with nothing
-and are their own component. Rows with one id are one node; each row is a vector
-for the counts. An empty table gives no rows. Other columns are ignored.
+and are their own component. Rows with one id are one node: all it links to is one
+component, also for a row of it that links with nothing; each row is a vector for the
+counts. A label that is no number counts by its hash. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ AXES, COORDINATES = 6, 256
 BLOCK = 2048
 FAN = 8
 TILE = 512
+#: Parts that the copies of one vector are dealt into.
+SALTS = 16
 
 PREPARED = "vec_id long, digest binary, label long, dim int, vec binary"
 
@@ -51,8 +54,10 @@ def prepare(vectors: DataFrame) -> DataFrame:
                 v = e.values
                 if i is not None and k is not None and v is not None and len(v) and not v.null_count:
                     x = np.asarray(v.to_numpy(zero_copy_only=False), np.float64) + 0.0
-                    norm = float(np.sqrt(x @ x)) if np.isfinite(x).all() else 0.0
-                    if norm > 0 and np.isfinite(norm):
+                    largest = float(np.abs(x).max()) if np.isfinite(x).all() else 0.0
+                    if largest > 0:
+                        # By its largest component, where squares would leave the range of doubles.
+                        x = x if 1e-100 < largest < 1e100 else x / largest
                         raw = x.astype("<f8").tobytes()
                         digest = hashlib.blake2b(b"%d:" % k + raw, digest_size=16).digest()
                 ids.append(i)
@@ -62,7 +67,9 @@ def prepare(vectors: DataFrame) -> DataFrame:
                 dims.append(len(raw) // 8 if raw else None)
             yield {"vec_id": ids, "digest": digests, "label": labels, "dim": dims, "vec": raws}
 
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("long"))
+    # A label that is no number is one of its own by its hash; vectors of one label are compared.
+    label = F.col("label").try_cast("long") if dict(vectors.dtypes)["label"] != "string" else F.when(F.col("label").isNotNull(), F.coalesce(F.col("label").try_cast("long"), F.xxhash64("label")))
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), label.alias("label"))
     return packed(rows, run, PREPARED)
 
 
@@ -280,27 +287,42 @@ def join(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     rows = cut(prepare(vectors))
+    some = rows.where("digest is not null")
+    # A class goes by a number of its own: classes can share their least id.
     classes = cut(
-        rows.where("digest is not null").groupBy("digest")
-        .agg(F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))
+        some.groupBy("digest")
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))
+        .withColumn("first", F.monotonically_increasing_id())
     )
     n_classes = classes.count()
     found = blocks(classes, eps, n_classes)
     got = cut(links(found, cut(close_blocks(found, eps)), cosine))
     counts = got.where("n is not null").groupBy(F.col("id").alias("first")).agg(F.sum("n").alias("others"))
-    # Rows of one class have ids of their own: they hang on the class's first.
-    whole = components(got.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    # Rows of one id are one node, so what they link to hangs together.
+    numbered = classes.select("digest", "first")
+    of_ids = cut(
+        some.select("vec_id", "digest").distinct().join(numbered, "digest")
+        .groupBy("vec_id").agg(F.min("first").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    )
+    ties = some.join(of_ids, "vec_id").select("digest", "a").distinct().join(numbered, "digest").select("a", F.col("first").alias("b"))
+    whole = components(got.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")).unionByName(ties))
+    placed = cut(classes.join(whole, F.col("first") == F.col("id"), "left").select("digest", "first", "least", "n", F.coalesce("component", "first").alias("group")))
+    smallest = placed.groupBy("group").agg(F.min("least").alias("component_id"))
     per_class = (
-        classes.select("digest", "first", "n").join(counts, "first", "left")
-        .join(whole, F.col("first") == F.col("id"), "left")
-        .select("digest", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "first").alias("component_id"))
+        placed.join(counts, "first", "left").join(smallest, "group")
+        .select("digest", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     )
-    return rows.select("vec_id", "digest").join(per_class, "digest", "left").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        F.coalesce(F.coalesce("component_id", "vec_id") == F.col("vec_id"), F.lit(True)).alias("kept"),
-    )
+    # A class is there once per part of its copies.
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int").alias("part")
+    parts = per_class.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
+    linked = cut(some.select("vec_id", "digest", part).join(parts, ["digest", "part"]).select("vec_id", "n_links", "component_id"))
+    # Vectors that can't link are alone, unless another row of their id does.
+    alone = rows.where("digest is null").select("vec_id")
+    known = linked.select(F.col("vec_id").alias("id"), F.col("component_id").alias("other")).join(alone.distinct(), F.col("id") == F.col("vec_id"), "left_semi").distinct()
+    rest = alone.where("vec_id is not null").join(known, F.col("vec_id") == F.col("id"), "left")
+    out = linked.unionByName(rest.select("vec_id", F.lit(0).alias("n_links"), F.coalesce("other", "vec_id").alias("component_id")))
+    out = out.unionByName(alone.where("vec_id is null").select("vec_id", F.lit(0).alias("n_links"), "vec_id").toDF("vec_id", "n_links", "component_id"))
+    return out.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", F.coalesce(F.col("component_id") == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
