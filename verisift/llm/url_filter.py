@@ -13,7 +13,7 @@ allow entry was. Captures of one host, segment and day get one evaluation, which
 joined back, so a host with a third of all rows is looked up once a day.
 
 A null url or day, and one without scheme and host, matches nothing and is kept.
-Hosts over 253 characters match nothing (not valid names). Entries with a null in any
+Hosts of any length are matched. Entries with a null in any
 column are ignored. Repeated captures repeat. Other columns are ignored.
 """
 
@@ -29,6 +29,10 @@ AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 SEGMENT = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]*)"
 
 
+#: Parts that the captures of one key are dealt into.
+SALTS = 8
+
+
 def url_parts(url):
     """Host without ``www.`` and final dot, in lower case; first path segment."""
     host = F.regexp_replace(F.lower(F.regexp_extract(url, AUTHORITY, 1)), r"^www\.|\.$", "")
@@ -63,25 +67,39 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
 def _evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     host, segment = url_parts(F.col("url"))
-    c = captures.select("capture_id", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(segment, F.lit("")).alias("segment"), "day")
-    kinds = c.where("host <> '' and length(host) <= 253 and day is not null").select("host", "segment", "day").distinct()
+    c = captures.select("capture_id", "url", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(segment, F.lit("")).alias("segment"), "day")
+    kinds = c.where("host <> '' and day is not null").select("host", "segment", "day").distinct()
     labels = F.split("host", r"\.")
     parents = F.expr("transform(sequence(1, size(labels)), i -> concat('domain:', array_join(slice(labels, i, size(labels)), '.')))")
     keyed = kinds.withColumn("labels", labels).select(
         "host", "segment", "day",
         F.explode(F.concat(F.array(F.concat(F.lit("host:"), "host"), F.concat(F.lit("prefix:"), "host", F.lit("/"), "segment")), parents)).alias("key"),
     )
-    on = [keyed["key"] == F.col("i.key"), keyed["day"] >= F.col("i.since"), F.col("i.until").isNull() | (keyed["day"] < F.col("i.until"))]
+    # One host, or the last label of most, can be a third of all captures: entries are there SALTS times.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    part = F.pmod(F.xxhash64("host", "segment", "day"), F.lit(SALTS)).cast("int")
+    listed = intervals(entries).select("*", salts).alias("i")
+    on = [
+        keyed["key"] == F.col("i.key"), part == F.col("i.salt"), keyed["day"] >= F.col("i.since"),
+        F.col("i.until").isNull() | (keyed["day"] < F.col("i.until")),
+    ]
     hits = (
-        keyed.join(intervals(entries).alias("i"), on)
+        keyed.join(listed, on)
         .groupBy("host", "segment", keyed["day"])
         .agg(
             F.count_if(F.col("i.list") == "block").alias("n_block"),
             F.count_if(F.col("i.list") == "allow").alias("n_allow"),
             F.min(F.when(F.col("i.list") == "block", keyed["key"])).alias("entry"),
         )
+        .select("*", salts)
     )
-    return c.join(hits, ["host", "segment", "day"], "left").select(
+    can = (F.col("host") != "") & F.col("day").isNotNull()
+    part = F.pmod(F.xxhash64("capture_id", F.col("url")), F.lit(SALTS)).cast("int").alias("salt")
+    met = c.where(can).select("*", part).join(hits, ["host", "segment", "day", "salt"], "left")
+    # Without a host or a day a capture meets no entry, and skips the join.
+    rest = c.where(~can).select("*", *(F.lit(None).cast(t).alias(n) for n, t in (("n_block", "long"), ("n_allow", "long"), ("entry", "string"))))
+    columns = ["capture_id", "host", "day", "n_block", "n_allow", "entry"]
+    return met.select(*columns).unionByName(rest.select(*columns)).select(
         "capture_id", "host", "day",
         F.coalesce("n_block", F.lit(0)).cast("long").alias("n_block"),
         F.coalesce("n_allow", F.lit(0)).cast("long").alias("n_allow"),
