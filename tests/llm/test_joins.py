@@ -89,6 +89,18 @@ def test_ngram_join_is_that_of_all_pairs(spark, n, per_cent):
     assert sorted(r.doc_id for r in first.collect()) == sorted(i for i in want if want[i] == i)
 
 
+def test_rows_that_no_partner_can_reach_are_dropped(spark, monkeypatch):
+    """Texts of one template, no two of them similar enough: their shared columns are not multiplied."""
+    template = [f"t{k}" for k in range(100)]
+    texts = [(i, " ".join(f"own{i}x{k}" if k in (20, 60) else w for k, w in enumerate(template))) for i in range(400)]
+    seen = []
+    able = ngram_join._able
+    monkeypatch.setattr(ngram_join, "_able", lambda placed, t: seen.append((placed.count(), able(placed, t).count())) or able(placed, t))
+    rows = ngram_join.join(spark.createDataFrame(texts, "doc_id long, text string"), 3, 90).collect()
+    assert all(r.component_id == r.doc_id for r in rows)
+    assert seen[0][0] > 400 and seen[0][1] == 0
+
+
 def test_ngram_join_of_odd_rows(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, None), (7, "a b c d"), (8, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -132,6 +144,20 @@ def test_embedding_join_is_that_of_all_pairs(spark, monkeypatch):
     assert embedding_join.join(frame.where("vec_id < 0")).count() == 0
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    """Id 5 has two vectors; 3 and 7 link to one each, so all are component 3, also id 5's row that can't link."""
+    e = [1.0, 0.0, 0.0]
+    f = [0.0, 1.0, 0.0]
+    rows = [(3, e, "1"), (5, e, "1"), (5, f, "1"), (6, [0.0, 0.0, 1.0], "1"), (7, f, "1"), (5, None, "1"), (None, None, "1"), (None, e, "1"),
+            (8, [1e200, 0.0, 1e-200], "big"), (9, [1e-200, 0.0, 0.0], "big"), (10, e, None), (10, f, "big"), (11, [0.0] * 3, "1")]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_join.join(docs).collect()), key=str)
+    assert got == sorted([
+        (3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (5, 0, 3, False), (7, 1, 3, False), (6, 0, 6, True), (None, 0, None, True), (None, 0, None, True),
+        (8, 1, 8, True), (9, 1, 8, False), (10, 0, 10, True), (10, 0, 10, True), (11, 0, 11, True),
+    ], key=str)
+
+
 # ------------------------------------------------------------------ containment
 
 
@@ -151,14 +177,14 @@ def test_containment_is_that_of_all_pairs(spark):
     docs += [(100, items[0][1]), (101, None), (102, ""), (103, items[5][1]), (103, items[5][1]), (None, items[7][1])]
     items += [(50, None), (51, " "), (None, "x1 x2"), (52, items[9][1])]
 
-    def sets(t):
-        w = (t or "").lower().split()
-        return {" ".join(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({" ".join(w)} if w else set())
+    def sets(t, like):
+        w, n = (t or "").lower().split(), min(5, len((like or "").split()))
+        return {" ".join(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
 
     want = set()
     for i, t in docs:
         for j, s in items:
-            a, b = sets(t), sets(s)
+            a, b = sets(t, s), sets(s, s)
             if i is not None and j is not None and b and 100 * len(a & b) >= 80 * len(b):
                 want.add((i, j, len(b), len(a & b)))
     d = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, words string, h long").repartition(4)
@@ -172,6 +198,21 @@ def test_containment_is_that_of_all_pairs(spark):
     assert decontam.clean(d, b.where("item_id < 0")).count() == len(docs)
 
 
+def test_columns_called_like_the_operators_own(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (1, "a b c d e f", 4, 5, 6), (2, "x y", 7, 8, 9)], "doc_id long, text string, __id int, __nth int, __leaked int")
+    assert sorted(tuple(r)[0::2] for r in ngram_join.first_of_group(docs).collect())[1] == (2, 7, 9)
+    items = spark.createDataFrame([(1, "x y")], "item_id long, text string")
+    assert sorted(r["__leaked"] for r in decontam.clean(docs, items).collect()) == [3, 6]
+
+
+def test_short_items_are_found_inside_long_documents(spark):
+    items = spark.createDataFrame([(1, "What is love"), (2, "zebra"), (3, "a b c d"), (4, "one two three four five six")], "item_id long, text string")
+    long = "word of " * 50_000 + "what IS\nlove " + "end of " * 10
+    docs = [(1, "so what is love after all that was said"), (2, long), (3, "love is what"), (4, "a b c d"), (5, "a b  c\td e f"), (6, "a zebra"), (7, "one two three four")]
+    got = {(r.doc_id, r.item_id, r.n_shingles) for r in decontam.find(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1, 1), (2, 1, 1), (4, 3, 1), (5, 3, 1), (6, 2, 1)}
+
+
 # ------------------------------------------------------------------ conversations
 
 EVENTS = "conv_id long, turn long, k int, seq long, kind string, role string, text string"
@@ -231,7 +272,7 @@ def test_captures_meet_the_entries_of_their_day(spark):
     e = spark.createDataFrame([(*r, 1) for r in entries], "list string, key string, day long, action string, since long")
     got = url_filter.evaluate(c, e).collect()
     assert len(got) == len(captures)
-    assert {r.capture_id for r in got if r.dropped} == {2, 3, 5, 6, 9}
+    assert {r.capture_id for r in got if r.dropped} == {2, 3, 5, 6, 9, 14}
     by = {r.capture_id: (r.n_block, r.n_allow, r.entry) for r in got}
     assert by[8] == (1, 1, "domain:evil.example") and by[1] == (0, 0, None)
     assert url_filter.evaluate(c, e.where("day < 0")).where("dropped").count() == 0

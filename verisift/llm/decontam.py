@@ -1,23 +1,23 @@
 """Operator 7: benchmark items inside documents, by containment.
 
-Texts are lower-cased words between white space; shingles are five words, or all
-words of a text that has fewer. An item is found in a document when the document
-holds at least 80 % of the item's distinct shingles.
+Texts are lower-cased words between white space; shingles are of five words, and those of an
+item that has fewer are of as many as it has. An item is found in a document when the
+document holds at least 80 % of the item's distinct shingles: a short item, when its words
+stand in the document in their order.
 
 Search: the hashes of an item's shingles are taken in ascending order. As at most
 ``q - ceil(0.8 q)`` of its ``q`` shingles may be missing, the ``q - ceil(0.8 q) + 1``
 smallest (its MinHash sketch) hold one that a containing document must have. Items
-are partitioned by size, each partition with a bound: the largest hash in
-any of its sketches, and the fewest shingles that a document needs. Documents are probed
-once, by their hashes up to the largest of these bounds; a shared hash
-makes a candidate. No candidate is missed. Candidates are verified by counting
-the shingles themselves.
+are partitioned by size (the length of their shingles, and powers of two of their number),
+each partition with bounds of its own: the largest hash in any of its sketches, and the
+fewest shingles that a document needs. A document is probed once per partition whose size it
+reaches, with its hashes up to that partition's bound; a shared (partition, hash) makes a
+candidate. No candidate is missed. Candidates are verified by counting the shingles themselves.
 
 (Banded MinHash signatures of whole documents can't find items of forty words in
 documents of twenty thousand: their Jaccard similarity is near 0.002.)
 
-Null and empty texts hold nothing and are found nowhere; an item of under five words
-is found in documents with just these words. Repeated documents or items count as one
+Null and empty texts hold nothing and are found nowhere. Repeated documents or items count as one
 with their id; ids that are null are left out. Empty tables give no rows. Other
 columns are ignored. Only DataFrame functions are used.
 """
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, free_name, table
 
 WORDS = 5
 CONTAINMENT = 80  # per cent
@@ -39,25 +39,26 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[ \t-\r]+"), lambda w: w != "")
 
 
-def _grams(words: str, one: str, many: str) -> Column:
-    """``many`` for each start i of five words, ``one`` for a shorter text, nothing for an empty one."""
-    return F.expr(
-        f"case when size({words}) >= {WORDS} then transform(sequence(0, size({words}) - {WORDS}), i -> {many})"
-        f" when size({words}) > 0 then array({one}) else array() end"
-    )
+def _runs(words: str, width: int, one: str) -> str:
+    """SQL of an array with ``one`` (of the start ``i``) for each run of ``width`` words; empty for a shorter text."""
+    return f"case when size({words}) >= {width} then transform(sequence(0, size({words}) - {width}), i -> {one}) else array() end"
 
 
-def shingle_hashes(words: str) -> Column:
-    h = f"transform({words}, w -> xxhash64(w))"
-    picks = ", ".join(f"h[i + {k}]" for k in range(WORDS))
-    return F.expr(
-        f"transform(array({h}), h -> case when size(h) >= {WORDS} then transform(sequence(0, size(h) - {WORDS}), i -> xxhash64({picks}))"
-        f" when size(h) > 0 then array(xxhash64(array_join(transform(h, x -> cast(x as string)), ' '))) else array() end)[0]"
-    )
+def shingle_hashes(words: str, width: int) -> Column:
+    picks = ", ".join(f"h[i + {k}]" for k in range(width))
+    return F.expr(f"transform(array(transform({words}, w -> xxhash64(w))), h -> {_runs('h', width, f'xxhash64({picks})')})[0]")
+
+
+def shingles(words: str, width: int) -> Column:
+    return F.expr(_runs(words, width, f"array_join(slice({words}, i + 1, {width}), ' ')"))
 
 
-def shingles(words: str) -> Column:
-    return _grams(words, f"array_join({words}, ' ')", f"array_join(slice({words}, i + 1, {WORDS}), ' ')")
+def _own(words: str, make) -> Column:
+    """What ``make`` gives for an item's own width."""
+    out = F.when(F.size(words) >= WORDS, make(words, WORDS))
+    for width in range(1, WORDS):
+        out = out.when(F.size(words) == width, make(words, width))
+    return out.otherwise(F.array())
 
 
 def limited(df: DataFrame, rows: int) -> DataFrame:
@@ -65,12 +66,13 @@ def limited(df: DataFrame, rows: int) -> DataFrame:
 
 
 def sketches(items: DataFrame) -> DataFrame:
-    """(h, item_id, q, partition, least): the sketch rows of each item."""
-    sized = items.select("item_id", F.array_sort(F.array_distinct(shingle_hashes("words"))).alias("hashes")).withColumn("q", F.size("hashes")).where("q > 0")
+    """(partition, h, item_id, q, width, least): the sketch rows of each item."""
+    sized = items.select("item_id", F.least(F.size("words"), F.lit(WORDS)).alias("width"), F.array_sort(F.array_distinct(_own("words", shingle_hashes))).alias("hashes"))
+    sized = sized.withColumn("q", F.size("hashes")).where("q > 0")
     need = f"cast(ceil(q * {CONTAINMENT} / 100) as int)"
     return sized.select(
-        "item_id", "q",
-        F.expr("cast(floor(log2(q)) as int)").alias("partition"),
+        "item_id", "q", "width",
+        F.expr("100 * width + cast(floor(log2(q)) as int)").alias("partition"),
         F.expr(need).alias("least"),
         F.explode(F.expr(f"slice(hashes, 1, q - {need} + 1)")).alias("h"),
     )
@@ -83,19 +85,24 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     sketch = cut(sketches(b))
     n_sketch = sketch.count()
     # A row per size partition.
-    bounds = sketch.groupBy("partition").agg(F.max("h").alias("upto"), F.min("least").alias("least")).collect()
+    bounds = sketch.groupBy("partition", "width").agg(F.max("h").alias("upto"), F.min("least").alias("least")).collect()
     if not bounds:
         return d.where(F.lit(False)).selectExpr("doc_id", "doc_id as item_id", "doc_id as n_shingles", "doc_id as n_shared", "1.0D as containment")
-    upto, least = max(r.upto for r in bounds), min(r.least for r in bounds)
-    hashed = d.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", shingle_hashes("words").alias("hashes"))
-    probes = hashed.where(F.size("hashes") >= least).select("doc_id", F.size("hashes").alias("n"), F.explode("hashes").alias("h")).where(F.col("h") <= upto)
+    widths = sorted({r.width for r in bounds})
+    hashed = d.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", *[shingle_hashes("words", w).alias(f"h{w}") for w in widths])
+    in_partition = [
+        f"case when size(h{r.width}) >= {r.least} then transform(filter(h{r.width}, x -> x <= cast('{r.upto}' as bigint)), "
+        f"x -> named_struct('partition', {r.partition}, 'n', size(h{r.width}), 'h', x)) else array() end"
+        for r in bounds
+    ]
+    probes = hashed.select("doc_id", F.explode(F.expr(f"concat({', '.join(in_partition)})")).alias("p")).select("doc_id", "p.*")
     candidates = cut(
-        probes.join(limited(sketch.select("h", "item_id", "least"), n_sketch), "h").where("n >= least").select("doc_id", "item_id").distinct()
+        probes.join(limited(sketch.select("partition", "h", "item_id", "least"), n_sketch), ["partition", "h"]).where("n >= least").select("doc_id", "item_id").distinct()
     )
     n = candidates.count()
     some = d.join(limited(candidates.select("doc_id").distinct(), n), "doc_id", "left_semi")
-    in_docs = some.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", F.explode(F.array_distinct(shingles("words"))).alias("shingle"))
-    in_items = b.select("item_id", F.explode(shingles("words")).alias("shingle")).distinct()
+    in_docs = some.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", F.explode(F.concat(*[F.array_distinct(shingles("words", w)) for w in widths])).alias("shingle"))
+    in_items = b.select("item_id", F.explode(_own("words", shingles)).alias("shingle")).distinct()
     sizes = in_items.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
     # The pairs carry the item's shingles, so a pair is compared with that item alone.
     shared = (
@@ -111,7 +118,8 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows, with all their columns, in which no item is found."""
     leaked = cut(find(docs, items).select("doc_id").distinct())
-    return docs.join(limited(leaked.withColumnRenamed("doc_id", "__leaked"), leaked.count()), F.col("doc_id") == F.col("__leaked"), "left_anti")
+    name = free_name(docs, "__leaked")
+    return docs.join(limited(leaked.withColumnRenamed("doc_id", name), leaked.count()), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
@@ -121,10 +129,10 @@ def op7(spark, sf_dir: str) -> DataFrame:
 SQL = """
 with d as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda w: w <> '') as w from documents),
 b as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda w: w <> '') as w from benchmark),
-ds as (select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-  when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from d),
-bs as (select distinct item_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-  when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from b),
+m as (select distinct least(len(w), 5) as m from b where len(w) > 0),
+ds as (select distinct doc_id, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as s from d, m where len(w) >= m),
+bs as (select distinct item_id, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) as s
+  from b where len(w) > 0),
 q as (select item_id, count(*) as n_shingles from bs group by item_id)
 select ds.doc_id, bs.item_id, q.n_shingles, count(*) as n_shared, count(*) / q.n_shingles as containment
 from ds join bs using (s) join q on q.item_id = bs.item_id
