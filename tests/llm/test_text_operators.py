@@ -78,8 +78,7 @@ def test_token_files_round_trip(spark):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    docs = frame(spark)
+    docs = frame(spark, [*TEXTS, "end <|endoftext|> of<|startoftext|>it <|endoftext|><|endoftext|>x <|end"])
     rows = sorted(((r.doc_id, t.encode(r.text or "", add_special_tokens=False).ids + [1]) for r in docs.collect()), key=lambda r: r[0])
     got = sorted((r.doc_id, r.n_tokens, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in token_binary.round_trip(docs, path).collect())
     assert got == sorted((i, len(x), x) for i, x in rows)
@@ -92,6 +91,20 @@ def test_token_files_round_trip(spark):
     assert token_binary.round_trip(docs.where("doc_id < 0"), path).count() == 0
 
 
+def test_words_encoded_by_their_parts_are_as_the_library_encodes_them():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    texts = [f"{c} a{c}b {c}{c}x' {c}'s{c}1{c}A" for c in map(chr, [*range(0x180), 0x300, 0x301, 0x345, 0x3A3, 0x3C2, 0x130, 0x1E9E, 0x2028, 0x3000, 0xFB01, 0x1F642])]
+    alphabet = ["a", "B", "é", "É", "E\u0301", "'", "s", "RE", "ll", "1", "½", " ", "\n", "\t", ",", "--", "ß", "Σ", "ς", "\xa0", "\x85", "<|endoftext|>", "<", "|", "日"]
+    texts += ["".join(rng.choices(alphabet, k=rng.randrange(25))) for _ in range(3000)]
+    got = token_binary.Encoder(path).encode(texts, None)
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_token_files_in_several_shards_and_with_null_ids(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(token_binary, "SHARD_IDS", 5)
     docs = spark.createDataFrame([(None, "x y"), *((k, "word " * (k % 9)) for k in range(60))], "doc_id long, text string")

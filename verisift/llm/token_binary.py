@@ -16,12 +16,15 @@ File format, a Parquet folder with two tables that any Spark reader opens:
 
 Nulls and empty texts are documents of the end id alone. A null doc_id sorts
 first. Equal doc_ids are kept and sort by their ids. An empty table gives empty
-files. Extra columns are ignored.
+files. Extra columns are ignored. Texts are encoded as the library encodes them, its
+special tokens in a text included.
 """
 
 from __future__ import annotations
 
+import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,58 +39,114 @@ CACHE_WORDS = 700_000
 PIECE_BYTES = 4 << 20
 SHARD_IDS = 2 << 20
 
-_CACHE: dict[str, dict[str, bytes]] = {}
-_LOADED: dict[str, object] = {}
+_LOADED: dict[str, "Encoder"] = {}
 
+# Normalising and splitting of the vocabularies that words are encoded for by their parts (fixed values of their files).
+_NORMAL = ["NFC", {"Regex": "\\s+"}, "Lowercase"]
+_SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 
-def _tokenizer(path: str):
-    if path not in _LOADED:
+
+class _Parts(dict):
+    """uint32 ids of the parts of words, as bytes, merged by the model when first asked for."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+        # Byte-level alphabets write visible Latin-1 characters as they are, other bytes from U+0100 on.
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in set(visible)]
+        self.written = {b: 0x100 + k for k, b in enumerate(hidden)}
+
+    def __missing__(self, part: str) -> bytes:
+        shown = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.written)
+        ids = self[part] = array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+        return ids
+
+
+class Encoder:
+    """A tokenizer, and what it has made of the words it has met.
+
+    The vocabularies meant here drop white space before they merge, so a text may be cut
+    at spaces and line breaks, and each word encoded once. Where the file says that words
+    are lower-cased and split by a pattern, whose parts are merged on their own, each
+    part is merged once: words that differ by case or by a comma share theirs.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _LOADED[path] = t
-    return _LOADED[path]
-
-
-def encode_words(tokenizer, words: list[str]) -> list[bytes]:
-    """uint32 ids of each word. Words hold no space; many are joined by spaces for
-    one call, and the tokens' offsets tell which word each belongs to."""
-    out: list[bytes] = []
-    for at in range(0, len(words), 500):
-        some = words[at : at + 500]
-        e = tokenizer.encode(" ".join(some), add_special_tokens=False)
-        ids = np.array(e.ids, np.uint32)
-        begins = np.fromiter((o[0] for o in e.offsets), np.int64, len(ids))
-        starts = np.zeros(len(some) + 1, np.int64)
-        np.cumsum(np.fromiter((len(w) + 1 for w in some), np.int64, len(some)), out=starts[1:])
-        cuts = np.searchsorted(begins, starts)
-        raw = ids.tobytes()
-        out += [raw[4 * a : 4 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-    return out
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            shape = json.load(f)
+        self.special = [t["content"] for t in shape.get("added_tokens", ())]
+        self.words: dict[str, bytes] = {}
+        self.parts = _Parts(self.tokenizer.model)
+        self.find = self._finder(shape)
+
+    @staticmethod
+    def _finder(shape: dict):
+        """Finds a word's parts; None if the file does not say that words are made of these."""
+        import regex
+
+        normal = (shape.get("normalizer") or {}).get("normalizers", ())
+        steps = (shape.get("pre_tokenizer") or {}).get("pretokenizers", ({},))
+        if [n.get("pattern", n["type"]) for n in normal] != _NORMAL or [x.get("type") for x in steps] != ["Split", "ByteLevel"]:
+            return None
+        split, level = steps
+        if not split.get("invert") or split.get("behavior") != "Removed" or split.get("pattern") != _SPLIT or level.get("use_regex") or level.get("add_prefix_space"):
+            return None
+        return regex.compile(_SPLIT["Regex"]).findall
+
+    def _encode_whole(self, words: list[str]) -> None:
+        """Words hold no space; many are joined by spaces for one call, and the tokens'
+        offsets tell which word each belongs to."""
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(e.ids, np.uint32)
+            begins = np.fromiter((o[0] for o in e.offsets), np.int64, len(ids))
+            starts = np.zeros(len(some) + 1, np.int64)
+            np.cumsum(np.fromiter((len(w) + 1 for w in some), np.int64, len(some)), out=starts[1:])
+            cuts = np.searchsorted(begins, starts)
+            raw = ids.tobytes()
+            self.words.update(zip(some, (raw[4 * a : 4 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))))
+
+    def _learn(self, new: set[str]) -> None:
+        whole, words, parts, find = [], self.words, self.parts, self.find
+        for w in new:
+            # Up to U+00FF a word is its own normal form, and lower case goes by single characters.
+            if find is None or not (w.isascii() or max(w) < "\u0100") or "<" in w and any(x in w for x in self.special):
+                whole.append(w)
+                continue
+            low = w.lower()
+            core = low.rstrip(".,;:!?")
+            if core.isalpha():  # letters are one part, marks after them another
+                words[w] = parts[core] if len(core) == len(low) else parts[core] + parts[low[len(core) :]]
+            else:
+                words[w] = b"".join(map(parts.__getitem__, find(low)))
+        self._encode_whole(whole)
+
+    def encode(self, texts: list[str | None], end_id: int | None) -> list[bytes]:
+        """uint32 ids of each text, as little-endian bytes."""
+        cut_ = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        met = set().union(*cut_)
+        met.discard("")
+        if len(self.words) + len(met) > CACHE_WORDS:
+            self.words = {w: self.words[w] for w in met & self.words.keys()}
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        self._learn(met - self.words.keys())
+        self.words[""] = b""
+        end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+        get = self.words.__getitem__
+        return [b"".join(map(get, w)) + end for w in cut_]
 
 
 def encode_texts(path: str, texts: list[str | None], end_id: int | None) -> list[bytes]:
-    """uint32 ids of each text, by words between single spaces.
-
-    The vocabularies meant here drop white space before they merge, so a text
-    may be cut at spaces and line breaks, and each word encoded once.
-    """
-    tokenizer, cache = _tokenizer(path), _CACHE.setdefault(path, {})
-    split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-    new = set().union(*split) - cache.keys() if split else set()
-    new.discard("")
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = set().union(*split)
-        new.discard("")
-    words = sorted(new)
-    cache.update(zip(words, encode_words(tokenizer, words)))
-    cache[""] = b""
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-    get = cache.__getitem__
-    return [b"".join(map(get, w)) + end for w in split]
+    if path not in _LOADED:
+        _LOADED[path] = Encoder(path)
+    return _LOADED[path].encode(texts, end_id)
 
 
 ENCODED = "doc_id long, ids binary, counts array<long>"
