@@ -106,22 +106,44 @@ def parse(rendered: DataFrame) -> DataFrame:
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """The log of a table of finished turns: each text streamed in two deltas. Rows
-    that share a turn are messages of their own, by role and text."""
+    """A log that ends in a table's finished turns. Rows that share a turn are messages of
+    their own, by role and text.
+
+    Every text is streamed in two deltas. By a hash of the message, one in six each also has
+    a draft that an edit replaces, a draft that is regenerated (twice in one of these), its
+    last event delivered again, a role that only the first event names, or all of these. Events
+    come last first.
+    """
     c = conversations.select(
         F.col("conv_id").cast("long"),
         F.col("turn").cast("long"),
         F.col("role").cast("string"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("k", F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")))
+    way = F.pmod(F.xxhash64("conv_id", "turn", "k"), F.lit(6))
+    edited, anew, again, unnamed = ((F.col("way") == k) | (F.col("way") == 5) for k in (1, 2, 3, 4))
     half = F.expr("cast(length(text) div 2 as int)")
-    halves = F.array(
-        F.struct(F.lit(0).alias("seq"), F.substr("text", F.lit(1), half).alias("text")),
-        F.struct(F.lit(1).alias("seq"), F.substr("text", half + 1).alias("text")),
-    )
-    return c.select("conv_id", "turn", "k", "role", F.explode(halves).alias("d")).select(
-        "conv_id", "turn", "k", "d.seq", F.lit("delta").alias("kind"), "role", "d.text"
+    head, tail = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    draft = F.concat(F.lit("draft "), F.reverse("text"))
+
+    def event(seq: int, kind, role, text, when=None):
+        e = F.struct(F.lit(seq).alias("seq"), kind.alias("kind"), role.alias("role"), text.alias("text"))
+        return F.when(F.lit(True) if when is None else when, e)
+
+    none, delta, role = F.lit(None).cast("string"), F.lit("delta"), F.col("role")
+    later = F.when(~unnamed, role)
+    events = F.array(
+        event(9, delta, later, tail),
+        event(9, delta, later, tail, again),
+        event(8, F.when(edited, F.lit("edit")).otherwise(delta), later, head),
+        event(7, delta, later, draft, edited),
+        event(5, F.lit("regenerate"), none, none, anew),
+        event(4, delta, later, F.reverse(draft), anew),
+        event(3, F.lit("regenerate"), later, F.lit("ignored"), F.col("way") == 5),
+        event(1, delta, role, F.when(anew, draft).otherwise(F.lit(""))),
     )
+    log = c.withColumn("way", way).select("conv_id", "turn", "k", F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    return log.select("conv_id", "turn", "k", "e.seq", "e.kind", "e.role", "e.text")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
