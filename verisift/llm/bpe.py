@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import bucketed, packed, ship, shuffle_width, small_pieces, table
+from .common import bucketed, give_back, packed, ship, shuffle_width, small_pieces, table
 
 _LOADED: dict = {}
 
@@ -90,18 +90,20 @@ def expand(seq: np.ndarray, sizes: np.ndarray, values: np.ndarray, counts: np.nd
     return values[at], np.diff(bounds)
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids) of every row: the ids of its whole text."""
+def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+    """(doc_id, ids) of every row: the ids of its whole text. ``block_bytes`` of text are held
+    by a task at a time; smaller blocks send more tokens twice."""
     spark = docs.sparkSession
     buckets = 2 * shuffle_width(spark)
 
     def split(batches: Iterator[pa.RecordBatch]):
-        for block, ids, texts in B.cut_blocks(batches):
+        for block, ids, texts in B.cut_blocks(batches, block_bytes):
             lengths, seq, words = pre_tokens(texts, pattern)
             seq, words, _ = B.by_frequency(seq, words)
             yield B.document_row(block, ids, lengths, seq)
             if rows := B.word_rows(block, words, buckets):
                 yield rows
+        give_back()
 
     parts = bucketed(packed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), split, B.ROWS), "kind", "block")
 
@@ -120,12 +122,15 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     "counts": [B.pack_ints(np.fromiter(map(len, got), np.uint32, len(got)) // 4)],
                     "ids": [B.pack_ints(np.frombuffer(b"".join(got), "<u4"))],
                 }
+        known.clear()
+        give_back()
 
     words = parts.where("kind = 'w'").select("block", "bucket", "body", "more").repartition(buckets, "bucket")
     merged = packed(words.drop("bucket").select("block", "body", "more"), merge, "block long, numbers binary, counts binary, ids binary")
     documents = parts.where("kind = 'd'").select("block", "doc_ids", "lengths", "body")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()  # of the block before
         out = []
         numbers = [B.unpack_ints(x.as_py()) for x in right.column("numbers")]
         counts = [B.unpack_ints(x.as_py()) for x in right.column("counts")]
