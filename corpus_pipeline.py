@@ -34,7 +34,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path, pattern = bpe.default_vocabulary()
-    return bpe.digests(bpe.encode(docs, path, pattern), path, keep_ids=True)
+    # Blocks of 8 MB: the workers' share beside a heap that four stages have filled.
+    return bpe.digests(bpe.encode(docs, path, pattern, block_bytes=8 << 20), path, keep_ids=True)
 
 
 STAGES = [
