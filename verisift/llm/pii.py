@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, small_pieces, table
+from .common import give_back, packed, small_pieces, table
 
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 PIECE_BYTES = 8 << 20
@@ -219,6 +219,7 @@ def redact(docs: DataFrame) -> DataFrame:
             if "n_chars" in cols:
                 cols["n_chars"] = [n if a is b or a == b else len(b) for a, b, n in zip(old, new, cols["n_chars"].to_pylist())]
             yield cols
+        give_back()
 
     return packed(docs, run, docs.schema)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, packed, pickled, small_pieces, table
+from .common import cut, fold, give_back, packed, pickled, small_pieces, table
 
 #: Most labelled rows that the model is fitted on, taken by a hash of the id.
 TRAIN_ROWS = 20_000
@@ -219,6 +219,7 @@ def score_rows(feature_rows: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         for b in batches:
             yield {"doc_id": b.column("doc_id"), "score": score(model, _matrix(b.column("x").to_pylist()))}
+        give_back()
 
     return packed(feature_rows, run, SCORED)
 
