@@ -97,3 +97,20 @@ def test_rules_that_need_no_keys_are_refused(spark, tmp_path):
             KeyedState(spark, str(tmp_path), [bad])
     with pytest.raises(ValueError):
         KeyedState(spark, str(tmp_path), [GroupCount("x", "a", "k", "v", joined="b", on=(("z", "k"),))])
+
+
+def test_large_changes_meet_the_state_without_a_join(spark, tmp_path, monkeypatch):
+    """Every key of a large change is grouped once with the state; a small change picks its keys from it first."""
+    plans, old = [], KeyedState._differences
+
+    def noted(self, *args):
+        out = old(self, *args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(KeyedState, "_differences", noted)
+    state = KeyedState(spark, str(tmp_path / "s"), [Uniqueness("u", "t", "v")])
+    for k, some in enumerate([spark.range(1000), spark.range(500, 1500), spark.range(5)]):
+        state.merge({"t": some.selectExpr("id v")}, k)
+    assert ["LeftSemi" in p for p in plans] == [False, False, True]
+    assert totals(state) == {"u": (2005, 505)}

@@ -8,10 +8,12 @@ and how many parent or base rows. The state is the sum of the batches' deltas.
 A batch is merged in four steps:
 
 1. Its delta, grouped once for all rules, is written under an attempt of its own.
-2. The change is that delta less the one the batch left before, if it is a replay. A
-   replay of the same rows changes nothing; of other rows, what differs.
-3. The keys of the change, and only they, meet their rows of the state. What they were
-   worth before and after gives each rule's difference of tested and failed records.
+2. The change is that delta in the place of the one the batch left before, if it is a
+   replay. A replay of the same rows changes nothing; of other rows, what differs.
+3. The keys of the change meet their rows of the state in one grouping. What they were
+   worth before and after gives each rule's difference of tested and failed records; keys
+   that the change doesn't have differ by nothing, and where it has few of them (``FEW``),
+   the others are left out before.
 4. One small commit file names the attempt and holds the new totals. A batch that died
    before it has left an attempt that nobody reads.
 
@@ -38,6 +40,8 @@ DELTA = "rule int, key string, sub string, n bigint, parent bigint"
 COMMIT = "seq bigint, batch_id bigint, attempt string, upto bigint, rule int, total_tested bigint, failed_records bigint"
 #: The batch that holds what ``compact`` has summed.
 BASE = -1
+#: A change of less than one row in so many of the state has few keys.
+FEW = 16
 
 
 def _name(rule: KeyedRule) -> str:
@@ -48,13 +52,17 @@ def _kind(rule: KeyedRule) -> str:
     return {Uniqueness: "unique", GroupCount: "group", Relationship: "fk"}[type(rule)]
 
 
-def _text(df: DataFrame, column: str, kind: Optional[str] = None) -> Column:
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _key(df: DataFrame, column: str, kind: Optional[str] = None) -> Column:
+    """A column as key: text, but whole numbers as they are."""
     c, t = qcol(column), df.schema[column].dataType
     if kind:
         c = c.cast(kind)
     elif isinstance(t, (T.FloatType, T.DoubleType)):
         c = c + F.lit(0.0)  # one zero
-    return c.cast("string")
+    return c if isinstance(t, _WHOLE) and kind in (None, "bigint") else c.cast("string")
 
 
 class KeyedState:
@@ -113,38 +121,53 @@ class KeyedState:
         known = {**schemas, **tables}
         frames: List[DataFrame] = []
 
-        def rows(table, where, rule, key, sub, n, parent):
+        whole: List[DataFrame] = []
+
+        def rows(table, where, rule, key, sub, n, parent, columns):
             if table in tables:
-                frames.append(
+                # Whole numbers are grouped as such and written as text after.
+                numbers = all(isinstance(c, _WHOLE) for c in columns)
+                (whole if numbers else frames).append(
                     tables[table].where(all_of(*where)).select(
-                        F.lit(rule).alias("rule"), key.alias("key"), sub.alias("sub"), F.lit(n).cast("bigint").alias("n"), F.lit(parent).cast("bigint").alias("parent")
+                        F.lit(rule).alias("rule"), *[c.cast("bigint" if numbers else "string").alias(name) for name, c in (("key", key), ("sub", sub))],
+                        F.lit(n).cast("bigint").alias("n"), F.lit(parent).cast("bigint").alias("parent"),
                     )
                 )
 
         none = F.lit(None).cast("string")
+
+        def of(table, column):
+            return known[table].schema[column].dataType
+
         for k, r in enumerate(self.rules):
             if isinstance(r, Uniqueness) and r.table in tables:
                 where = [r.filter] if r.count_nulls else [r.filter, qcol(r.column).isNotNull()]
-                rows(r.table, where, k, _text(tables[r.table], r.column), none, 1, 0)
+                rows(r.table, where, k, _key(tables[r.table], r.column), none, 1, 0, [of(r.table, r.column)])
             elif isinstance(r, GroupCount):
                 if r.joined is None and r.base in tables:
-                    rows(r.base, [r.filter], k, _text(tables[r.base], r.group_key), _text(tables[r.base], r.counted), 1, 1)
+                    columns = [of(r.base, r.group_key), of(r.base, r.counted)]
+                    rows(r.base, [r.filter], k, _key(tables[r.base], r.group_key), _key(tables[r.base], r.counted), 1, 1, columns)
                 elif r.joined:
                     (bc, jc), = r.on
-                    kind = common_key_type(known[r.base].schema[bc].dataType, known[r.joined].schema[jc].dataType)
-                    rows(r.base, [r.filter], k, _text(known[r.base], bc, kind), none, 0, 1)
-                    rows(r.joined, [r.join_filter, qcol(jc).isNotNull()], k, _text(known[r.joined], jc, kind), _text(known[r.joined], r.counted), 1, 0)
+                    columns = [of(r.base, bc), of(r.joined, jc), of(r.joined, r.counted)]
+                    kind = common_key_type(*columns[:2])
+                    rows(r.base, [r.filter], k, _key(known[r.base], bc, kind), none, 0, 1, columns)
+                    rows(r.joined, [r.join_filter, qcol(jc).isNotNull()], k, _key(known[r.joined], jc, kind), _key(known[r.joined], r.counted), 1, 0, columns)
             elif isinstance(r, Relationship):
-                types = known[r.child].schema[r.fk].dataType, known[r.parent].schema[r.key].dataType
+                types = of(r.child, r.fk), of(r.parent, r.key)
                 kind = common_key_type(*types) or ("double" if types[0] != types[1] else None)
-                rows(r.child, [r.filter, qcol(r.fk).isNotNull()], k, _text(known[r.child], r.fk, kind), none, 1, 0)
-                rows(r.parent, [qcol(r.key).isNotNull()], k, _text(known[r.parent], r.key, kind), none, 0, 1)
-        if not frames:
-            return literal_frame(self.spark, [], DELTA)
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.groupBy("rule", "key", "sub").agg(F.sum("n").alias("n"), F.sum("parent").alias("parent"))
+                rows(r.child, [r.filter, qcol(r.fk).isNotNull()], k, _key(known[r.child], r.fk, kind), none, 1, 0, types)
+                rows(r.parent, [qcol(r.key).isNotNull()], k, _key(known[r.parent], r.key, kind), none, 0, 1, types)
+        out = None
+        for stacked in (whole, frames):
+            if stacked:
+                both = stacked[0]
+                for f in stacked[1:]:
+                    both = both.unionByName(f)
+                both = both.groupBy("rule", "key", "sub").agg(F.sum("n").alias("n"), F.sum("parent").alias("parent"))
+                both = both.withColumns({c: F.col(c).cast("string") for c in ("key", "sub")})
+                out = both if out is None else out.unionByName(both)
+        return literal_frame(self.spark, [], DELTA) if out is None else out
 
     def merge(self, tables: Mapping[str, DataFrame], batch_id: int, schemas: Mapping[str, DataFrame] = {}) -> None:
         """Add a batch's new rows of ``tables``, or put them in the place of those it added before."""
@@ -153,31 +176,40 @@ class KeyedState:
             raise ValueError(f"batch {batch_id} has been compacted (up to {upto}) and can't be replayed")
         attempt = uuid.uuid4().hex
         self.delta(tables, schemas).write.parquet(self._delta_at(batch_id, attempt))
-        new = self._read({batch_id: attempt})
+        after, before = self._read({batch_id: attempt}), None
+        kept = {b: a for b, a in attempts.items() if b != batch_id}
         if batch_id in attempts:
-            old = self._read({batch_id: attempts[batch_id]})
-            both = new.unionByName(old.select("rule", "key", "sub", (-F.col("n")).alias("n"), (-F.col("parent")).alias("parent")))
-            new = both.groupBy("rule", "key", "sub").agg(F.sum("n").alias("n"), F.sum("parent").alias("parent")).where("n <> 0 or parent <> 0")
-        for r in self._differences(self._read(attempts), new).collect():  # a row per rule
+            before = self._read({batch_id: attempts[batch_id]})
+        for r in self._differences(self._read(kept) if kept else None, before, after).collect():  # a row per rule
             tested, failed = totals.get(r.rule, (0, 0))
             totals[r.rule] = (tested + r.tested, failed + r.failed)
         self._commit(last + 1, batch_id, attempt, upto, totals)
 
-    def _differences(self, state: DataFrame, change: DataFrame) -> DataFrame:
-        """``rule, tested, failed``: by how much the changed keys' records differ."""
-        touched = change.select(F.col("rule").alias("r"), F.col("key").alias("k")).distinct()
-        before = state.join(touched, (F.col("rule") == F.col("r")) & F.col("key").eqNullSafe(F.col("k")), "left_semi")
-        rows = before.withColumn("old", F.lit(1)).unionByName(change.withColumn("old", F.lit(0)))
-        was = F.col("old") == 1
-        by_sub = rows.groupBy("rule", "key", "sub").agg(
-            F.sum(F.when(was, F.col("n")).otherwise(0)).alias("n0"), F.sum("n").alias("n1"),
-            F.sum(F.when(was, F.col("parent")).otherwise(0)).alias("p0"), F.sum("parent").alias("p1"),
-        )
+    def _differences(self, kept: Optional[DataFrame], before: Optional[DataFrame], after: DataFrame) -> DataFrame:
+        """``rule, tested, failed``: by how much the changed keys' records differ, where the rows ``after``
+        come to those ``kept``, in the place of those ``before``. Only the rows of a group count have a
+        ``sub`` and are grouped by it first; a key of the others is a row per batch."""
+        change = after if before is None else after.unionByName(before)
+        # Both are counted in the files' footers.
+        if kept is not None and change.count() * FEW < kept.count():
+            touched = change.select(F.col("rule").alias("r"), F.col("key").alias("k")).distinct()
+            kept = kept.join(touched, (F.col("rule") == F.col("r")) & F.col("key").eqNullSafe(F.col("k")), "left_semi")
+        rows = None
+        for frame, was, now in ((kept, 1, 1), (before, 1, 0), (after, 0, 1)):
+            if frame is not None:
+                frame = frame.select("*", F.lit(was).alias("was"), F.lit(now).alias("now"))
+                rows = frame if rows is None else rows.unionByName(frame)
+        sums = [F.sum(F.when(F.col(at) == 1, F.col(c)).otherwise(0)).alias(name) for name, at, c in (("n0", "was", "n"), ("n1", "now", "n"), ("p0", "was", "parent"), ("p1", "now", "parent"))]
+        grouped = F.col("rule").isin([k for k, r in enumerate(self.rules) if isinstance(r, GroupCount)])
+        by_sub = rows.where(grouped).groupBy("rule", "key", "sub").agg(*sums)
         some = F.col("sub").isNotNull()
         by_key = by_sub.groupBy("rule", "key").agg(
             *[F.sum(c).alias(c) for c in ("n0", "n1", "p0", "p1")],
             F.count_if(some & (F.col("n0") > 0)).alias("d0"), F.count_if(some & (F.col("n1") > 0)).alias("d1"),
         )
+        plain = rows.where(~grouped).drop("sub").repartition("rule", "key").groupBy("rule", "key").agg(*sums)
+        none = F.lit(0).cast("bigint")
+        by_key = by_key.unionByName(plain.withColumns({"d0": none, "d1": none}))
         kinds = [(k, _kind(r), r.min_count if isinstance(r, GroupCount) else 0) for k, r in enumerate(self.rules)]
         # One row per rule: bounded by configuration.
         known = by_key.join(F.broadcast(literal_frame(self.spark, kinds, "rule int, kind string, least int")), "rule")
@@ -200,7 +232,9 @@ class KeyedState:
             return
         summed = {b: a for b, a in attempts.items() if b in old or b == BASE}
         attempt = uuid.uuid4().hex
-        rows = self._read(summed).groupBy("rule", "key", "sub").agg(F.sum("n").alias("n"), F.sum("parent").alias("parent"))
+        rows = self._read(summed)
+        if len(summed) > 1:  # one batch is grouped already
+            rows = rows.groupBy("rule", "key", "sub").agg(F.sum("n").alias("n"), F.sum("parent").alias("parent"))
         rows.where("n <> 0 or parent <> 0").write.parquet(self._delta_at(BASE, attempt))
         self._commit(last + 1, BASE, attempt, max(old), totals)
 
