@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from verisift.session import ensure_checkpoint_dir
 
 _SHIPPED = "_verisift_shipped"
+WORK = "verisift_work"
 
 
 def ship(spark: SparkSession) -> None:
@@ -61,12 +62,14 @@ def bucketed(df: DataFrame, kind: str, key: str) -> DataFrame:
     """``df`` written once to the shared folder, a folder per value of ``kind``, in buckets
     by ``key``: a later grouping by ``key`` finds it dealt out already, with no shuffle.
 
-    Buckets need a table entry: ``verisift_work_...``, in the session's current database.
-    ``drop_work_tables`` takes the entries away when results have been written.
+    Buckets need a table entry: ``verisift_work.rows_...``, in a database of its own, as the
+    caller's may be listed. ``drop_work_tables`` takes the entries away when results have been written.
     """
     spark = df.sparkSession
-    name = f"verisift_work_{uuid.uuid4().hex}"
+    name = f"rows_{uuid.uuid4().hex}"
     path = fresh_path(spark, name)
+    spark.sql(f"create database if not exists {WORK}")
+    name = f"{WORK}.{name}"
     (
         df.write.partitionBy(kind).bucketBy(shuffle_width(spark), key).option("path", path)
         .option("compression", "none").format("parquet").saveAsTable(name)
@@ -75,8 +78,9 @@ def bucketed(df: DataFrame, kind: str, key: str) -> DataFrame:
 
 
 def drop_work_tables(spark: SparkSession) -> None:
-    for t in spark.catalog.listTables(pattern="verisift_work_*"):
-        spark.sql(f"drop table if exists {t.name}")
+    if spark.catalog.databaseExists(WORK):
+        for t in spark.catalog.listTables(WORK, "rows_*"):
+            spark.sql(f"drop table if exists {WORK}.{t.name}")
 
 
 def free_name(df: DataFrame, name: str) -> str:
