@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from verisift.llm import bpe, decontam, ngram_join, pii, quality
-from verisift.llm.common import fresh_path, table
+from verisift.llm.common import cut, fresh_path, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path, pattern = bpe.default_vocabulary()
-    # Blocks of 8 MB: the workers' share beside a heap that four stages have filled.
-    return bpe.digests(bpe.encode(docs, path, pattern, block_bytes=8 << 20), path, keep_ids=True)
+    # Blocks of 8 MB, and ids written before they are decoded, so that a task needs one Python worker
+    # at a time: the workers' share beside a heap that four stages have filled.
+    return bpe.digests(cut(bpe.encode(docs, path, pattern, block_bytes=8 << 20)), path, keep_ids=True)
 
 
 STAGES = [

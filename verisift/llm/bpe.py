@@ -44,6 +44,12 @@ def _encoding(path: str, pattern: str):
     return _LOADED[path, pattern]
 
 
+def _release() -> None:
+    """Freed memory given back, and the tokenizer, which only merging needs."""
+    _LOADED.clear()
+    give_back()
+
+
 # White space next to a space: there the pattern's pieces may reach over a split at spaces.
 _WIDE_SPACE = re.compile(r"\s | \s")
 
@@ -75,8 +81,11 @@ def pre_tokens(texts: list[str], pattern: str) -> tuple[np.ndarray, np.ndarray,
         pieces = find(" " + key) if isinstance(key, str) else [key[0]] if len(key) == 2 else find(key[0])
         counts[k] = len(pieces)
         own += map(piece_no.__getitem__, pieces)
-    seq, lengths = expand(np.concatenate(numbers) if numbers else np.zeros(0, np.uint32), sizes, np.array(own, np.uint32), counts)
-    return lengths, seq, [p.encode("utf-8", "surrogatepass") for p in piece_no]
+    words = [p.encode("utf-8", "surrogatepass") for p in piece_no]
+    del part_no, piece_no
+    parts = np.concatenate([*numbers, np.zeros(0, np.uint32)])
+    del numbers
+    return *expand_runs(parts, sizes, np.array(own, np.uint32), counts), words
 
 
 def expand(seq: np.ndarray, sizes: np.ndarray, values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +99,20 @@ def expand(seq: np.ndarray, sizes: np.ndarray, values: np.ndarray, counts: np.nd
     return values[at], np.diff(bounds)
 
 
+def expand_runs(seq: np.ndarray, sizes: np.ndarray, values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, sequence) as ``expand`` has them, some texts at a time: it needs many times the room of its input."""
+    stops = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    got = [expand(seq[stops[a] : stops[z]], sizes[a:z], values, counts) for a, z in B.runs(stops, 1 << 17)]
+    return np.concatenate([*(n for _, n in got), np.zeros(0, np.int64)]), np.concatenate([*(s for s, _ in got), np.zeros(0, np.uint32)])
+
+
+def block_rows(block: int, ids: list, texts: list[str], pattern: str, buckets: int) -> list[dict]:
+    """The rows of a block: its documents, and its words by bucket."""
+    lengths, seq, words = pre_tokens(texts, pattern)
+    seq, words, _ = B.by_frequency(seq, words)
+    return [r for r in (B.document_row(block, ids, lengths, seq), B.word_rows(block, words, buckets)) if r]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """(doc_id, ids) of every row: the ids of its whole text. ``block_bytes`` of text are held
     by a task at a time; smaller blocks send more tokens twice."""
@@ -98,12 +121,9 @@ def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = B.BLOCK_
 
     def split(batches: Iterator[pa.RecordBatch]):
         for block, ids, texts in B.cut_blocks(batches, block_bytes):
-            lengths, seq, words = pre_tokens(texts, pattern)
-            seq, words, _ = B.by_frequency(seq, words)
-            yield B.document_row(block, ids, lengths, seq)
-            if rows := B.word_rows(block, words, buckets):
-                yield rows
-        give_back()
+            yield from block_rows(block, ids, texts, pattern, buckets)
+            del ids, texts
+            give_back()  # before the next block
 
     parts = bucketed(packed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), split, B.ROWS), "kind", "block")
 
@@ -130,7 +150,7 @@ def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = B.BLOCK_
     documents = parts.where("kind = 'd'").select("block", "doc_ids", "lengths", "body")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        give_back()  # of the block before
+        _release()  # also of the block before
         out = []
         numbers = [B.unpack_ints(x.as_py()) for x in right.column("numbers")]
         counts = [B.unpack_ints(x.as_py()) for x in right.column("counts")]
@@ -179,7 +199,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         of = tokens.value.__getitem__
-        for b in small_pieces(batches, "ids", 4 << 20):
+        for b in small_pieces(batches, "ids", 1 << 20):
             yield {"doc_id": b.column("doc_id"), "ids": b.column("ids"), "decoded": [b"".join(map(of, x)) for x in id_lists(b.column("ids"))]}
 
     return packed(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded binary")
@@ -190,10 +210,11 @@ def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     tokens = token_bytes(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]):
+        _release()
         names = [b"%d" % k for k in range(len(tokens.value))]
         name, of = names.__getitem__, tokens.value.__getitem__
         sha = hashlib.sha256
-        for b in small_pieces(batches, "ids", 4 << 20):
+        for b in small_pieces(batches, "ids", 1 << 20):
             got = id_lists(b.column("ids"))
             yield {
                 "doc_id": b.column("doc_id"),
@@ -202,6 +223,7 @@ def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
                 "ids_sha256": [sha(b",".join(map(name, x))).hexdigest() for x in got],
                 "decoded_sha256": [sha(b"".join(map(of, x))).hexdigest() for x in got],
             }
+        give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     return packed(encoded.select("doc_id", "ids"), run, schema)

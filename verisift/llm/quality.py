@@ -28,7 +28,7 @@ from .common import cut, fold, give_back, packed, pickled, small_pieces, table
 
 #: Most labelled rows that the model is fitted on, taken by a hash of the id.
 TRAIN_ROWS = 20_000
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 1 << 20
 THRESHOLD = 0.3
 
 FEATURES = (
@@ -241,6 +241,7 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> Da
             good = score(model, features(b.column("text").to_pylist()).astype(np.float64)) >= threshold
             b = b.filter(pa.array(good))
             yield {n: b.column(n) for n in names}
+        give_back()
 
     return packed(docs, run, docs.schema)
 
