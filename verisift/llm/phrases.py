@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from verisift.functions import top_k_per_group
 
 from .blocks import pack_ints, pack_words, squeeze, unpack_ints, unpack_words, unsqueeze
-from .common import cut, fold, packed, shuffle_width, small_pieces, table
+from .common import cut, fold, give_back, packed, shuffle_width, small_pieces, table
 
 #: One document in so many is sampled, and this share of the expected count proposes.
 SAMPLE = 4
@@ -53,8 +53,10 @@ LOWERED = 0.8
 BITS = 1 << 27
 PROBES = 2
 SLICES = 64
-#: Text of a block, and places in the bitmap of a row.
-BLOCK_BYTES = 8 << 20
+#: Text of a block and of the pieces it is put together from, and places in the bitmap of a row.
+#: A worker has some 25 times a block's text, beside a batch of Spark's.
+BLOCK_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 PLACES = 1 << 20
 #: Buckets for each partition of a shuffle.
 BUCKETS = 4
@@ -70,9 +72,12 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -84,7 +89,9 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
 
 def _longer(h: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hashes of phrases: of those without their last words, and of these."""
-    return _mix(h * _PRIME + last)
+    h = h * _PRIME
+    h += last
+    return _mix(h)
 
 
 class Proposals:
@@ -94,16 +101,26 @@ class Proposals:
         self.bits = bits
 
     @staticmethod
-    def places(h: np.ndarray, size: int) -> list[np.ndarray]:
-        """Of a bitmap whose size is a power of two."""
-        return [(_mix(h + np.uint64(j)) & np.uint64(size - 1)).astype(np.int64) for j in range(PROBES)]
+    def place(h: np.ndarray, probe: int, size: int) -> np.ndarray:
+        """In a bitmap whose size is a power of two."""
+        return (_mix(h + np.uint64(probe)) & np.uint64(size - 1)).view(np.int64)
+
+    @classmethod
+    def places(cls, h: np.ndarray, size: int) -> list[np.ndarray]:
+        return [cls.place(h, j, size) for j in range(PROBES)]
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        out = None
-        for at in self.places(h, len(self.bits) * 8):
-            hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1)
-            out = hit if out is None else out & hit
-        return out.astype(bool)
+        out = self._hit(h, 0)
+        for j in range(1, PROBES):
+            left = np.flatnonzero(out)
+            out[left] = self._hit(h[left], j)
+        return out
+
+    def _hit(self, h: np.ndarray, probe: int) -> np.ndarray:
+        at = self.place(h, probe, len(self.bits) * 8)
+        bit = (at & 7).astype(np.uint8)
+        at >>= 3
+        return (self.bits[at] >> bit & np.uint8(1)).astype(bool)
 
 
 class _Tokens:
@@ -114,6 +131,7 @@ class _Tokens:
         whole = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(raw)]).tobytes()), pa.py_buffer(raw))
         # Splits at white space of ASCII; there is none left but spaces.
         found = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
+        del raw, whole
         _, ends, octets = found.dictionary.buffers()
         ends, octets = np.frombuffer(ends, np.int64, len(found.dictionary) + 1).tolist(), octets.to_pybytes()
         words = [octets[a:z] for a, z in zip(ends, ends[1:])]
@@ -125,7 +143,8 @@ class _Tokens:
             number[words.index(_BREAK)] = 0
         self.words = [_BREAK, *(words[k] for k in kept)]
         seq = number[found.indices.to_numpy()]
-        self.seq = seq[seq >= 0]
+        del found, octets, ends, words
+        self.seq = seq[seq >= 0] if (number < 0).any() else seq
         self.hashes = _word_hashes(lang, self.words)
         # Ends the keys of phrases: no phrase holds a line break.
         self.lang = lang.encode("utf-8", "surrogatepass") + b"\n"
@@ -145,7 +164,8 @@ class _Tokens:
         h = self.hashes[seq]
         if now is None:
             new, old = inside, np.zeros(len(seq), bool)
-            yield *_totals(h[inside]), *nothing, []
+            n = np.bincount(seq, minlength=len(self.words))[1:]
+            yield self.hashes[1:][n > 0], n[n > 0].astype(np.uint32), *nothing, []
         else:
             own = now.has(self.hashes)
             was = own & before.has(self.hashes) if before is not None else np.zeros(len(own), bool)
@@ -155,14 +175,15 @@ class _Tokens:
             border = ~own if before is None else np.zeros(len(own), bool)
             border[0] = False
             text = np.flatnonzero(own & ~was)
-            yield self.hashes[border], n[border], self.hashes[text], n[text], [self.lang + self.words[k] for k in text.tolist()]
+            yield self.hashes[border], n[border].astype(np.uint32), self.hashes[text], n[text], [self.lang + self.words[k] for k in text.tolist()]
+            del n, text
             new, old = own[seq], was[seq]
         for length in range(2, longest + 1):
             at = np.flatnonzero(new[:-1] & new[1:])
             if now is None and length > 2:
                 at = at[inside[at + length - 1]]
-            last = seq[at + length - 1]
-            longer = _longer(h[at], self.hashes[last])
+            longer = _longer(h[at], self.hashes[seq[at + length - 1]])
+            h = None
             if now is None:
                 yield *_totals(longer), *nothing, []
                 own, was = np.ones(len(at), bool), np.zeros(len(at), bool)
@@ -174,40 +195,47 @@ class _Tokens:
                     was[was] = before.has(longer[was])
                 text = own & ~was
                 yield *_totals(longer[~own & ~done]), *self._by_text(at[text], longer[text], length)
+            if length == longest:
+                break
             h, new, old = np.zeros(len(seq), np.uint64), np.zeros(len(seq), bool), np.zeros(len(seq), bool)
             h[at], new[at], old[at] = longer, own, was
+            del at, longer
 
     def _by_text(self, at: np.ndarray, h: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Hashes, counts and keys of the distinct phrases at some places."""
-        rows = self.seq[at[:, None] + np.arange(length)]
-        wide = len(self.words)
+        wide, along = len(self.words), np.arange(length)
         if wide**length < 1 << 63:
-            key = rows[:, 0]
+            key = self.seq[at]
             for j in range(1, length):
-                key = key * np.int64(wide) + rows[:, j]
+                key *= np.int64(wide)
+                key += self.seq[at + j]
             _, first, n = np.unique(key, return_index=True, return_counts=True)
+            del key
         else:
-            _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
-        return h[first], n, [self.lang + b" ".join(map(self.words.__getitem__, k)) for k in rows[first].tolist()]
+            _, first, n = np.unique(self.seq[at[:, None] + along], axis=0, return_index=True, return_counts=True)
+        rows = self.seq[at[first][:, None] + along]
+        return h[first], n, [self.lang + b" ".join(map(self.words.__getitem__, k)) for k in rows.tolist()]
 
 
 def _totals(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(h, return_counts=True)
+    h, n = np.unique(h, return_counts=True)
+    return h, n.astype(np.uint32)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Tokens]]:
-    """The tokens of about ``BLOCK_BYTES`` of text, by language."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[str]]]:
+    """Texts of about ``BLOCK_BYTES``, by language; who gets a block may empty it."""
     held: dict[str, list[str]] = {}
     size = 0
-    for b in small_pieces(batches, "text", BLOCK_BYTES):
+    for b in small_pieces(batches, "text", min(PIECE_BYTES, BLOCK_BYTES)):
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
             held.setdefault(lang, []).append(text)
-            size += len(text)
+        del text
+        size += b.column("text").nbytes
         if size >= BLOCK_BYTES:
-            yield [_Tokens(lang, held.pop(lang)) for lang in list(held)]
-            size = 0
+            yield held
+            held, size = {}, 0
     if held:
-        yield [_Tokens(lang, held.pop(lang)) for lang in list(held)]
+        yield held
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -224,30 +252,42 @@ def _counts(docs: DataFrame, longest: int, now=None, before=None) -> DataFrame:
 
     def run(batches):
         for block in _blocks(batches):
-            found = [x for tokens in block for x in tokens.counted(longest, now and now.value, before and before.value)]
-            if before is None and now is not None:
-                # How many words there are of each language, as a phrase of none.
-                for tokens in block:
+            found = []
+            # One language at a time: only what is counted of the others is held.
+            while block:
+                tokens = _Tokens(*block.popitem())
+                found += tokens.counted(longest, now and now.value, before and before.value)
+                if before is None and now is not None:
+                    # How many words there are of the language, as a phrase of none.
                     n = np.array([np.count_nonzero(tokens.seq)])
-                    found.append((np.zeros(0, np.uint64), n[:0], _word_hashes("", [tokens.lang]), n, [tokens.lang]))
-            border, border_n, text, text_n = (np.concatenate(x) for x in list(zip(*found))[:4])
-            keys = [k for x in found for k in x[4]]
-            b_order, b_ends = _dealt(border, buckets)
-            t_order, t_ends = _dealt(text, buckets)
-            for k in range(buckets):
-                b, t = b_order[b_ends[k] : b_ends[k + 1]], t_order[t_ends[k] : t_ends[k + 1]]
-                if len(b) or len(t):
-                    yield {
-                        "bucket": [k], "hashes": [border[b].tobytes()], "counts": [squeeze(border_n[b].astype("<u4").tobytes())],
-                        "phrases": [pack_words([keys[j] for j in t.tolist()])], "n": [pack_ints(text_n[t])],
-                    }
+                    found.append((np.zeros(0, np.uint64), np.zeros(0, np.uint32), _word_hashes("", [tokens.lang]), n, [tokens.lang]))
+                del tokens
+            yield from _by_bucket(found, buckets)
+        give_back()
 
     return packed(_texts(docs), run, PACKED)
 
 
+def _by_bucket(found: list[tuple], buckets: int) -> Iterator[dict]:
+    """A row per bucket of what a block's languages have; ``found`` is emptied."""
+    border, border_n, text, text_n = (np.concatenate(x) for x in list(zip(*found))[:4])
+    keys = [k for x in found for k in x[4]]
+    found.clear()
+    b_order, b_ends = _dealt(border, buckets)
+    t_order, t_ends = _dealt(text, buckets)
+    for k in range(buckets):
+        b, t = b_order[b_ends[k] : b_ends[k + 1]], t_order[t_ends[k] : t_ends[k + 1]]
+        if len(b) or len(t):
+            yield {
+                "bucket": [k], "hashes": [border[b].tobytes()], "counts": [squeeze(border_n[b].astype("<u4").tobytes())],
+                "phrases": [pack_words([keys[j] for j in t.tolist()])], "n": [pack_ints(text_n[t])],
+            }
+
+
 def _dealt(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of hashes, bucket by bucket, and where each bucket starts."""
-    at = (h % np.uint64(buckets)).astype(np.int64)
+    # Numbers of 16 bits are sorted by their digits.
+    at = (h % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     return np.argsort(at, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(at, minlength=buckets))])
 
 
@@ -262,6 +302,7 @@ def _merged(rows: DataFrame, least: int) -> DataFrame:
         h = np.concatenate(hashes)
         order = np.argsort(h, kind="stable")
         h, n = h[order], np.concatenate(counts)[order].astype(np.int64)
+        del order
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         return h[starts][np.add.reduceat(n, starts) >= least] if len(h) else h
 
@@ -281,17 +322,20 @@ def _merged(rows: DataFrame, least: int) -> DataFrame:
     def run(batches):
         bucket, hashes, counts, text = None, [], [], {}
         for b in batches:
-            for r in b.to_pylist():
-                if r["bucket"] != bucket:
+            # Row by row, the hashes where the batch has them.
+            for r in zip(*(b.column(name) for name in ("bucket", "hashes", "counts", "phrases", "n"))):
+                if r[0].as_py() != bucket:
                     if bucket is not None:
                         yield from finish(hashes, counts, text)
-                    bucket, hashes, counts, text = r["bucket"], [], [], {}
-                hashes.append(np.frombuffer(r["hashes"], "<u8"))
-                counts.append(np.frombuffer(unsqueeze(r["counts"]), "<u4"))
-                for k, n in zip(unpack_words(r["phrases"]), unpack_ints(r["n"]).tolist()):
+                    bucket, hashes, counts, text = r[0].as_py(), [], [], {}
+                hashes.append(np.frombuffer(r[1].as_buffer(), "<u8"))
+                counts.append(np.frombuffer(unsqueeze(r[2].as_py()), "<u4"))
+                for k, n in zip(unpack_words(r[3].as_py()), unpack_ints(r[4].as_py()).tolist()):
                     text[k] = text.get(k, 0) + n
         if bucket is not None:
             yield from finish(hashes, counts, text)
+        hashes = counts = text = b = r = None
+        give_back()
 
     dealt = rows.repartition(shuffle_width(rows.sparkSession), "bucket").sortWithinPartitions("bucket")
     return cut(packed(dealt, run, MERGED))
