@@ -82,9 +82,11 @@ def test_counting_phrases_needs_room_for_one_block(monkeypatch, proposed, most_m
     assert peak < most_mb << 20
 
 
-def test_phrases_are_counted_over_blocks_and_languages(monkeypatch):
+@pytest.mark.parametrize("longest", [3, 24])  # of 24, numbers of words don't fit 64 bits together
+def test_phrases_are_counted_over_blocks_and_languages(monkeypatch, longest):
     rng = random.Random(11)
     rows = [(rng.choice(["en", "fr", "und"]), " ".join(rng.choices(["a", "B", "c\t", "é", "日本.", "x\n", ",", ""], k=rng.randrange(40)))) for _ in range(300)]
+    rows += [("fr", " ".join(rng.choices("aBdefghijé", k=60))) for _ in range(3)]
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 700)
     batches = [pa.RecordBatch.from_pydict({"lang": [r[0] for r in part], "text": [r[1] for r in part]}) for part in (rows[:1], rows[1:170], rows[170:])]
     want, total = {}, {}
@@ -92,21 +94,21 @@ def test_phrases_are_counted_over_blocks_and_languages(monkeypatch):
         for piece in text.replace(",", ".").replace("\n", ".").split("."):
             w = [x.lower() if x.isascii() else x for x in piece.replace("\t", " ").split(" ") if x]
             total[lang] = total.get(lang, 0) + len(w)
-            for m in range(1, 4):
+            for m in range(1, longest + 1):
                 for k in range(len(w) - m + 1):
                     key = f"{lang}\n{' '.join(w[k : k + m])}".encode()
                     want[key] = want.get(key, 0) + 1
     got, blocks = {}, 0
-    for r in counting(monkeypatch, 3, everything())(iter(batches)):
+    for r in counting(monkeypatch, longest, everything())(iter(batches)):
         blocks += r["bucket"] == [0]
         for k, n in zip(phrases.unpack_words(r["phrases"][0]), phrases.unpack_ints(r["n"][0]).tolist()):
             got[k] = got.get(k, 0) + n
     assert got == want | {f"{lang}\n".encode(): n for lang, n in total.items()} and blocks > 5
     # In the sample all are counted by hash.
     n = 0
-    for r in counting(monkeypatch, 3)(iter(batches)):
+    for r in counting(monkeypatch, longest)(iter(batches)):
         assert not phrases.unpack_words(r["phrases"][0])
         n += int(np.frombuffer(phrases.unsqueeze(r["counts"][0]), "<u4").sum())
     assert n == sum(want.values())
     # What a pass before has counted is left out.
-    assert not list(counting(monkeypatch, 3, everything(), everything())(iter(batches)))
+    assert not list(counting(monkeypatch, longest, everything(), everything())(iter(batches)))

@@ -57,6 +57,12 @@ def pack_words(words: list[bytes]) -> bytes:
     return squeeze(len(words).to_bytes(4, "little") + lengths.tobytes() + b"".join(words))
 
 
+def pack_octets(ends: np.ndarray, octets) -> bytes:
+    """As ``pack_words``, of words that lie one after another in a buffer: from one of ``ends`` to the next."""
+    body = memoryview(octets)[int(ends[0]) : int(ends[-1])] if len(ends) > 1 else b""
+    return squeeze(b"".join([(len(ends) - 1).to_bytes(4, "little"), np.diff(ends).astype("<u4").tobytes(), body]))
+
+
 def unpack_words(raw: bytes) -> list[bytes]:
     raw = unsqueeze(raw)
     n = int.from_bytes(raw[:4], "little")

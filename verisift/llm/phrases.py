@@ -33,6 +33,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from verisift.functions import top_k_per_group
 
-from .blocks import pack_ints, pack_words, squeeze, unpack_ints, unpack_words, unsqueeze
+from .blocks import pack_ints, pack_octets, squeeze, unpack_ints, unpack_words, unsqueeze
 from .common import cut, fold, give_back, packed, shuffle_width, small_pieces, table
 
 #: One document in so many is sampled, and this share of the expected count proposes.
@@ -84,7 +85,7 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     import xxhash
 
     seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, itertools.repeat(seed)), np.uint64, len(words))
 
 
 def _longer(h: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -132,22 +133,23 @@ class _Tokens:
         # Splits at white space of ASCII; there is none left but spaces.
         found = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
         del raw, whole
-        _, ends, octets = found.dictionary.buffers()
-        ends, octets = np.frombuffer(ends, np.int64, len(found.dictionary) + 1).tolist(), octets.to_pybytes()
-        words = [octets[a:z] for a, z in zip(ends, ends[1:])]
         # Breaks are 0, words from 1 on; the ends of the text may have given an empty one.
-        kept = [k for k, w in enumerate(words) if w and w != _BREAK]
-        number = np.full(len(words), -1)
-        number[kept] = np.arange(1, len(kept) + 1)
-        if _BREAK in words:
-            number[words.index(_BREAK)] = 0
-        self.words = [_BREAK, *(words[k] for k in kept)]
+        distinct = found.dictionary.cast(pa.large_binary())
+        breaks, empty = (distinct.index(_scalar(w)).as_py() for w in (_BREAK, b""))
+        is_word = np.ones(len(distinct), bool)
+        is_word[[k for k in (breaks, empty) if k >= 0]] = False
+        number = np.where(is_word, np.cumsum(is_word), -1)
+        if breaks >= 0:
+            number[breaks] = 0
         seq = number[found.indices.to_numpy()]
-        del found, octets, ends, words
-        self.seq = seq[seq >= 0] if (number < 0).any() else seq
-        self.hashes = _word_hashes(lang, self.words)
-        # Ends the keys of phrases: no phrase holds a line break.
-        self.lang = lang.encode("utf-8", "surrogatepass") + b"\n"
+        self.seq = seq[seq >= 0] if empty >= 0 else seq
+        self.words = pa.concat_arrays([_octets([_BREAK]), distinct.filter(pa.array(is_word))])
+        del found, distinct, seq
+        _, ends, octets = self.words.buffers()
+        ends, octets = np.frombuffer(ends, np.int64, len(self.words) + 1).tolist(), octets.to_pybytes()
+        self.hashes = _word_hashes(lang, [octets[a:z] for a, z in zip(ends, ends[1:])])
+        # Keys of phrases start with the language's line: no phrase holds a line break.
+        self.lang = lang.encode("utf-8", "surrogatepass")
 
     def counted(self, longest: int, now: Proposals | None, before: Proposals | None):
         """For each length: the hashes and counts of distinct phrases on the border, and the
@@ -158,14 +160,15 @@ class _Tokens:
         its last word and of that word, whether it is proposed from the phrases without
         its last and without its first word. Only what is counted is sorted.
         """
-        seq, nothing = self.seq, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        seq = self.seq
+        nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), _octets([])
         inside = seq > 0
         # Of the phrase that starts at a place: its hash, whether it is (was) proposed.
         h = self.hashes[seq]
         if now is None:
             new, old = inside, np.zeros(len(seq), bool)
             n = np.bincount(seq, minlength=len(self.words))[1:]
-            yield self.hashes[1:][n > 0], n[n > 0].astype(np.uint32), *nothing, []
+            yield self.hashes[1:][n > 0], n[n > 0].astype(np.uint32), *nothing
         else:
             own = now.has(self.hashes)
             was = own & before.has(self.hashes) if before is not None else np.zeros(len(own), bool)
@@ -175,7 +178,7 @@ class _Tokens:
             border = ~own if before is None else np.zeros(len(own), bool)
             border[0] = False
             text = np.flatnonzero(own & ~was)
-            yield self.hashes[border], n[border].astype(np.uint32), self.hashes[text], n[text], [self.lang + self.words[k] for k in text.tolist()]
+            yield self.hashes[border], n[border].astype(np.uint32), self.hashes[text], n[text], self._keys([text])
             del n, text
             new, old = own[seq], was[seq]
         for length in range(2, longest + 1):
@@ -185,7 +188,7 @@ class _Tokens:
             longer = _longer(h[at], self.hashes[seq[at + length - 1]])
             h = None
             if now is None:
-                yield *_totals(longer), *nothing, []
+                yield *_totals(longer), *nothing
                 own, was = np.ones(len(at), bool), np.zeros(len(at), bool)
             else:
                 done = old[at] & old[at + 1]
@@ -194,27 +197,46 @@ class _Tokens:
                 if before is not None:
                     was[was] = before.has(longer[was])
                 text = own & ~was
-                yield *_totals(longer[~own & ~done]), *self._by_text(at[text], longer[text], length)
+                yield *_totals(longer[~own & ~done]), *self._by_text(at[text], length)
             if length == longest:
                 break
             h, new, old = np.zeros(len(seq), np.uint64), np.zeros(len(seq), bool), np.zeros(len(seq), bool)
             h[at], new[at], old[at] = longer, own, was
             del at, longer
 
-    def _by_text(self, at: np.ndarray, h: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def _by_text(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Hashes, counts and keys of the distinct phrases at some places."""
-        wide, along = len(self.words), np.arange(length)
+        wide = len(self.words)
         if wide**length < 1 << 63:
             key = self.seq[at]
             for j in range(1, length):
                 key *= np.int64(wide)
                 key += self.seq[at + j]
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            del key
+            key, n = np.unique(key, return_counts=True)
+            rows = []
+            for _ in range(length):
+                key, word = np.divmod(key, np.int64(wide))
+                rows.insert(0, word)
         else:
-            _, first, n = np.unique(self.seq[at[:, None] + along], axis=0, return_index=True, return_counts=True)
-        rows = self.seq[at[first][:, None] + along]
-        return h[first], n, [self.lang + b" ".join(map(self.words.__getitem__, k)) for k in rows.tolist()]
+            rows, n = np.unique(self.seq[at[:, None] + np.arange(length)], axis=0, return_counts=True)
+            rows = list(rows.T)
+        h = self.hashes[rows[0]]
+        for word in rows[1:]:
+            h = _longer(h, self.hashes[word])
+        return h, n, self._keys(rows)
+
+    def _keys(self, rows: list[np.ndarray]) -> pa.Array:
+        """Of phrases given by their first words, second words, ..."""
+        phrases = pc.binary_join_element_wise(*(self.words.take(pa.array(word)) for word in rows), _scalar(b" "))
+        return pc.binary_join_element_wise(_scalar(self.lang), phrases, _scalar(b"\n"))
+
+
+def _octets(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.large_binary())
+
+
+def _scalar(value: bytes) -> pa.Scalar:
+    return pa.scalar(value, pa.large_binary())
 
 
 def _totals(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,7 +282,7 @@ def _counts(docs: DataFrame, longest: int, now=None, before=None) -> DataFrame:
                 if before is None and now is not None:
                     # How many words there are of the language, as a phrase of none.
                     n = np.array([np.count_nonzero(tokens.seq)])
-                    found.append((np.zeros(0, np.uint64), np.zeros(0, np.uint32), _word_hashes("", [tokens.lang]), n, [tokens.lang]))
+                    found.append((np.zeros(0, np.uint64), np.zeros(0, np.uint32), _word_hashes("", [tokens.lang + b"\n"]), n, _octets([tokens.lang + b"\n"])))
                 del tokens
             yield from _by_bucket(found, buckets)
         give_back()
@@ -271,16 +293,21 @@ def _counts(docs: DataFrame, longest: int, now=None, before=None) -> DataFrame:
 def _by_bucket(found: list[tuple], buckets: int) -> Iterator[dict]:
     """A row per bucket of what a block's languages have; ``found`` is emptied."""
     border, border_n, text, text_n = (np.concatenate(x) for x in list(zip(*found))[:4])
-    keys = [k for x in found for k in x[4]]
+    keys = pa.concat_arrays([x[4] for x in found])
     found.clear()
     b_order, b_ends = _dealt(border, buckets)
     t_order, t_ends = _dealt(text, buckets)
+    keys, text_n = keys.take(pa.array(t_order)), text_n[t_order]
+    _, ends, octets = keys.buffers()
+    # Nothing but empty arrays may have no buffers.
+    ends = np.frombuffer(ends, np.int64, len(keys) + 1) if len(keys) else np.zeros(1, np.int64)
     for k in range(buckets):
-        b, t = b_order[b_ends[k] : b_ends[k + 1]], t_order[t_ends[k] : t_ends[k + 1]]
-        if len(b) or len(t):
+        b, t = b_order[b_ends[k] : b_ends[k + 1]], slice(t_ends[k], t_ends[k + 1])
+        if len(b) or t.start < t.stop:
+            to = ends[t.start : t.stop + 1]
             yield {
                 "bucket": [k], "hashes": [border[b].tobytes()], "counts": [squeeze(border_n[b].astype("<u4").tobytes())],
-                "phrases": [pack_words([keys[j] for j in t.tolist()])], "n": [pack_ints(text_n[t])],
+                "phrases": [pack_octets(to, octets)], "n": [pack_ints(text_n[t])],
             }
 
 
